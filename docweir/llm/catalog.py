@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docweir.llm import exact_dedup, ogg, sharding
+from docweir.llm import exact_dedup, mixing, ogg, sharding
 
 QUERIES = {
     "op1_ogg_media": ogg.op1_ogg_media,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op5_mixing": mixing.op5_mixing,
     "op9_sharding": sharding.op9_sharding,
 }
 
