@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from docweir.llm import exact_dedup, mixing, ogg, sharding
+from docweir.llm import exact_dedup, language_id, mixing, ogg, sharding
 
 QUERIES = {
     "op1_ogg_media": ogg.op1_ogg_media,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op5_mixing": mixing.op5_mixing,
     "op9_sharding": sharding.op9_sharding,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 SQL = {
