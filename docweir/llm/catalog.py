@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from docweir.llm import exact_dedup, language_id, mixing, ogg, packing, sharding
+from docweir.llm import exact_dedup, language_id, mixing, near_dedup, ogg, packing, sharding
 
 QUERIES = {
     "op1_ogg_media": ogg.op1_ogg_media,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op5_mixing": mixing.op5_mixing,
+    "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_packing": packing.op8_packing,
     "op9_sharding": sharding.op9_sharding,
     "op10_language_id": language_id.op10_language_id,
