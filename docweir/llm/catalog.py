@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docweir.llm import exact_dedup, language_id, mixing, near_dedup, ogg, packing, sharding
+from docweir.llm import exact_dedup, language_id, mixing, near_dedup, ogg, packing, sharding, training_order
 
 QUERIES = {
     "op1_ogg_media": ogg.op1_ogg_media,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op4_training_order": training_order.op4_training_order,
     "op5_mixing": mixing.op5_mixing,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_packing": packing.op8_packing,
