@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from docweir.llm import exact_dedup, language_id, mixing, near_dedup, ogg, packing, sharding, training_order
+from docweir.llm import exact_dedup, language_id, mixing, near_dedup, ogg, packing, sharding, toxicity, training_order
 
 QUERIES = {
     "op1_ogg_media": ogg.op1_ogg_media,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op4_training_order": training_order.op4_training_order,
     "op5_mixing": mixing.op5_mixing,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_packing": packing.op8_packing,
     "op9_sharding": sharding.op9_sharding,
