@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docweir.llm import exact_dedup, language_id, mixing, near_dedup, ogg, packing, sharding, toxicity, training_order
+from docweir.llm import exact_dedup, language_id, licences, mixing, near_dedup, ogg, packing, sharding, toxicity, training_order
 
 QUERIES = {
     "op1_ogg_media": ogg.op1_ogg_media,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_licence_scan": licences.op3_licence_scan,
     "op4_training_order": training_order.op4_training_order,
     "op5_mixing": mixing.op5_mixing,
     "op6_toxicity": toxicity.op6_toxicity,
