@@ -1,0 +1,137 @@
+"""Small inline tables for shapes that the data set doesn't hold, the same in Spark and in SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+TABLES: dict[str, tuple[str, list[tuple]]] = {
+    "fx_rules": (
+        "ordinal int, provider string, match_field string, prefix string, access_policy_id string",
+        [
+            (0, "CONFLUENCE", "TITLE", "HR-", "department:DEMO:HR"),
+            (1, "CONFLUENCE", "TITLE", "HR-Handbook 1", "department:DEMO:LATE"),
+            (2, "GITHUB", "PATH", "src1", "department:DEMO:CODE"),
+            (3, "JIRA", "SPACE_KEY", "OPS", "department:DEMO:OPS"),
+            (4, "JIRA", "LABEL", "team-a", "department:DEMO:TEAM_A"),
+            (5, "CONFLUENCE", "LABEL", "secret", "department:DEMO:SECRET"),
+            (6, "JIRA", "TITLE", "FIN-", "department:DEMO:FINANCE"),
+        ],
+    ),
+    "fx_bad_rules": (
+        "ordinal int, provider string, match_field string, prefix string, access_policy_id string",
+        [
+            (0, "CONFLUENCE", "TITLE", "HR-", "department:DEMO:HR"),
+            (1, "DROPBOX", "TITLE", "x", "project:DEMO"),
+            (2, "JIRA", "AUTHOR", "x", "project:DEMO"),
+            (3, "JIRA", "TITLE", "", "project:DEMO"),
+            (4, "GITHUB", "PATH", "x", "department:OTHER:HR"),
+            (5, "GITHUB", "PATH", "x", "department:DEMO:h r"),
+            (6, "GITHUB", "PATH", "x", "project:DEMO"),
+        ],
+    ),
+    "fx_labelled": (
+        "source_id string, provider string, title string, space_key string, path string, labels array<string>",
+        [
+            ("a", "CONFLUENCE", "HR-Policies", "HR", "", ["secret"]),
+            ("b", "CONFLUENCE", "Roadmap", "ENG", "", ["public", "secret-plan"]),
+            ("c", "JIRA", "Broken login", "OPS", "", ["team-b"]),
+            ("d", "JIRA", "Broken logout", "APP", "", ["zeta", "team-alpha"]),
+            ("e", "JIRA", "FIN-7", "APP", "", []),
+            ("f", "GITHUB", "readme", "", "src1/readme.md", []),
+            ("g", "GITHUB", "readme", "", "docs/src1.md", None),
+        ],
+    ),
+    "fx_pages": (
+        "page_id string, parent_id string, title string",
+        [
+            ("1", None, "Home"), ("2", "1", "Guides"), ("3", "2", "Install"), ("4", "3", "Linux"), ("5", None, "Other"), ("6", "5", "Misc"),
+            ("7", "8", "Loop A"), ("8", "7", "Loop B"), ("9", "99", "Orphan"), ("10", "4", "Deep"), ("11", "2", "Upgrade"),
+        ],
+    ),
+    "fx_roots": ("root_id string", [("2",), ("7",)]),
+    "fx_changes": (
+        "number int, path string, status string, previous_path string, has_content boolean",
+        [
+            (1, "src/a.py", "added", None, True), (1, "src/b.py", "modified", None, True), (1, "src/c.py", "removed", None, False),
+            (1, "docs/new.md", "renamed", "docs/old.md", True), (1, "img/x.png", "added", None, True), (1, "src/d.py", "copied", None, True),
+            (2, "docs/big.md", "modified", None, False), (2, "notes.weird", "modified", None, True), (2, "src/e.KT", "renamed", "src/e.java", False),
+        ],
+    ),
+    "fx_globs": (
+        "path string, pattern string",
+        [
+            ("project-documentation/a.md", "**/project-documentation/**"), ("x/project-documentation", "**/project-documentation/**"),
+            ("notes.docx", "**/*.docx"), ("a/b/notes.docx", "**/*.docx"), ("src/main/Cart.kt", "*.kt"), ("Cart.kt", "*.kt"),
+            ("src/main/Cart.kt", "src/**/*.kt"), ("src/Cart.kt", "src/**/*.kt"), ("a/b/c.txt", "a/?/c.txt"), ("a/bb/c.txt", "a/?/c.txt"),
+            ("/docs/x.md", "docs/*.md"), ("docs/y/x.md", "docs/*.md"), ("docs", "docs/**"), ("docs/a/b", "docs/**"), ("a.b.c", "a.b.*"), ("axbxc", "a.b.*"),
+        ],
+    ),
+    "fx_paths": (
+        "path string",
+        [
+            (".env",), ("conf/.env.local",), ("keys/server.pem",), ("a/id_rsa",), ("node_modules/x/index.js",), ("src/app.py",), ("README.MD",),
+            ("img/logo.PNG",), ("data.parquet",), ("docs/spec.pdf",), ("vendor/lib/x.py",), ("archive.zip",), ("run.exe",), ("noext",), ("a.b/c",), ("x.TSX",),
+        ],
+    ),
+    "fx_webhooks": (
+        "delivery int, event string, action string, merged boolean, mapped boolean, enabled boolean, branch string, base string, signature_ok boolean, number int",
+        [
+            (1, "pull_request", "closed", True, True, True, "main", "main", True, 11), (2, "pull_request", "closed", True, True, True, "main", "dev", True, 12),
+            (3, "pull_request", "opened", False, True, True, "main", "main", True, 13), (4, "push", None, None, True, True, "main", "main", True, None),
+            (5, "pull_request", "closed", True, False, True, "main", "main", True, 15), (6, "pull_request", "closed", True, True, False, "main", "main", True, 16),
+            (7, "pull_request", "closed", False, True, True, "main", "main", True, 17), (8, "pull_request", "closed", True, True, True, "main", "main", False, 18),
+            (9, "pull_request", "closed", True, True, True, "main", "main", True, None),
+        ],
+    ),
+    "fx_ledger": (
+        "sequence int, source_id string, status string, source_version string",
+        [
+            (1, "s1", "started", "v1"), (2, "s1", "indexed", "v1"), (3, "s2", "started", "v1"), (4, "s3", "started", "v1"), (5, "s3", "failed", "v1"),
+            (6, "s1", "started", "v2"), (7, "s1", "unchanged", "v2"), (8, "s3", "started", "v1"), (9, "s3", "indexed", "v1"), (10, "s4", "excluded", "v9"),
+        ],
+    ),
+    "fx_current": ("source_id string, source_version string", [("s1", "v2"), ("s2", "v1"), ("s3", "v2"), ("s4", "v9"), ("s5", "v1")]),
+    "fx_projects": (
+        "project_id string, owner string, repository string, branches array<string>, jira_site string, jira_key string",
+        [
+            ("DEMO", "acme", "shop", ["main", "dev"], "acme.net", "SHOP"), ("APP", "acme", "app", [], "acme.net", "APP"), ("OPS", "bad owner", "x/y", ["main"], None, None),
+        ],
+    ),
+    "fx_queue": (
+        "message_id string, project_id string, deliveries int, ok boolean",
+        [("m1", "DEMO", 1, True), ("m2", "DEMO", 4, False), ("m3", "APP", 5, False), ("m4", "APP", 7, False), ("m5", "OPS", 5, True)],
+    ),
+}
+
+
+def frame(spark: SparkSession, name: str) -> DataFrame:
+    """A fixture table as a DataFrame."""
+    schema, rows = TABLES[name]
+    return spark.createDataFrame(rows, schema)
+
+
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    if isinstance(value, (list, tuple)):
+        return "[" + ", ".join(map(_literal, value)) + "]::VARCHAR[]"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+_TYPES = {"int": "INTEGER", "string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "array<string>": "VARCHAR[]", "timestamp": "TIMESTAMP"}
+
+
+def cte(*names: str) -> str:
+    """The fixture tables as the common table expressions of an SQL text (without WITH)."""
+    parts = []
+    for name in names:
+        schema, rows = TABLES[name]
+        columns = [c.split() for c in schema.split(", ")]
+        values = ",\n".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
+        casts = ", ".join(f"CAST({c} AS {_TYPES[t]}) AS {c}" for c, t in columns)
+        parts.append(f"{name} AS (SELECT {casts} FROM (VALUES {values}) AS v({', '.join(c for c, _ in columns)}))")
+    return ",\n".join(parts)
