@@ -143,6 +143,21 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
             ("/wiki/spaces/A/1",), ("/download/x.png",), ("page:7",), ("page:x",),
         ],
     ),
+    "fx_payloads": (
+        "path string, payload string, reason_code string",
+        [
+            ("a.pdf", "255044462D312E370A", None), ("b.pdf", "4E4F54", "MIME_MISMATCH"), ("c.pdf", "255044462D312E370A2F456E63727970742074727565", "PASSWORD_PROTECTED"), ("d.docx", "504B030414", None),
+            ("e.xlsx", "255044462D", "MIME_MISMATCH"), ("f.txt", "4D5A9000", "EXECUTABLE_CONTENT"), ("g.md", "7F454C4602", "EXECUTABLE_CONTENT"), ("h.exe", "00", "BLOCKED_FILE_TYPE"),
+            ("i.txt", "6170695F6B65793D6162636465666768696A6B6C6D6E6F70", "POTENTIAL_SECRET"), ("j.txt", "68656C6C6F", None),
+        ],
+    ),
+    "fx_scores": (
+        "metric string, value double",
+        [
+            ("source_completeness", 1.0), ("gold_resolution", 0.99), ("candidate_recall", 0.9), ("final_evidence_recall", 0.84), ("citation_correctness", 0.97), ("grounded_answer_accuracy", None),
+            ("cross_project_leakage", 0.0), ("access_policy_leakage", 1.0), ("non_jira_regression", 0.05), ("evaluation_case_count", 41.0),
+        ],
+    ),
     "fx_queue": (
         "message_id string, project_id string, deliveries int, ok boolean",
         [("m1", "DEMO", 1, True), ("m2", "DEMO", 4, False), ("m3", "APP", 5, False), ("m4", "APP", 7, False), ("m5", "OPS", 5, True)],
