@@ -19,6 +19,8 @@ from docweir.llm.components import components
 PERCENT = 80
 #: 32 bands of 4 of the 128 hashes: a pair at 0.8 meets in none with probability 5e-8.
 HASHES, BANDS = 128, 32
+#: Orders by which buckets choose their pivots.
+TURNS = 4
 #: Chance that a pair at the threshold is pruned by its signature.
 MISS = 1e-5
 #: Hashes that are compared at a time.
@@ -194,8 +196,9 @@ def _ordered(one: Column, two: Column) -> list[Column]:
 def _within(groups: DataFrame, percent: int, miss: float) -> DataFrame:
     """Plausible pairs (a, b) with different labels inside groups (key, i, j).
 
-    Rows are (key, i, j, side, node, label, n, sig). Where i = j all pairs are compared, else those of
-    either side. A group holds two blocks at most.
+    Rows are (key, band, i, j, side, node, label, n, sig). Where i = j all pairs are compared, else
+    those of either side. A group holds two blocks at most. A pair that also meets in an earlier band
+    is left to that band's bucket, which compares it just so.
     """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -207,7 +210,10 @@ def _within(groups: DataFrame, percent: int, miss: float) -> DataFrame:
             keep &= side[x] != side[y]
         x, y = x[keep], y[keep]
         keep = plausible(sig[x], sig[y], percent, miss)
-        x, y = node[x[keep]], node[y[keep]]
+        x, y = x[keep], y[keep]
+        band, rows = int(table.column("band")[0].as_py()), HASHES // BANDS
+        met = (sig[x, : band * rows] == sig[y, : band * rows]).reshape(len(x), band, rows).all(axis=2).any(axis=1)
+        x, y = node[x[~met]], node[y[~met]]
         return pa.table({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
     return groups.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
@@ -266,12 +272,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
     size = HASHES * 2 // BANDS
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sig", b * size + 1, F.lit(size))))
-    members = nodes.select("node", F.explode(keys).alias("key"))
-    # A pivot is the least id after its bits are turned by the key's: another in every bucket.
-    turn = F.col("key").bitwiseAND(F.lit((1 << 62) - 1))
-    facts = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(F.col("node").bitwiseXOR(turn)).alias("turned")).where("m > 1")
-    facts = facts.select(F.xxhash64("key").alias("at"), F.col("key").alias("_key"), "m", F.col("turned").bitwiseXOR(turn).alias("pivot"))
-    shared = checkpointed(members.withColumn("at", F.xxhash64("key")).join(facts, "at").where("key = _key").select("key", "node", "m", "pivot"))
+    members = nodes.select("node", F.posexplode(keys).alias("band", "key"))
+    # A pivot is the least id after its bits are turned in a way that every TURNS-th part of the bands
+    # has in common: a large group meets a few pivots, not one for each band.
+    turn = F.xxhash64(F.lit(7), F.col("band") % TURNS).bitwiseAND(F.lit((1 << 62) - 1))
+    facts = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("band").alias("band"), F.min(F.col("node").bitwiseXOR(turn)).alias("turned")).where("m > 1")
+    facts = facts.select(F.xxhash64("key").alias("at"), F.col("key").alias("_key"), F.col("band").alias("in_band"), "m", F.col("turned").bitwiseXOR(turn).alias("pivot"))
+    shared = checkpointed(members.withColumn("at", F.xxhash64("key")).join(facts, "at").where("key = _key").select("key", F.col("in_band").alias("band"), "node", "m", "pivot"))
 
     stars = shared.where("node != pivot").select(*_ordered(F.col("node"), F.col("pivot"))).distinct()
     tried = checkpointed(_pruned(stars, nodes, percent, miss))
@@ -284,13 +291,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = of.groupBy("key", "m", "label").agg(F.count(F.lit(1)).alias("c"))
     mixed = parts.groupBy("key", "m").agg(F.count(F.lit(1)).alias("parts"), F.max("c").alias("most"), F.max_by("label", F.struct("c", "label")).alias("main")).where("parts > 1")
     mixed = mixed.select(F.xxhash64("key").alias("at"), F.col("key").alias("_key"), "main", "most")
-    again = checkpointed(of.withColumn("at", F.xxhash64("key")).join(mixed, "at").where("key = _key").select("key", "node", "m", "label", "main", "most"))
-    small = again.where(F.col("m") <= SMALL).select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "node", "label")
+    again = checkpointed(of.withColumn("at", F.xxhash64("key")).join(mixed, "at").where("key = _key").select("key", "band", "node", "m", "label", "main", "most"))
+    small = again.where(F.col("m") <= SMALL).select("key", "band", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "node", "label")
     large = again.where((F.col("m") > SMALL) & (F.col("label") != F.col("main")))
     count = F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     large = large.withColumn("blocks", count).withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocked = large.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label")
+    blocked = large.select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label")
     grouped = small.unionByName(blocked).join(nodes.select("node", "n", "sig"), "node")
     more = checkpointed(_within(grouped, percent, miss).join(tried, ["a", "b"], "left_anti"))
     pairs = again.where((F.col("m") > SMALL) & (F.col("label") != F.col("main")) & (F.col("most") > 1)).select("node", F.col("main").alias("label")).distinct()
@@ -316,13 +323,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _outsiders(pairs: DataFrame, labels: DataFrame, whole, percent: int) -> DataFrame:
     """Links between outsiders (node, label of the component that they are outside of) and that component's members."""
     chunk = 2 * BLOCK
-    outer = pairs.groupBy("label").agg(F.count(F.lit(1)).alias("outside")).select("label", F.ceil(F.col("outside") / chunk).cast("int").alias("is"))
-    inner = labels.join(outer.select("label"), "label", "left_semi")
-    counts = inner.groupBy("label").agg(F.count(F.lit(1)).alias("inside")).join(outer, "label").select("label", "is", F.ceil(F.col("inside") / chunk).cast("int").alias("js"))
+    # Both sides of a join by label are shuffled by the join itself, so a large component is split at run time.
+    keyed = lambda df: df.withColumn("at", F.xxhash64("label"))
+    facts = lambda df: keyed(df).withColumnRenamed("label", "_label")
+    outer = pairs.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("is"))
+    inner = checkpointed(keyed(labels).join(facts(outer), "at").where("label = _label").select("node", "label", "is"))
+    counts = facts(checkpointed(inner.groupBy("label", "is").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("js"))))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    left = pairs.join(counts, "label").select("label", place("is").alias("i"), spread("js").alias("j"), F.lit(0).alias("side"), "node")
-    right = inner.join(counts, "label").select("label", spread("is").alias("i"), place("js").alias("j"), F.lit(1).alias("side"), "node")
+    left = keyed(pairs).join(counts, "at").where("label = _label").select("label", place("is").alias("i"), spread("js").alias("j"), F.lit(0).alias("side"), "node")
+    right = keyed(inner).join(counts.drop("is"), "at").where("label = _label").select("label", spread("is").alias("i"), place("js").alias("j"), F.lit(1).alias("side"), "node")
     both = checkpointed(left.unionByName(right))
     return _against(both, whole(both.select("node").distinct()), percent)
 
