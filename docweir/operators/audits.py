@@ -27,7 +27,7 @@ def lengths(chunks: DataFrame, by: list[str]) -> DataFrame:
     low = F.greatest(F.lit(1), F.least(F.floor(place), F.col("n") - 1))
     at = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col("tokens")))
     out = counted.groupBy(*by, "n").agg(
-        F.min("tokens").alias("least"), F.percentile("tokens", 0.5, "c").alias("median"), at(low).alias("lo"), at(low + 1).alias("hi"), F.max("tokens").alias("most"), F.sum(F.col("tokens") * F.col("c")).alias("all")
+        F.min("tokens").alias("least"), F.percentile("tokens", 0.5, F.col("c")).alias("median"), at(low).alias("lo"), at(low + 1).alias("hi"), F.max("tokens").alias("most"), F.sum(F.col("tokens") * F.col("c")).alias("all")
     )
     part = place - F.floor(place)
     return out.select(*by, F.col("n").alias("chunks"), "least", "median", F.round(F.col("lo") * (1 - part) + F.coalesce("hi", "lo") * part, 6).alias("p95"), "most", F.round(F.col("all") / F.col("n"), 6).alias("mean"))
