@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweir.plans import chunks, quality, routing, text  # noqa: F401  (modules register what they define)
+from docweir.plans import chunks, issues, quality, routing, text  # noqa: F401  (modules register what they define)
 from docweir.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

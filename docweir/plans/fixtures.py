@@ -158,6 +158,58 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
             ("cross_project_leakage", 0.0), ("access_policy_leakage", 1.0), ("non_jira_regression", 0.05), ("evaluation_case_count", 41.0),
         ],
     ),
+    "fx_issues": (
+        "issue_key string, project_key string, updated string, security string, attachments_json string, fields_json string",
+        [
+            ("SHOP-1", "SHOP", "2024-01-03 10:00", None, '[{"id":"a1","size":100},{"id":"a2","size":99999999},{"id":"a3"}]', '{"parent":{"id":"9","key":"SHOP-9"},"subtasks":[],"issuelinks":[]}'),
+            ("SHOP-2", "SHOP", "2024-01-02 09:00", None, "[]", '{"subtasks":[{"id":"3","key":"SHOP-3"},{"key":"SHOP-4"}],"issuelinks":[{"id":"l1","type":{"name":"Blocks","inward":"is blocked by","outward":"blocks"},"outwardIssue":{"id":"5","key":"SHOP-5"}}]}'),
+            ("SHOP-3", "SHOP", "2024-01-02 09:00", "secret", "[]", '{"parent":{"id":"2","key":"SHOP-2"},"subtasks":[],"issuelinks":[{"id":"l2","type":{"name":"Relates"},"inwardIssue":{"id":"1","key":"SHOP-1"}},{"id":"l3","type":{"name":"Odd"}}]}'),
+            ("APP-1", "APP", "2024-01-05 00:00", None, '[{"id":"b1","size":"x"}]', '{"subtasks":[],"issuelinks":[]}'),
+            ("APP-2", "APP", "2024-01-01 00:00", None, "[]", '{"subtasks":[],"issuelinks":[]}'),
+        ],
+    ),
+    "fx_events": (
+        "issue_key string, kind string, event_id string, visibility string, created string, body string",
+        [
+            ("SHOP-1", "COMMENT", "c1", None, "2024-01-02", "first"), ("SHOP-1", "COMMENT", "c2", "admins", "2024-01-03", "hidden"), ("SHOP-1", "WORKLOG", "w1", None, "2024-01-01", "2h"),
+            ("SHOP-2", "CHANGELOG", "h1", None, "2024-01-04", "status"), ("APP-1", "COMMENT", "c3", "staff", "2024-01-01", "x"), ("APP-2", "COMMENT", "c4", None, "2024-01-01", "y"),
+        ],
+    ),
+    "fx_custom": ("issue_key string, field_id string, value string", [("SHOP-1", "customfield_1", "red"), ("SHOP-2", "customfield_2", "blue"), ("APP-1", "customfield_9", "none")]),
+    "fx_names": ("field_id string, name string", [("customfield_1", "Colour"), ("customfield_2", "Shade")]),
+    "fx_wanted": ("issue_key string", [("SHOP-1",), ("SHOP-77",)]),
+    "fx_listing": (
+        "listing string, item_id string, total int",
+        [("ok", "1", 2), ("ok", "2", 2), ("moved", "1", 2), ("moved", "2", 3), ("twice", "1", 2), ("twice", "1", 2), ("short", "1", 3), ("short", "2", 3)],
+    ),
+    "fx_headings": ("heading string", [("## Acceptance criteria",), ("## Criterios de aceptación",), ("# Requirements",), ("## Requisitos",), ("## Notes",)]),
+    "fx_times": ("raw string", [("2024-01-02T03:04:05Z",), ("2024-01-02T03:04:05+02:00",), ("2024-01-02 03:04:59",), ("not a time",), (None,)]),
+    "fx_elements": ("source_id string, ordinal int, page int", [("d1", 0, 1), ("d1", 1, 1), ("d1", 2, 2), ("d2", 0, None)]),
+    "fx_assets": ("source_id string, asset_id string, page int", [("d1", "x", 1), ("d1", "y", 2), ("d1", "z", None), ("d2", "w", None), ("d2", "v", 4)]),
+    "fx_labels": ("page_id string, label string", [("1", "b"), ("1", " a "), ("1", "b"), ("2", " "), ("2", "z")]),
+    "fx_jobs": (
+        "raw string",
+        [
+            ('{"job_id":"1","project_id":"DEMO","provider":"JIRA","mode":"full","repository":"r","pull_request":"7","requested_at":"2024"}',), ('{"job_id":"1"}',), ("[1]",), ("nope",),
+            ('{"job_id":"1","project_id":"DEMO","provider":"JIRA","mode":"full","repository":"r","pull_request":"7","requested_at":"2024","extra":"x"}',),
+        ],
+    ),
+    "fx_adf": (
+        "id string, storage string, adf string",
+        [
+            ("p1", "", '{"type":"doc","content":[{"type":"heading","attrs":{"level":2},"content":[{"type":"text","text":"Title"}]},{"type":"paragraph","content":[{"type":"text","text":"See "},{"type":"text","text":"here","marks":[{"type":"link","attrs":{"href":"https://x"}}]}]}]}'),
+            ("p2", "<p>kept</p>", '{"type":"doc","content":[]}'),
+            ("p3", "  ", '{"type":"doc","content":[{"type":"table","content":[{"type":"tableRow","content":[{"type":"tableHeader","content":[{"type":"text","text":"a"}]},{"type":"tableHeader","content":[{"type":"text","text":"b"}]}]},{"type":"tableRow","content":[{"type":"tableCell","content":[{"type":"text","text":"1"}]},{"type":"tableCell","content":[{"type":"text","text":"2"}]}]}]},{"type":"bulletList","content":[{"type":"listItem","content":[{"type":"paragraph","content":[{"type":"text","text":"item"}]}]}]}]}'),
+            ("p4", None, "broken"),
+        ],
+    ),
+    "fx_metadata": (
+        "id string, metadata string",
+        [
+            ("m1", '{"a":"fine","b":["x","y"]}'), ("m2", '{"api_key":"abcdefghijklmnop1234"}'), ("m3", '{"parts":["AKIA","ABCDEFGHIJKLMNOP"]}'), ("m4", '{"inner":"{\\"password\\":\\"abcdefghijklmnop99\\"}"}'),
+            ("m5", None), ("m6", '{"list":["aB3dE5fG7hI9jK1lM2nO4p","Q6rS8tU0vW3xY5zA7bC9"]}'),
+        ],
+    ),
     "fx_queue": (
         "message_id string, project_id string, deliveries int, ok boolean",
         [("m1", "DEMO", 1, True), ("m2", "DEMO", 4, False), ("m3", "APP", 5, False), ("m4", "APP", 7, False), ("m5", "OPS", 5, True)],

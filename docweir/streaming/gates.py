@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The fields of a message, all of them and no others.
+JOB_FIELDS = ("job_id", "mode", "project_id", "provider", "pull_request", "repository", "requested_at")
 #: A message that failed on so many deliveries is put aside.
 MOST_DELIVERIES = 5
 
@@ -28,3 +30,10 @@ def settlement(messages: DataFrame, most: int = MOST_DELIVERIES) -> DataFrame:
     """Messages (deliveries, ok) with outcome: complete, dead-letter, or abandon, which delivers them again."""
     outcome = F.when(F.col("ok"), "complete").when(F.col("deliveries") >= most, "dead-letter").otherwise("abandon")
     return messages.withColumn("outcome", outcome)
+
+
+def job_verdict(raw: Column) -> Column:
+    """ok, or what is wrong with a queue message."""
+    keys = F.json_object_keys(raw)
+    exact = F.array_sort(keys) == F.array(*map(F.lit, JOB_FIELDS))
+    return F.when(keys.isNull(), "not an object").when(~exact, "wrong fields").otherwise("ok")
