@@ -72,10 +72,13 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marked = with_bit(docs.withColumns(_first_levels(text_col, prefix_chars)), key, bitmap_of(groups, key), "_dw_open")
     alone = marked.where(~F.col("_dw_open")).select(*docs.columns)
     copied = marked.where("_dw_open").withColumn("_dw_hash", _full_hash(text_col)).select(*docs.columns, "_dw_hash")
-    facts = groups.select(F.col("full_hash").alias("_dw_hash"), F.col("keep_id").alias("_dw_keep"), F.lit(True).alias("_dw_grouped")).distinct()
-    stays = F.col("_dw_grouped").isNull() | F.col(id_col).eqNullSafe(F.col("_dw_keep"))
+    facts = groups.select(F.col("full_hash").alias("_dw_full"), F.col("keep_id").alias("_dw_keep")).distinct()
+    # With a second key that the window lacks, the join has a shuffle of its own and can split a hot group.
+    facts = facts.withColumn("_dw_of", F.xxhash64("_dw_full"))
+    stays = F.col("_dw_full").isNull() | F.col(id_col).eqNullSafe(F.col("_dw_keep"))
     nth = F.row_number().over(W.partitionBy(id_col, "_dw_hash").orderBy(id_col))
-    won = copied.join(facts, "_dw_hash", "left").where(stays).withColumn("_dw_nth", nth).where("_dw_nth = 1")
+    met = copied.withColumn("_dw_at", F.xxhash64("_dw_hash")).join(facts, (F.col("_dw_at") == F.col("_dw_of")) & (F.col("_dw_hash") == F.col("_dw_full")), "left")
+    won = met.where(stays).withColumn("_dw_nth", nth).where("_dw_nth = 1")
     return alone.unionByName(won.select(*docs.columns))
 
 
