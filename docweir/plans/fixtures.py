@@ -210,6 +210,13 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
             ("m5", None), ("m6", '{"list":["aB3dE5fG7hI9jK1lM2nO4p","Q6rS8tU0vW3xY5zA7bC9"]}'),
         ],
     ),
+    "fx_payloads_json": (
+        "payload string",
+        [
+            ('{"project_id":"DEMO","collection":"docs","schedule":{"enabled":false,"branch":"dev"},"embedding":{"model":"e5","dimensions":768},"batch":8,"rules":[{"provider":"JIRA","prefix":"x"}]}',),
+            ('{"project_id":"APP"}',), ('{"project_id":"OPS","embedding":{"dimensions":64}}',), ('{"project_id":"BIG","batch":100}',), ('{"collection":"x"}',),
+        ],
+    ),
     "fx_queue": (
         "message_id string, project_id string, deliveries int, ok boolean",
         [("m1", "DEMO", 1, True), ("m2", "DEMO", 4, False), ("m3", "APP", 5, False), ("m4", "APP", 7, False), ("m5", "OPS", 5, True)],

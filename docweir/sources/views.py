@@ -16,7 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def source_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as what a scan delivers. SOURCES_SQL says the same."""
-    d = table(spark, sf_dir, "documents")
+    return as_sources(table(spark, sf_dir, "documents"))
+
+
+def as_sources(d: DataFrame) -> DataFrame:
+    """Rows of documents, of a table or a stream, with a source's columns."""
     provider = F.element_at(F.array(*map(F.lit, ("CONFLUENCE", "JIRA", "GITHUB"))), (F.col("doc_id") % 3 + 1).cast("int"))
     prefix = F.element_at(F.array(*map(F.lit, ("HR-Handbook ", "FIN-Report ", "Note ", "Guide ", "HR-Policy "))), (F.col("doc_id") % 5 + 1).cast("int"))
     suffix = F.element_at(F.array(*map(F.lit, (".md", ".txt", ".py", ".csv"))), (F.col("doc_id") % 4 + 1).cast("int"))
