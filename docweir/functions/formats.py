@@ -54,10 +54,13 @@ def declared_format(suffix: Column, mime: Column) -> Column:
 def _agreeing(sample: Column, delimiter: str) -> Column:
     """Leading lines (blank ones left out) that hold the same number of delimiters as the first, if it holds any."""
     counts = F.transform(F.filter(sample, lambda x: F.trim(x) != ""), lambda x: F.length(x) - F.length(F.replace(x, F.lit(delimiter), F.lit(""))))
-    first = F.try_element_at(counts, F.lit(1))
-    differs = F.array_position(F.transform(counts, lambda x: x != first), F.lit(True))
-    run = F.when(differs > 0, differs - 1).otherwise(F.size(counts))
-    return F.when(first >= 1, run.cast("int")).otherwise(0)
+    start = F.struct(F.lit(-1).alias("first"), F.lit(0).alias("run"), F.lit(True).alias("open"))
+
+    def add(acc: Column, n: Column) -> Column:
+        goes_on = acc["open"] & ((acc["first"] < 0) | (acc["first"] == n))
+        return F.struct(F.when(acc["first"] < 0, n).otherwise(acc["first"]).alias("first"), F.when(goes_on, acc["run"] + 1).otherwise(acc["run"]).alias("run"), goes_on.alias("open"))
+
+    return F.aggregate(counts, start, add, lambda acc: F.when(acc["first"] >= 1, acc["run"]).otherwise(0))
 
 
 def with_format(df: DataFrame, text: str = "content", declared: str = "declared") -> DataFrame:
@@ -152,10 +155,6 @@ def detect_entity(title: Column, text: Column, labels: Column) -> Column:
 def detect_language(text: Column) -> Column:
     """es or en by function words; on a tie mixed where there are accents, else und."""
     low = F.lower(text)
-    found = F.regexp_extract_all(low, F.lit("([a-záéíóúñ]+)"), F.lit(1))
-    spanish, english = (F.size(F.filter(found, _in(words))) for words in (SPANISH, ENGLISH))
+    letter = "[a-záéíóúñ]"
+    spanish, english = (F.regexp_count(low, F.lit(f"(?<!{letter})(?:{'|'.join(words)})(?!{letter})")) for words in (SPANISH, ENGLISH))
     return F.when(spanish > english, "es").when(english > spanish, "en").when(low.rlike("[áéíóúñ¿¡]"), "mixed").otherwise("und")
-
-
-def _in(words: tuple[str, ...]):
-    return lambda x: x.isin(*words)
