@@ -73,3 +73,9 @@ def with_bit(df: DataFrame, key: Column, bitmap: DataFrame, name: str, bits: int
     byte = F.conv(F.hex(F.substring("bitmap", F.floor(F.col("_dw_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     is_set = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), F.col("_dw_bit") % 8).cast("int")) != 0, F.lit(False))
     return joined.select(*columns, is_set.alias(name))
+
+
+def nameless(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns named by place, so that no name of its own can clash, and the new name of each."""
+    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names

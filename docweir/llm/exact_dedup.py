@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from docweir.llm.common import ascii_lower, bitmap_of, checkpointed, read, with_bit
+from docweir.llm.common import ascii_lower, bitmap_of, checkpointed, nameless, read, with_bit
 
 #: Characters of the text that the second level hashes.
 PREFIX_CHARS = 64
@@ -67,6 +67,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Only rows of a group of copies (or whose bit collides with one's) are shuffled; all others pass
     straight through, their full text unhashed.
     """
+    given = docs.columns
+    docs, names = nameless(docs)
+    id_col, text_col = names[id_col], names[text_col]
     groups = checkpointed(_judged(docs, id_col, text_col, prefix_chars, False).where("group_size > 1"))
     key = F.struct("_dw_len", "_dw_prefix")
     marked = with_bit(docs.withColumns(_first_levels(text_col, prefix_chars)), key, bitmap_of(groups, key), "_dw_open")
@@ -79,7 +82,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nth = F.row_number().over(W.partitionBy(id_col, "_dw_hash").orderBy(id_col))
     met = copied.withColumn("_dw_at", F.xxhash64("_dw_hash")).join(facts, (F.col("_dw_at") == F.col("_dw_of")) & (F.col("_dw_hash") == F.col("_dw_full")), "left")
     won = met.where(stays).withColumn("_dw_nth", nth).where("_dw_nth = 1")
-    return alone.unionByName(won.select(*docs.columns))
+    return alone.unionByName(won.select(*docs.columns)).toDF(*given)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

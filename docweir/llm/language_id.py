@@ -117,8 +117,8 @@ def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text", size: i
                 arrays = [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "lang_pred", "lang_score"])
 
-    given = docs.select(*kept, F.col(text_col).alias("_dw_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
+    given = docs.select(*kept, F.col(text_col).alias("_text")).toDF(*(f"_c{i}" for i in range(len(kept) + 1)))
+    fields = ", ".join(f"`{name}` {f.dataType.simpleString()}" for name, f in zip(kept, given.schema.fields))
     return given.mapInArrow(run, f"{fields}, lang_pred string, lang_score double")
 
 

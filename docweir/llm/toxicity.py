@@ -245,7 +245,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     All columns of docs stay but for one named toxicity.
     """
     kept = [c for c in docs.columns if c != "toxicity"]
-    given = docs.select(*kept, F.col(text_col).alias("_dw_text"))
+    given = docs.select(*kept, F.col(text_col).alias("_text")).toDF(*(f"_c{i}" for i in range(len(kept) + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, fst = Lexicon(model.learned), machine()
@@ -255,7 +255,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 scores = [model.score(events(t or "", lexicon, fst)) for t in batch.column(whole.num_columns - 1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*kept, "toxicity"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
+    fields = ", ".join(f"`{name}` {f.dataType.simpleString()}" for name, f in zip(kept, given.schema.fields))
     return given.mapInArrow(run, f"{fields}, toxicity double")
 
 
