@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweir.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from docweir.llm.common import bitmap_of, read, shared_dir, with_bit
+from docweir.llm.common import bitmap_of, nameless, read, shared_dir, with_bit
 
 #: A text that is out of place in every learned profile by more than this is in none of the languages.
 LEAST_SCORE = 0.05
@@ -36,18 +36,21 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     verdicts = near_dedup.near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     dropped = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_dw_id"))
-    marked = with_bit(docs, F.col("doc_id"), bitmap_of(dropped, F.col("_dw_id")), "_dw_open")
+    plain, names = nameless(docs)
+    own = F.col(names["doc_id"])
+    marked = with_bit(plain, own, bitmap_of(dropped, F.col("_dw_id")), "_dw_open")
     passed = marked.where(~F.col("_dw_open")).drop("_dw_open")
     suspects = marked.where("_dw_open").drop("_dw_open")
-    return passed.unionByName(suspects.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dw_id")), "left_anti"))
+    return passed.unionByName(suspects.join(dropped, own.eqNullSafe(F.col("_dw_id")), "left_anti")).toDF(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: what it takes of the words, over the words, rounded to whole copies."""
     taken = mixing.mix(docs).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     copies = taken.where("size > 0").select(F.col("doc_id").alias("_dw_id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_dw_copies")).where("_dw_copies > 0")
-    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_dw_id")))
-    return joined.withColumn("_dw_copy", F.explode(F.sequence(F.lit(1), F.col("_dw_copies")))).select(*docs.columns)
+    plain, names = nameless(docs)
+    joined = plain.join(copies, F.col(names["doc_id"]).eqNullSafe(F.col("_dw_id")))
+    return joined.withColumn("_dw_copy", F.explode(F.sequence(F.lit(1), F.col("_dw_copies")))).select(*plain.columns).toDF(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
