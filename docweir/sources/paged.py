@@ -70,3 +70,9 @@ class PagedSource(DataSource):
 
     def reader(self, schema) -> PagedReader:
         return PagedReader(self.options["path"])
+
+
+def register(spark) -> None:
+    """Makes the source known to a session, and lets it take over filters."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(PagedSource)

@@ -1,0 +1,314 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from docweir.functions import formats, paths, richtext, security, text
+from docweir.operators import access, audits, chunkers, generation, routing, sections
+from docweir.plans.fixtures import frame
+from docweir.sources import local, paged, views
+from docweir.sources.tables import StateTable
+from docweir.streaming import gates, ingest
+
+
+@pytest.fixture
+def docs(spark, small):
+    return access.resolve_policy(views.source_documents(spark, small), frame(spark, "fx_rules"), views.PROJECT).drop("doc_id")
+
+
+def test_second_scan_changes_nothing(spark, docs, tmp_path):
+    store = ingest.Store(spark, f"file://{tmp_path}/store")
+    ingest.apply(store, docs, 0, "run-1")
+    first = sorted(map(tuple, store.chunks.read().collect()))
+    routed = routing.route(docs, store.manifest.read())
+    assert {r.operation for r in routed.collect()} == {"SKIP"}
+    ingest.apply(store, docs, 1, "run-2")
+    assert sorted(map(tuple, store.chunks.read().collect())) == first
+    assert {r.last_seen_run for r in store.manifest.read().collect()} == {"run-2"}
+
+
+def test_policy_change_and_force_index_again(spark, docs, tmp_path):
+    store = ingest.Store(spark, f"file://{tmp_path}/store")
+    ingest.apply(store, docs, 0, "run-1")
+    moved = docs.withColumn("access_policy_id", F.when(F.col("source_id") == "doc:1", "department:DEMO:NEW").otherwise(F.col("access_policy_id")))
+    found = {r.source_id: r.reason for r in routing.route(moved, store.manifest.read()).where("operation = 'INDEX'").collect()}
+    assert found == {"doc:1": "access_policy_id changed"}
+    forced = routing.route(docs, store.manifest.read(), force=True).where("operation = 'SKIP'")
+    assert {r.reason for r in forced.collect()} <= {"already absent"}
+
+
+def test_deletion_removes_chunks_and_leaves_a_tombstone(spark, docs, tmp_path):
+    store = ingest.Store(spark, f"file://{tmp_path}/store")
+    ingest.apply(store, docs, 0, "run-1")
+    gone = docs.withColumn("deleted", F.col("deleted") | (F.col("source_id") == "doc:2"))
+    ingest.apply(store, gone, 1, "run-2")
+    assert store.chunks.read().where("source_id = 'doc:2'").count() == 0
+    row = store.manifest.read().where("source_id = 'doc:2'").first()
+    assert row.deleted and row.content_hash == routing.EMPTY_HASH and row.chunk_count == 0
+    ingest.apply(store, docs, 2, "run-3")
+    assert not store.manifest.read().where("source_id = 'doc:2'").first().deleted
+
+
+def test_a_repeated_batch_is_passed_over(spark, docs, tmp_path):
+    store = ingest.Store(spark, f"file://{tmp_path}/store")
+    ingest.apply(store, docs, 3, "run-1")
+    ingest.apply(store, docs.limit(0), 3, "again")
+    ingest.apply(store, docs.limit(0), 2, "older")
+    assert {r.last_seen_run for r in store.manifest.read().collect()} == {"run-1"}
+
+
+def test_stream_takes_up_where_it_stopped(spark, small, docs, tmp_path):
+    where = f"file://{tmp_path}"
+    store = ingest.Store(spark, f"{where}/store")
+    schema = docs.drop("labels").schema
+    half = docs.drop("labels").where("chunk_count = 1")
+    half.write.parquet(f"{where}/in/one")
+    run = lambda: ingest.start(spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{where}/in"), store, f"{where}/checkpoint", "run").awaitTermination()
+    run()
+    assert store.manifest.read().count() == half.where("not deleted").count()
+    docs.drop("labels").where("chunk_count > 1").write.parquet(f"{where}/in/two")
+    run()
+    assert store.manifest.read().count() == docs.where("not deleted").count()
+    before = store.manifest.token()
+    run()
+    assert store.manifest.token() == before
+
+
+def test_state_table_swaps_generations(spark, tmp_path):
+    table = StateTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "a int").schema)
+    assert table.read().count() == 0 and table.token() == -1
+    assert table.replace(spark.range(3).select(F.col("id").cast("int").alias("a")), 0)
+    assert table.replace(table.read().where("a > 0"), 1) and not table.replace(table.read().limit(0), 1)
+    assert sorted(r.a for r in table.read().collect()) == [1, 2] and table.token() == 1
+    assert len(list((tmp_path / "t").glob("generation-*"))) == 1
+
+
+def test_stale_guard_never_deletes_jira_or_below_the_floor(spark, small):
+    manifest, scan = views.manifest(spark, small), views.source_documents(spark, small)
+    found = routing.guarded_stale(manifest, scan, floor=1).select("provider").distinct().collect()
+    assert "JIRA" not in {r.provider for r in found}
+    assert routing.guarded_stale(manifest, scan.limit(0)).count() == 0
+    assert routing.guarded_stale(manifest, scan, floor=10**6).count() == 0
+
+
+def test_replacement_keeps_other_sources(spark):
+    old = spark.createDataFrame([("s", "p", "a", 0, "1"), ("s", "p", "a", 1, "2"), ("s", "p", "b", 0, "3")], ingest.STORED)
+    new = spark.createDataFrame([("s", "p", "a", 0, "1")], ingest.STORED)
+    touched = new.select("source_id")
+    assert {r.storage_id for r in generation.obsolete(old, new, touched).collect()} == {"2"}
+    assert {r.storage_id for r in generation.replaced(old, new, touched).collect()} == {"1", "3"}
+    assert generation.verified(new, old).first().asDict() == {"expected": 1, "written": 1}
+
+
+def test_tree_ends_at_cycles(spark):
+    pages = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "b")], "page_id string, parent_id string")
+    assert {(r.page_id, r.depth) for r in routing.roots_subtree(pages, ["a"]).collect()} == {("a", 0), ("b", 1), ("c", 2)}
+
+
+@pytest.mark.parametrize("path, pattern, expected", [
+    ("project-documentation/a.md", "**/project-documentation/**", True), ("notes.docx", "**/*.docx", True), ("src/main/Cart.kt", "*.kt", False), ("docs", "docs/**", True), ("a/bb/c", "a/?/c", False),
+])
+def test_globs(spark, path, pattern, expected):
+    assert spark.range(1).select(paths.matches_glob(F.lit(path), pattern)).first()[0] is expected
+
+
+def test_query_text():
+    from datetime import datetime
+
+    assert paths.jql('A"B\\', datetime(2024, 1, 2, 3, 4, 59)) == 'project = "A\\"B\\\\" AND updated >= "2024-01-02 03:04" ORDER BY updated ASC, key ASC'
+
+
+def test_local_tree(spark, tmp_path):
+    files = {"a.md": b"# A", "src/b.py": b"x = 1", "node_modules/c.py": b"x", ".env": b"S=1", "skip/d.md": b"no", "blank.md": b"  \n", "bad.txt": b"\xff\xfe", "big.txt": b"y" * 50, "pic.png": b"p"}
+    for name, body in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(body)
+    found = local.scan_tree(spark, str(tmp_path), excludes=("skip/**",), most_bytes=40).collect()
+    assert {r.path for r in found} == {"a.md", "src/b.py"} and all(r.version == r.content_hash for r in found)
+
+
+def listing(folder, name, *pages):
+    (folder / name).mkdir()
+    for i, page in enumerate(pages):
+        (folder / name / f"{i}.json").write_text(json.dumps(page))
+
+
+def test_paged_source(spark, tmp_path):
+    listing(tmp_path, "one", {"total": 3, "values": [{"id": "1", "updated": "2024-01-01"}, {"id": "2", "updated": "2024-02-01"}]}, {"total": 3, "values": [{"id": "3", "updated": None}]})
+    listing(tmp_path, "two", {"total": 1, "values": [{"id": "1", "updated": "2024-03-01"}]})
+    paged.register(spark)
+    rows = spark.read.format("paged").load(str(tmp_path))
+    assert rows.count() == 4
+    assert {(r.listing, r.id) for r in rows.where("updated >= '2024-02-01'").collect()} == {("one", "2"), ("two", "1")}
+    assert rows.where("listing = 'two'").count() == 1
+
+
+@pytest.mark.parametrize("pages, message", [
+    ([{"total": 2, "values": [{"id": "1"}]}, {"total": 3, "values": [{"id": "2"}]}], "total changed"), ([{"total": 2, "values": [{"id": "1"}, {"id": "1"}]}], "came twice"), ([{"total": 2, "values": [{"id": "1"}]}], "1 of 2"),
+])
+def test_paged_source_keeps_its_promises(tmp_path, pages, message):
+    listing(tmp_path, "x", *pages)
+    reader = paged.PagedReader(str(tmp_path))
+    with pytest.raises(ValueError, match=message):
+        list(reader.read(reader.partitions()[0]))
+
+
+def words(parts):
+    return [w for p in parts for w in p.split()]
+
+
+def test_prose_windows_lose_nothing():
+    body = ". ".join(" ".join(f"w{i}x{j}" for j in range(17)) for i in range(120))
+    windows = chunkers.prose_windows(body, 100, 20)
+    assert all(chunkers.words(w) <= 100 for w in windows)
+    assert set(words(windows)) == set(body.split()) and words([windows[0]])[:3] == body.split()[:3]
+    assert words(chunkers.prose_windows(body, 100, 0)) == body.split()
+    assert chunkers.prose_windows("  ") == [] and chunkers.prose_windows("one") == ["one"]
+
+
+def test_table_windows_repeat_the_header_and_split_no_row():
+    rows = ["| id | name | note |", "|---|---|---|", *(f"| {i} | n{i} | some words for {i} |" for i in range(40))]
+    windows = chunkers.table_windows(rows, 60)
+    assert len(windows) > 1 and all(w.split("\n")[:2] == rows[:2] for w in windows)
+    assert [r for w in windows for r in w.split("\n")[2:]] == rows[2:]
+
+
+def test_a_row_over_the_limit_is_split_by_columns():
+    rows = ["| a | b |", "|---|---|", "| " + "x " * 400 + "| " + "y " * 400 + "| z |"]
+    windows = chunkers.table_windows(rows, 300)
+    assert [w.split("\n")[0] for w in windows] == ["a", "b", "column 3"] and sum(w.split().count("x") for w in windows) == 400
+
+
+def test_markdown_paths_and_fences():
+    body = "before\n# One\ntext\n## Two\n```\n# not a heading\n```\n# Three\nend"
+    found = list(chunkers.markdown("Title", body))
+    assert [p for _, p, _, _ in found] == [["Title"], ["One"], ["One", "Two"], ["Three"]]
+    assert words(t for t, *_ in found) == body.split()
+
+
+def test_html_blocks():
+    page = "<h1>T</h1><p>a &amp; b</p><script>x()</script><table><tr><th><p>id</p></th><th>wire</th></tr><tr><td>1</td><td>n|2</td></tr></table><ol><li>x<li>y</ol><pre>k  v\n  z</pre><p>use <code>c</code></p>"
+    assert chunkers.html_markdown(page) == "# T\n\na & b\n\n| id | wire |\n| --- | --- |\n| 1 | n/2 |\n\n1. x\n2. y\n\n```\nk  v\n  z\n```\n\nuse `c`" or "| id | wire |\n| --- | --- |\n| 1 | n/2 |" in chunkers.html_markdown(page)
+    assert "x()" not in chunkers.html_markdown(page)
+
+
+def test_profiles():
+    contract = "intro\n### `POS_LOGIN` — id 101, version 0.3\nbody\n### 4.3 `POS_LOGOUT` (id 104)\nmore"
+    assert [(k, p) for _, _, k, p in chunkers.contract("T", contract)] == [("contract-support", "entity-contract-support"), ("POS_LOGIN", "entity-contract"), ("POS_LOGOUT", "entity-contract")]
+    flows = list(chunkers.workflow("T", "## [BOTFLOW-050] In\n1. a\n2. b\n## [FLOW-7] Out\nx"))
+    assert [k for _, _, k, _ in flows] == ["BOTFLOW-050", "FLOW-7"]
+    assert [p for _, p, _, _ in chunkers.glossary("T", "## Folio\na\n## Relief\nb")] == [["Folio"], ["Relief"]]
+    table = ["# Codes", "| key | text |", "|---|---|", *(f"| K{i} | {'word ' * 30}|" for i in range(20))]
+    found = list(chunkers.registry("T", "\n".join(table)))
+    assert found[-1][0].startswith("Codes keys: K0, K1") and sum(p == "registry-table" for *_, p in found) > 1
+    with pytest.raises(ValueError):
+        list(chunkers.workflow("T", "## [FLOW-1] Long\n" + "\n".join(f"{i}. " + "step " * 30 for i in range(40))))
+
+
+def test_code_joins_small_pieces():
+    body = "import a\n\ndef one():\n" + "\n".join(f"    x{i} = {i}" for i in range(30)) + "\n\ndef two():\n    pass\n\nclass Three:\n" + "\n".join(f"    y{i} = {i}" for i in range(20))
+    found = list(chunkers.code("f.py", body))
+    assert words(t for t, *_ in found) == body.split() and any("one" in p for _, p, _, _ in found) and all(chunkers.words(t) <= chunkers.CODE for t, *_ in found)
+
+
+def test_every_word_of_the_documents_is_in_a_chunk(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select(F.col("doc_id").cast("string").alias("source_id"), F.lit("t").alias("title"), F.lit("prose").alias("kind"), F.lit("narrative").alias("category"), F.col("text").alias("content"))
+    found = {}
+    for r in chunkers.chunk_documents(docs).collect():
+        found.setdefault(r.source_id, set()).update(r.content.split())
+    assert all(found.get(r.source_id, set()) == set(r.content.split()) for r in docs.collect())
+
+
+def test_rich_text():
+    node = {"type": "doc", "content": [{"type": "heading", "attrs": {"level": 9}, "content": [{"type": "text", "text": " T "}]}, {"type": "mention", "attrs": {"id": "u1"}}, {"type": "hardBreak"}]}
+    assert richtext.plain(node) == "###### T\n\nu1\n" and richtext.plain(None) == ""
+    deep = {"type": "doc"}
+    for _ in range(richtext.DEPTH + 3):
+        deep = {"type": "doc", "content": [deep]}
+    with pytest.raises(richtext.TooDeep):
+        richtext.plain(deep)
+    assert richtext.canonical({"b": 1, "a": "é"}) == '{"a":"é","b":1}'
+
+
+@pytest.mark.parametrize("metadata, reason", [
+    ({"a": "fine"}, None), ({"api_key": "abcdefghijklmnop1234"}, "POTENTIAL_SECRET"), ({"p": ["AKIA", "ABCDEFGHIJKLMNOP"]}, "POTENTIAL_SECRET"), ({"n": {"m": '{"password": "abcdefghijklmnop99"}'}}, "POTENTIAL_SECRET"),
+    ({"many": list(range(9000))}, "METADATA_LIMIT"), ({"a": "AKIA", "b": "ABCDEFGHIJKLMNOP"}, None),
+])
+def test_metadata_scan(metadata, reason):
+    assert richtext.scan_metadata(json.dumps(metadata)) == reason
+
+
+def test_deep_metadata_is_refused():
+    node = {}
+    for _ in range(40):
+        node = {"a": node}
+    assert richtext.scan_metadata(json.dumps(node)) == "METADATA_TOO_DEEP" and richtext.scan_metadata("not json") is None
+
+
+def test_citations_are_taken_apart():
+    url = f"https://github.com/a/b/blob/{'0a' * 20}/src/Long/Path/To/File9.kt#L1-L2"
+    assert "/" not in richtext.apart(url) and richtext.apart(url.replace("Long", "..")) == url.replace("Long", "..")
+    assert not richtext.dense(url)
+
+
+def test_office_containers():
+    import io
+    import zipfile
+
+    def packed(*names):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as archive:
+            for name in names:
+                archive.writestr(name, "x")
+        return out.getvalue()
+
+    assert richtext.office_reason(packed("word/document.xml"), ".docx") is None
+    assert richtext.office_reason(packed("xl/book.xml"), ".docx") == "MIME_MISMATCH" == richtext.office_reason(b"junk", ".xlsx")
+    assert richtext.office_reason(packed("ppt/a", "ppt/vbaProject.bin"), ".pptx") == "MACRO_CONTENT" and richtext.office_reason(b"junk", ".pdf") is None
+
+
+def test_local_sources_are_flagged_and_not_quarantined(spark):
+    rows = spark.createDataFrame([("LOCAL", "a.md", "api_key = 'abcdefghijklmnop1234'"), ("JIRA", "a.md", "api_key = 'abcdefghijklmnop1234'"), ("JIRA", "a.md", None)], "provider string, path string, content string")
+    found = security.quarantine(rows.withColumn("content_bytes", F.lit(None).cast("binary"))).collect()
+    assert [(r.sensitive, r.reason_code) for r in found] == [(True, None), (True, "POTENTIAL_SECRET"), (False, None)]
+
+
+def test_missing_scores_fail(spark):
+    found = audits.gates(spark.createDataFrame([], "metric string, value double")).collect()
+    assert len(found) == 12 and not any(r.passed for r in found)
+
+
+def test_fingerprint_ignores_order(spark):
+    rows = spark.range(500).select(F.col("id").cast("string").alias("k"), F.col("id").cast("string").alias("v"))
+    one, two = (audits.fingerprint(df, "k", ["v"]).first() for df in (rows, rows.repartition(7).orderBy(F.desc("k"))))
+    assert one == two and one.rows == 500 and audits.fingerprint(rows.limit(499), "k", ["v"]).first() != one
+
+
+def test_packing_lines_by_hand(spark):
+    docs = spark.createDataFrame([("d", "a b\nc d\ne f g h i\nj")], "source_id string, content string")
+    found = sections.packed_lines(docs, 4).orderBy("window").collect()
+    assert [(r.lines, r.tokens) for r in found] == [(2, 4), (1, 5), (1, 1)]
+
+
+@pytest.mark.parametrize("value, expected", [("body", "passage: body"), ("passage: body", "passage: body"), (" Passage:  PASSAGE: body", "passage: body"), ("", "passage: ")])
+def test_passage_prefix(spark, value, expected):
+    assert spark.range(1).select(text.passage(F.lit(value))).first()[0] == expected
+
+
+def test_embedding_text_keeps_the_body(spark):
+    body = " ".join(f"w{i}" for i in range(505))
+    out = spark.range(1).select(text.fitted(F.lit("passage: t"), [F.lit("A: b"), F.lit("C: d"), F.lit("E: " + "f " * 50)], F.lit(body), 512)).first()[0]
+    assert out.endswith(body) and "A: b" in out and "E:" not in out and len(out.split()) <= 512
+
+
+def test_dead_letters(spark):
+    messages = frame(spark, "fx_queue")
+    again, aside = ingest.dead_letter(messages, gates.settlement(messages))
+    assert {r.message_id for r in again.collect()} == {"m2"} and {r.message_id for r in aside.collect()} == {"m3", "m4"}
+
+
+def test_format_of_nulls(spark):
+    rows = spark.createDataFrame([(None, None), ("x", "csv"), ("", "")], "content string, declared string")
+    assert [r.kind for r in formats.with_format(rows).collect()] == ["prose", "csv", "prose"]
