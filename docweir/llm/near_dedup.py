@@ -27,7 +27,7 @@ MISS = 1e-5
 BATCH = 16
 #: Members up to which all pairs of a bucket are compared in one task; larger ones are compared by blocks of BLOCK.
 SMALL, BLOCK = 96, 128
-_MEMO = 1_000_000
+_MEMO = 300_000
 
 
 class _Words(dict):
