@@ -11,9 +11,11 @@ LEAST_TYPE_COUNT = 5
 
 
 def observed(column: str, upper: bool = False) -> Column:
-    """Sorted distinct values, blanks left out."""
+    """Distinct values, sorted regardless of case; blanks are left out."""
     value = F.nullif(F.trim(column), F.lit(""))
-    return F.array_sort(F.collect_set(F.upper(value) if upper else value))
+    value = F.upper(value) if upper else value
+    pairs = F.collect_set(F.when(value.isNotNull(), F.struct(F.lower(value).alias("folded"), value.alias("value"))))
+    return F.transform(F.array_sort(pairs), lambda x: x["value"])
 
 
 def by_policy(chunks: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHA = "0a" * 20
+
 TABLES: dict[str, tuple[str, list[tuple]]] = {
     "fx_rules": (
         "ordinal int, provider string, match_field string, prefix string, access_policy_id string",
@@ -217,6 +219,22 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
             ('{"project_id":"APP"}',), ('{"project_id":"OPS","embedding":{"dimensions":64}}',), ('{"project_id":"BIG","batch":100}',), ('{"collection":"x"}',),
         ],
     ),
+    "fx_leases": ("scope string, owner string, expires_at string", [("s1", "w1", "2024-01-01 10:00:00"), ("s2", "w2", "2024-01-01 12:00:00"), ("s3", "w9", "2024-01-01 12:00:00")]),
+    "fx_requests": (
+        "scope string, requester string, asked_at string",
+        [("s1", "w5", "2024-01-01 11:00:00"), ("s2", "w5", "2024-01-01 11:00:00"), ("s3", "w9", "2024-01-01 11:00:00"), ("s4", "w5", "2024-01-01 11:00:00")],
+    ),
+    "fx_citing": (
+        "source_id string, content string",
+        [
+            ("c1", f"see https://github.com/a/b/blob/{_SHA}/src/x.py and https://github.com/a/b/blob/{_SHA}/src/y.py"), ("c2", f"https://github.com/a/b/blob/{_SHA}/src/../x.py"), ("c3", "https://github.com/a/b/blob/main/src/x.py"),
+        ],
+    ),
+    "fx_pins": ("repository string, sha string, path string", [("a/b", _SHA, "src/x.py"), ("a/b", _SHA, "src/../x.py")]),
+    "fx_files": ("path string, sha string", [("docs/img/a.png", "s1"), ("docs/sub/e.JPG", "s2")]),
+    "fx_blobs": ("name string, body string, ok boolean", [("a", "aGVsbG8=", True), ("b", "//4=", False), ("c", "w6k=", True)]),
+    "fx_code": ("name string, body string", [("a", "import x\nimport y"), ("b", "import x\ndef f():\n  return 1"), ("c", "{\n}\n// note\nx = 1"), ("d", "")]),
+    "fx_images": ("name string, width int, height int", [("a", 64, 64), ("b", 128, 128), ("c", 1000, 20), ("d", 256, 64)]),
     "fx_queue": (
         "message_id string, project_id string, deliveries int, ok boolean",
         [("m1", "DEMO", 1, True), ("m2", "DEMO", 4, False), ("m3", "APP", 5, False), ("m4", "APP", 7, False), ("m5", "OPS", 5, True)],

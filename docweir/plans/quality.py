@@ -71,7 +71,7 @@ def stored(spark, sf_dir):
 
 def _observed_sql(column: str, upper: bool = False) -> str:
     value = f"upper(trim({column}))" if upper else f"trim({column})"
-    return f"array_to_string(list_sort(list_distinct(list({value}) FILTER (trim({column}) <> ''))), ',')"
+    return f"array_to_string(list_transform(list_sort(list_distinct(list([lower({value}), {value}]) FILTER (trim({column}) <> ''))), lambda x: x[2]), ',')"
 
 
 @query("vocabulary_by_policy", STORED_SQL + f"SELECT access_policy_id, {_observed_sql('entity')} AS entities, {_observed_sql('doc_category')} AS categories, {_observed_sql('provider', True)} AS providers, {_observed_sql('language')} AS languages FROM sx WHERE access_policy_id <> '' GROUP BY access_policy_id")
