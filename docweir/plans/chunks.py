@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docweir.functions import formats
 from docweir.operators import assembly, sections
+from docweir.plans.fixtures import cte, frame
 from docweir.plans.registry import query
 from docweir.plans.text import NEWLINE_SQL, TEXTS_SQL, texts
 from docweir.sources import views
@@ -33,10 +34,8 @@ def section_spans(spark, sf_dir):
 
 
 @query("heading_paths", LINES_SQL + f""", m AS (SELECT *, CASE WHEN {_HEAD} THEN {_LEVEL} END AS level, {_TITLE} AS title FROM ln),
-p AS (SELECT source_id, pos, {', '.join(f"(SELECT max(pos) FROM m x WHERE x.source_id = m.source_id AND x.pos <= m.pos AND x.level = {k}) AS p{k}" for k in range(1, 5))} FROM m WHERE source_id LIKE 't%'),
-t AS (SELECT p.*, {', '.join(f"(SELECT title FROM m x WHERE x.source_id = p.source_id AND x.pos = p.p{k}) AS t{k}" for k in range(1, 5))} FROM p)
-SELECT source_id, pos, concat_ws(' > ', t1, CASE WHEN p2 > coalesce(p1, -1) THEN t2 END, CASE WHEN p3 > greatest(coalesce(p1, -1), coalesce(p2, -1)) THEN t3 END, CASE WHEN p4 > greatest(coalesce(p1, -1), coalesce(p2, -1), coalesce(p3, -1)) THEN t4 END) AS path FROM t
-UNION ALL SELECT source_id, pos, '' FROM ln WHERE source_id NOT LIKE 't%'""")
+t AS (SELECT source_id, pos, {', '.join(f"max(pos) FILTER (level = {k}) OVER w AS p{k}, arg_max(title, pos) FILTER (level = {k}) OVER w AS t{k}" for k in range(1, 5))} FROM m WINDOW w AS (PARTITION BY source_id ORDER BY pos ROWS UNBOUNDED PRECEDING))
+SELECT source_id, pos, concat_ws(' > ', t1, CASE WHEN p2 > coalesce(p1, -1) THEN t2 END, CASE WHEN p3 > greatest(coalesce(p1, -1), coalesce(p2, -1)) THEN t3 END, CASE WHEN p4 > greatest(coalesce(p1, -1), coalesce(p2, -1), coalesce(p3, -1)) THEN t4 END) AS path FROM t""")
 def heading_paths(spark, sf_dir):
     return sections.heading_paths(lines(spark, sf_dir))
 
@@ -147,10 +146,10 @@ def flat_metadata(spark, sf_dir):
     return assembly.flattened(views.source_documents(spark, sf_dir).withColumns({"structure_path": F.array("title", "path"), "page": F.lit(None).cast("int")})).select("source_id", "structure_path", "structure_root", "structure_leaf", "page_number", F.lower("space_key").alias("x_lang"))
 
 
-@query("reserved_metadata_keys", views.BASE_SQL + " SELECT doc_id % 4 AS sample, ['provider', 'x_y', '_hidden', 'title'][doc_id % 4 + 1] AS key, ['reserved', 'kept', 'dropped', 'reserved'][doc_id % 4 + 1] AS outcome FROM src WHERE doc_id < 4")
+@query("reserved_metadata_keys", f"""WITH {cte('fx_keys')}, k AS (SELECT raw, substr(regexp_replace(raw, '[^A-Za-z0-9_]', '_', 'g'), 1, 64) AS key FROM fx_keys)
+SELECT raw, key, CASE WHEN key IN ({', '.join(repr(k) for k in assembly.RESERVED)}) THEN 'reserved' WHEN key = '' OR starts_with(key, '_') THEN 'dropped' ELSE 'kept' END AS outcome FROM k""")
 def reserved_metadata_keys(spark, sf_dir):
-    keys = spark.createDataFrame([(0, "provider"), (1, "x y"), (2, "_hidden"), (3, "title")], "sample bigint, raw string")
-    return keys.select("sample", assembly.safe_key(F.col("raw")).alias("key"), assembly.key_outcome(F.col("raw")).alias("outcome"))
+    return frame(spark, "fx_keys").select("raw", assembly.safe_key(F.col("raw")).alias("key"), assembly.key_outcome(F.col("raw")).alias("outcome"))
 
 
 @query("page_headings", "SELECT page_id, regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1) AS heading, CAST(len(regexp_extract_all(html, '<p[ >]')) AS BIGINT) AS paragraphs, CAST(len(regexp_extract_all(html, '<li[ >]')) AS BIGINT) AS items FROM pages")

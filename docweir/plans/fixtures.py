@@ -235,6 +235,7 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
     "fx_blobs": ("name string, body string, ok boolean", [("a", "aGVsbG8=", True), ("b", "//4=", False), ("c", "w6k=", True)]),
     "fx_code": ("name string, body string", [("a", "import x\nimport y"), ("b", "import x\ndef f():\n  return 1"), ("c", "{\n}\n// note\nx = 1"), ("d", "")]),
     "fx_images": ("name string, width int, height int", [("a", 64, 64), ("b", 128, 128), ("c", 1000, 20), ("d", 256, 64)]),
+    "fx_keys": ("raw string", [("provider",), ("x y",), ("_hidden",), ("title",), ("",), ("a" * 70,), ("né",), ("!x",)]),
     "fx_queue": (
         "message_id string, project_id string, deliveries int, ok boolean",
         [("m1", "DEMO", 1, True), ("m2", "DEMO", 4, False), ("m3", "APP", 5, False), ("m4", "APP", 7, False), ("m5", "OPS", 5, True)],

@@ -130,11 +130,6 @@ def manifest_truncation(spark, sf_dir):
     return routing.truncated(s)
 
 
-@query("duplicate_benchmark_items", "SELECT lower(trim(text)) AS body, count(*) AS copies FROM benchmark GROUP BY 1 HAVING count(*) > 1")
-def duplicate_benchmark_items(spark, sf_dir):
-    return views.table(spark, sf_dir, "benchmark").groupBy(F.lower(F.trim("text")).alias("body")).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-
-
 @query("office_containers")
 def office_containers(spark, sf_dir):
     rows = frame(spark, "fx_payloads").select("path", richtext.container_reason(F.unhex("payload"), paths.suffix(F.col("path"))).alias("reason_code"))
