@@ -19,4 +19,5 @@ QUERIES = {
 
 SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op7_near_dedup": near_dedup.SQL,
 }

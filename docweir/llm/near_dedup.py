@@ -340,3 +340,16 @@ def _outsiders(pairs: DataFrame, labels: DataFrame, whole, percent: int) -> Data
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share at least 80 % of their two-word shingles."""
     return near_duplicates(read(spark, sf_dir, "documents"), width=2)
+
+
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh FROM w),
+z AS (SELECT doc_id, len(sh) AS n FROM s),
+u AS (SELECT doc_id, unnest(sh) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(doc_id, seen) AS (SELECT doc_id, doc_id FROM z UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.seen)
+SELECT z.doc_id, CAST(n AS BIGINT) AS n_shingles, min(seen) AS component_id, z.doc_id = min(seen) AS kept FROM z JOIN r USING (doc_id) GROUP BY z.doc_id, n
+"""
