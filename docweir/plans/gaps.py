@@ -139,3 +139,11 @@ def office_containers(spark, sf_dir):
 @query("parsed_payloads")
 def parsed_payloads(spark, sf_dir):
     return references.parsed(frame(spark, "fx_payloads").select(F.col("path").alias("source_id"), "path", F.unhex("payload").alias("content_bytes")))
+
+
+@query("issue_windows")
+def issue_windows(spark, sf_dir):
+    from docweir.operators.issue_documents import issue_windows as run
+
+    issues = frame(spark, "fx_issues").select(F.concat(F.lit('{"key":"'), "issue_key", F.lit('","fields":'), "fields_json", F.lit("}")).alias("raw"))
+    return run(issues)
