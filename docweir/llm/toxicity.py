@@ -32,6 +32,7 @@ NEGATIONS = "not no never cannot don't isn't aren't won't nicht kein keine nie n
 REPORTS = "said says say quoted quote wrote writes called claims claimed sagte sagt schrieb dit écrit déclare dijo dice escribió".split()
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "o", "I", "V", "P", "N", "R"
+DIRECT, AIMED = "D", "T"
 NEGATED, QUOTED = {INSULT: "i", THREAT: "v"}, {INSULT: "q", THREAT: "w", "i": "q", "v": "w"}
 #: What a clause can match, and how much of the lexicon's weight it is born with; fitting changes that.
 EVENTS = ("bare", "direct", "threat", "negated", "reported")
@@ -81,27 +82,29 @@ def reported() -> Transducer:
     return Transducer("plain", arcs)
 
 
-def grammar() -> Transducer:
-    """Events: an insult is direct in a clause with a target before it, else bare; a threat needs a target."""
-    arcs = {}
-    for state in ("none", "target"):
-        seen = state == "target"
-        arcs[state, INSULT] = (state, "direct" if seen else "bare")
-        arcs[state, THREAT] = (state, "threat" if seen else "")
-        arcs[state, TARGET] = ("target", "")
-        for symbol in "iv":
-            arcs[state, symbol] = (state, "negated")
-        for symbol in "qw":
-            arcs[state, symbol] = (state, "reported")
-        for symbol in (OTHER, NEGATION, REPORT):
-            arcs[state, symbol] = (state, "")
-    return Transducer("none", arcs)
+def target() -> Transducer:
+    """Behind a target, to the end of the clause, insults come out as direct and threats as aimed."""
+    aimed = "target"
+    return Transducer("none", {("none", TARGET): (aimed, TARGET), (aimed, INSULT): (aimed, DIRECT), (aimed, THREAT): (aimed, AIMED)})
+
+
+def insult() -> Transducer:
+    """What is left of an insult becomes an event: bare, direct, negated or reported."""
+    return Transducer(0, {(0, symbol): (0, event) for symbol, event in ((INSULT, "bare"), (DIRECT, "direct"), (NEGATED[INSULT], "negated"), (QUOTED[INSULT], "reported"))})
+
+
+def threat() -> Transducer:
+    """Aimed threats become events, and so do negated and reported ones; one at nobody is none. All that isn't an event ends here."""
+    arcs = {(0, symbol): (0, event) for symbol, event in ((AIMED, "threat"), (NEGATED[THREAT], "negated"), (QUOTED[THREAT], "reported"))}
+    return Transducer(0, arcs | {(0, symbol): (0, "") for symbol in (OTHER, THREAT, TARGET, NEGATION, REPORT)})
 
 
 def machine() -> Transducer:
-    """Negation, then reported speech, then the event grammar."""
-    first = compose(negation(), reported(), OTHER + INSULT + THREAT + TARGET + NEGATION + REPORT)
-    return compose(first, grammar(), OTHER + INSULT + THREAT + TARGET + NEGATION + REPORT)
+    """Negation, reported speech, target, insult and threat, composed into one machine over the lexicon's symbols."""
+    whole = negation()
+    for part in (reported(), target(), insult(), threat()):
+        whole = compose(whole, part, OTHER + INSULT + THREAT + TARGET + NEGATION + REPORT)
+    return whole
 
 
 def trimmed(token: str) -> str:
