@@ -71,12 +71,18 @@ def gates(scores: DataFrame) -> DataFrame:
     return joined.select("metric", "rule", "bound", "value", F.coalesce(passed, F.lit(False)).alias("passed"))
 
 
-def fingerprint(rows: DataFrame, key: str, payload: list[str], buckets: int = 256) -> DataFrame:
-    """One digest of all rows, regardless of their order: rows are digested, then buckets of sorted digests, then those."""
+def fingerprint(rows: DataFrame, key: str, payload: list[str]) -> DataFrame:
+    """One digest of all rows, regardless of their order.
+
+    Rows are digested; the sorted digests that begin alike are digested together, first by four
+    digits, then by two, then all, so that no row of the tree holds more than a 65,536th of the rows.
+    """
     digest = F.sha2(F.concat_ws("|", key, F.sha2(F.concat_ws("|", *payload), 256)), 256)
-    d = rows.select(digest.alias("d")).withColumn("b", F.substring("d", 1, 2))
-    inner = d.groupBy("b").agg(F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("d"))), 256).alias("x"), F.count(F.lit(1)).alias("n"))
-    return inner.agg(F.sum("n").alias("rows"), F.sha2(F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("b", "x"))), lambda s: s["x"])), 256).alias("fingerprint"))
+    level = rows.select(digest.alias("d"), digest.alias("x"), F.lit(1).cast("long").alias("n"))
+    for digits in (4, 2, 0):
+        inside = F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"])
+        level = level.groupBy(F.substring("d", 1, digits).alias("d")).agg(F.sha2(F.concat_ws(",", inside), 256).alias("x"), F.sum("n").alias("n"))
+    return level.select(F.col("n").alias("rows"), F.col("x").alias("fingerprint"))
 
 
 def integrity(manifest: DataFrame, stored: DataFrame) -> DataFrame:

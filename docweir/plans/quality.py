@@ -146,7 +146,8 @@ def promotion_gates(spark, sf_dir):
 
 
 @query("fingerprint", views.BASE_SQL + """, d AS (SELECT sha256(source_id || '|' || sha256(title || '|' || version || '|' || chunk_count)) AS d FROM man WHERE provider <> 'JIRA'),
-b AS (SELECT substr(d, 1, 2) AS b, sha256(string_agg(d, ',' ORDER BY d)) AS x, count(*) AS n FROM d GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS rows, sha256(string_agg(x, ',' ORDER BY b)) AS fingerprint FROM b""")
+a AS (SELECT substr(d, 1, 4) AS b, sha256(string_agg(d, ',' ORDER BY d)) AS x, count(*) AS n FROM d GROUP BY 1), b AS (SELECT substr(b, 1, 2) AS b, sha256(string_agg(x, ',' ORDER BY b)) AS x, sum(n) AS n FROM a GROUP BY substr(a.b, 1, 2))
+SELECT CAST(sum(n) AS BIGINT) AS rows, sha256(string_agg(x, ',' ORDER BY b)) AS fingerprint FROM b""")
 def fingerprint(spark, sf_dir):
     rows = views.manifest(spark, sf_dir).where("provider <> 'JIRA'").withColumn("chunk_count", F.col("chunk_count").cast("string"))
     return audits.fingerprint(rows, "source_id", ["title", "version", "chunk_count"])
