@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,92 +50,66 @@ def prose_windows(text: str, budget: int = PROSE, overlap: int = OVERLAP) -> lis
     return out
 
 
+def packed(costs: list[int], budget: int) -> list[tuple[int, int]]:
+    """Consecutive runs (start, end) of at most budget; an item over it is a run of its own."""
+    cuts, size = [0], 0
+    for i, cost in enumerate(costs):
+        if i > cuts[-1] and size + cost > budget:
+            cuts.append(i)
+            size = 0
+        size += cost
+    return [(a, b) for a, b in zip(cuts, [*cuts[1:], len(costs)]) if b > a]
+
+
 def cells(row: str) -> list[str]:
-    return [c.strip() for c in row.strip().strip("|").split("|")]
+    """What stands between the pipes of a row."""
+    return re.split(r"\s*\|\s*", re.sub(r"^\s*\|*\s*|\s*\|*\s*$", "", row))
 
 
 def is_separator(row: str) -> bool:
-    return bool(row.strip()) and not set(row) - set("|-: \t")
+    """A row of dashes, colons and pipes alone."""
+    return "-" in row and re.fullmatch(r"[\s|:-]+", row) is not None
 
 
 def wide_row(header: list[str], row: str, budget: int) -> list[str]:
     """A row that is over the budget alone, as groups of columns, each under its own headers."""
-    labels = cells(header[0]) if header else []
-    groups: list[tuple[list[str], list[str]]] = [([], [])]
-    size = 0
-    for i, cell in enumerate(cells(row)):
-        label = labels[i] if i < len(labels) else f"column {i + 1}"
-        cost = words(f"{label} | {cell}")
-        if groups[-1][1] and size + cost > budget:
-            groups.append(([], []))
-            size = 0
-        groups[-1][0].append(label)
-        groups[-1][1].append(cell)
-        size += cost
-    return [" | ".join(h) + "\n" + " | ".join(c) for h, c in groups]
+    values = cells(row)
+    labels = (cells(header[0]) if header else [])[: len(values)]
+    labels += [f"column {n}" for n in range(len(labels) + 1, len(values) + 1)]
+    runs = packed([words(x) + words(y) + 1 for x, y in zip(labels, values)], budget)
+    return ["\n".join(" | ".join(part[a:b]) for part in (labels, values)) for a, b in runs]
 
 
 def table_windows(rows: list[str], budget: int = TABLE, limit: int = LIMIT) -> list[str]:
-    """Whole rows under their header, at most budget words a window."""
-    if not rows:
-        return []
+    """Whole rows under their header, at most budget words a window; a row over the limit is split by columns."""
     top = 2 if len(rows) > 1 and is_separator(rows[1]) else 1
     header, body = rows[:top], rows[top:]
     if not body:
-        return ["\n".join(header)]
-    cost = words("\n".join(header))
+        return ["\n".join(header)] if header else []
+    own = words("\n".join(header))
     out: list[str] = []
-    open_rows: list[str] = []
-    size = cost
-    for row in body:
-        n = words(row)
-        if cost + n > limit and len(cells(row)) > 1:
-            if open_rows:
-                out.append("\n".join([*header, *open_rows]))
-            out.extend(wide_row(header, row, budget))
-            open_rows, size = [], cost
-            continue
-        if open_rows and size + n > budget:
-            out.append("\n".join([*header, *open_rows]))
-            open_rows, size = [], cost
-        open_rows.append(row)
-        size += n
-    if open_rows:
-        out.append("\n".join([*header, *open_rows]))
+    for over, group in groupby(body, key=lambda r: own + words(r) > limit and len(cells(r)) > 1):
+        part = list(group)
+        if over:
+            out += [w for r in part for w in wide_row(header, r, budget)]
+        else:
+            out += ["\n".join([*header, *part[a:b]]) for a, b in packed([words(r) for r in part], budget - own)]
     return out
 
 
 def line_windows(text: str, budget: int) -> list[str]:
     """Whole lines in turn; one over the budget stands alone."""
-    out: list[list[str]] = []
-    size = 0
-    for line in text.splitlines():
-        n = words(line)
-        if out and size + n <= budget:
-            out[-1].append(line)
-            size += n
-        else:
-            out.append([line])
-            size = n
-    return [w for w in ("\n".join(rows).strip("\n") for rows in out) if w.strip()]
+    rows = text.splitlines()
+    windows = ("\n".join(rows[a:b]).strip("\n") for a, b in packed([words(r) for r in rows], budget))
+    return [w for w in windows if w.strip()]
 
 
 def blocks(text: str) -> list[tuple[bool, list[str]]]:
     """Runs of table rows (two pipes or more, two rows or more) and of other lines."""
-    runs: list[tuple[bool, list[str]]] = []
-    for line in text.splitlines():
-        row = line.count("|") >= 2
-        if runs and runs[-1][0] == row:
-            runs[-1][1].append(line)
-        else:
-            runs.append((row, [line]))
+    runs = [list(g) for _, g in groupby(text.splitlines(), key=lambda r: r.count("|") >= 2)]
     out: list[tuple[bool, list[str]]] = []
-    for row, rows in runs:
-        table = row and len(rows) > 1
-        if not table and out and not out[-1][0]:
-            out[-1][1].extend(rows)
-        else:
-            out.append((table, list(rows)))
+    for table, group in groupby(runs, key=lambda r: len(r) > 1 and r[0].count("|") >= 2):
+        out += [(True, r) for r in group] if table else [(False, list(chain.from_iterable(group)))]
     return out
 
 
