@@ -312,3 +312,20 @@ def test_dead_letters(spark):
 def test_format_of_nulls(spark):
     rows = spark.createDataFrame([(None, None), ("x", "csv"), ("", "")], "content string, declared string")
     assert [r.kind for r in formats.with_format(rows).collect()] == ["prose", "csv", "prose"]
+
+
+def test_late_events_are_left_out_of_a_stream(spark, tmp_path):
+    where = f"file://{tmp_path}"
+    write = lambda rows, name: spark.createDataFrame(rows, "at string, event_type string").select(F.col("at").cast("timestamp").alias("ts"), "event_type").coalesce(1).write.parquet(f"{where}/in/{name}")
+    write([("2024-01-01 10:10:00", "a"), ("2024-01-01 10:20:00", "a"), ("2024-01-01 12:00:00", "b")], "one")
+    stream = spark.readStream.schema("ts timestamp, event_type string").option("recursiveFileLookup", "true").parquet(f"{where}/in")
+
+    def run():
+        query = ingest.late_events(stream).writeStream.format("parquet").option("path", f"{where}/out").option("checkpointLocation", f"{where}/checkpoint").outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    run()
+    write([("2024-01-01 10:30:00", "a"), ("2024-01-01 11:58:00", "b"), ("2024-01-01 14:00:00", "c")], "two")
+    run()
+    found = {(str(r.start), r.event_type): r.events for r in spark.read.parquet(f"{where}/out").collect()}
+    assert found == {("2024-01-01 10:00:00", "a"): 2, ("2024-01-01 11:00:00", "b"): 1, ("2024-01-01 12:00:00", "b"): 1}
