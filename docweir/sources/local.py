@@ -26,3 +26,18 @@ def scan_tree(spark: SparkSession, root: str, excludes: tuple[str, ...] = (), mo
     read = files.where(allowed).select("path", text.alias("content"), F.sha2("content", 256).alias("content_hash"))
     kept = read.where(F.col("content").isNotNull() & (formats.stripped(F.col("content")) != ""))
     return kept.select(F.concat(F.lit(f"local:{name}:{branch}:"), "path").alias("source_id"), "path", F.col("content_hash").alias("version"), "content", "content_hash")
+
+
+def checksum_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """(path, bytes, sha256) of every file under root: what a run's contract or a model's files consist of."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    base = F.regexp_replace(F.lit(root.rstrip("/") + "/"), "^file:/*", "/")
+    path = F.regexp_replace("path", "^file:/*", "/")
+    return files.select(F.substr(path, F.length(base) + 1).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def inventory_faults(found: DataFrame, expected: DataFrame) -> DataFrame:
+    """Files that are missing, unexpected, or of another checksum than expected (path, sha256)."""
+    joined = found.select("path", F.col("sha256").alias("_found")).join(expected.select("path", F.col("sha256").alias("_expected")), "path", "full")
+    fault = F.when(F.col("_found").isNull(), "missing").when(F.col("_expected").isNull(), "unexpected").when(F.col("_found") != F.col("_expected"), "changed")
+    return joined.select("path", fault.alias("fault")).where("fault is not null")
