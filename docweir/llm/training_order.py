@@ -107,7 +107,10 @@ def _write(rows: DataFrame, where: str, length: int) -> DataFrame:
 
         def close() -> Iterator[pa.RecordBatch]:
             out.close()
-            system.move(part, f"{folder}/{shard_name(shard)}")  # whole or absent, however often a task is tried
+            target = f"{folder}/{shard_name(shard)}"
+            if system.get_file_info(target).is_file:  # of an earlier try, with the same bytes; some stores don't move onto files
+                system.delete_file(target)
+            system.move(part, target)  # whole or absent, however often a task is tried
             place = 0
             stored = read_shard(where, shard, length)
             for ids, pieces in facts:

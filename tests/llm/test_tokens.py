@@ -136,3 +136,12 @@ def test_random_lengths_fill_well():
     sizes = np.array([rng.randint(1, 1023) for _ in range(2048)])
     best = packing.evolve(sizes, [], 1024, np.random.default_rng(0))
     assert best.max() + 1 <= math.ceil(sizes.sum() / 1024) * 1.01 + 1
+
+
+def test_a_second_try_writes_the_same_shards(edge, tmp_path):
+    where = f"file://{tmp_path}/twice"
+    bytes_ = lambda: {p.name: p.read_bytes() for p in (tmp_path / "twice").iterdir()}
+    training_order.materialise(edge.where("doc_id is not null and doc_id <> 8"), where, length=64).count()
+    first = bytes_()
+    training_order.materialise(edge.where("doc_id is not null and doc_id <> 8"), where, length=64).count()
+    assert bytes_() == first and all(n.startswith("shard-") for n in first)
