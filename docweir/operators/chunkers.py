@@ -24,30 +24,32 @@ def words(text: str) -> int:
     return len(text.split())
 
 
+def _break(text: str, end: int, start: int) -> int:
+    """How good a place to cut the gap between two words is: blank line, line end, sentence end, comma, or none."""
+    lines = text.count("\n", end, start)
+    return 4 if lines > 1 else 3 if lines else 2 if text[end - 1] in ".;:!?" else 1 if text[end - 1] == "," else 0
+
+
 def prose_windows(text: str, budget: int = PROSE, overlap: int = OVERLAP) -> list[str]:
     """Windows of at most budget words that end, where they can, at a paragraph, line or sentence end.
 
     Each begins with up to overlap words (a quarter of the budget at most) of the one before.
     """
-    if words(text) <= budget:
-        return [text.strip()] if text.strip() else []
     marks = [m.span() for m in re.finditer(r"\S+", text)]
+    if len(marks) <= budget:
+        return [text.strip()] if marks else []
+    breaks = [0, *(_break(text, a[1], b[0]) for a, b in zip(marks, marks[1:]))]
     overlap = min(overlap, budget // 4)
     out, at = [], 0
-    while at < len(marks):
+    while True:
         end = min(at + budget, len(marks))
         if end < len(marks):
-            floor = at + max(overlap + 1, budget // 2)
-            for pattern in (r"\n\s*\n", r"\n", r"(?<=[.;:!?])\s", r"(?<=,)\s"):
-                cut = next((k for k in range(end, floor, -1) if re.search(pattern, text[marks[k - 1][1] - 1 : marks[k][0] + 1] if k < len(marks) else "")), None)
-                if cut:
-                    end = cut
-                    break
+            best = max(range(at + max(overlap + 1, budget // 2) + 1, end + 1), key=lambda k: (breaks[k], k), default=end)
+            end = best if breaks[best] else end
         out.append(text[marks[at][0] : marks[end - 1][1]])
         if end == len(marks):
-            break
+            return out
         at = max(at + 1, end - overlap)
-    return out
 
 
 def packed(costs: list[int], budget: int) -> list[tuple[int, int]]:
