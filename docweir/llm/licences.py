@@ -18,7 +18,7 @@ GRAM, WINDOW = 3, 3
 BAND = 8
 #: Least part of a template's words that a reported match covers.
 COVERAGE = 0.7
-_WORD = re.compile(r"[a-z0-9]+")
+_WORD = re.compile(rb"[a-z0-9]+")
 _MEMO = 500_000
 
 # Public licence notices and texts.
@@ -70,7 +70,7 @@ purpose, commercial or non-commercial, and by any means.""",
 
 
 class _Words(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= _MEMO:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -135,7 +135,7 @@ class Index:
     def __init__(self, templates: dict[str, str], gram: int = GRAM, window: int = WINDOW) -> None:
         self.gram, self.window, self.memo = gram, window, _Words()
         self.names = sorted(templates)
-        self.words = [self.hashed(templates[n].lower())[0] for n in self.names]
+        self.words = [self.hashed(templates[n].encode().lower()) for n in self.names]
         rows = [(int(g[p]), t, int(p)) for t, words in enumerate(self.words) for g in [grams(words, gram)] for p in (winnow(g, window) if len(words) >= gram + window - 1 else range(len(g)))]
         rows.sort()
         self.hashes = np.array([r[0] for r in rows], np.uint64)
@@ -143,14 +143,14 @@ class Index:
         #: Grams of templates too short for winnowing to be sure of them; all grams of a text are looked up in these.
         self.short = np.unique(np.concatenate([np.empty(0, np.uint64), *(grams(w, gram) for w in self.words if 0 < len(w) < gram + window - 1)]))
 
-    def hashed(self, lowered: str) -> tuple[np.ndarray, list[str]]:
+    def hashed(self, lowered: bytes) -> np.ndarray:
         found = _WORD.findall(lowered)
-        return np.fromiter(map(self.memo.__getitem__, found), np.uint64, len(found)), found
+        return np.fromiter(map(self.memo.__getitem__, found), np.uint64, len(found))
 
     def matches(self, text: str, coverage: float = COVERAGE) -> list[tuple[str, int, float, int, int]]:
         """(template, matched words, coverage, first and last-plus-one character) of every match in a whole text."""
-        lowered = text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text)  # keeps every place
-        words, _ = self.hashed(lowered)
+        lowered = text.encode("utf-8", "surrogatepass").lower()  # A-Z only
+        words = self.hashed(lowered)
         hashes = grams(words, self.gram)
         at = winnow(hashes, self.window)
         if len(self.short) and len(hashes):
@@ -177,9 +177,10 @@ class Index:
         if not found:
             return []
         places = [m.span() for m in _WORD.finditer(lowered)]
+        char = lambda byte: len(lowered[:byte].decode("utf-8", "surrogatepass"))
         best: dict[tuple[int, int, int], tuple] = {}
         for t, n, first, last in found:
-            best[t, first, last] = (self.names[t], n, n / len(self.words[t]), places[first][0], places[last][1])
+            best[t, first, last] = (self.names[t], n, n / len(self.words[t]), char(places[first][0]), char(places[last][1]))
         return sorted(best.values(), key=lambda m: (m[3], m[4], m[0]))
 
 
