@@ -129,13 +129,15 @@ def structural_category(title: Column, text: Column) -> Column:
     )
 
 
-def detect_category(title: Column, text: Column, labels: Column) -> Column:
-    """struct(category, reason, warning): a label wins over structure, and a disagreement is told."""
-    label, structure = _label(labels, "pi-category:"), structural_category(title, text)
-    category = F.when(label != "", label).otherwise(structure)
-    reason = F.when(label != "", "label").when(structure != "narrative", "structure").otherwise("no markers")
-    warning = F.when((label != "") & (structure != "narrative") & (structure != label), F.concat(F.lit("structure says "), structure)).otherwise("")
-    return F.struct(category.alias("category"), reason.alias("reason"), warning.alias("warning"))
+def with_category(df: DataFrame, title: str = "title", text: str = "content", labels: str = "labels") -> DataFrame:
+    """df with category, category_reason and category_warning: a label wins over structure, and a disagreement is told."""
+    df = df.withColumns({"_label": _label(F.col(labels), "pi-category:"), "_structure": structural_category(F.col(title), F.col(text))})
+    label, structure = F.col("_label"), F.col("_structure")
+    return df.withColumns({
+        "category": F.when(label != "", label).otherwise(structure),
+        "category_reason": F.when(label != "", "label").when(structure != "narrative", "structure").otherwise("no markers"),
+        "category_warning": F.when((label != "") & (structure != "narrative") & (structure != label), F.concat(F.lit("structure says "), structure)).otherwise(""),
+    }).drop("_label", "_structure")
 
 
 def normal_entity(value: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values.
@@ -30,16 +30,20 @@ def first_spellings(tokens: Column, most: int) -> Column:
         more = (F.size(seen["kept"]) < most) & ~F.array_contains(seen["folded"], F.lower(token))
         return F.when(more, F.struct(F.array_append(seen["kept"], token).alias("kept"), F.array_append(seen["folded"], F.lower(token)).alias("folded"))).otherwise(seen)
 
-    fold = lambda some: F.aggregate(some, F.struct(none.alias("kept"), none.alias("folded")), add, lambda seen: seen["kept"])
-    # The first few tokens nearly always hold enough; only where they don't is the rest gone through.
-    ahead = 8 * most
-    short = fold(F.slice(tokens, 1, ahead))
-    return F.when((F.size(tokens) <= ahead) | (F.size(short) >= most), short).otherwise(fold(tokens))
+    return F.aggregate(tokens, F.struct(none.alias("kept"), none.alias("folded")), add, lambda seen: seen["kept"])
 
 
-def keywords(*values: Column) -> Column:
-    """The first 32 keywords of the values in turn."""
-    return first_spellings(F.regexp_extract_all(F.concat_ws("\n", *values), F.lit(f"({KEYWORD})"), F.lit(1)), MOST_KEYWORDS)
+def with_keywords(df: DataFrame, values: list[Column], name: str = "keywords", most: int = MOST_KEYWORDS) -> DataFrame:
+    """df with the first keywords of the values in turn.
+
+    The first few tokens nearly always hold enough; only where they don't is the rest gone through.
+    Each step is a column of its own, so it is computed once a row.
+    """
+    ahead = 4 * most
+    df = df.withColumn("_tokens", F.regexp_extract_all(F.concat_ws("\n", *values), F.lit(f"({KEYWORD})"), F.lit(1)))
+    df = df.withColumn("_short", first_spellings(F.slice("_tokens", 1, ahead), most))
+    enough = (F.size("_tokens") <= ahead) | (F.size("_short") >= most)
+    return df.withColumn(name, F.when(enough, F.col("_short")).otherwise(first_spellings(F.col("_tokens"), most))).drop("_tokens", "_short")
 
 
 def code_symbols(text: Column) -> Column:

@@ -175,6 +175,5 @@ def html_chunks(spark, sf_dir):
 def chunked_documents(spark, sf_dir):
     from docweir.operators.chunkers import chunk_documents
 
-    t = formats.with_format(texts(spark, sf_dir))
-    t = t.withColumn("category", formats.detect_category(F.col("title"), F.col("content"), F.col("labels"))["category"])
+    t = formats.with_category(formats.with_format(texts(spark, sf_dir)))
     return chunk_documents(t.select("source_id", "title", "kind", "category", "content"))

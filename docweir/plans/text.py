@@ -70,8 +70,8 @@ SELECT source_id, CASE WHEN label <> '' THEN label ELSE structure END AS categor
 
 @query("category_detect", CATEGORY_SQL)
 def category_detect(spark, sf_dir):
-    found = texts(spark, sf_dir).select("source_id", formats.detect_category(F.col("title"), F.col("content"), F.col("labels")).alias("c"))
-    return found.select("source_id", "c.category", "c.reason", "c.warning")
+    found = formats.with_category(texts(spark, sf_dir))
+    return found.select("source_id", "category", F.col("category_reason").alias("reason"), F.col("category_warning").alias("warning"))
 
 
 _STOP = "(" + ", ".join(f"'{w}'" for w in formats.STOP_ENTITIES) + ")"
@@ -111,8 +111,8 @@ u AS (SELECT source_id, i, ks[i] AS kw, row_number() OVER (PARTITION BY source_i
 f AS (SELECT source_id, kw, i, row_number() OVER (PARTITION BY source_id ORDER BY i) AS place FROM u WHERE nth = 1)
 SELECT source_id, string_agg(kw, ' ' ORDER BY i) AS keywords FROM f WHERE place <= 32 GROUP BY source_id""")
 def keywords_top32(spark, sf_dir):
-    found = texts(spark, sf_dir).select("source_id", F.concat_ws(" ", text.keywords(F.col("title"), F.col("content"))).alias("keywords"))
-    return found.where("keywords <> ''")
+    found = text.with_keywords(texts(spark, sf_dir), [F.col("title"), F.col("content")])
+    return found.select("source_id", F.concat_ws(" ", "keywords").alias("keywords"))
 
 
 @query("code_symbols", TEXTS_SQL + f""", k AS (SELECT source_id, regexp_extract_all(content, '{text.SYMBOL}', 1) AS ks FROM texts),
