@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +82,20 @@ def nameless(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """df with its columns named by place, so that no name of its own can clash, and the new name of each."""
     names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     return df.toDF(*names.values()), names
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run, and then what it freed goes back to the system: workers are reused, and each would keep its peak."""
+
+    def whole(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return whole

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from docweir.llm.common import id_crc, read
+from docweir.llm.common import id_crc, read, tidy
 
 #: How many of the most frequent n-grams make a profile.
 PROFILE = 300
@@ -83,7 +83,7 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
                 n = np.bincount(at, np.concatenate([c for _, c in found]), len(grams)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], names=["lang", "gram", "n"])
 
-    counted = labelled.where(part & F.col(text_col).isNotNull()).select(lang_col, text_col).mapInArrow(count, "lang string, gram long, n long")
+    counted = labelled.where(part & F.col(text_col).isNotNull()).select(lang_col, text_col).mapInArrow(tidy(count), "lang string, gram long, n long")
     totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = totals.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1).where(F.col("rank") < size)
     rows: dict[str, list[tuple[int, int]]] = {}
@@ -119,7 +119,7 @@ def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text", size: i
 
     given = docs.select(*kept, F.col(text_col).alias("_text")).toDF(*(f"_c{i}" for i in range(len(kept) + 1)))
     fields = ", ".join(f"`{name}` {f.dataType.simpleString()}" for name, f in zip(kept, given.schema.fields))
-    return given.mapInArrow(run, f"{fields}, lang_pred string, lang_score double")
+    return given.mapInArrow(tidy(run), f"{fields}, lang_pred string, lang_score double")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweir.llm.common import bitmap_of, checkpointed, read, with_bit
+from docweir.llm.common import bitmap_of, checkpointed, read, tidy, with_bit
 from docweir.llm.components import components
 
 #: Least similarity of linked documents, in per cent.
@@ -131,7 +131,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
                     signatures.append(signature(unique) if found else None)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())], names=["id", "digest", "n", "sig"])
 
-    return narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, digest binary, n long, sig binary")
+    return narrow.mapInArrow(tidy(run), f"id {dict(narrow.dtypes)['id']}, digest binary, n long, sig binary")
 
 
 def _pruned(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float) -> DataFrame:
@@ -146,7 +146,7 @@ def _pruned(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float) -> Da
                 keep &= plausible(one, two, percent, miss)
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -165,7 +165,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width:
                 found = [words(t) for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxhash.xxh3_128_digest(b" ".join(w)) for w in found], pa.binary()), pa.array([shingles(w, width, memo).tobytes() for w in found], pa.binary())], names=["id", "digest", "full"])
 
-    made = chosen.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, digest binary, full binary")
+    made = chosen.mapInArrow(tidy(run), f"id {dict(narrow.dtypes)['id']}, digest binary, full binary")
     own = wanted.select("node", F.col("root").alias("_root"), F.col("digest").alias("_digest"))
     return made.join(own, F.col("id").eqNullSafe(F.col("_root")) & (F.col("digest") == F.col("_digest"))).select("node", "full")
 
@@ -186,7 +186,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column("fa"), batch.column("fb"))]
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _ordered(one: Column, two: Column) -> list[Column]:

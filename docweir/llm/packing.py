@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from docweir.llm.common import checkpointed, read
+from docweir.llm.common import checkpointed, read, tidy
 from docweir.llm.tokens import default_path, encoder
 
 CAPACITY, END = 1024, 2
@@ -132,7 +132,7 @@ def _epoch(rows: DataFrame, capacity: int, epoch: int) -> DataFrame:
                 count, square = fitness(best, sizes, capacity)
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([island], pa.int32()), pa.array([raw], pa.binary()), pa.array([best.astype("<i4").tobytes()], pa.binary()), pa.array([count - 1 + square], pa.float64())], names=["block", "island", "sizes", "elite", "fit"])
 
-    return rows.select("block", "island", "sizes", "seeds").mapInArrow(run, "block long, island int, sizes binary, elite binary, fit double")
+    return rows.select("block", "island", "sizes", "seeds").mapInArrow(tidy(run), "block long, island int, sizes binary, elite binary, fit double")
 
 
 def _pack_blocks(items: DataFrame, capacity: int, islands: int, spark: SparkSession) -> DataFrame:
@@ -172,7 +172,7 @@ def _pack_blocks(items: DataFrame, capacity: int, islands: int, spark: SparkSess
                 fill = np.bincount(bins, sizes).astype(np.int64)[bins]
                 yield pa.RecordBatch.from_arrays([pa.array([block] * len(bins), pa.int64()), pa.array(np.arange(len(bins)), pa.int32()), pa.array(bins), pa.array(offset), pa.array(fill)], names=["block", "nth", "bin", "offset", "fill"])
 
-    placed = best.mapInArrow(place, "block long, nth int, bin long, offset long, fill long")
+    placed = best.mapInArrow(tidy(place), "block long, nth int, bin long, offset long, fill long")
     return dealt.join(placed, ["block", "nth"]).drop("nth")
 
 
@@ -201,7 +201,7 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacit
                 piece, start, length, crc = zip(*rows)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(which)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["id", "piece", "start", "length", "ids_crc32"])
 
-    return narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, piece int, start long, length long, ids_crc32 long")
+    return narrow.mapInArrow(tidy(run), f"id {dict(narrow.dtypes)['id']}, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None, end: int = END, islands: int = ISLANDS) -> DataFrame:

@@ -46,6 +46,8 @@ class Encoder:
             self._fast = self._engine(model)
             if self._fast is not None and list(self._fast(self._PROBE)) != self._slow.encode(self._PROBE, add_special_tokens=False).ids:
                 self._fast = None
+        if self._fast is not None:
+            self._slow = None  # a worker needs the memory
 
     @staticmethod
     def _engine(model: dict):
