@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from docweir.llm.common import checkpointed, read, shared_dir
+from docweir.llm.common import read, shared_dir, tidy
 from docweir.llm.tokens import default_path, encoder
 
 #: Tokens of a sequence, the id that ends a document, and the permutation's key.
@@ -71,7 +71,7 @@ def sequences(docs: DataFrame, id_col: str, text_col: str, length: int, path: st
                 shard = np.minimum(shards - 1, (point.astype(np.float64) / size * shards).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([own, pa.array(piece, pa.int32()), pa.array(point), pa.array(shard), pa.array(payload, pa.binary())], names=["id", "piece", "point", "shard", "ids"])
 
-    return narrow.mapInArrow(run, f"id {dict(narrow.dtypes)['id']}, piece int, point long, shard int, ids binary")
+    return narrow.mapInArrow(tidy(run), f"id {dict(narrow.dtypes)['id']}, piece int, point long, shard int, ids binary")
 
 
 def shard_name(shard: int) -> str:
@@ -140,7 +140,7 @@ def _write(rows: DataFrame, where: str, length: int) -> DataFrame:
             yield from close()
 
     kind = dict(rows.dtypes)["id"]
-    return rows.select("id", "piece", "shard", "ids").mapInArrow(run, f"id {kind}, piece int, shard int, place long, length long, ids_crc32 long")
+    return rows.select("id", "piece", "shard", "ids").mapInArrow(tidy(run), f"id {kind}, piece int, shard int, place long, length long, ids_crc32 long")
 
 
 def materialise(docs: DataFrame, where: str | None = None, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, path: str | None = None, end: int = END, key: int = KEY, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -154,7 +154,8 @@ def materialise(docs: DataFrame, where: str | None = None, id_col: str = "doc_id
     null ids share a point, as do repeated ones, and stand next to each other. A null text is empty,
     which is the end id alone. An empty table writes nothing. Other columns are not read.
 
-    One shuffle carries the ids; where is a folder that all executors reach.
+    One shuffle carries the ids; where is a folder that all executors reach. What was written is kept
+    beside it, in where-manifest.
     """
     spark = docs.sparkSession
     path = path or default_path()
@@ -167,7 +168,9 @@ def materialise(docs: DataFrame, where: str | None = None, id_col: str = "doc_id
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes), 1)
     cut = sequences(docs, id_col, text_col, length, path, end, low, high - low + 1, per_doc, size, shards, key)
     ordered = cut.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "point", "id", "piece")
-    written = checkpointed(_write(ordered, where, length))
+    manifest = f"{where.rstrip('/')}-manifest"
+    _write(ordered, where, length).write.mode("overwrite").parquet(manifest)
+    written = spark.read.parquet(manifest)
     counts = written.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
     first = counts.select("shard", F.coalesce(F.sum("n").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("first"))
     out = written.join(first, "shard")
