@@ -260,10 +260,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        go through the signatures in batches, are pruned once the posterior leaves them less than
        `miss`, and the rest are confirmed on full sets. That gives components.
     2. A bucket that holds several of them is looked at again. In a small one, all pairs between
-       components go the same way. In a large one, the members outside its largest component are
-       compared with each other by blocks, and on full sets with that whole component, in chunks. So no
-       pair of different components that shares a bucket goes uncompared, no group is in one task,
-       and the pairs of one component are never listed.
+       components go the same way. In a large one, the members outside its largest component (all of
+       them, where no two are linked) are compared with each other by blocks, and on full sets with
+       that whole component, in chunks. So no pair of different components that shares a bucket goes
+       uncompared, no group is in one task, and the pairs of one component are never listed.
     """
     spark = docs.sparkSession
     rows = checkpointed(signed(docs, id_col, text_col, width))
@@ -290,17 +290,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of = shared.where("m > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     parts = of.groupBy("key", "m", "label").agg(F.count(F.lit(1)).alias("c"))
     mixed = parts.groupBy("key", "m").agg(F.count(F.lit(1)).alias("parts"), F.max("c").alias("most"), F.max_by("label", F.struct("c", "label")).alias("main")).where("parts > 1")
-    mixed = mixed.select(F.xxhash64("key").alias("at"), F.col("key").alias("_key"), "main", "most")
+    # Where no two members are linked, no component stands out: none is left out of the blocks.
+    linked = F.col("most") > 1
+    mixed = mixed.select(F.xxhash64("key").alias("at"), F.col("key").alias("_key"), F.when(linked, F.col("main")).alias("main"), F.when(linked, F.col("most")).otherwise(0).alias("most"))
     again = checkpointed(of.withColumn("at", F.xxhash64("key")).join(mixed, "at").where("key = _key").select("key", "band", "node", "m", "label", "main", "most"))
     small = again.where(F.col("m") <= SMALL).select("key", "band", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "node", "label")
-    large = again.where((F.col("m") > SMALL) & (F.col("label") != F.col("main")))
+    large = again.where((F.col("m") > SMALL) & ~F.col("label").eqNullSafe(F.col("main")))
     count = F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     large = large.withColumn("blocks", count).withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocked = large.select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label")
     grouped = small.unionByName(blocked).join(nodes.select("node", "n", "sig"), "node")
     more = checkpointed(_within(grouped, percent, miss).join(tried, ["a", "b"], "left_anti"))
-    pairs = again.where((F.col("m") > SMALL) & (F.col("label") != F.col("main")) & (F.col("most") > 1)).select("node", F.col("main").alias("label")).distinct()
+    pairs = again.where((F.col("m") > SMALL) & (F.col("label") != F.col("main"))).select("node", F.col("main").alias("label")).distinct()
     pairs = checkpointed(pairs)
     found = links
     if more.limit(1).count():

@@ -69,6 +69,25 @@ def test_crowded_buckets_lose_no_link(spark, edge, monkeypatch):
     assert got(near_dedup.near_duplicates(spark.createDataFrame(rows, edge.schema), width=2)) == brute(rows, 2)
 
 
+def test_crowded_buckets_without_a_link_leave_nobody_out(spark, edge, monkeypatch):
+    """Two twins and a stranger meet in one bucket only: whoever is its pivot or has its largest label, the twins are linked."""
+    monkeypatch.setattr(near_dedup, "SMALL", 2)
+    rng = np.random.default_rng(9)
+    rows, signatures = [], []
+    for group in range(40):
+        text = [f"g{group}w{i}" for i in range(60)]
+        one, stranger = rng.integers(0, 1 << 16, (2, near_dedup.HASHES)).astype("<u2")
+        two = one.copy()
+        two[4::4] ^= 1  # one hash of every band but the first
+        stranger[:4] = one[:4]
+        for words, signature in ((text, one), ([*text[:30], "other", *text[31:]], two), ([f"g{group}x{i}" for i in range(60)], stranger)):
+            signatures.append((len(rows), signature.tobytes()))
+            rows.append(row(len(rows), " ".join(words)))
+    plain, given = near_dedup.signed, spark.createDataFrame(signatures, "id long, sig binary")
+    monkeypatch.setattr(near_dedup, "signed", lambda *x: plain(*x).drop("sig").join(given, "id"))
+    assert got(near_dedup.near_duplicates(spark.createDataFrame(rows, edge.schema), width=2)) == brute(rows, 2)
+
+
 def test_empty_table(nothing):
     assert near_dedup.near_duplicates(nothing).count() == 0
 
