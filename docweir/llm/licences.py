@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -129,6 +131,23 @@ def align(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tupl
     return total, first, last
 
 
+def tightest(template: np.ndarray, text: np.ndarray, shift: int, band: int, lo: int, hi: int, need: float) -> tuple[int, int, int] | None:
+    """Like align, within text[lo:hi] only: the match that ends first, from the latest word that it can begin with; None below need words."""
+    lo, hi = max(lo, shift - band), min(hi, shift + len(template) + band)
+    part = text[lo:hi]
+    # No alignment matches more words than template and text have in common in any order.
+    kinds, counts = np.unique(template, return_counts=True)
+    at = np.minimum(np.searchsorted(kinds, part), len(kinds) - 1)
+    if np.minimum(np.bincount(at[kinds[at] == part], minlength=len(kinds)), counts).sum() < need:
+        return None
+    got = align(template, part, shift - lo, band)
+    if not got or got[0] < need:
+        return None
+    total, _, last = got
+    back = align(template[::-1], part[last::-1], last + 1 - len(template) - (shift - lo), band)
+    return total, lo + last - back[2], lo + last
+
+
 class Index:
     """Inverted index of the templates' fingerprints: sorted hashes, with template and place of each."""
 
@@ -147,6 +166,41 @@ class Index:
         found = _WORD.findall(lowered)
         return np.fromiter(map(self.memo.__getitem__, found), np.uint64, len(found))
 
+    def aligned(self, t: int, words: np.ndarray, hits: list[tuple[int, int]], coverage: float) -> list[tuple[int, int, int]]:
+        """Disjoint matches (matched words, first, last word) of a template, from hits (place in the text, shift).
+
+        The fullest and then shortest match is taken first. A hit outside of what is taken is aligned
+        anew in the gap where it lies, until it is in a match or has none.
+        """
+        template = self.words[t]
+        band, need = min(BAND + len(template) // 10, len(template)), coverage * len(template)
+        taken: list[tuple[int, int, int]] = []  # first, last, matched; sorted
+        known: dict[tuple[int, int, int], tuple[int, int, int] | None] = {}
+        heap: list[tuple] = []
+
+        def offer(place: int, shift: int) -> None:
+            # A gram that a taken match cuts counts for the gap that its other end is in.
+            for p in (place, place + self.gram - 1):
+                i = bisect.bisect_right(taken, p, key=lambda m: m[0])
+                if i and p <= taken[i - 1][1]:
+                    continue
+                gap = taken[i - 1][1] + 1 if i else 0, taken[i][0] if i < len(taken) else len(words)
+                if (shift, *gap) not in known:
+                    known[shift, *gap] = tightest(template, words, shift, band, *gap, need)
+                if got := known[shift, *gap]:
+                    heapq.heappush(heap, (-got[0], got[2] - got[1], got[1], got[2], place, shift))
+                return
+
+        for place, shift in hits:
+            offer(place, shift)
+        while heap:
+            n, _, first, last, place, shift = heapq.heappop(heap)
+            i = bisect.bisect_right(taken, last, key=lambda m: m[0])
+            if not i or taken[i - 1][1] < first:
+                taken.insert(i, (first, last, -n))
+            offer(place, shift)
+        return [(n, first, last) for first, last, n in taken]
+
     def matches(self, text: str, coverage: float = COVERAGE) -> list[tuple[str, int, float, int, int]]:
         """(template, matched words, coverage, first and last-plus-one character) of every match in a whole text."""
         lowered = text.encode("utf-8", "surrogatepass").lower()  # A-Z only
@@ -157,31 +211,17 @@ class Index:
             near = np.minimum(np.searchsorted(self.short, hashes), len(self.short) - 1)
             at = np.union1d(at, np.flatnonzero(self.short[near] == hashes))
         left, right = np.searchsorted(self.hashes, hashes[at], "left"), np.searchsorted(self.hashes, hashes[at], "right")
-        hits: dict[int, list[int]] = {}
+        hits: dict[int, list[tuple[int, int]]] = {}
         for p, lo, hi in zip(at[left < right], left[left < right], right[left < right]):
             for row in range(lo, hi):
-                hits.setdefault(int(self.owner[row]), []).append(int(p - self.place[row]))
-        found = []
-        for t, shifts in hits.items():
-            size = len(self.words[t])
-            band = BAND + size // 10
-            shifts.sort()
-            taken = None
-            for shift in shifts:
-                if taken is not None and shift - taken <= band:
-                    continue
-                taken = shift
-                got = align(self.words[t], words, shift, min(band, size))
-                if got and got[0] >= coverage * size and (got[2] - got[1] + 1) <= size + 2 * band:
-                    found.append((t, *got))
+                hits.setdefault(int(self.owner[row]), []).append((int(p), int(p - self.place[row])))
+        found = [(t, *got) for t, places in hits.items() for got in self.aligned(t, words, places, coverage)]
         if not found:
             return []
         places = [m.span() for m in _WORD.finditer(lowered)]
         char = lambda byte: len(lowered[:byte].decode("utf-8", "surrogatepass"))
-        best: dict[tuple[int, int, int], tuple] = {}
-        for t, n, first, last in found:
-            best[t, first, last] = (self.names[t], n, n / len(self.words[t]), char(places[first][0]), char(places[last][1]))
-        return sorted(best.values(), key=lambda m: (m[3], m[4], m[0]))
+        spans = [(self.names[t], n, n / len(self.words[t]), char(places[first][0]), char(places[last][1])) for t, n, first, last in found]
+        return sorted(spans, key=lambda m: (m[3], m[4], m[0]))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:

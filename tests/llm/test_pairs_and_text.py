@@ -253,3 +253,18 @@ def test_licences_are_found_with_their_spans(spark, edge, nothing):
     assert set(found[2]) == {"all-rights-reserved"} and 3 not in found and 6 not in found and 7 not in found
     assert set(found[4]) == {"mit-line", "cc-by-nc-4.0-line"} and "isc" in found[5]
     assert licences.scan(edge).count() == 0 and licences.scan(nothing).count() == 0
+
+
+@pytest.mark.parametrize(
+    "name, text, spans",
+    [
+        ("all-rights-reserved", "All rights reserved. Foo Inc. All rights reserved.", ["All rights reserved"] * 2),
+        ("all-rights-reserved", "All rights reserved. " * 50, ["All rights reserved"] * 50),
+        ("mit-line", "Also available under the MIT terms, see below. Released under the MIT License.", ["Released under the MIT License"]),
+        ("mit-line", "Released under the MIT terms. Released under the MIT License.", ["Released under the MIT", "Released under the MIT License"]),
+        ("cc-by-nc-4.0-line", "licensed under CC, by name. Licensed under CC BY-NC 4.0. Licensed under CC BY-NC 4.0.", ["Licensed under CC BY-NC 4.0"] * 2),
+        ("isc", f"{licences.TEMPLATES['isc']} {licences.TEMPLATES['isc']}", [licences.TEMPLATES["isc"].rstrip(".")] * 2),
+    ],
+)
+def test_repeated_notices_and_decoys(name, text, spans):
+    assert [text[m[3] : m[4]] for m in licences.Index(licences.TEMPLATES).matches(text) if m[0] == name] == spans
