@@ -164,19 +164,23 @@ def code(title: str, text: str, budget: int = CODE) -> Iterator[Element]:
 
 
 def workflow(title: str, text: str) -> Iterator[Element]:
-    """One chunk for each flow; one over the limit is split before nested headings, never inside a run of steps."""
-    heads = list(re.finditer(r"(?m)^#{1,4}\s+.*?\[([A-Z][A-Z0-9]*-\d+)\].*$", text))
+    """What stands before the flows, then one chunk for each; one over the limit is split before nested headings, never inside a run of steps."""
+    heads = list(re.finditer(r"(?im)^#{1,4}\s+.*?\[([A-Z][A-Z0-9]*-\d+)\].*$", text))
+    if heads and text[: heads[0].start()].strip():
+        for window in section_windows(text[: heads[0].start()].strip(), PROSE, 0):
+            yield window, [title], "workflow-support", "workflow-support"
     for head, after in zip(heads, [*heads[1:], None]):
+        flow = head[1].upper()
         section = text[head.start() : after.start() if after else len(text)].strip()
         if words(section) <= LIMIT:
-            yield section, [head[0].lstrip("# ").strip()], head[1], "workflow"
+            yield section, [head[0].lstrip("# ").strip()], flow, "workflow"
             continue
         pieces = re.split(r"(?m)^(?=#{2,6}\s)", section)
         for n, piece in enumerate(p for p in pieces if p.strip()):
             if words(piece) > LIMIT and re.search(r"(?m)^\s*\d+[.)]\s", piece):
-                raise ValueError(f"the steps of {head[1]} are over the limit")
+                raise ValueError(f"the steps of {flow} are over the limit")
             for window in section_windows(piece, PROSE, 0):
-                yield window, [head[0].lstrip("# ").strip()], f"{head[1]}:part:{n + 1}", "workflow"
+                yield window, [head[0].lstrip("# ").strip()], f"{flow}:part:{n + 1}", "workflow"
 
 
 def contract(title: str, text: str) -> Iterator[Element]:

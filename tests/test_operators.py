@@ -213,6 +213,14 @@ def test_code_joins_small_pieces():
     assert words(t for t, *_ in found) == body.split() and any("one" in p for _, p, _, _ in found) and all(chunkers.words(t) <= chunkers.CODE for t, *_ in found)
 
 
+def test_what_stands_before_the_first_flow_is_kept():
+    text = "# Guide\nFor all who *read* it.\n## Scope\n| a | b |\n|---|---|\n| c | d |\n" + "word " * 900 + "\n## [flow-1] In\n1. go\n## [FLOW-2] Out\n2. come"
+    found = list(chunkers.route("T", "markdown", "workflow", text))
+    assert words(t for t, *_ in found) == text.split()
+    assert [(k, p) for _, _, k, p in found][-3:] == [("workflow-support", "workflow-support"), ("FLOW-1", "workflow"), ("FLOW-2", "workflow")]
+    assert {k for _, _, k, _ in found[:-2]} == {"workflow-support"} and found[0][1] == ["T"]
+
+
 def test_every_word_of_the_documents_is_in_a_chunk(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select(F.col("doc_id").cast("string").alias("source_id"), F.lit("t").alias("title"), F.lit("prose").alias("kind"), F.lit("narrative").alias("category"), F.col("text").alias("content"))
     found = {}
