@@ -232,18 +232,31 @@ def glossary(title: str, text: str) -> Iterator[Element]:
                 yield line.strip(), [term[1].strip()], "term", "glossary"
 
 
+class _Table:
+    """An open table: its rows, the open cell's text, and the place among the blocks where it belongs."""
+
+    def __init__(self) -> None:
+        self.rows: list[list[str]] = []
+        self.cell: list[str] | None = None
+        self.place: int | None = None
+
+
 class _Reader(HTMLParser):
-    """Blocks of an HTML text: headings, tables as pipe rows, lists, preformatted text, paragraphs."""
+    """Blocks of an HTML text: headings, tables as pipe rows, lists, preformatted text, paragraphs.
+
+    Optional end tags may be missing. A table inside another is a block after it; text of a table
+    outside of its cells is a paragraph.
+    """
 
     _BLOCKS = {"p", "div", "section", "article", "blockquote", "br", "header", "footer", "main", "body", "html", "nav", "aside"}
+    _PARTS = {"tr", "td", "th", "caption", "thead", "tbody", "tfoot"}
     _SILENT = {"script", "style", "template", "noscript"}
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[tuple[str, str]] = []
         self.text: list[str] = []
-        self.table: list[list[str]] | None = None
-        self.cell: list[str] | None = None
+        self.tables: list[_Table] = []  # open ones, the innermost last
         self.lists: list[list] = []
         self.pre = self.silent = 0
 
@@ -254,17 +267,48 @@ class _Reader(HTMLParser):
             self.out.append((kind, value))
         self.text = []
 
+    def end_cell(self) -> None:
+        """Stores the innermost table's open cell, if any."""
+        table = self.tables[-1]
+        if table.cell is not None:
+            table.rows[-1].append(" ".join("".join(table.cell).split()).replace("|", "/"))
+            table.cell = None
+
+    def end_table(self) -> None:
+        self.end_cell()
+        self.flush()
+        table = self.tables.pop()
+        rows = [r for r in table.rows if any(r)]
+        if rows:
+            lines = ["| " + " | ".join(r) + " |" for r in rows]
+            lines.insert(1, "| " + " | ".join("---" for _ in rows[0]) + " |")
+            self.out.insert(table.place, ("table", "\n".join(lines)))
+
+    def finish(self) -> None:
+        """Emits what is open at the end of the text."""
+        self.close()
+        while self.tables:
+            self.end_table()
+        self.flush()
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in self._SILENT:
             self.silent += 1
         elif tag == "table":
             self.flush()
-            self.table = []
-        elif self.table is not None:
+            self.tables.append(_Table())
+        elif self.tables and tag in self._PARTS:
+            self.end_cell()
+            self.flush()
+            table = self.tables[-1]
             if tag == "tr":
-                self.table.append([])
+                table.rows.append([])
             elif tag in ("td", "th"):
-                self.cell = []
+                table.rows = table.rows or [[]]
+                table.cell = []
+                table.place = len(self.out) if table.place is None else table.place
+        elif self.tables and self.tables[-1].cell is not None:
+            pass
         elif re.fullmatch("h[1-6]", tag) or tag in self._BLOCKS:
             self.flush()
         elif tag in ("ul", "ol"):
@@ -283,17 +327,13 @@ class _Reader(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in self._SILENT:
             self.silent = max(0, self.silent - 1)
-        elif tag == "table" and self.table is not None:
-            rows = [r for r in self.table if any(r)]
-            if rows:
-                lines = ["| " + " | ".join(r) + " |" for r in rows]
-                lines.insert(1, "| " + " | ".join("---" for _ in rows[0]) + " |")
-                self.out.append(("table", "\n".join(lines)))
-            self.table = self.cell = None
-        elif self.table is not None:
-            if tag in ("td", "th") and self.cell is not None and self.table:
-                self.table[-1].append(" ".join("".join(self.cell).split()).replace("|", "/"))
-                self.cell = None
+        elif self.tables and tag == "table":
+            self.end_table()
+        elif self.tables and tag in self._PARTS:
+            self.end_cell()
+            self.flush()
+        elif self.tables and self.tables[-1].cell is not None:
+            pass
         elif re.fullmatch("h[1-6]", tag):
             self.flush(tag)
         elif tag in ("ul", "ol"):
@@ -317,9 +357,9 @@ class _Reader(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.silent:
             return
-        if self.cell is not None:
-            self.cell.append(data + " ")
-        elif self.table is None:
+        if self.tables and self.tables[-1].cell is not None:
+            self.tables[-1].cell.append(data + " ")
+        else:
             self.text.append(data)
 
 
@@ -327,8 +367,7 @@ def html_markdown(text: str) -> str:
     """An HTML text as Markdown-like blocks: what the section reader understands."""
     reader = _Reader()
     reader.feed(text)
-    reader.close()
-    reader.flush()
+    reader.finish()
     parts: list[str] = []
     last = ""
     for kind, value in reader.out:

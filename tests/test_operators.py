@@ -213,6 +213,21 @@ def test_code_joins_small_pieces():
     assert words(t for t, *_ in found) == body.split() and any("one" in p for _, p, _, _ in found) and all(chunkers.words(t) <= chunkers.CODE for t, *_ in found)
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<table><tr><td>a<table><tr><td>b</td></tr></table>c</td><td>d</td></tr></table>e", "| a c | d |\n| --- | --- |\n\n| b |\n| --- |\n\ne"),
+        ("<table><tr><td>a<td>b<tr><th>c<th>d</table>e", "| a | b |\n| --- | --- |\n| c | d |\n\ne"),
+        ("<table><thead><tr><th>a<tbody><tr><td>b</tr></table>", "| a |\n| --- |\n| b |"),
+        ("<table><td>a</td></table>", "| a |\n| --- |"),
+        ("x<table><tr><td>a</td></tr><tr><td>b <table><tr><td>c", "x\n\n| a |\n| --- |\n| b |\n\n| c |\n| --- |"),
+        ("<table><caption>Of <b>two</b></caption><tr><td>a</td></tr>stray<tr><td>b</td></tr></table>", "Of two\n\n| a |\n| --- |\n| b |\n\nstray"),
+    ],
+)
+def test_tables_of_ordinary_html_are_whole(page, text):
+    assert chunkers.html_markdown(page) == text
+
+
 def test_what_stands_before_the_first_flow_is_kept():
     text = "# Guide\nFor all who *read* it.\n## Scope\n| a | b |\n|---|---|\n| c | d |\n" + "word " * 900 + "\n## [flow-1] In\n1. go\n## [FLOW-2] Out\n2. come"
     found = list(chunkers.route("T", "markdown", "workflow", text))
