@@ -20,6 +20,8 @@ BLOCK = 2048
 ISLANDS, POPULATION, GENERATIONS = 2, 5, 10
 #: Bins less full than this are dissolved once and their items packed anew together.
 REPACK = 0.985
+#: Most packings in turn, by which sequences are numbered; each has fewer blocks than the one before.
+LEVELS = 64
 
 
 def best_fit(order: np.ndarray, sizes: np.ndarray, bins: np.ndarray, room: list[int], capacity: int) -> None:
@@ -135,17 +137,17 @@ def _epoch(rows: DataFrame, capacity: int, epoch: int) -> DataFrame:
     return rows.select("block", "island", "sizes", "seeds").mapInArrow(tidy(run), "block long, island int, sizes binary, elite binary, fit double")
 
 
-def _pack_blocks(items: DataFrame, capacity: int, islands: int, spark: SparkSession) -> DataFrame:
-    """items (length, and columns that only pass through) with block, bin, offset, fill.
+def _pack_blocks(items: DataFrame, capacity: int, islands: int, spark: SparkSession, level: int) -> tuple[DataFrame, int]:
+    """items (length, and columns that only pass through) with block, bin, offset, fill; and how many blocks there are.
 
-    Items are dealt to blocks by hash. Every block is packed by a ring of islands; after the first
+    Items are dealt to blocks by a hash of their level. Every block is packed by a ring of islands; after the first
     epoch each island's elite moves to the next one, and after the second the fittest of all is taken.
     """
     count = items.count()
     blocks = -(-count // BLOCK) or 1
     parts = min(blocks * islands, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     columns = items.columns
-    dealt = items.withColumn("block", F.pmod(F.xxhash64(F.lit(3), *columns), F.lit(blocks)))
+    dealt = items.withColumn("block", F.pmod(F.xxhash64(F.lit(3 + level), *columns), F.lit(blocks)))
     dealt = checkpointed(dealt.withColumn("nth", F.row_number().over(W.partitionBy("block").orderBy(F.desc("length"), *columns)) - 1))
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
@@ -173,7 +175,7 @@ def _pack_blocks(items: DataFrame, capacity: int, islands: int, spark: SparkSess
                 yield pa.RecordBatch.from_arrays([pa.array([block] * len(bins), pa.int64()), pa.array(np.arange(len(bins)), pa.int32()), pa.array(bins), pa.array(offset), pa.array(fill)], names=["block", "nth", "bin", "offset", "fill"])
 
     placed = best.mapInArrow(tidy(place), "block long, nth int, bin long, offset long, fill long")
-    return dealt.join(placed, ["block", "nth"]).drop("nth")
+    return dealt.join(placed, ["block", "nth"]).drop("nth"), blocks
 
 
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None, end: int = END) -> DataFrame:
@@ -208,7 +210,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Pieces as long as a sequence take one each. All others are packed block by block; then the bins
-    that are left less full than REPACK are dissolved and their pieces packed together. Ids may be
+    that are left less full than REPACK are dissolved and their pieces packed together, and after
+    that the emptiest bin of every block, until one block holds them or no bin is saved. Ids may be
     null or repeat; every row's pieces are placed. An empty table gives no rows. Other columns are
     not read. Numbers of sequences are negative for whole ones.
     """
@@ -217,12 +220,25 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     numbered = pieces.withColumn("row", F.monotonically_increasing_id())  # pieces are stored, so a row keeps its number
     whole = numbered.where(F.col("length") == capacity).select(*pieces.columns, (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     short = numbered.where(F.col("length") < capacity)
-    number = lambda level: F.col("block") * (2 * BLOCK * 8) + F.col("bin") * 2 + level
-    first = checkpointed(_pack_blocks(short, capacity, islands, spark))
+    number = lambda level: F.col("block") * (LEVELS * BLOCK * 8) + F.col("bin") * LEVELS + level
+    settled = lambda some, level: some.select(*pieces.columns, number(level).alias("sequence_id"), "offset")
+    first = checkpointed(_pack_blocks(short, capacity, islands, spark, 0)[0])
     full = F.col("fill") >= REPACK * capacity
-    settled = first.where(full).select(*pieces.columns, number(0).alias("sequence_id"), "offset")
-    again = _pack_blocks(first.where(~full).select(*short.columns), capacity, islands, spark).select(*pieces.columns, number(1).alias("sequence_id"), "offset")
-    return whole.unionByName(settled).unionByName(again).withColumnRenamed("id", id_col)
+    out = whole.unionByName(settled(first.where(full), 0))
+    packed, blocks = _pack_blocks(first.where(~full).select(*short.columns), capacity, islands, spark, 1)
+    level = 1
+    if blocks > 1:
+        packed = checkpointed(packed)
+    while blocks > 1 and level + 1 < LEVELS:
+        emptiest = packed.where(~full).groupBy("block").agg(F.min(F.struct("fill", "bin")).alias("least")).select("block", "least.bin", F.lit(True).alias("open"))
+        marked = checkpointed(packed.join(emptiest, ["block", "bin"], "left"))
+        again, fewer = _pack_blocks(marked.where("open").select(*short.columns), capacity, islands, spark, level + 1)
+        again = checkpointed(again)
+        if fewer >= blocks or again.select("block", "bin").distinct().count() >= emptiest.count():
+            break
+        out = out.unionByName(settled(marked.where("open is null"), level))
+        packed, blocks, level = again, fewer, level + 1
+    return out.unionByName(settled(packed, level)).withColumnRenamed("id", id_col)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,6 +77,18 @@ def test_evolution_is_never_worse_than_best_fit_and_reaches_small_optima():
     assert packing.evolve(sizes, [], 100, rng).max() + 1 <= len(room)
 
 
+def test_partly_filled_bins_of_all_blocks_are_merged(spark, edge, monkeypatch):
+    """Three pieces fill a bin to 88 %, so every block packs as before and keeps a bin of one or two."""
+    monkeypatch.setattr(packing, "BLOCK", 16)
+    given = spark.range(200).selectExpr("id", "0 AS piece", "0L AS start", "300L AS length", "0L AS ids_crc32")
+    monkeypatch.setattr(packing, "cut", lambda *_: given)
+    bins = defaultdict(list)
+    for r in packing.pack(edge).collect():
+        bins[r.sequence_id].append((r.doc_id, r.offset))
+    assert sorted(i for b in bins.values() for i, _ in b) == list(range(200)) and len(bins) == 67
+    assert all(sorted(o for _, o in b) == [0, 300, 600][: len(b)] for b in bins.values())
+
+
 def test_empty_packing(nothing):
     assert packing.pack(nothing).count() == 0
 
