@@ -18,6 +18,8 @@ from docweir.llm.tokens import default_path, encoder
 #: Tokens of a sequence, the id that ends a document, and the permutation's key.
 LENGTH, END, KEY = 256, 50256, 0x5EED
 ROUNDS = 6
+#: Largest id that 16 bits hold.
+MOST = 0xFFFF
 #: Bytes of text that a shard holds, about.
 SHARD_BYTES = 64 << 20
 
@@ -60,7 +62,10 @@ def sequences(docs: DataFrame, id_col: str, text_col: str, length: int, path: st
                 batch = whole.slice(at, 512)
                 which, piece, payload = [], [], []
                 for i, text in enumerate(batch.column(1).to_pylist()):
-                    ids = np.append(encode(text or ""), np.uint32(end)).astype("<u2")
+                    ids = np.append(encode(text or ""), np.uint32(end))
+                    if ids.max() > MOST:
+                        raise ValueError(f"id {ids.max()} doesn't fit a shard; ids up to {MOST} do")
+                    ids = ids.astype("<u2")
                     for k, lo in enumerate(range(0, len(ids), length)):
                         which.append(i)
                         piece.append(k)
@@ -152,7 +157,7 @@ def materialise(docs: DataFrame, where: str | None = None, id_col: str = "doc_id
     the order of their points, each at place * stride bytes; slot is the place in the whole order.
     Ids must be integers and lie in a range that, times the most pieces of a document, is at most 2^62;
     null ids share a point, as do repeated ones, and stand next to each other. A null text is empty,
-    which is the end id alone. An empty table writes nothing. Other columns are not read.
+    which is the end id alone. A token id above MOST is an error. An empty table writes nothing. Other columns are not read.
 
     One shuffle carries the ids; where is a folder that all executors reach. What was written is kept
     beside it, in where-manifest.

@@ -157,3 +157,17 @@ def test_a_second_try_writes_the_same_shards(edge, tmp_path):
     first = bytes_()
     training_order.materialise(edge.where("doc_id is not null and doc_id <> 8"), where, length=64).count()
     assert bytes_() == first and all(n.startswith("shard-") for n in first)
+
+
+def test_ids_over_16_bits_are_refused(spark, edge, tmp_path):
+    from tokenizers.models import WordLevel
+
+    path = f"{tmp_path}/large.json"
+    Tokenizer(WordLevel({"[UNK]": 0, "most": 65_535, "over": 65_536}, unk_token="[UNK]")).save(path)
+    for i, (text, end, fits) in enumerate([("most", 65_535, True), ("over", 2, False), ("most", 65_536, False)]):
+        write = lambda: training_order.materialise(spark.createDataFrame([(1, text)], "doc_id long, text string"), f"file://{tmp_path}/{i}", path=path, end=end)  # noqa: B023, E731
+        if fits:
+            assert write().first().ids_crc32 == zlib.crc32(np.array([65_535, end], "<u4").tobytes())
+        else:
+            with pytest.raises(Exception, match="doesn't fit a shard"):
+                write()
