@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,12 @@ MISS = 1e-5
 #: Hashes that are compared at a time.
 BATCH = 16
 #: Members up to which all pairs of a bucket are compared in one task; larger ones are compared by blocks of BLOCK.
-SMALL, BLOCK = 96, 128
+SMALL, BLOCK = 96, 512
+#: Bytes of full sets that one side of a comparison with a whole component holds, besides one set.
+SIDE_BYTES = 1 << 20
 _MEMO = 300_000
+#: Pairs whose signatures are compared at a time.
+_PAIRS = 1 << 16
 
 
 class _Words(dict):
@@ -91,16 +96,17 @@ def least_matches(percent: int = PERCENT, miss: float = MISS, total: int = HASHE
     return tuple(out)
 
 
-def plausible(one: np.ndarray, two: np.ndarray, percent: int = PERCENT, miss: float = MISS) -> np.ndarray:
-    """Which pairs of signatures (rows of 16-bit hashes) stay after all batches; a pair is compared no further once pruned."""
-    alive = np.arange(len(one))
-    matches = np.zeros(len(one), np.int64)
-    for i, least in enumerate(least_matches(percent, miss)):
-        part = slice(i * BATCH, (i + 1) * BATCH)
-        matches[alive] += (one[alive, part] == two[alive, part]).sum(axis=1)
-        alive = alive[matches[alive] >= least]
-    keep = np.zeros(len(one), bool)
-    keep[alive] = True
+def plausible(sig: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int = PERCENT, miss: float = MISS) -> np.ndarray:
+    """Which pairs (x, y) of rows of sig (16-bit hashes) stay after all batches; a pair is compared no further once pruned."""
+    keep = np.zeros(len(x), bool)
+    for at in range(0, len(x), _PAIRS):
+        one, two = x[at : at + _PAIRS], y[at : at + _PAIRS]
+        alive, matches = np.arange(len(one)), np.zeros(len(one), np.int64)
+        for i, least in enumerate(least_matches(percent, miss)):
+            part = slice(i * BATCH, (i + 1) * BATCH)
+            matches[alive] += (sig[one[alive], part] == sig[two[alive], part]).sum(axis=1)
+            alive = alive[matches[alive] >= least]
+        keep[at + alive] = True
     return keep
 
 
@@ -134,40 +140,71 @@ def signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
     return narrow.mapInArrow(tidy(run), f"id {dict(narrow.dtypes)['id']}, digest binary, n long, sig binary")
 
 
+#: What is known of a node, and what its two ends are called in a table of pairs.
+_ENDS = ["a", "b", "da", "ra", "db", "rb"]
+
+
 def _pruned(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Pairs (a, b) that sizes and signatures leave plausible."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
+    """Pairs (a, b), with digest and root of either, that sizes and signatures leave plausible."""
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"), F.col("digest").alias(f"d{x}"), F.col("root").alias(f"r{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 keep = _fits(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), percent)
-                one, two = (_matrix(batch.column(c), HASHES, "<u2") for c in ("sa", "sb"))
-                keep &= plausible(one, two, percent, miss)
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
+                sig, rows = np.concatenate([_matrix(batch.column(c), HASHES, "<u2") for c in ("sa", "sb")]), np.arange(batch.num_rows)
+                keep &= plausible(sig, rows, rows + batch.num_rows, percent, miss)
+                yield batch.select(_ENDS).filter(pa.array(keep))
+
+    root = dict(nodes.dtypes)["root"]
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(tidy(run), f"a long, b long, da binary, ra {root}, db binary, rb {root}")
+
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(tidy(run), "a long, b long")
+class Texts(NamedTuple):
+    """Where full sets come from: a table's id and text columns, and the width of shingles."""
 
+    docs: DataFrame
+    id_col: str
+    text_col: str
+    width: int
 
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Shingle sets (node, full) of the wanted nodes (node, root, digest), from a second reading of their texts only.
 
-    A fixed-size bitmap of the roots lets other texts go before they leave the scan.
+def _sets(texts: Texts, wanted: DataFrame) -> DataFrame:
+    """Shingle sets (id, digest, full) of the rows whose ids are roots in wanted, from a second reading of those texts only.
+
+    A fixed-size bitmap of the roots lets other texts go before they leave the scan; some that aren't
+    wanted pass. A row that repeats is read once a task.
     """
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    narrow = texts.docs.select(F.col(texts.id_col).alias("id"), F.col(texts.text_col).alias("text"))
     chosen = with_bit(narrow, F.col("id"), bitmap_of(wanted, F.col("root")), "_dw_open").where("_dw_open").drop("_dw_open")
+    width = texts.width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _Words()
+        memo, seen = _Words(), set()
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                found = [words(t) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxhash.xxh3_128_digest(b" ".join(w)) for w in found], pa.binary()), pa.array([shingles(w, width, memo).tobytes() for w in found], pa.binary())], names=["id", "digest", "full"])
+                which, digests, sets = [], [], []
+                for i, (own, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                    found = words(text)
+                    digest = xxhash.xxh3_128_digest(b" ".join(found))
+                    if (own, digest) in seen or not found:
+                        continue
+                    if len(seen) >= _MEMO:
+                        seen.clear()
+                    seen.add((own, digest))
+                    which.append(i)
+                    digests.append(digest)
+                    sets.append(shingles(found, width, memo).tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(which, pa.int64())), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], names=["id", "digest", "full"])
+
+    return chosen.mapInArrow(tidy(run), f"id {dict(narrow.dtypes)['id']}, digest binary, full binary")
 
-    made = chosen.mapInArrow(tidy(run), f"id {dict(narrow.dtypes)['id']}, digest binary, full binary")
-    own = wanted.select("node", F.col("root").alias("_root"), F.col("digest").alias("_digest"))
-    return made.join(own, F.col("id").eqNullSafe(F.col("_root")) & (F.col("digest") == F.col("_digest"))).select("node", "full")
+
+def _with_set(rows: DataFrame, sets: DataFrame, digest: str, root: str, name: str) -> DataFrame:
+    """rows with the full set of the node that digest and root tell; both sides are shuffled by this join, which can split a hot node."""
+    own = sets.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), F.col("full").alias(name))
+    return rows.join(own, (F.col(digest) == F.col("_digest")) & F.col(root).eqNullSafe(F.col("_id"))).drop(digest, root, "_id", "_digest")
 
 
 def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -175,9 +212,9 @@ def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(one) + len(two) - shared)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("full").alias(f"f{x}"))
+def _confirmed(pairs: DataFrame, texts: Texts, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets are similar enough; pairs have the ends' digests and roots, too."""
+    sets = _sets(texts, pairs.select(F.col("ra").alias("root")).union(pairs.select("rb")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -186,7 +223,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column("fa"), batch.column("fb"))]
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(tidy(run), "a long, b long")
+    both = _with_set(_with_set(pairs.select(_ENDS), sets, "da", "ra", "fa"), sets, "db", "rb", "fb")
+    return both.mapInArrow(tidy(run), "a long, b long")
 
 
 def _ordered(one: Column, two: Column) -> list[Column]:
@@ -194,57 +232,82 @@ def _ordered(one: Column, two: Column) -> list[Column]:
 
 
 def _within(groups: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Plausible pairs (a, b) with different labels inside groups (key, i, j).
+    """Plausible pairs of nodes with different labels inside groups (key, i, j): the labels as a and b, and the nodes' digests and roots.
 
-    Rows are (key, band, i, j, side, node, label, n, sig). Where i = j all pairs are compared, else
-    those of either side. A group holds two blocks at most. A pair that also meets in an earlier band
-    is left to that band's bucket, which compares it just so.
+    Rows are (key, band, i, j, side, node, label, pivot, n, sig, digest, root). Where i = j all pairs
+    are compared, else those of either side; ones with the pivot have been. A group holds two blocks
+    at most. A pair that also meets in an earlier band is left to that band's bucket, which compares
+    it just so, so no pair comes twice.
     """
+    root = dict(groups.dtypes)["root"]
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
         node, label, n, side = (table.column(c).to_numpy() for c in ("node", "label", "n", "side"))
         sig = _matrix(table.column("sig").combine_chunks(), HASHES, "<u2")
         x, y = np.triu_indices(len(node), 1)
         keep = (label[x] != label[y]) & _fits(n[x], n[y], percent)
         if key[1].as_py() != key[2].as_py():
             keep &= side[x] != side[y]
+        pivot = node == table.column("pivot")[0].as_py()
+        keep &= ~(pivot[x] | pivot[y])
         x, y = x[keep], y[keep]
-        keep = plausible(sig[x], sig[y], percent, miss)
+        keep = plausible(sig, x, y, percent, miss)
         x, y = x[keep], y[keep]
         band, rows = int(table.column("band")[0].as_py()), HASHES // BANDS
         met = (sig[x, : band * rows] == sig[y, : band * rows]).reshape(len(x), band, rows).all(axis=2).any(axis=1)
-        x, y = node[x[~met]], node[y[~met]]
-        return pa.table({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+        x, y = pa.array(x[~met]), pa.array(y[~met])
+        ends = [table.column("label").take(x), table.column("label").take(y), *(table.column(c).take(end) for end in (x, y) for c in ("digest", "root"))]
+        return pa.table(dict(zip(_ENDS, ends)))
 
-    return groups.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return groups.groupBy("key", "i", "j").applyInArrow(run, f"a long, b long, da binary, ra {root}, db binary, rb {root}")
 
 
 def _against(loose: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between nodes and members of whole components, on full sets.
+    """Links (a, b) between labels: of nodes, and of a whole component whose members are similar to them by full sets.
 
-    loose has rows (label, i, j, side, node): side 0 are nodes outside the component, side 1 members;
-    chunk i of the former meets chunk j of the latter. Of each node, one link is enough.
+    loose has rows (label, i, j, side, own, digest, root): side 0 are nodes with another label (own),
+    side 1 members of the component; chunk i of the former meets chunk j of the latter.
     """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        node, side = table.column("node").to_numpy(), table.column("side").to_numpy()
+        own, side = table.column("own").to_numpy(), table.column("side").to_numpy()
         full = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("full").combine_chunks()]
-        members = np.flatnonzero(side == 1)
-        a, b = [], []
+        members, linked = np.flatnonzero(side == 1), []
         if len(members):
             sizes = np.array([len(full[m]) for m in members])
             pool, owner = np.concatenate([full[m] for m in members]), np.repeat(np.arange(len(members)), sizes)
             for u in np.flatnonzero(side == 0):
                 at = np.minimum(np.searchsorted(full[u], pool), len(full[u]) - 1)
                 shared = np.bincount(owner[full[u][at] == pool], minlength=len(members))
-                close = np.flatnonzero(100 * shared >= percent * (sizes + len(full[u]) - shared))
-                if len(close):
-                    v = node[members[close[0]]]
-                    a.append(min(node[u], v))
-                    b.append(max(node[u], v))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                if (100 * shared >= percent * (sizes + len(full[u]) - shared)).any():
+                    linked.append(own[u])
+        linked = np.unique(np.array(linked, np.int64))
+        return pa.table({"a": pa.array(linked), "b": pa.array(np.full(len(linked), key[0].as_py(), np.int64))})
+
+    return _with_set(loose, sets, "digest", "root", "full").groupBy("label", "i", "j").applyInArrow(run, "a long, b long")
 
-    return loose.join(sets, "node").groupBy("label", "i", "j").applyInArrow(run, "a long, b long")
+
+def _outsiders(pairs: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Texts, percent: int) -> DataFrame:
+    """Links (a, b) between labels: of outsiders (node, own label, label of the component that they are outside of), and of that component.
+
+    Either side is cut into chunks of about SIDE_BYTES of full sets.
+    """
+    # Both sides of a join by label are shuffled by the join itself, so a large component is split at run time.
+    keyed = lambda df: df.withColumn("at", F.xxhash64("label"))
+    facts = lambda df: keyed(df).withColumnRenamed("label", "_label")
+    size = nodes.select(F.col("node").alias("_node"), "n", "digest", "root")
+    known = lambda df: df.join(size, F.col("node") == F.col("_node")).drop("_node")
+    chunks = lambda name: F.ceil(F.sum("n") * 8 / SIDE_BYTES).cast("int").alias(name)
+    outer = checkpointed(known(pairs))
+    wanted = outer.groupBy("label").agg(chunks("is"))
+    inner = checkpointed(known(keyed(labels).join(facts(wanted), "at").where("label = _label").select("node", "label", "is")))
+    counts = facts(checkpointed(inner.groupBy("label", "is").agg(chunks("js"))))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    left = keyed(outer).join(counts, "at").where("label = _label").select("label", place("is").alias("i"), spread("js").alias("j"), F.lit(0).alias("side"), "own", "digest", "root")
+    right = keyed(inner).join(counts.drop("is"), "at").where("label = _label").select("label", spread("is").alias("i"), place("js").alias("j"), F.lit(1).alias("side"), F.col("label").alias("own"), "digest", "root")
+    return _against(left.unionByName(right), _sets(texts, outer.select("root").union(inner.select("root"))), percent)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
@@ -265,7 +328,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        that whole component, in chunks. So no pair of different components that shares a bucket goes
        uncompared, no group is in one task, and the pairs of one component are never listed.
     """
-    spark = docs.sparkSession
+    texts = Texts(docs, id_col, text_col, width)
     rows = checkpointed(signed(docs, id_col, text_col, width))
     known = rows.where(F.col("digest").isNotNull())
     nodes = known.groupBy("digest").agg(F.min("id").alias("root"), F.first("n").alias("n"), F.first("sig").alias("sig"))
@@ -277,15 +340,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # has in common: a large group meets a few pivots, not one for each band.
     turn = F.xxhash64(F.lit(7), F.col("band") % TURNS).bitwiseAND(F.lit((1 << 62) - 1))
     facts = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("band").alias("band"), F.min(F.col("node").bitwiseXOR(turn)).alias("turned")).where("m > 1")
-    facts = facts.select(F.xxhash64("key").alias("at"), F.col("key").alias("_key"), F.col("band").alias("in_band"), "m", F.col("turned").bitwiseXOR(turn).alias("pivot"))
-    shared = checkpointed(members.withColumn("at", F.xxhash64("key")).join(facts, "at").where("key = _key").select("key", F.col("in_band").alias("band"), "node", "m", "pivot"))
+    # A bitmap of the shared keys keeps most members that are alone in their bucket out of the join.
+    open_ = with_bit(members, F.col("key"), bitmap_of(facts, F.col("key")), "_open").where("_open").select("node", "key", F.xxhash64("key").alias("at"))
+    facts = facts.select(F.xxhash64("key").alias("at"), F.col("key").alias("_key"), "band", "m", F.col("turned").bitwiseXOR(turn).alias("pivot"))
+    shared = checkpointed(open_.join(facts, "at").where("key = _key").select("key", "band", "node", "m", "pivot"))
 
     stars = shared.where("node != pivot").select(*_ordered(F.col("node"), F.col("pivot"))).distinct()
     tried = checkpointed(_pruned(stars, nodes, percent, miss))
-    ends = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    whole = lambda some: _sets(docs, nodes.select("node", "root", "digest").join(some, "node"), id_col, text_col, width)
-    links = checkpointed(_confirmed(tried, whole(ends(tried)), percent))
-    labels = components(links)
+    labels = components(_confirmed(tried, texts, percent))
 
     of = shared.where("m > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     parts = of.groupBy("key", "m", "label").agg(F.count(F.lit(1)).alias("c"))
@@ -293,52 +355,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Where no two members are linked, no component stands out: none is left out of the blocks.
     linked = F.col("most") > 1
     mixed = mixed.select(F.xxhash64("key").alias("at"), F.col("key").alias("_key"), F.when(linked, F.col("main")).alias("main"), F.when(linked, F.col("most")).otherwise(0).alias("most"))
-    again = checkpointed(of.withColumn("at", F.xxhash64("key")).join(mixed, "at").where("key = _key").select("key", "band", "node", "m", "label", "main", "most"))
-    small = again.where(F.col("m") <= SMALL).select("key", "band", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "node", "label")
+    again = checkpointed(of.withColumn("at", F.xxhash64("key")).join(mixed, "at").where("key = _key").select("key", "band", "node", "m", "pivot", "label", "main", "most"))
+    columns = ["key", "band", "pivot", "i", "j", "side", "node", "label"]
+    small = again.where(F.col("m") <= SMALL).withColumns({c: F.lit(0) for c in ("i", "j", "side")}).select(*columns)
     large = again.where((F.col("m") > SMALL) & ~F.col("label").eqNullSafe(F.col("main")))
     count = F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     large = large.withColumn("blocks", count).withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocked = large.select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label")
-    grouped = small.unionByName(blocked).join(nodes.select("node", "n", "sig"), "node")
-    more = checkpointed(_within(grouped, percent, miss).join(tried, ["a", "b"], "left_anti"))
-    pairs = again.where((F.col("m") > SMALL) & (F.col("label") != F.col("main"))).select("node", F.col("main").alias("label")).distinct()
-    pairs = checkpointed(pairs)
-    found = links
-    if more.limit(1).count():
-        found = found.unionByName(_confirmed(more, whole(ends(more)), percent))
+    blocked = large.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other"), "side": (F.col("own") > F.col("other")).cast("int")}).select(*columns)
+    more = checkpointed(_within(small.unionByName(blocked).join(nodes, "node"), percent, miss))
+    pairs = again.where((F.col("m") > SMALL) & (F.col("label") != F.col("main"))).select("node", F.col("label").alias("own"), F.col("main").alias("label")).distinct()
+    found = [_confirmed(more, texts, percent)] if more.limit(1).count() else []
     if pairs.limit(1).count():
-        found = found.unionByName(_outsiders(pairs, labels, whole, percent))
-    final = components(found)
-
-    roots = nodes.join(final, "node", "left").select("digest", "root", F.coalesce("label", "node").alias("label"))
+        found.append(_outsiders(pairs, labels, nodes, texts, percent))
+    if found:
+        # Labels are joined by what was found between them. A label is a node's own number, or its component's least.
+        joined = components(reduce(DataFrame.unionByName, found))
+        renamed = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("_to")), "label", "left").select("node", F.coalesce("_to", "label").alias("label"))
+        labels = checkpointed(renamed.unionByName(joined.join(labels.select("node"), "node", "left_anti")))
+
+    roots = nodes.join(labels, "node", "left").select("digest", "root", F.coalesce("label", "node").alias("label"))
     least = roots.groupBy("label").agg(F.min("root").alias("component_id"))
     least = least.select(F.xxhash64("label").alias("at"), F.col("label").alias("_label"), "component_id")
     named = roots.withColumn("at", F.xxhash64("label")).join(least, "at").where("label = _label").select(F.col("digest").alias("_digest"), "component_id")
-    joined = known.join(named, F.col("digest") == F.col("_digest")).select("id", F.col("n").alias("n_shingles"), "component_id")
+    whole = known.join(named, F.col("digest") == F.col("_digest")).select("id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.where(F.col("digest").isNull()).select("id", F.lit(0).cast("long").alias("n_shingles"), F.col("id").alias("component_id"))
-    out = joined.unionByName(alone).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    out = whole.unionByName(alone).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
     return out.withColumnRenamed("id", id_col)
 
 
-
-def _outsiders(pairs: DataFrame, labels: DataFrame, whole, percent: int) -> DataFrame:
-    """Links between outsiders (node, label of the component that they are outside of) and that component's members."""
-    chunk = 2 * BLOCK
-    # Both sides of a join by label are shuffled by the join itself, so a large component is split at run time.
-    keyed = lambda df: df.withColumn("at", F.xxhash64("label"))
-    facts = lambda df: keyed(df).withColumnRenamed("label", "_label")
-    outer = pairs.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("is"))
-    inner = checkpointed(keyed(labels).join(facts(outer), "at").where("label = _label").select("node", "label", "is"))
-    counts = facts(checkpointed(inner.groupBy("label", "is").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("js"))))
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    left = keyed(pairs).join(counts, "at").where("label = _label").select("label", place("is").alias("i"), spread("js").alias("j"), F.lit(0).alias("side"), "node")
-    right = keyed(inner).join(counts.drop("is"), "at").where("label = _label").select("label", spread("is").alias("i"), place("js").alias("j"), F.lit(1).alias("side"), "node")
-    both = checkpointed(left.unionByName(right))
-    return _against(both, whole(both.select("node").distinct()), percent)
-
-
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share at least 80 % of their two-word shingles."""
     return near_duplicates(read(spark, sf_dir, "documents"), width=2)

@@ -97,10 +97,12 @@ def test_least_matches_follow_the_posterior():
     assert list(least) == sorted(least) and least[-1] < 0.8 * near_dedup.HASHES
     rng = np.random.default_rng(2)
     same = rng.random((20_000, near_dedup.HASHES)) < 0.8
-    kept = near_dedup.plausible(np.where(same, 1, 2), np.ones_like(same, dtype=int), 80, 1e-5)
+    x = np.arange(len(same))
+    kept = near_dedup.plausible(np.vstack([np.where(same, 1, 2), np.ones((1, near_dedup.HASHES), int)]), x, np.full(len(x), len(x)), 80, 1e-5)
     assert kept.mean() > 0.999
     far = rng.random((2000, near_dedup.HASHES)) < 0.5
-    assert near_dedup.plausible(np.where(far, 1, 2), np.ones_like(far, dtype=int), 80, 1e-5).mean() < 0.01
+    x = np.arange(len(far))
+    assert near_dedup.plausible(np.vstack([np.where(far, 1, 2), np.ones((1, near_dedup.HASHES), int)]), x, np.full(len(x), len(x)), 80, 1e-5).mean() < 0.01
 
 
 def test_signatures_estimate_similarity():
