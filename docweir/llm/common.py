@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Bits of a survivor bitmap: 4 MiB however many rows there are, so broadcasting it is bounded.
-BITMAP_BITS = 1 << 25
+#: Bits of a survivor bitmap: 4 MiB, or what keeps it sparse for more keys, up to 128 MiB, so broadcasting it is bounded.
+BITMAP_BITS, MOST_BITS = 1 << 25, 1 << 30
 _PAGE_BITS = 32768  # of bitmap_construct_agg
 
 
@@ -24,18 +24,34 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one is made only where none is configured."""
+    """The folder that driver and executors share; one is made only where none is configured and all run on one machine."""
     context = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
         if context._jsc.sc().getCheckpointDir().isDefined():
             return context._jsc.sc().getCheckpointDir().get()
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="docweir-checkpoint-")
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(where)
     return where
 
 
+def qualified(spark: SparkSession, where: str) -> str:
+    """A folder's full URI: a bare path lies in the cluster's default file system, not on each machine's own disk."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    return f"file://{full.removeprefix('file:')}" if full.startswith("file:/") and not full.startswith("file://") else full
+
+
+def remove(spark: SparkSession, *where: str) -> None:
+    """Deletes folders or files that were written on the way, where they are."""
+    for name in where:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of df, written once to the shared folder and read from there ever after."""
     shared_dir(df.sparkSession)
@@ -53,6 +69,11 @@ def id_crc(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+def bits_for(keys: int) -> int:
+    """Bits of a bitmap that so many keys leave sparse, as far as the bound allows."""
+    return min(MOST_BITS, max(BITMAP_BITS, 1 << (16 * keys).bit_length()))
+
+
 def bitmap_of(keys: DataFrame, key: Column, bits: int = BITMAP_BITS) -> DataFrame:
     """Fixed-size bitmap of hashed keys: at most bits / 32768 rows of 4 KiB (page, bitmap)."""
     at = F.pmod(F.xxhash64(key), F.lit(bits))

@@ -29,16 +29,23 @@ class Encoder:
     """Ids of texts, the same as tokenizers' encode(text, add_special_tokens=False).
 
     Where the file is a plain byte-level BPE whose ids rank its merges, tiktoken's engine runs the
-    same vocabulary (several times faster); a probe checks that both agree. Else tokenizers runs it.
+    same vocabulary (several times faster); a probe checks that both agree. Else tokenizers runs it,
+    and so it does for a text with a run of white space that is longer than the engine's pattern can
+    go back over.
     """
 
+    #: White space in a row that the engine is given; it fails from about 700,000 on.
+    _LONGEST = 100_000
+
     _PROBE = "It's  a probe:\n\n\t naïve façade, 12345 €9 — don't!   日本語   x"
 
     def __init__(self, path: str) -> None:
         import tokenizers
 
+        self._path = path
         self._slow = tokenizers.Tokenizer.from_file(path)
         self._fast = None
+        self.size = max(self._slow.get_vocab(with_added_tokens=True).values()) + 1
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
         level = model.get("pre_tokenizer") or {}
@@ -60,9 +67,28 @@ class Encoder:
         encoding = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
         return lambda text: encoding.encode(text, allowed_special="all")
 
+    def _blank_run(self, text: str) -> bool:
+        """Whether a run of white space may be too long: one spans at least one of the places looked at."""
+        step = self._LONGEST
+        for at in range(step - 1, len(text), step):
+            if text[at].isspace():
+                lo, hi = at, at
+                while lo > max(0, at - step) and text[lo - 1].isspace():
+                    lo -= 1
+                while hi < min(len(text), at + step) and text[hi].isspace():
+                    hi += 1
+                if hi - lo >= step:
+                    return True
+        return False
+
     def __call__(self, text: str) -> np.ndarray:
-        ids = self._fast(text) if self._fast is not None else self._slow.encode(text, add_special_tokens=False).ids
-        return np.array(ids, np.uint32)
+        if self._fast is not None and not self._blank_run(text):
+            return np.array(self._fast(text), np.uint32)
+        if self._slow is None:
+            import tokenizers
+
+            self._slow = tokenizers.Tokenizer.from_file(self._path)
+        return np.array(self._slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 @cache
