@@ -8,20 +8,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from docweir.llm.common import read, shared_dir, tidy
+from docweir.llm.common import qualified, read, remove, shared_dir, tidy
 from docweir.llm.tokens import default_path, encoder
 
 #: Tokens of a sequence, the id that ends a document, and the permutation's key.
 LENGTH, END, KEY = 256, 50256, 0x5EED
 ROUNDS = 6
-#: Largest id that 16 bits hold.
-MOST = 0xFFFF
-#: Bytes of text that a shard holds, about.
+#: Bytes of a shard, about; a task holds one.
 SHARD_BYTES = 64 << 20
+#: Bytes of ids that a task gathers before it sends them on, by shard.
+GATHER = 16 << 20
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
@@ -51,135 +52,196 @@ def permute(index: np.ndarray, size: int, key: int = KEY, rounds: int = ROUNDS)
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, id_col: str, text_col: str, length: int, path: str, end: int, low: int, spare: int, per_doc: int, size: int, shards: int, key: int) -> DataFrame:
-    """Rows (id, piece, point, shard, ids): each document's ids and the end id, cut from the front."""
+def stored_ids(docs: DataFrame, id_col: str, text_col: str, length: int, path: str, end: int) -> DataFrame:
+    """Rows (part, id, first, ids) of each document's ids and the end id: part is the task, first how many sequences it made before."""
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode, part, made = encoder(path), TaskContext.get().partitionId(), 0
+        kind = id_type(encode.size, end)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                which, piece, payload = [], [], []
-                for i, text in enumerate(batch.column(1).to_pylist()):
-                    ids = np.append(encode(text or ""), np.uint32(end))
-                    if ids.max() > MOST:
-                        raise ValueError(f"id {ids.max()} doesn't fit a shard; ids up to {MOST} do")
-                    ids = ids.astype("<u2")
-                    for k, lo in enumerate(range(0, len(ids), length)):
-                        which.append(i)
-                        piece.append(k)
-                        payload.append(ids[lo : lo + length].tobytes())
-                own = batch.column(0).take(pa.array(which, pa.int64()))
-                base = np.array([spare if i is None else i - low for i in own.to_pylist()], np.uint64)
-                point = permute(base * np.uint64(per_doc) + np.array(piece, np.uint64), size, key)
-                shard = np.minimum(shards - 1, (point.astype(np.float64) / size * shards).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([own, pa.array(piece, pa.int32()), pa.array(point), pa.array(shard), pa.array(payload, pa.binary())], names=["id", "piece", "point", "shard", "ids"])
+                first, payload = [], []
+                for text in batch.column(1).to_pylist():
+                    ids = np.append(encode(text or ""), np.uint32(end)).astype(kind)
+                    first.append(made)
+                    payload.append(ids.tobytes())
+                    made += -(-len(ids) // length)
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), batch.column(0), pa.array(first, pa.int64()), pa.array(payload, pa.binary())], names=["part", "id", "first", "ids"])
 
-    return narrow.mapInArrow(tidy(run), f"id {dict(narrow.dtypes)['id']}, piece int, point long, shard int, ids binary")
+    return narrow.mapInArrow(tidy(run), f"part int, id {dict(narrow.dtypes)['id']}, first long, ids binary")
 
 
-def shard_name(shard: int) -> str:
-    return f"shard-{shard:06d}.bin"
+def id_type(size: int, end: int) -> np.dtype:
+    """What stores an id of a vocabulary of size ids, and the end id: 16 bits where they hold all."""
+    return np.dtype("<u2") if max(size - 1, end) <= 0xFFFF else np.dtype("<u4")
+
+
+def dealt(stored: DataFrame, before: dict[int, int], size: int, per_shard: int, length: int, width: int, key: int) -> DataFrame:
+    """Rows (shard, ids, pieces, slots, payload): stored sequences by the shard that the permutation of their numbers assigns.
+
+    Sequence j of a task has number before[task] + j. Sequences that a task sends to the same shard
+    are compressed together, GATHER bytes of ids at a time at most besides one document's.
+    """
+    kind = dict(stored.dtypes)["id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        held: list[tuple] = []
+        waiting = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            owners = pa.concat_arrays([h[0] for h in held])
+            piece, slot, size_ = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
+            body = [x for h in held for x in h[4]]
+            shard = slot // per_shard
+            order = np.lexsort((slot, shard))
+            edges = [0, *(np.flatnonzero(np.diff(shard[order])) + 1).tolist(), len(order)]
+            for lo, hi in zip(edges, edges[1:]):
+                some = order[lo:hi]
+                lists = [pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), values) for values in (owners.take(pa.array(some)), pa.array(piece[some], pa.int32()), pa.array(slot[some]), pa.array(size_[some], pa.int32()))]
+                yield pa.RecordBatch.from_arrays([pa.array([int(shard[some[0]])], pa.int64()), *lists, pa.array([packer.compress(b"".join(body[k] for k in some.tolist()))], pa.binary())], names=["shard", "ids", "pieces", "slots", "sizes", "payload"])
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                which, piece, number, sizes, body = [], [], [], [], []
+                for i, (part, first, raw) in enumerate(zip(batch.column("part").to_pylist(), batch.column("first").to_pylist(), batch.column("ids"))):
+                    raw = memoryview(raw.as_buffer())
+                    n = -(-len(raw) // (width * length))
+                    which += [i] * n
+                    piece += range(n)
+                    number += range(before[part] + first, before[part] + first + n)
+                    cut = [bytes(raw[lo : lo + width * length]) for lo in range(0, len(raw), width * length)]
+                    sizes += [len(x) // width for x in cut]
+                    body += cut
+                held.append((batch.column("id").take(pa.array(which, pa.int64())), np.array(piece, np.int64), permute(np.array(number, np.uint64), size, key), np.array(sizes, np.int64), body))
+                waiting += sum(map(len, body))
+                if waiting >= GATHER:
+                    yield from flush()
+                    held, waiting = [], 0
+        if held:
+            yield from flush()
+
+    return stored.mapInArrow(tidy(run), f"shard long, ids array<{kind}>, pieces array<int>, slots array<long>, sizes array<int>, payload binary")
 
 
 def _filesystem(where: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(where if "://" in where or where.startswith("file:") else f"file://{where}")
+    return fs.FileSystem.from_uri(where)
 
 
-def read_shard(where: str, shard: int, length: int = LENGTH, start: int = 0) -> Iterator[np.ndarray]:
-    """The sequences of a shard in training order, from place start on: one seek, then sequential reading."""
+def read_shard(where: str, file: str, length: int = LENGTH, start: int = 0, width: int = 2) -> Iterator[np.ndarray]:
+    """The sequences of a shard's file in training order, from place start on: one seek, then sequential reading."""
     system, folder = _filesystem(where)
-    stride = 2 * (length + 1)
-    with system.open_input_file(f"{folder}/{shard_name(shard)}") as file:
-        file.seek(start * stride)
-        while block := file.read(stride * 1024):
-            table = np.frombuffer(block, "<u2").reshape(-1, length + 1)
+    stride = width * (length + 1)
+    with system.open_input_file(f"{folder}/{file}") as source:
+        source.seek(start * stride)
+        while block := source.read(stride * 1024):
+            table = np.frombuffer(block, f"<u{width}").reshape(-1, length + 1)
             for row in table:
                 yield row[1 : 1 + int(row[0])]
 
 
-def _write(rows: DataFrame, where: str, length: int) -> DataFrame:
-    """Writes the sorted rows of each shard, reads the file back, and returns what it holds."""
-    stride = 2 * (length + 1)
+def _write(rows: DataFrame, where: str, size: int, per_shard: int, length: int, width: int) -> DataFrame:
+    """Writes each shard in the order of its slots, reads the file back, and returns what it holds.
+
+    Every try writes a file of its own name, and only the one that the manifest names counts; so
+    neither a second try nor a lost executor can disturb what another reads.
+    """
+    stride = width * (length + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = _filesystem(where)
         system.create_dir(folder, recursive=True)
-        shard, out, part, facts = None, None, "", []
+        unpacker = zstandard.ZstdDecompressor()
+        now, table, facts = None, None, []
 
         def close() -> Iterator[pa.RecordBatch]:
-            out.close()
-            target = f"{folder}/{shard_name(shard)}"
-            if system.get_file_info(target).is_file:  # of an earlier try, with the same bytes; some stores don't move onto files
-                system.delete_file(target)
-            system.move(part, target)  # whole or absent, however often a task is tried
-            place = 0
-            stored = read_shard(where, shard, length)
-            for ids, pieces in facts:
-                got = [next(stored) for _ in range(len(pieces))]
-                yield pa.RecordBatch.from_arrays([ids, pieces, pa.array([shard] * len(got), pa.int32()), pa.array(range(place, place + len(got)), pa.int64()), pa.array([len(x) for x in got], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in got], pa.int64())], names=["id", "piece", "shard", "place", "length", "ids_crc32"])
-                place += len(got)
+            name = f"shard-{now:08d}-{uuid.uuid4().hex}.bin"
+            with system.open_output_stream(f"{folder}/{name}") as out:
+                out.write(table)
+            owners, pieces = pa.concat_arrays([f[0] for f in facts]), np.concatenate([f[1] for f in facts])
+            places = np.concatenate([f[2] for f in facts])
+            order = np.argsort(places)
+            owners, pieces = owners.take(pa.array(order)), pa.array(pieces[order], pa.int32())
+            stored = read_shard(where, name, length, 0, width)
+            for lo in range(0, len(order), 4096):
+                got = [next(stored) for _ in range(min(4096, len(order) - lo))]
+                place = np.arange(lo, lo + len(got))
+                columns = [owners.slice(lo, len(got)), pieces.slice(lo, len(got)), pa.array([now] * len(got), pa.int64()), pa.array([name] * len(got)), pa.array(place), pa.array(place + now * per_shard), pa.array([len(x) for x in got], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in got], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "piece", "shard", "file", "place", "slot", "length", "ids_crc32"])
 
         for batch in batches:
-            numbers = batch.column("shard").to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
-            for lo, hi in zip(edges, edges[1:]):
-                if lo == hi:
-                    continue
-                if shard != numbers[lo]:
-                    if out is not None:
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                if shard != now:
+                    if now is not None:
                         yield from close()
-                    shard, facts = int(numbers[lo]), []
-                    part = f"{folder}/.{shard_name(shard)}.{uuid.uuid4().hex}"
-                    out = system.open_output_stream(part)
-                block = np.zeros((hi - lo, length + 1), "<u2")
-                for i, raw in enumerate(batch.column("ids").slice(lo, hi - lo).to_pylist()):
-                    block[i, 0] = len(raw) // 2
-                    block[i, 1 : 1 + len(raw) // 2] = np.frombuffer(raw, "<u2")
-                out.write(block.tobytes())
-                facts.append((batch.column("id").slice(lo, hi - lo), batch.column("piece").slice(lo, hi - lo)))
-        if out is not None:
+                    now, facts = shard, []
+                    table = np.zeros((min(per_shard, size - shard * per_shard), length + 1), f"<u{width}")
+                owners, pieces, slots, sizes = (batch.column(c)[i].values for c in ("ids", "pieces", "slots", "sizes"))
+                pieces, places, sizes = pieces.to_numpy(), slots.to_numpy() - shard * per_shard, sizes.to_numpy()
+                ids = np.frombuffer(unpacker.decompress(batch.column("payload")[i].as_py()), f"<u{width}")
+                inside = np.arange(length) < sizes[:, None]
+                block = np.zeros((len(sizes), length + 1), f"<u{width}")
+                block[:, 0] = sizes
+                block[:, 1:][inside] = ids
+                table[places] = block
+                facts.append((owners, pieces, places))
+        if now is not None:
             yield from close()
 
-    kind = dict(rows.dtypes)["id"]
-    return rows.select("id", "piece", "shard", "ids").mapInArrow(tidy(run), f"id {kind}, piece int, shard int, place long, length long, ids_crc32 long")
+    kind = dict(rows.dtypes)["ids"].removeprefix("array<").removesuffix(">")
+    return rows.mapInArrow(tidy(run), f"id {kind}, piece int, shard long, file string, place long, slot long, length long, ids_crc32 long")
 
 
 def materialise(docs: DataFrame, where: str | None = None, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, path: str | None = None, end: int = END, key: int = KEY, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Writes every document's sequences in training order; one row per sequence: id, piece, length, shard, place, byte_offset, slot, ids_crc32.
-
-    A sequence's point is the permutation of (id, piece) over all ids and pieces that there could be,
-    so it depends on nothing but the key, the ids' range and the longest text: the order survives
-    any repartitioning or retry. A shard takes an equal range of points. Sequences stand in it in
-    the order of their points, each at place * stride bytes; slot is the place in the whole order.
-    Ids must be integers and lie in a range that, times the most pieces of a document, is at most 2^62;
-    null ids share a point, as do repeated ones, and stand next to each other. A null text is empty,
-    which is the end id alone. A token id above MOST is an error. An empty table writes nothing. Other columns are not read.
-
-    One shuffle carries the ids; where is a folder that all executors reach. What was written is kept
-    beside it, in where-manifest.
+    """Writes every document's sequences in training order; one row per sequence: id, piece, length, shard, file, place, byte_offset, slot, ids_crc32.
+
+    A document's ids and the end id are cut from the front into sequences of length ids. Sequences
+    are numbered from 0 to N - 1: by the task that made them, from per-task totals, and in it in
+    turn. A sequence's slot is the keyed permutation of its number over 0 .. N - 1; a shard takes an
+    equal range of slots, and a sequence stands in its shard at place * stride bytes. The order
+    depends on the key and on the order of the rows alone, not on retries. Ids may be of any type, null or repeated.
+    A null text is empty, which is the end id alone. Vocabularies that 16 bits don't hold are stored
+    in 32. An empty table writes nothing. Other columns are not read.
+
+    N must be known before any slot is, so ids are made once and stored compressed (where-ids), and
+    one shuffle carries them, compressed again, to their shards. where is a folder that all executors
+    reach, by Spark and by pyarrow; what was written is kept beside it in where-manifest, which names
+    the files that count. Others, which tries that failed have left, are removed, and so is where-ids.
     """
     spark = docs.sparkSession
     path = path or default_path()
-    where = where or f"{shared_dir(spark).rstrip('/')}/training-order-{uuid.uuid4().hex}"
-    bytes_ = F.coalesce(F.octet_length(text_col), F.lit(0))
-    low, high, longest, total = docs.agg(F.min(id_col), F.max(id_col), F.max(bytes_), F.sum(bytes_.cast("long"))).first()
-    low, high, longest, total = low or 0, high or 0, longest or 0, total or 0
-    per_doc = longest // length + 1  # an id stands for a byte or more
-    size = (high - low + 2) * per_doc
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes), 1)
-    cut = sequences(docs, id_col, text_col, length, path, end, low, high - low + 1, per_doc, size, shards, key)
-    ordered = cut.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "point", "id", "piece")
-    manifest = f"{where.rstrip('/')}-manifest"
-    _write(ordered, where, length).write.mode("overwrite").parquet(manifest)
-    written = spark.read.parquet(manifest)
-    counts = written.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-    first = counts.select("shard", F.coalesce(F.sum("n").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    out = written.join(first, "shard")
-    return out.select(F.col("id").alias(id_col), "piece", "length", "shard", "place", (F.col("place") * (2 * (length + 1))).alias("byte_offset"), (F.col("first") + F.col("place")).alias("slot"), "ids_crc32")
+    where = qualified(spark, where or f"{shared_dir(spark)}/training-order-{uuid.uuid4().hex}")
+    width = id_type(encoder(path).size, end).itemsize
+    stored_ids(docs, id_col, text_col, length, path, end).write.mode("overwrite").option("compression", "zstd").parquet(f"{where}-ids")
+    stored = spark.read.parquet(f"{where}-ids")
+    # One row for each task that read a part of the table.
+    last = F.max(F.col("first") + F.ceil(F.octet_length("ids") / (width * length)).cast("long")).alias("n")
+    before, size = {}, 0
+    for part, n in sorted(stored.groupBy("part").agg(last).collect()):
+        before[part] = size
+        size += n
+    per_shard = max(1, min(shard_bytes // (width * (length + 1)), -(-size // int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    shards = max(1, -(-size // per_shard))
+    routed = dealt(stored, before, max(1, size), per_shard, length, width, key).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard")
+    _write(routed, where, size, per_shard, length, width).write.mode("overwrite").parquet(f"{where}-manifest")
+    out = spark.read.parquet(f"{where}-manifest")
+    remove(spark, f"{where}-ids", *(f"{where}/{name}" for name in left_over(out, where)))
+    return out.select(F.col("id").alias(id_col), "piece", "length", "shard", "file", "place", (F.col("place") * (width * (length + 1))).alias("byte_offset"), "slot", "ids_crc32")
+
+
+def left_over(written: DataFrame, where: str) -> list[str]:
+    """Files of a folder that no row of its manifest names, which tries that failed have left; one name a shard is compared."""
+    from pyarrow import fs
+
+    system, folder = _filesystem(where)
+    counted = {r[0] for r in written.select("file").distinct().collect()}
+    return sorted(x.base_name for x in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if x.base_name not in counted)
 
 
 def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,11 +23,22 @@ def slow():
 
 def test_ids_are_those_of_tokenizers(slow, spark, small):
     encode = tokens.encoder(PATH)
-    texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").limit(60).collect()] + [r[1] or "" for r in ROWS if len(r[1] or "") < 9000] + ["a<|endoftext|>b", "  \n\n x", "ẞß İi"]
+    texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").limit(60).collect()] + [r[1] or "" for r in ROWS] + ["a<|endoftext|>b", "  \n\n x", "ẞß İi"]
     for text in texts:
         assert encode(text).tolist() == slow.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "a" + "\n" * 800_000 + " b", ("word " * 30_000 + "\t" * 250_000) * 2, "x" * 300_000, "!" * 300_000, " " * 99_999 + "x"], ids=["blanks", "lines", "tabs", "letters", "marks", "just short"])
+def test_long_runs_have_the_same_ids(slow, text):
+    assert tokens.encoder(PATH)(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
+def test_long_runs_are_packed(spark, edge):
+    text = "a" + " " * 1_000_000 + "b"
+    rows = packing.pack(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert sum(r.length for r in rows) == len(tokens.encoder(PATH)(text)) + 1
+
+
 def expected(slow, capacity):
     out = Counter()
     for r in ROWS:
@@ -108,35 +119,58 @@ def test_permutation_bounds():
         training_order.permute(np.array([0]), 0)
 
 
-def test_shards_hold_the_order(slow, edge, tmp_path):
-    where = f"file://{tmp_path}/order"
-    rows = training_order.materialise(edge, where, length=64).collect()
-    want = Counter()
-    for r in ROWS:
+def want(slow, rows, length):
+    """(id, piece, ids) of every sequence in the order of the rows."""
+    for r in rows:
         ids = [*slow.encode(r[1] or "", add_special_tokens=False).ids, 50256]
-        for k, a in enumerate(range(0, len(ids), 64)):
-            want[r[0], k, tuple(ids[a : a + 64])] += 1
-    assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    shards = defaultdict(list)
+        for k, a in enumerate(range(0, len(ids), length)):
+            yield r[0], k, tuple(ids[a : a + length])
+
+
+def stored(where, rows, length, width=2):
+    """(id, piece, ids) of every slot, read back from the shards' files."""
+    out, files = {}, defaultdict(list)
     for r in rows:
-        shards[r.shard].append(r)
-    got = Counter()
-    for shard, found in shards.items():
+        files[r.shard, r.file].append(r)
+    assert len(files) == len({shard for shard, _ in files})
+    for (_, file), found in files.items():
         found.sort(key=lambda r: r.place)
-        stored = list(training_order.read_shard(where, shard, 64))
-        assert [r.place for r in found] == list(range(len(stored)))
-        assert [x.tolist() for x in training_order.read_shard(where, shard, 64, start=2)] == [x.tolist() for x in stored[2:]]
-        for r, ids in zip(found, stored):
-            assert r.ids_crc32 == zlib.crc32(ids.astype("<u4").tobytes()) and r.byte_offset == r.place * 130
-            got[r.doc_id, r.piece, tuple(ids.tolist())] += 1
-    assert got == want
-
-
-def test_order_does_not_depend_on_partitions(edge, tmp_path):
-    key = lambda rows: {(r.doc_id, r.piece, r.ids_crc32): r.slot for r in rows if r.doc_id not in (None, 8)}
-    one = training_order.materialise(edge, f"file://{tmp_path}/a", length=64).collect()
-    two = training_order.materialise(edge.repartition(3, "n_chars"), f"file://{tmp_path}/b", length=64).collect()
+        ids = list(training_order.read_shard(where, file, length, 0, width))
+        assert [r.place for r in found] == list(range(len(ids)))
+        assert [x.tolist() for x in training_order.read_shard(where, file, length, 2, width)] == [x.tolist() for x in ids[2:]]
+        for r, x in zip(found, ids):
+            assert r.ids_crc32 == zlib.crc32(x.astype("<u4").tobytes()) and r.byte_offset == r.place * width * (length + 1) and r.length == len(x)
+            out[r.slot] = (r.doc_id, r.piece, tuple(x.tolist()))
+    return out
+
+
+def test_every_slot_is_the_permutation_of_a_number(slow, edge, tmp_path):
+    where = f"file://{tmp_path}/order"
+    rows = training_order.materialise(edge.coalesce(1), where, length=64).collect()
+    found, given = stored(where, rows, 64), list(want(slow, ROWS, 64))
+    slots = training_order.permute(np.arange(len(given)), len(given)).tolist()
+    assert found == dict(zip(slots, given)) and len({r.shard for r in rows}) == 4
+    assert {p.name for p in (tmp_path / "order").iterdir() if p.suffix != ".crc"} == {r.file for r in rows} and not (tmp_path / "order-ids").exists()
+
+
+def test_any_ids_and_many_tasks(slow, spark, tmp_path):
+    rows = [(None if i % 50 == 0 else "hot" if i % 3 else f"id-{i}", f"text number {i} " * (i % 40)) for i in range(400)]
+    where = f"file://{tmp_path}/order"
+    got = training_order.materialise(spark.createDataFrame(rows, "doc_id string, text string").repartition(7), where, length=32, shard_bytes=4096).collect()
+    found = stored(where, got, 32)
+    assert sorted(found) == list(range(len(got))) and Counter(found.values()) == Counter(want(slow, rows, 32))
+    counts = Counter(r.shard for r in got)
+    assert all(n == 4096 // 66 for shard, n in counts.items() if shard < max(counts))
+
+
+def test_files_of_failed_tries_go(edge, tmp_path):
+    where = f"file://{tmp_path}/order"
+    key = lambda rows: {(r.slot, r.doc_id, r.piece, r.ids_crc32) for r in rows}
+    one = training_order.materialise(edge, where, length=64).collect()
+    (tmp_path / "order" / "shard-00000000-failed.bin").write_bytes(b"half")
+    two = training_order.materialise(edge, where, length=64).collect()
     assert key(one) == key(two)
+    assert {p.name for p in (tmp_path / "order").iterdir() if p.suffix != ".crc"} == {r.file for r in two}
 
 
 def test_empty_order(nothing, tmp_path):
@@ -150,24 +184,28 @@ def test_random_lengths_fill_well():
     assert best.max() + 1 <= math.ceil(sizes.sum() / 1024) * 1.01 + 1
 
 
-def test_a_second_try_writes_the_same_shards(edge, tmp_path):
-    where = f"file://{tmp_path}/twice"
-    bytes_ = lambda: {p.name: p.read_bytes() for p in (tmp_path / "twice").iterdir()}
-    training_order.materialise(edge.where("doc_id is not null and doc_id <> 8"), where, length=64).count()
-    first = bytes_()
-    training_order.materialise(edge.where("doc_id is not null and doc_id <> 8"), where, length=64).count()
-    assert bytes_() == first and all(n.startswith("shard-") for n in first)
-
-
-def test_ids_over_16_bits_are_refused(spark, edge, tmp_path):
+def test_ids_over_16_bits_take_32(spark, tmp_path):
     from tokenizers.models import WordLevel
 
     path = f"{tmp_path}/large.json"
     Tokenizer(WordLevel({"[UNK]": 0, "most": 65_535, "over": 65_536}, unk_token="[UNK]")).save(path)
-    for i, (text, end, fits) in enumerate([("most", 65_535, True), ("over", 2, False), ("most", 65_536, False)]):
-        write = lambda: training_order.materialise(spark.createDataFrame([(1, text)], "doc_id long, text string"), f"file://{tmp_path}/{i}", path=path, end=end)  # noqa: B023, E731
-        if fits:
-            assert write().first().ids_crc32 == zlib.crc32(np.array([65_535, end], "<u4").tobytes())
-        else:
-            with pytest.raises(Exception, match="doesn't fit a shard"):
-                write()
+    where = f"file://{tmp_path}/wide"
+    rows = training_order.materialise(spark.createDataFrame([(1, "most"), (2, "over")], "doc_id long, text string"), where, path=path, end=70_000).collect()
+    assert sorted(stored(where, rows, training_order.LENGTH, 4).values()) == [(1, 0, (65_535, 70_000)), (2, 0, (65_536, 70_000))]
+
+
+def test_pair_fits_fill_bins():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 1024, 20_000)
+    bins = packing.pair_fit(sizes, 1024, rng)
+    fill = np.bincount(bins, sizes)
+    assert fill.max() <= 1024 and len(np.unique(bins)) == len(fill) and (fill == 1024).mean() > 0.85
+
+
+def test_evolution_saves_bins_over_best_fit():
+    """Many large items: best fit by size leaves gaps that whole bins of pair fits don't."""
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(200, 700, 6000)
+    bins, room = np.empty(len(sizes), np.int64), []
+    packing.best_fit(np.argsort(-sizes, kind="stable"), sizes, bins, room, 1024)
+    assert packing.evolve(sizes, [], 1024, np.random.default_rng(0)).max() + 1 < len(room)
