@@ -16,7 +16,7 @@ from docweir.llm.tokens import default_path, encoder
 
 CAPACITY, END = 1024, 2
 #: Items of a block, which is what one ring of islands packs.
-BLOCK = 2048
+BLOCK = 1 << 15
 ISLANDS, POPULATION, GENERATIONS = 2, 5, 10
 #: Bins less full than this are dissolved once and their items packed anew together.
 REPACK = 0.985
@@ -54,6 +54,46 @@ def best_fit(order: np.ndarray, sizes: np.ndarray, bins: np.ndarray, room: list[
             mask |= 1 << free
 
 
+def pair_fit(sizes: np.ndarray, capacity: int, rng: np.random.Generator) -> np.ndarray:
+    """A packing of whole bins: each is opened by the largest item left, and closed by the one or the two items that fill it exactly.
+
+    Which pair is chance. Where none does, the largest item that fits goes in, and the search goes on.
+    """
+    stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
+    for item in rng.permutation(len(sizes)).tolist():
+        stacks[int(sizes[item])].append(item)
+    count = np.bincount(sizes, minlength=capacity + 1)
+    bins, b = np.empty(len(sizes), np.int64), -1
+
+    def put(size: int) -> int:
+        count[size] -= 1
+        bins[stacks[size].pop()] = b
+        return size
+
+    for largest in np.flatnonzero(count)[::-1].tolist():
+        while count[largest]:
+            b += 1
+            room = capacity - put(largest)
+            while room:
+                if count[room]:
+                    room -= put(room)
+                    break
+                half = room // 2
+                pairs = (count[1 : half + 1] > 0) & (count[room - half : room][::-1] > 0)
+                if 2 * half == room and half and count[half] < 2:
+                    pairs[half - 1] = False
+                found = np.flatnonzero(pairs)
+                if len(found):
+                    one = int(found[rng.integers(len(found))]) + 1
+                    put(one), put(room - one)
+                    break
+                fits = np.flatnonzero(count[: room + 1])
+                if not len(fits):
+                    break
+                room -= put(int(fits[-1]))
+    return bins
+
+
 def fitness(bins: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[int, float]:
     """More is better: fewer bins first, then the mean square of how full they are."""
     fill = np.bincount(bins, sizes) / capacity
@@ -91,20 +131,24 @@ def mutate(one: np.ndarray, sizes: np.ndarray, capacity: int, rng: np.random.Gen
 
 
 def evolve(sizes: np.ndarray, seeds: list[np.ndarray], capacity: int, rng: np.random.Generator, population: int = POPULATION, generations: int = GENERATIONS) -> np.ndarray:
-    """The best packing that a small steady-state population finds, from seeds (packings) and best fits in random orders.
+    """The best packing that a small steady-state population finds, from seeds (packings), best fits in random orders and pair fits.
 
     It ends early at the bound that no packing can beat. The first individual is best fit by
-    decreasing size, so the result is never worse than that.
+    decreasing size, so the result is never worse than that. Pair fits bring bins that are full, which
+    crossover spreads; what it displaces is best-fitted.
     """
     bound = -(-int(sizes.sum()) // capacity)
     people = list(seeds)
     noise = 0.0
     while len(people) < population:
-        bins, room = np.empty(len(sizes), np.int64), []
-        best_fit(np.argsort(-sizes * (1 + noise * rng.random(len(sizes))), kind="stable"), sizes, bins, room, capacity)
+        if (len(people) - len(seeds)) % 2:
+            bins = pair_fit(sizes, capacity, rng)
+        else:
+            bins, room = np.empty(len(sizes), np.int64), []
+            best_fit(np.argsort(-sizes * (1 + noise * rng.random(len(sizes))), kind="stable"), sizes, bins, room, capacity)
+            noise = noise * 1.5 + 0.05
         people.append(bins)
-        noise = noise * 1.5 + 0.05
-        if len(room) == bound:
+        if int(bins.max(initial=-1)) + 1 == bound:
             break
     scored = sorted(((fitness(p, sizes, capacity), i, p) for i, p in enumerate(people)), key=lambda x: x[:2], reverse=True)
     born = len(people)
