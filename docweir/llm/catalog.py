@@ -19,5 +19,6 @@ QUERIES = {
 
 SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op5_mixing": mixing.SQL,
     "op7_near_dedup": near_dedup.SQL,
 }

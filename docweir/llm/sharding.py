@@ -15,6 +15,11 @@ from docweir.llm.common import checkpointed, read
 SHARDS, OVERHEAD = 24, 8
 
 
+def cut_points(total: int, shards: int) -> np.ndarray:
+    """Twice the places where shards 1, 2, ... begin among total bytes, rounded up: what is at or beyond cut k is in shard k + 1 or later."""
+    return np.array([-(-2 * total * k // shards) for k in range(1, shards)], np.int64)
+
+
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", overhead: int = OVERHEAD) -> DataFrame:
     """One row per row of docs: id, size, text_crc32, shard, slot.
 
@@ -41,6 +46,10 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
         before[part] = (total, count)
         total, count = total + size, count + rows
 
+    # Twice a document's middle, in bytes, is compared with twice the cuts; Python's integers have no bound.
+    if 2 * total >= 1 << 63:
+        raise ValueError(f"{total} bytes are more than 64-bit prefix sums hold")
+    cuts = cut_points(total, shards)
     schema = f"id {dict(narrow.dtypes)['id']}, size long, crc long, shard int, place long"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,7 +63,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
                     continue
                 start, first = at.get(part[lo], before[part[lo]])
                 ends = start + np.cumsum(size[lo:hi])
-                shard[lo:hi] = np.minimum(shards - 1, (2 * ends - size[lo:hi]) * shards // (2 * total))
+                shard[lo:hi] = np.searchsorted(cuts, 2 * ends - size[lo:hi], "right")
                 index[lo:hi] = first + np.arange(hi - lo)
                 at[part[lo]] = (int(ends[-1]), first + hi - lo)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("size"), batch.column("crc"), pa.array(shard, pa.int32()), pa.array(index)], names=["id", "size", "crc", "shard", "place"])

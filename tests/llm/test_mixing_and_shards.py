@@ -4,6 +4,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
+import numpy as np
 import pytest
 
 from docweir.llm import mixing, sharding
@@ -97,3 +99,46 @@ def test_many_small_documents(spark, edge, nothing):
         per[r.shard] += r.size
     assert len(per) == 24 and max(per.values()) - min(per.values()) <= 2 * (97 + 8)
     assert sharding.shard_by_bytes(nothing).count() == 0
+
+
+def test_slots_are_those_of_the_schedule(spark, edge, monkeypatch):
+    """Blocks are played where the golden ratio's points say; another step plays them at other times, and takes the same words."""
+    rows = [row(i, "w " * (5 + i % 60), source=f"s{i % 5}") for i in range(900)]
+    docs = spark.createDataFrame(rows, edge.schema)
+    found = mixing.mix(docs, block_words=64).collect()
+    check(rows, found)
+    sizes, want = Counter(), {}
+    for r in rows:
+        sizes[r[3]] += size(r[1])
+    want = by_rounds(sizes)
+    need = {s: -(-round(t) // 64) for s, t in want.items()}
+    total, edges = sum(want.values()), np.cumsum([want[s] for s in sorted(want)])
+    lanes = np.searchsorted(np.floor(edges / total * mixing.POINTS)[:-1], np.arange(sum(need.values())) * mixing.STEP % mixing.POINTS, "right")
+    drawn = Counter(lanes.tolist())
+    assert all(abs(drawn[i] - need[s]) <= 4 for i, s in enumerate(sorted(want)))  # the discrepancy
+    source = {r[0]: int(r[3][1:]) for r in rows}
+    played = [r for r in found if r.first_slot is not None and r.first_slot < len(lanes)]
+    assert len(played) > 800 and all(lanes[r.first_slot] == source[r.doc_id] for r in played)
+    assert all((r.slots > 0) == (r.taken > 0) == (r.first_slot is not None) for r in found)
+    monkeypatch.setattr(mixing, "STEP", 1_000_000_007)
+    other = {r.doc_id: r for r in mixing.mix(docs, block_words=64).collect()}
+    assert all(other[r.doc_id].taken == r.taken for r in found) and sum(other[r.doc_id].first_slot != r.first_slot for r in found) > 400
+
+
+def test_mixing_equals_sql_over_whole_tables(spark, small):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    columns = ["doc_id", "size", "source_size", "target", "taken", "first_slot", "slots"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({mixing.SQL})").fetchall()
+    got = mixing.op5_mixing(spark, small).select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want) and sum(r.taken for r in got) > 0
+
+
+def test_cuts_hold_for_any_size():
+    total, shards = 10**14, 100_000
+    cuts = sharding.cut_points(total, shards)
+    for middle in (0, 1, 2 * total - 1, total, 2 * 123_456_789_012, 2 * total // shards, 2 * total // shards - 1):
+        assert np.searchsorted(cuts, middle, "right") == middle * shards // (2 * total)
+    for total, shards in ((7, 3), (1000, 24), (999, 7), (5, 9)):
+        cuts = sharding.cut_points(total, shards)
+        assert [int(np.searchsorted(cuts, m, "right")) for m in range(2 * total)] == [m * shards // (2 * total) for m in range(2 * total)]
