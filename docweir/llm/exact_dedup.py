@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from docweir.llm.common import ascii_lower, bitmap_of, checkpointed, nameless, read, with_bit
+from docweir.llm.common import ascii_lower, bitmap_of, bits_for, checkpointed, nameless, read, with_bit
 
 #: Characters of the text that the second level hashes.
 PREFIX_CHARS = 64
@@ -27,9 +27,14 @@ def _full_hash(text_col: str) -> Column:
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int, hash_all: bool) -> DataFrame:
     narrow = docs.select(F.col(id_col).alias("_dw_id"), F.col(text_col).alias("_dw_text")).withColumns(_first_levels("_dw_text", prefix_chars))
-    sizes = narrow.groupBy("_dw_len", "_dw_prefix").agg(F.count(F.lit(1)).alias("_dw_n"))
     key = F.struct("_dw_len", "_dw_prefix")
-    marked = with_bit(narrow, key, bitmap_of(sizes.where("_dw_n > 1"), key), "_dw_open")
+    # Level one: lengths that occur once are out. Level two counts prefixes within the other lengths only.
+    first = checkpointed(narrow.select("_dw_len", "_dw_prefix"))
+    bits = bits_for(first.count() // 4)
+    alike = first.groupBy("_dw_len").agg(F.count(F.lit(1)).alias("_dw_n")).where("_dw_n > 1")
+    left = with_bit(first, F.col("_dw_len"), bitmap_of(alike, F.col("_dw_len")), "_dw_open").where("_dw_open")
+    sizes = left.groupBy("_dw_len", "_dw_prefix").agg(F.count(F.lit(1)).alias("_dw_n")).where("_dw_n > 1")
+    marked = with_bit(narrow, key, bitmap_of(sizes, key, bits), "_dw_open", bits)
     full = _full_hash("_dw_text") if hash_all else F.when(F.col("_dw_open"), _full_hash("_dw_text"))
     marked = checkpointed(marked.select("_dw_id", "_dw_len", "_dw_prefix", "_dw_open", full.alias("full_hash")))
     closed = marked.where(~F.col("_dw_open")).select("*", F.col("_dw_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
@@ -52,10 +57,12 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
     kept. A null id ranks lowest; where a group has only null ids, keep_id is null and one row stays.
     An empty table gives no rows. Other columns, whatever their names, are left alone.
 
-    Pass one counts rows by (byte length, prefix hash), combined before the shuffle: the first two
-    levels need the same scan, and a prefix group of two implies a length group of two. What
-    survives is kept as a fixed-size bitmap, so pass two hashes a full text only where its bit is
-    set, and shuffles no text. full_hash is null elsewhere, unless hash_all asks for it everywhere.
+    Pass one reads length and prefix of every text, since a columnar scan has decoded the text by
+    then, and stores just these. Level one counts lengths; level two counts prefix hashes of the rows
+    whose length another row has; both are combined before the shuffle. What survives is kept as a
+    bitmap of bounded size, so pass two hashes a full text, which is level three, only where its bit
+    is set, and shuffles no text. full_hash is null elsewhere, unless hash_all asks for it everywhere;
+    groups are made of survivors alone in either case.
     """
     found = _judged(docs, id_col, text_col, prefix_chars, hash_all)
     return found.select(F.col("_dw_id").alias(id_col), "keep_id", "group_size", "kept", "full_hash")
@@ -72,7 +79,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_col, text_col = names[id_col], names[text_col]
     groups = checkpointed(_judged(docs, id_col, text_col, prefix_chars, False).where("group_size > 1"))
     key = F.struct("_dw_len", "_dw_prefix")
-    marked = with_bit(docs.withColumns(_first_levels(text_col, prefix_chars)), key, bitmap_of(groups, key), "_dw_open")
+    bits = bits_for(groups.count())
+    marked = with_bit(docs.withColumns(_first_levels(text_col, prefix_chars)), key, bitmap_of(groups, key, bits), "_dw_open", bits)
     alone = marked.where(~F.col("_dw_open")).select(*docs.columns)
     copied = marked.where("_dw_open").withColumn("_dw_hash", _full_hash(text_col)).select(*docs.columns, "_dw_hash")
     facts = groups.select(F.col("full_hash").alias("_dw_full"), F.col("keep_id").alias("_dw_keep")).distinct()

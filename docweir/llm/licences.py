@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from docweir.llm.common import read
+from docweir.llm.common import read, tidy
 
 #: Words of a fingerprinted gram, and grams of a winnowing window: a run of GRAM + WINDOW - 1 shared words is always found.
 GRAM, WINDOW = 3, 3
@@ -250,7 +250,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
                 kinds = (pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(which, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=[id_col, "licence", "matched_words", "coverage", "span_start", "span_end"])
 
-    return narrow.mapInArrow(run, f"`{id_col}` {kind}, licence string, matched_words long, coverage double, span_start long, span_end long")
+    return narrow.mapInArrow(tidy(run), f"`{id_col}` {kind}, licence string, matched_words long, coverage double, span_start long, span_end long")
 
 
 def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,14 +9,14 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from docweir.llm.common import read
+from docweir.llm.common import read, tidy
 
 MAGIC = b"DWPCM8\x00\x01"
 CONTINUED, FIRST, LAST = 1, 2, 4
@@ -127,12 +127,16 @@ def pages(media: bytes) -> Iterator[Page]:
         at = media.find(b"OggS", end if ok else at + 4)
 
 
-def packets(found: list[Page], spacing: dict[int, int] | None = None) -> Iterator[Packet]:
+Clock = int | Callable[[bytes], int]
+
+
+def packets(found: list[Page], spacing: dict[int, Clock] | None = None) -> Iterator[Packet]:
     """Packets of every logical stream, in the order in which they end.
 
     A page that is damaged, or missing by its sequence number, ends the packet that ran over it; what
     continues it later is dropped. Only the last packet that ends on a page has the page's granule
-    position; those before it are counted back by spacing[serial] samples, or have -1.
+    position; those before it are counted back by what the clock moves in a packet, which is
+    spacing[serial], a number or a function of the packet, or have -1 where that isn't known.
     """
     rest: dict[int, bytearray | None] = {}
     expected: dict[int, int] = {}
@@ -154,30 +158,44 @@ def packets(found: list[Page], spacing: dict[int, int] | None = None) -> Iterato
                     done.append(data)
                 partial, lost, start = None, False, at
         rest[page.serial] = (bytearray(partial or b"") + page.body[start:at]) if page.lacing and page.lacing[-1] == 255 and not lost else None
-        step = (spacing or {}).get(page.serial, 0)
-        for i, data in enumerate(done):
-            back = len(done) - 1 - i
-            end = page.granule if not back else page.granule - back * step if step and page.granule >= 0 else -1
+        step, ends = (spacing or {}).get(page.serial), [page.granule] * len(done)
+        for i in range(len(done) - 1, 0, -1):
+            ends[i - 1] = -1 if step is None or ends[i] < 0 else ends[i] - (step(done[i]) if callable(step) else step)
+        for data, end in zip(done, ends):
             yield Packet(page.serial, numbers.setdefault(page.serial, 0), data, end)
             numbers[page.serial] += 1
 
 
+def heads(found: list[Page]) -> dict[int, tuple[int, int, int, int]]:
+    """(rate, samples of a packet, streams, own place among them) of the logical streams whose codec is the one of mux, by serial."""
+    own = len(MAGIC)
+    return {p.serial: struct.unpack_from("<IHHH", p.body, own) for p in found if p.ok and p.flags & FIRST and p.body[:own] == MAGIC and len(p.body) >= own + 10}
+
+
+def clocks(known: dict[int, tuple[int, int, int, int]]) -> dict[int, Clock]:
+    """What the clock moves from one packet's end to the next one's: its own samples, and a packet of each other stream."""
+
+    def clock(samples: int, streams: int) -> Clock:
+        return lambda data: len(data) + (streams - 1) * samples
+
+    return {serial: clock(samples, streams) for serial, (_, samples, streams, _) in known.items()}
+
+
 def demux(media: bytes) -> dict:
     """What a container holds: payload in clock order, pages, packets, streams, seconds, and how many pages are bad."""
     found = list(pages(media))
-    heads = {p.serial: struct.unpack_from("<IHHH", p.body, len(MAGIC)) for p in found if p.ok and p.flags & FIRST and p.body[: len(MAGIC)] == MAGIC and len(p.body) >= len(MAGIC) + 10}
-    spacing = {serial: head[1] * head[2] for serial, head in heads.items()}
-    timed, counts = [], dict.fromkeys(heads, 0)
-    for p in packets([p for p in found if p.serial in heads], spacing):
+    known = heads(found)
+    timed, counts = [], dict.fromkeys(known, 0)
+    for p in packets([p for p in found if p.serial in known], clocks(known)):
         if p.number == 0:
             continue
         counts[p.serial] += 1
-        _, samples, streams, lane = heads[p.serial]
+        _, samples, streams, lane = known[p.serial]
         # Only the very last packet is short; the clock at the end of all others is a whole number of packets.
         start = (p.end - len(p.data)) if p.end >= 0 else ((p.number - 1) * streams + lane) * samples
         timed.append((start, p.data))
     timed.sort(key=lambda x: x[0])
-    rate = next((h[0] for h in heads.values()), RATE)
+    rate = next((h[0] for h in known.values()), RATE)
     end = max((s + len(d) for s, d in timed), default=0)
     return {"payload": b"".join(d for _, d in timed), "pages": len(found), "bad_pages": sum(not p.ok for p in found), "packets": counts, "seconds": end / rate}
 
@@ -205,7 +223,7 @@ def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, texts), pa.int64()), pa.array([mux(pad(t)) for t in texts], pa.binary())], names=[id_col, "n_bytes", "media"])
 
-    return narrow.mapInArrow(run, f"`{id_col}` {dict(narrow.dtypes)[id_col]}, n_bytes long, media binary")
+    return narrow.mapInArrow(tidy(run), f"`{id_col}` {dict(narrow.dtypes)[id_col]}, n_bytes long, media binary")
 
 
 def feature(found: dict) -> str:
@@ -236,19 +254,26 @@ def read_media(stored: DataFrame, id_col: str = "doc_id", media_col: str = "medi
             names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "bad_pages"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=[id_col, "n_bytes", *names])
 
-    return narrow.mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, bad_pages long")
+    return narrow.mapInArrow(tidy(run), f"`{id_col}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, bad_pages long")
 
 
 def ogg_packets(stored: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
     """One row per packet of any Ogg container: id, serial, number, n_bytes, end_granule, data.
 
+    end_granule is the clock at a packet's end, derived from its page's granule position and, for
+    packets before the last of a page, from the lengths of those behind it. In a stream of another
+    codec, whose clock isn't known, only the last packet of a page has one, and others have -1.
     Damaged pages are left out, and packets that ran over them; null containers have no packets.
     """
     kind = dict(stored.dtypes)[id_col]
 
+    def table(media: bytes) -> Iterator[Packet]:
+        found = list(pages(media))
+        return packets(found, clocks(heads(found)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, 16):
-            rows = [(i, p.serial, p.number, len(p.data), p.end, p.data) for i, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if m for p in packets(list(pages(m)))]
+            rows = [(i, p.serial, p.number, len(p.data), p.end, p.data) for i, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if m for p in table(m)]
             columns = list(zip(*rows)) if rows else [[]] * 6
             kinds = (batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[id_col, "serial", "number", "n_bytes", "end_granule", "data"])

@@ -127,3 +127,32 @@ def test_media_columns(edge):
 def test_packet_table(edge):
     rows = ogg.ogg_packets(ogg.store_media(edge.where("doc_id = 6"))).collect()
     assert b"".join(r.data for r in sorted(rows, key=lambda r: r.end_granule) if r.number).startswith(b"word0x0 word1x1")
+
+
+def test_granules_of_any_packet():
+    """The end of every packet on the shared clock, the short last one and those before it on its page included."""
+    payload = os.urandom(576 * 500 + 100)
+    found = list(ogg.pages(ogg.mux(payload)))
+    known = ogg.heads(found)
+    ends = {}
+    for p in ogg.packets(found, ogg.clocks(known)):
+        if p.number:
+            start = ((p.number - 1) * 2 + known[p.serial][3]) * 576
+            assert p.end == min(start + 576, len(payload)) and p.data == payload[start : start + 576]
+            ends[p.end] = len(p.data)
+    assert len(ends) == 501 and ends[len(payload)] == 100
+
+
+def test_packet_table_has_a_granule_for_every_packet(edge):
+    rows = ogg.ogg_packets(ogg.store_media(edge.where("doc_id = 6"))).collect()
+    assert len(rows) > 300 and all(r.end_granule >= 0 for r in rows)
+    timed = sorted((r.end_granule, r.n_bytes) for r in rows if r.number)
+    assert [e - n for e, n in timed] == [576 * i for i in range(len(timed))]
+
+
+def test_lengths_that_occur_once_leave_before_prefixes_do(spark, edge):
+    """Three texts of one length, two of them equal, one with another prefix, and one of a length of its own."""
+    rows = [row(1, "same text"), row(2, "SAME text"), row(3, "else text"), row(4, "a length of its own"), row(5, "same tex!")]
+    found = {r.doc_id: r for r in exact_dedup.verdicts(spark.createDataFrame(rows, edge.schema), prefix_chars=8).collect()}
+    assert {i for i, r in found.items() if r.full_hash} == {1, 2, 5}
+    assert [(i, r.keep_id, r.group_size, r.kept) for i, r in sorted(found.items())] == [(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True), (4, 4, 1, True), (5, 5, 1, True)]
