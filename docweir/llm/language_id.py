@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from docweir.llm.common import id_crc, read, tidy
+from docweir.llm.common import checkpointed, id_crc, read, tidy
 
 #: How many of the most frequent n-grams make a profile.
 PROFILE = 300
 #: Labelled documents per language that profiles are learned from, in expectation: whole texts, chosen by hash.
 SAMPLE = 3000
+#: Most languages whose profiles go to every task, at PROFILE numbers each.
+MOST_LANGUAGES = 1000
 UNKNOWN = "und"
 Profiles = dict[str, tuple[np.ndarray, np.ndarray]]
 #: An n-gram as a number: 21 bits a character, 0 for the edge of a word, and a bit that tells the length.
@@ -63,16 +65,17 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     """The most frequent n-grams and their ranks, by language.
 
     Learns from about `sample` documents a language (all, where there are fewer), chosen by a hash of
-    the id; rows without text or language are passed over. The driver gets size rows a language.
+    id and text, and from rows that repeat once; rows without text or language are passed over. The
+    driver gets size rows a language, so more than MOST_LANGUAGES are refused with an error.
     """
-    labelled = docs.where(F.col(lang_col).isNotNull())
-    sizes = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().collect()}
-    if not sizes:
-        return {}
-    chance = F.pmod(F.xxhash64(F.lit(5), id_col), F.lit(1 << 20))
-    part = F.lit(False)
-    for lang, n in sizes.items():
-        part = part | ((F.col(lang_col) == lang) & (chance < min(1 << 20, round((1 << 20) * sample / n))))
+    labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    sizes = checkpointed(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")))
+    if sizes.count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in {lang_col}")
+    known = labelled.where(F.col("text").isNotNull()).join(F.broadcast(sizes), "lang")  # a row for each language
+    chance = F.pmod(F.xxhash64(F.lit(5), "id", "text"), F.lit(1 << 20))
+    chosen = known.where(chance < F.ceil(F.lit(float((1 << 20) * sample)) / F.col("rows")))
+    chosen = chosen.groupBy("lang", "id", F.xxhash64("text").alias("digest")).agg(F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +86,7 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
                 n = np.bincount(at, np.concatenate([c for _, c in found]), len(grams)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], names=["lang", "gram", "n"])
 
-    counted = labelled.where(part & F.col(text_col).isNotNull()).select(lang_col, text_col).mapInArrow(tidy(count), "lang string, gram long, n long")
+    counted = chosen.select("lang", "text").mapInArrow(tidy(count), "lang string, gram long, n long")
     totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = totals.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1).where(F.col("rank") < size)
     rows: dict[str, list[tuple[int, int]]] = {}

@@ -16,21 +16,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweir.llm.common import id_crc, read
+from docweir.llm.common import checkpointed, id_crc, read, tidy
 
 #: Labelled rows of each class that are learned from, in expectation: whole texts, chosen by hash.
 SAMPLE = 8000
-#: Entries of the learned lexicon; stems of these lengths stand for all words that begin with them.
-LEXICON, STEMS = 2000, (3, 4, 5, 6, 7)
+#: How many times as many rows may be read where ids repeat with other texts.
+MOST = 4
+#: Stems of these lengths stand for all words that begin with them.
+STEMS = (3, 4, 5, 6, 7)
 THRESHOLD = 0.7
 _MEMO = 500_000
 
 # Function words of four languages that the grammar's symbols stand for.
-THREATS = "kill hurt destroy beat shoot stab burn hang töten schlagen erschießen verbrennen tuer frapper détruire brûler matar golpear destruir quemar".split()
+VERBS = "kill hurt destroy beat shoot stab burn hang".split()
+THREATS = "töten schlagen erschießen verbrennen tuer frapper détruire brûler matar golpear destruir quemar".split()
 TARGETS = "you your yours u he she they them him her people du dich dir ihr euch tu toi vous ton votre ils elles tú usted ustedes vosotros ellos".split()
 NEGATIONS = "not no never cannot don't isn't aren't won't nicht kein keine nie niemals ne pas jamais nunca jamás tampoco".split()
 REPORTS = "said says say quoted quote wrote writes called claims claimed sagte sagt schrieb dit écrit déclare dijo dice escribió".split()
 
+
+def inflected(verb: str) -> list[str]:
+    """An English verb's regular forms; irregular ones aren't made."""
+    stem = verb.removesuffix("e")
+    double = verb + verb[-1] if len(verb) == 4 and verb[-1] in "bt" and verb[-2] in "aeiou" and verb[-3] not in "aeiou" else stem
+    return [verb, verb + "s", double + "ed", double + "ing"]
+
+
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "o", "I", "V", "P", "N", "R"
 DIRECT, AIMED = "D", "T"
 NEGATED, QUOTED = {INSULT: "i", THREAT: "v"}, {INSULT: "q", THREAT: "w", "i": "q", "v": "w"}
@@ -83,9 +94,10 @@ def reported() -> Transducer:
 
 
 def target() -> Transducer:
-    """Behind a target, to the end of the clause, insults come out as direct and threats as aimed."""
-    aimed = "target"
-    return Transducer("none", {("none", TARGET): (aimed, TARGET), (aimed, INSULT): (aimed, DIRECT), (aimed, THREAT): (aimed, AIMED)})
+    """Behind a target, to the end of the clause, insults come out as direct and threats as aimed; a target behind an insult comes out as direct."""
+    aimed, named = "target", "insult"
+    arcs = {("none", TARGET): (aimed, TARGET), (aimed, INSULT): (aimed, DIRECT), (aimed, THREAT): (aimed, AIMED)}
+    return Transducer("none", arcs | {("none", INSULT): (named, INSULT), (named, TARGET): (aimed, DIRECT)})
 
 
 def insult() -> Transducer:
@@ -122,7 +134,7 @@ class Lexicon(dict):
 
     def __init__(self, learned: dict[str, float]) -> None:
         self.learned = learned
-        self.fixed = dict.fromkeys(REPORTS, REPORT) | dict.fromkeys(NEGATIONS, NEGATION) | dict.fromkeys(TARGETS, TARGET) | dict.fromkeys(THREATS, THREAT)
+        self.fixed = dict.fromkeys(REPORTS, REPORT) | dict.fromkeys(NEGATIONS, NEGATION) | dict.fromkeys(TARGETS, TARGET) | dict.fromkeys([*THREATS, *(form for verb in VERBS for form in inflected(verb))], THREAT)
 
     def __missing__(self, token: str) -> tuple[str, float, bool]:
         word = trimmed(token)
@@ -140,16 +152,19 @@ def events(text: str, lexicon: Lexicon, fst: Transducer) -> np.ndarray:
     found = list(map(lexicon.__getitem__, text.lower().split()))
     if not any(s in (INSULT, THREAT) for s, _, _ in found):
         return totals
-    state, best, most_of_all = fst.start, {}, 0.0
+    state, best, most_of_all, named = fst.start, {}, 0.0, 0.0
     for symbol, weight, ends in found:
         state, out = fst.step(state, symbol)
+        if symbol == INSULT:
+            named = max(named, weight)
         if out:
+            weight = weight or named  # a target behind an insult weighs what that does
             best[out] = max(best.get(out, 0.0), weight)
             most_of_all = max(most_of_all, weight)
         if ends:
             for event, most in best.items():
                 totals[EVENTS.index(event)] += most
-            state, best = fst.start, {}
+            state, best, named = fst.start, {}, 0.0
     for event, most in best.items():
         totals[EVENTS.index(event)] += most
     totals[-2] = most_of_all
@@ -189,9 +204,10 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 0.05
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """A model from labelled rows (id, toxic 0 or 1); rows without text, id or label are passed over.
 
-    About `sample` rows of each class (all, where there are fewer) are read; the driver gets at most
-    LEXICON entries and a few numbers for each of those rows. An entry of the lexicon is far more
-    frequent in toxic texts than chance allows among so many candidates; its weight is the log ratio.
+    About `sample` rows of each class (all, where there are fewer) are read, and a row that repeats
+    once; of ids that many texts share, no more than MOST times as many. The driver gets a few numbers
+    for each of those rows, and the entries of the lexicon, which are far more frequent in toxic texts
+    of the sample than chance allows among so many candidates; an entry's weight is the log ratio.
     """
     truth = labels.where(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
     sizes = {r[0]: r[1] for r in truth.groupBy("toxic").count().collect()}
@@ -200,9 +216,14 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return base
     chance = F.pmod(F.xxhash64(F.lit(6), id_col), F.lit(1 << 20))
     limit = {y: min(1 << 20, round((1 << 20) * sample / n)) for y, n in sizes.items()}
-    chosen = truth.where(chance < F.when(F.col("toxic") == 1, limit[1]).otherwise(limit[0]))
+    chosen = truth.where(chance < F.when(F.col("toxic") == 1, limit[1]).otherwise(limit[0])).select(F.col(id_col).alias("_id"), "toxic")
     # At most about 2 * sample rows of two numbers, whatever the size of the table.
-    given = docs.where(F.col(text_col).isNotNull()).select(id_col, text_col).join(F.broadcast(chosen), id_col).select("toxic", text_col)
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
+    found = rows.groupBy("toxic", "_id", F.xxhash64("text").alias("digest"))
+    given = checkpointed(found.agg(F.first("text").alias("text")).select("toxic", "text"))
+    read_rows = given.count()
+    if read_rows > MOST * 2 * sample:
+        given = given.where(F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(1 << 20)) < round((1 << 20) * MOST * 2 * sample / read_rows))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,8 +234,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             names = list(totals)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([totals[n][y] for n in names], pa.int64()) for y in (0, 1))], names=["feature", "clean", "toxic"])
 
-    counted = given.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    taken = {r[0]: r[1] for r in chosen.groupBy("toxic").count().collect()}
+    counted = given.mapInArrow(tidy(count), "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    taken = {r[0]: r[1] for r in given.groupBy("toxic").count().collect()}
     n0, n1 = taken.get(0, 0), taken.get(1, 0)
     if not n0 or not n1:
         return base
@@ -224,7 +245,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ratio = F.log((F.col("toxic") + 1) / (n1 + 2)) - F.log((F.col("clean") + 1) / (n0 + 2))
     strict = 5.5  # one of a million candidates passes by chance once in fifty tables
     top = counted.where(F.col("toxic") >= 3).select("feature", z.alias("z"), ratio.alias("ratio")).where((F.col("z") >= strict) & (F.col("ratio") >= 2.0))
-    rows = {r[0]: r[1] for r in top.orderBy(F.desc("z"), "feature").limit(LEXICON).select("feature", "ratio").collect()}
+    rows = {r[0]: r[1] for r in top.select("feature", "ratio").collect()}
     # A word goes without an entry of its own where a stem of it is as telling.
     learned = {f: w for f, w in rows.items() if not any(rows.get(f.rstrip("*")[:n] + "*", -1) >= w - 0.5 for n in STEMS if len(f.rstrip("*")) > n)}
 
@@ -259,7 +280,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*kept, "toxicity"])
 
     fields = ", ".join(f"`{name}` {f.dataType.simpleString()}" for name, f in zip(kept, given.schema.fields))
-    return given.mapInArrow(run, f"{fields}, toxicity double")
+    return given.mapInArrow(tidy(run), f"{fields}, toxicity double")
 
 
 def held_out(id_col: str = "doc_id"):

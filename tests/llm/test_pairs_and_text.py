@@ -270,3 +270,32 @@ def test_licences_are_found_with_their_spans(spark, edge, nothing):
 )
 def test_repeated_notices_and_decoys(name, text, spans):
     assert [text[m[3] : m[4]] for m in licences.Index(licences.TEMPLATES).matches(text) if m[0] == name] == spans
+
+
+def test_insults_before_a_target_and_forms_of_threats():
+    assert run("scum, that is what you are.")["direct"] == 5
+    assert run("scum is here. you are there.")["direct"] == 0
+    assert run("they are killing people")["threat"] == 1 and run("you stabbed")["threat"] == 1
+    assert toxicity.inflected("stab") == ["stab", "stabs", "stabbed", "stabbing"] and "destroying" in toxicity.inflected("destroy")
+
+
+def test_rows_that_repeat_are_learned_from_once(spark, edge):
+    hot = [row(1, "le le le le le le", "fr")] * 400
+    rows = [row(i, " ".join(random.Random(i).choices(TEXTS[lang].split(), k=30)), lang) for i, lang in enumerate(list(TEXTS) * 30, 10)]
+    once = language_id.learn_profiles(spark.createDataFrame([*rows, hot[0]], edge.schema))
+    often = language_id.learn_profiles(spark.createDataFrame([*rows, *hot], edge.schema))
+    assert all((once[lang][0] == often[lang][0]).all() and (once[lang][1] == often[lang][1]).all() for lang in TEXTS)
+
+
+def test_too_many_languages_are_refused(spark, edge, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 3)
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language_id.learn_profiles(spark.createDataFrame([row(i, "text", f"l{i}") for i in range(4)], edge.schema))
+
+
+def test_repeated_ids_leave_the_toxic_sample_bounded(spark, edge, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST", 1)
+    rows = [row(i % 3, f"plain words {i}") for i in range(600)] + [row(100 + i, f"you scum {i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, 0, 0) for i in range(3)] + [(100 + i, 0, 1) for i in range(40)], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(spark.createDataFrame(rows, edge.schema), labels, sample=50)
+    assert model.score(toxicity.events("you scum", toxicity.Lexicon(model.learned), toxicity.machine())) > model.score(toxicity.events("plain", toxicity.Lexicon(model.learned), toxicity.machine()))
