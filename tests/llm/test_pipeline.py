@@ -46,6 +46,17 @@ def test_awkward_rows_go_through(spark, edge, nothing):
         assert stage(spark, nothing, "").count() == 0
 
 
+def test_columns_with_the_names_of_verdicts_pass(spark, edge):
+    own = ["lang_pred", "lang_score", "toxicity", "digest", "n", "sig", "node", "label", "root", "shard", "slot", "taken", "first_slot", "slots", "licence", "n_bytes", "media", "full_hash", "keep_id", "group_size", "component_id", "n_shingles", "sequence_id", "offset", "piece"]
+    docs = edge.select("doc_id", "text", "lang", "source", "n_chars").selectExpr("*", *(f"'own {c}' AS {c}" for c in own))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *own]
+        rows = docs.collect()
+        assert rows and all(r[c] == f"own {c}" for r in rows for c in own)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0
+
+
 def test_near_copies_of_an_id_go_together(spark, edge):
     rows = [(r[0], r[1]) for r in ROWS]
     kept = corpus_pipeline.near(spark, edge, "").collect()
