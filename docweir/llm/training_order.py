@@ -23,6 +23,8 @@ ROUNDS = 6
 SHARD_BYTES = 64 << 20
 #: Bytes of ids that a task gathers before it sends them on, by shard.
 GATHER = 16 << 20
+#: Level by which ids are compressed on their way.
+LEVEL = 6
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
@@ -52,8 +54,8 @@ def permute(index: np.ndarray, size: int, key: int = KEY, rounds: int = ROUNDS)
     return out.astype(np.int64)
 
 
-def stored_ids(docs: DataFrame, id_col: str, text_col: str, length: int, path: str, end: int) -> DataFrame:
-    """Rows (part, id, first, ids) of each document's ids and the end id: part is the task, first how many sequences it made before."""
+def stored_ids(docs: DataFrame, id_col: str, text_col: str, path: str, end: int) -> DataFrame:
+    """Rows (part, id, start, ids) of each document's ids and the end id: part is the task, start how many ids it made before."""
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,16 +64,16 @@ def stored_ids(docs: DataFrame, id_col: str, text_col: str, length: int, path: s
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                first, payload = [], []
+                start, payload = [], []
                 for text in batch.column(1).to_pylist():
                     ids = np.append(encode(text or ""), np.uint32(end)).astype(kind)
-                    first.append(made)
+                    start.append(made)
                     payload.append(ids.tobytes())
-                    made += -(-len(ids) // length)
+                    made += len(ids)
                 n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), batch.column(0), pa.array(first, pa.int64()), pa.array(payload, pa.binary())], names=["part", "id", "first", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), batch.column(0), pa.array(start, pa.int64()), pa.array(payload, pa.binary())], names=["part", "id", "start", "ids"])
 
-    return narrow.mapInArrow(tidy(run), f"part int, id {dict(narrow.dtypes)['id']}, first long, ids binary")
+    return narrow.mapInArrow(tidy(run), f"part int, id {dict(narrow.dtypes)['id']}, start long, ids binary")
 
 
 def id_type(size: int, end: int) -> np.dtype:
@@ -80,44 +82,49 @@ def id_type(size: int, end: int) -> np.dtype:
 
 
 def dealt(stored: DataFrame, before: dict[int, int], size: int, per_shard: int, length: int, width: int, key: int) -> DataFrame:
-    """Rows (shard, ids, pieces, slots, payload): stored sequences by the shard that the permutation of their numbers assigns.
+    """Rows (shard, ids, payload): stored ids, cut into sequences, by the shard that the permutation of the sequences' numbers assigns.
 
-    Sequence j of a task has number before[task] + j. Sequences that a task sends to the same shard
-    are compressed together, GATHER bytes of ids at a time at most besides one document's.
+    The ids of a task are one stream, cut every length ids; its sequence j has number before[task] + j.
+    A document's part in a sequence is a piece. Pieces that a task sends to the same shard are
+    compressed together, GATHER bytes of ids at a time at most besides one document's: steps from
+    place to place, offsets in the sequence, sizes, and numbers of pieces, as 32 bits, and then the ids.
     """
     kind = dict(stored.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
+        packer = zstandard.ZstdCompressor(level=LEVEL)
         held: list[tuple] = []
         waiting = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             owners = pa.concat_arrays([h[0] for h in held])
-            piece, slot, size_ = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
-            body = [x for h in held for x in h[4]]
+            slot, offset, sizes, piece = np.concatenate([h[1] for h in held], axis=1)
+            body = [x for h in held for x in h[2]]
             shard = slot // per_shard
-            order = np.lexsort((slot, shard))
+            order = np.lexsort((offset, slot))
             edges = [0, *(np.flatnonzero(np.diff(shard[order])) + 1).tolist(), len(order)]
             for lo, hi in zip(edges, edges[1:]):
                 some = order[lo:hi]
-                lists = [pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), values) for values in (owners.take(pa.array(some)), pa.array(piece[some], pa.int32()), pa.array(slot[some]), pa.array(size_[some], pa.int32()))]
-                yield pa.RecordBatch.from_arrays([pa.array([int(shard[some[0]])], pa.int64()), *lists, pa.array([packer.compress(b"".join(body[k] for k in some.tolist()))], pa.binary())], names=["shard", "ids", "pieces", "slots", "sizes", "payload"])
+                numbers = [np.diff(slot[some], prepend=shard[some[0]] * per_shard), offset[some], sizes[some], piece[some]]
+                payload = b"".join([*(x.astype("<u4").tobytes() for x in numbers), *(body[k] for k in some.tolist())])
+                own = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), owners.take(pa.array(some)))
+                yield pa.RecordBatch.from_arrays([pa.array([int(shard[some[0]])], pa.int64()), own, pa.array([packer.compress(payload)], pa.binary())], names=["shard", "ids", "payload"])
 
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                which, piece, number, sizes, body = [], [], [], [], []
-                for i, (part, first, raw) in enumerate(zip(batch.column("part").to_pylist(), batch.column("first").to_pylist(), batch.column("ids"))):
+                which, rows, body = [], [], []
+                for i, (part, start, raw) in enumerate(zip(batch.column("part").to_pylist(), batch.column("start").to_pylist(), batch.column("ids"))):
                     raw = memoryview(raw.as_buffer())
-                    n = -(-len(raw) // (width * length))
-                    which += [i] * n
-                    piece += range(n)
-                    number += range(before[part] + first, before[part] + first + n)
-                    cut = [bytes(raw[lo : lo + width * length]) for lo in range(0, len(raw), width * length)]
-                    sizes += [len(x) // width for x in cut]
-                    body += cut
-                held.append((batch.column("id").take(pa.array(which, pa.int64())), np.array(piece, np.int64), permute(np.array(number, np.uint64), size, key), np.array(sizes, np.int64), body))
+                    stop = start + len(raw) // width
+                    cuts = [start, *range((start // length + 1) * length, stop, length), stop]
+                    for k, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+                        which.append(i)
+                        rows.append((before[part] + lo // length, lo % length, hi - lo, k))
+                        body.append(bytes(raw[width * (lo - start) : width * (hi - start)]))
+                numbers = np.array(rows, np.int64).T
+                numbers[0] = permute(numbers[0], size, key)
+                held.append((batch.column("id").take(pa.array(which, pa.int64())), numbers, body))
                 waiting += sum(map(len, body))
                 if waiting >= GATHER:
                     yield from flush()
@@ -125,7 +132,7 @@ def dealt(stored: DataFrame, before: dict[int, int], size: int, per_shard: int,
         if held:
             yield from flush()
 
-    return stored.mapInArrow(tidy(run), f"shard long, ids array<{kind}>, pieces array<int>, slots array<long>, sizes array<int>, payload binary")
+    return stored.mapInArrow(tidy(run), f"shard long, ids array<{kind}>, payload binary")
 
 
 def _filesystem(where: str):
@@ -164,16 +171,17 @@ def _write(rows: DataFrame, where: str, size: int, per_shard: int, length: int,
             name = f"shard-{now:08d}-{uuid.uuid4().hex}.bin"
             with system.open_output_stream(f"{folder}/{name}") as out:
                 out.write(table)
-            owners, pieces = pa.concat_arrays([f[0] for f in facts]), np.concatenate([f[1] for f in facts])
-            places = np.concatenate([f[2] for f in facts])
-            order = np.argsort(places)
-            owners, pieces = owners.take(pa.array(order)), pa.array(pieces[order], pa.int32())
-            stored = read_shard(where, name, length, 0, width)
-            for lo in range(0, len(order), 4096):
-                got = [next(stored) for _ in range(min(4096, len(order) - lo))]
-                place = np.arange(lo, lo + len(got))
-                columns = [owners.slice(lo, len(got)), pieces.slice(lo, len(got)), pa.array([now] * len(got), pa.int64()), pa.array([name] * len(got)), pa.array(place), pa.array(place + now * per_shard), pa.array([len(x) for x in got], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in got], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "piece", "shard", "file", "place", "slot", "length", "ids_crc32"])
+            owners, numbers = pa.concat_arrays([f[0] for f in facts]), np.concatenate([f[1] for f in facts], axis=1)
+            order = np.lexsort((numbers[1], numbers[0]))
+            owners, (places, offsets, sizes, pieces) = owners.take(pa.array(order)), numbers[:, order]
+            with system.open_input_file(f"{folder}/{name}") as source:
+                back = np.frombuffer(source.read(), f"<u{width}").reshape(-1, length + 1)
+            crcs = [zlib.crc32(back[p, 1 + o : 1 + o + n].astype("<u4").tobytes()) if o + n <= back[p, 0] else None for p, o, n in zip(places.tolist(), offsets.tolist(), sizes.tolist())]
+            for lo in range(0, len(order), 8192):
+                part = slice(lo, lo + 8192)
+                n = len(places[part])
+                columns = [owners.slice(lo, n), pa.array(pieces[part], pa.int32()), pa.array([now] * n, pa.int64()), pa.array([name] * n), pa.array(places[part]), pa.array(offsets[part], pa.int32()), pa.array(sizes[part]), pa.array(crcs[part], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "piece", "shard", "file", "place", "offset", "length", "ids_crc32"])
 
         for batch in batches:
             for i, shard in enumerate(batch.column("shard").to_pylist()):
@@ -182,32 +190,33 @@ def _write(rows: DataFrame, where: str, size: int, per_shard: int, length: int,
                         yield from close()
                     now, facts = shard, []
                     table = np.zeros((min(per_shard, size - shard * per_shard), length + 1), f"<u{width}")
-                owners, pieces, slots, sizes = (batch.column(c)[i].values for c in ("ids", "pieces", "slots", "sizes"))
-                pieces, places, sizes = pieces.to_numpy(), slots.to_numpy() - shard * per_shard, sizes.to_numpy()
-                ids = np.frombuffer(unpacker.decompress(batch.column("payload")[i].as_py()), f"<u{width}")
-                inside = np.arange(length) < sizes[:, None]
-                block = np.zeros((len(sizes), length + 1), f"<u{width}")
-                block[:, 0] = sizes
-                block[:, 1:][inside] = ids
-                table[places] = block
-                facts.append((owners, pieces, places))
+                owners, payload = batch.column("ids")[i].values, unpacker.decompress(batch.column("payload")[i].as_py())
+                numbers = np.frombuffer(payload, "<u4", 4 * len(owners)).astype(np.int64).reshape(4, -1)
+                numbers[0] = np.cumsum(numbers[0])
+                places, offsets, sizes, _ = numbers
+                ids = np.frombuffer(payload, f"<u{width}", offset=16 * len(owners))
+                ahead = places * (length + 1) + 1 + offsets - (np.cumsum(sizes) - sizes)
+                table.reshape(-1)[np.repeat(ahead, sizes) + np.arange(len(ids))] = ids
+                np.maximum.at(table[:, 0], places, (offsets + sizes).astype(table.dtype))
+                facts.append((owners, numbers))
         if now is not None:
             yield from close()
 
     kind = dict(rows.dtypes)["ids"].removeprefix("array<").removesuffix(">")
-    return rows.mapInArrow(tidy(run), f"id {kind}, piece int, shard long, file string, place long, slot long, length long, ids_crc32 long")
+    return rows.mapInArrow(tidy(run), f"id {kind}, piece int, shard long, file string, place long, offset int, length long, ids_crc32 long")
 
 
 def materialise(docs: DataFrame, where: str | None = None, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, path: str | None = None, end: int = END, key: int = KEY, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Writes every document's sequences in training order; one row per sequence: id, piece, length, shard, file, place, byte_offset, slot, ids_crc32.
+    """Writes all documents as sequences in training order; one row per piece: id, piece, length, shard, file, place, offset, byte_offset, slot, ids_crc32.
 
-    A document's ids and the end id are cut from the front into sequences of length ids. Sequences
-    are numbered from 0 to N - 1: by the task that made them, from per-task totals, and in it in
-    turn. A sequence's slot is the keyed permutation of its number over 0 .. N - 1; a shard takes an
-    equal range of slots, and a sequence stands in its shard at place * stride bytes. The order
-    depends on the key and on the order of the rows alone, not on retries. Ids may be of any type, null or repeated.
-    A null text is empty, which is the end id alone. Vocabularies that 16 bits don't hold are stored
-    in 32. An empty table writes nothing. Other columns are not read.
+    The documents that a task reads, each closed by the end id, are one stream of ids, cut into
+    sequences of length ids; only a task's last one may be shorter. A document's part in a sequence is
+    a piece. Sequences are numbered from 0 to N - 1: by task, from per-task totals, and in it in turn.
+    A sequence's slot is the keyed permutation of its number over 0 .. N - 1; a shard takes an equal
+    range of slots, and a sequence stands in its shard at place * stride bytes, led by its length. The
+    order depends on the key and on how the rows are read, not on retries. Ids may be of any type,
+    null or repeated. A null text is empty, which is the end id alone. Vocabularies that 16 bits don't
+    hold are stored in 32. An empty table writes nothing. Other columns are not read.
 
     N must be known before any slot is, so ids are made once and stored compressed (where-ids), and
     one shuffle carries them, compressed again, to their shards. where is a folder that all executors
@@ -218,10 +227,10 @@ def materialise(docs: DataFrame, where: str | None = None, id_col: str = "doc_id
     path = path or default_path()
     where = qualified(spark, where or f"{shared_dir(spark)}/training-order-{uuid.uuid4().hex}")
     width = id_type(encoder(path).size, end).itemsize
-    stored_ids(docs, id_col, text_col, length, path, end).write.mode("overwrite").option("compression", "zstd").parquet(f"{where}-ids")
+    stored_ids(docs, id_col, text_col, path, end).write.mode("overwrite").options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": str(LEVEL), "parquet.page.size": str(GATHER // 2)}).parquet(f"{where}-ids")
     stored = spark.read.parquet(f"{where}-ids")
     # One row for each task that read a part of the table.
-    last = F.max(F.col("first") + F.ceil(F.octet_length("ids") / (width * length)).cast("long")).alias("n")
+    last = F.ceil(F.max(F.col("start") + F.octet_length("ids") / width) / length).cast("long").alias("n")
     before, size = {}, 0
     for part, n in sorted(stored.groupBy("part").agg(last).collect()):
         before[part] = size
@@ -232,7 +241,7 @@ def materialise(docs: DataFrame, where: str | None = None, id_col: str = "doc_id
     _write(routed, where, size, per_shard, length, width).write.mode("overwrite").parquet(f"{where}-manifest")
     out = spark.read.parquet(f"{where}-manifest")
     remove(spark, f"{where}-ids", *(f"{where}/{name}" for name in left_over(out, where)))
-    return out.select(F.col("id").alias(id_col), "piece", "length", "shard", "file", "place", (F.col("place") * (width * (length + 1))).alias("byte_offset"), "slot", "ids_crc32")
+    return out.select(F.col("id").alias(id_col), "piece", "length", "shard", "file", "place", "offset", (F.col("place") * (width * (length + 1))).alias("byte_offset"), (F.col("shard") * per_shard + F.col("place")).alias("slot"), "ids_crc32")
 
 
 def left_over(written: DataFrame, where: str) -> list[str]:
@@ -245,5 +254,5 @@ def left_over(written: DataFrame, where: str) -> list[str]:
 
 
 def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every sequence of every document, written to shards in training order and read back."""
+    """The pieces of every document, written to shards of sequences in training order and read back."""
     return materialise(read(spark, sf_dir, "documents"))

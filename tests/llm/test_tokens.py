@@ -119,37 +119,41 @@ def test_permutation_bounds():
         training_order.permute(np.array([0]), 0)
 
 
-def want(slow, rows, length):
-    """(id, piece, ids) of every sequence in the order of the rows."""
-    for r in rows:
-        ids = [*slow.encode(r[1] or "", add_special_tokens=False).ids, 50256]
-        for k, a in enumerate(range(0, len(ids), length)):
-            yield r[0], k, tuple(ids[a : a + length])
+def ids_of(slow, text, end=50256):
+    return [*slow.encode(text or "", add_special_tokens=False).ids, end]
 
 
 def stored(where, rows, length, width=2):
-    """(id, piece, ids) of every slot, read back from the shards' files."""
-    out, files = {}, defaultdict(list)
+    """The ids of every slot and of every document's pieces, read back from the shards' files."""
+    slots, pieces, files = {}, [], defaultdict(list)
     for r in rows:
         files[r.shard, r.file].append(r)
     assert len(files) == len({shard for shard, _ in files})
     for (_, file), found in files.items():
-        found.sort(key=lambda r: r.place)
-        ids = list(training_order.read_shard(where, file, length, 0, width))
-        assert [r.place for r in found] == list(range(len(ids)))
-        assert [x.tolist() for x in training_order.read_shard(where, file, length, 2, width)] == [x.tolist() for x in ids[2:]]
-        for r, x in zip(found, ids):
-            assert r.ids_crc32 == zlib.crc32(x.astype("<u4").tobytes()) and r.byte_offset == r.place * width * (length + 1) and r.length == len(x)
-            out[r.slot] = (r.doc_id, r.piece, tuple(x.tolist()))
-    return out
+        ids = [x.tolist() for x in training_order.read_shard(where, file, length, 0, width)]
+        assert {r.place for r in found} == set(range(len(ids)))
+        assert [x.tolist() for x in training_order.read_shard(where, file, length, 2, width)] == ids[2:]
+        for r in found:
+            part = ids[r.place][r.offset : r.offset + r.length]
+            assert r.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes()) and r.byte_offset == r.place * width * (length + 1) and r.length == len(part)
+            slots[r.slot] = tuple(ids[r.place])
+            pieces.append((r.doc_id, r.piece, tuple(part)))
+        spans = sorted((r.place, r.offset, r.length) for r in found)
+        assert all(b[1] == (a[1] + a[2] if a[0] == b[0] else 0) for a, b in zip(spans, spans[1:])) and sum(n for *_, n in spans) == sum(map(len, ids))
+    return slots, pieces
 
 
 def test_every_slot_is_the_permutation_of_a_number(slow, edge, tmp_path):
     where = f"file://{tmp_path}/order"
     rows = training_order.materialise(edge.coalesce(1), where, length=64).collect()
-    found, given = stored(where, rows, 64), list(want(slow, ROWS, 64))
-    slots = training_order.permute(np.arange(len(given)), len(given)).tolist()
-    assert found == dict(zip(slots, given)) and len({r.shard for r in rows}) == 4
+    stream = [i for r in ROWS for i in ids_of(slow, r[1])]
+    given = [tuple(stream[a : a + 64]) for a in range(0, len(stream), 64)]
+    slots, pieces = stored(where, rows, 64)
+    assert slots == dict(zip(training_order.permute(np.arange(len(given)), len(given)).tolist(), given)) and len({r.shard for r in rows}) == 4
+    whole = defaultdict(list)
+    for doc_id, _, ids in sorted((p for p in pieces if p[0] in (6, 7, 13)), key=lambda p: p[1]):
+        whole[doc_id] += ids
+    assert {r[0]: ids_of(slow, r[1]) for r in ROWS if r[0] in (6, 7, 13)} == whole
     assert {p.name for p in (tmp_path / "order").iterdir() if p.suffix != ".crc"} == {r.file for r in rows} and not (tmp_path / "order-ids").exists()
 
 
@@ -157,15 +161,17 @@ def test_any_ids_and_many_tasks(slow, spark, tmp_path):
     rows = [(None if i % 50 == 0 else "hot" if i % 3 else f"id-{i}", f"text number {i} " * (i % 40)) for i in range(400)]
     where = f"file://{tmp_path}/order"
     got = training_order.materialise(spark.createDataFrame(rows, "doc_id string, text string").repartition(7), where, length=32, shard_bytes=4096).collect()
-    found = stored(where, got, 32)
-    assert sorted(found) == list(range(len(got))) and Counter(found.values()) == Counter(want(slow, rows, 32))
-    counts = Counter(r.shard for r in got)
+    slots, pieces = stored(where, got, 32)
+    assert sorted(slots) == list(range(len(slots))) and sum(len(x) < 32 for x in slots.values()) <= 7
+    assert Counter(p[0] for p in pieces if not p[1]) == Counter(r[0] for r in rows)
+    assert Counter(i for *_, ids in pieces for i in ids) == Counter(i for r in rows for i in ids_of(slow, r[1]))
+    counts = Counter(r.shard for r in {(r.shard, r.place): r for r in got}.values())
     assert all(n == 4096 // 66 for shard, n in counts.items() if shard < max(counts))
 
 
 def test_files_of_failed_tries_go(edge, tmp_path):
     where = f"file://{tmp_path}/order"
-    key = lambda rows: {(r.slot, r.doc_id, r.piece, r.ids_crc32) for r in rows}
+    key = lambda rows: {(r.slot, r.offset, r.doc_id, r.piece, r.ids_crc32) for r in rows}
     one = training_order.materialise(edge, where, length=64).collect()
     (tmp_path / "order" / "shard-00000000-failed.bin").write_bytes(b"half")
     two = training_order.materialise(edge, where, length=64).collect()
@@ -191,7 +197,7 @@ def test_ids_over_16_bits_take_32(spark, tmp_path):
     Tokenizer(WordLevel({"[UNK]": 0, "most": 65_535, "over": 65_536}, unk_token="[UNK]")).save(path)
     where = f"file://{tmp_path}/wide"
     rows = training_order.materialise(spark.createDataFrame([(1, "most"), (2, "over")], "doc_id long, text string"), where, path=path, end=70_000).collect()
-    assert sorted(stored(where, rows, training_order.LENGTH, 4).values()) == [(1, 0, (65_535, 70_000)), (2, 0, (65_536, 70_000))]
+    assert sorted(stored(where, rows, training_order.LENGTH, 4)[1]) == [(1, 0, (65_535, 70_000)), (2, 0, (65_536, 70_000))]
 
 
 def test_pair_fits_fill_bins():
