@@ -12,26 +12,28 @@ MATCH_FIELDS = ("TITLE", "SPACE_KEY", "LABEL", "PATH")
 MOST_RULES = 10_000
 
 
-def _any_starts(column: str, prefix: str) -> Column:
-    return F.exists(F.coalesce(column, F.array().cast("array<string>")), lambda value: value.startswith(prefix))
-
-
 def resolve_policy(docs: DataFrame, rules: DataFrame, project_id: str) -> DataFrame:
     """docs (provider, title, space_key, path, labels array) with access_policy_id; unmatched ones are the project's.
 
-    The rules are folded into one expression per document, so nothing is shuffled or joined.
+    The rules, in order, are one constant array that each document is held against, so nothing is
+    shuffled or joined, and the plan stays as deep as it is however many rules there are.
     """
     found = rules.orderBy("ordinal").limit(MOST_RULES + 1).collect()
     if len(found) > MOST_RULES:
         raise ValueError(f"more than {MOST_RULES} access rules")
-    policy = F.lit(f"project:{project_id}")
-    for rule in reversed(found):
-        if rule["match_field"] == "LABEL":
-            hit = _any_starts("labels", rule["prefix"])
-        else:
-            hit = F.coalesce(F.col(rule["match_field"].lower()), F.lit("")).startswith(rule["prefix"])
-        policy = F.when((F.col("provider") == rule["provider"]) & hit, rule["access_policy_id"]).otherwise(policy)
-    return docs.withColumn("access_policy_id", policy)
+    if not found:
+        return docs.withColumn("access_policy_id", F.lit(f"project:{project_id}"))
+    names = ("provider", "match_field", "prefix", "access_policy_id")
+    table = F.array(*(F.struct(*(F.lit(rule[c]).alias(c) for c in names)) for rule in found))
+    labels = F.coalesce("labels", F.array().cast("array<string>"))
+
+    def hits(rule: Column) -> Column:
+        value = F.coalesce(F.when(rule["match_field"] == "TITLE", F.col("title")).when(rule["match_field"] == "SPACE_KEY", F.col("space_key")).when(rule["match_field"] == "PATH", F.col("path")), F.lit(""))
+        begins = F.when(rule["match_field"] == "LABEL", F.exists(labels, lambda x: F.startswith(x, rule["prefix"]))).otherwise(F.startswith(value, rule["prefix"]))
+        return (rule["provider"] == F.col("provider")) & begins
+
+    first = F.try_element_at(F.filter(table, hits), F.lit(1))
+    return docs.withColumn("access_policy_id", F.coalesce(first["access_policy_id"], F.lit(f"project:{project_id}")))
 
 
 def rule_errors(rules: DataFrame, project_id: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from docweir.functions import text
+from docweir.schemas import SOURCE
 
 LIMIT = 512
 # Least scores, and counts that must be zero.
@@ -74,10 +75,11 @@ def gates(scores: DataFrame) -> DataFrame:
 def fingerprint(rows: DataFrame, key: str, payload: list[str]) -> DataFrame:
     """One digest of all rows, regardless of their order.
 
-    Rows are digested; the sorted digests that begin alike are digested together, first by four
+    Values are led by their lengths, and nulls have a mark of their own, so no two rows look alike. Rows are digested; the sorted digests that begin alike are digested together, first by four
     digits, then by two, then all, so that no row of the tree holds more than a 65,536th of the rows.
     """
-    digest = F.sha2(F.concat_ws("|", key, F.sha2(F.concat_ws("|", *payload), 256)), 256)
+    framed = lambda c: F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("v"), F.octet_length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")))
+    digest = F.sha2(F.concat(*map(framed, [key, *payload])), 256)
     level = rows.select(digest.alias("d"), digest.alias("x"), F.lit(1).cast("long").alias("n"))
     for digits in (4, 2, 0):
         inside = F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"])
@@ -86,9 +88,9 @@ def fingerprint(rows: DataFrame, key: str, payload: list[str]) -> DataFrame:
 
 
 def integrity(manifest: DataFrame, stored: DataFrame) -> DataFrame:
-    """Live manifests whose stored chunks don't agree in number, version or schema."""
-    held = stored.groupBy("source_id").agg(F.count(F.lit(1)).alias("held"), F.min("version").alias("_low"), F.max("version").alias("_high"), F.min("schema_version").alias("_slow"), F.max("schema_version").alias("_shigh"))
-    joined = manifest.where(~F.col("deleted")).join(held, "source_id", "left")
+    """Live manifests whose stored chunks (by project, provider and source) don't agree in number, version or schema."""
+    held = stored.groupBy(*SOURCE).agg(F.count(F.lit(1)).alias("held"), F.min("version").alias("_low"), F.max("version").alias("_high"), F.min("schema_version").alias("_slow"), F.max("schema_version").alias("_shigh"))
+    joined = manifest.where(~F.col("deleted")).join(held, SOURCE, "left")
     fault = (
         F.when(F.coalesce("held", F.lit(0)) != F.col("chunk_count"), "chunk count")
         .when((F.col("_low") != F.col("version")) | (F.col("_high") != F.col("version")), "version")

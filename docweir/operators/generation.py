@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docweir.schemas import SOURCE
+
 
 def storage_rows(sources: DataFrame) -> DataFrame:
     """One row per stored chunk of sources that hold _n chunks each, with its deterministic id."""
     rows = sources.where(F.col("_n") > 0).withColumn("ordinal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n").cast("long") - 1)))
-    return rows.select("source_id", "ordinal", storage_id().alias("storage_id"))
+    return rows.select(*SOURCE, "ordinal", storage_id().alias("storage_id"))
 
 
 def storage_id():
@@ -22,13 +24,13 @@ def jira_storage_id():
 
 
 def obsolete(old: DataFrame, new: DataFrame, touched: DataFrame) -> DataFrame:
-    """Stored rows of touched sources that the new generation doesn't hold."""
-    return old.join(touched, "source_id", "left_semi").join(new.select("storage_id"), "storage_id", "left_anti")
+    """Stored rows of touched sources (project_id, provider, source_id) that the new generation doesn't hold."""
+    return old.join(touched, SOURCE, "left_semi").join(new.select("storage_id"), "storage_id", "left_anti")
 
 
 def replaced(old: DataFrame, new: DataFrame, touched: DataFrame) -> DataFrame:
     """What is stored after the sources in touched were replaced by new; a source without new rows is gone."""
-    return old.join(touched, "source_id", "left_anti").unionByName(new)
+    return old.join(touched, SOURCE, "left_anti").unionByName(new)
 
 
 def verified(expected: DataFrame, stored: DataFrame) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-KEY = ["project_id", "provider", "scope", "source_id"]
+from docweir.schemas import KEY
+from docweir.shared import stored
+
 #: A document is unchanged while all of these agree with its manifest.
 FENCES = ("version", "content_hash", "parser_version", "chunker_version", "embedding_profile", "schema_version", "access_policy_id")
 #: Most characters that a manifest stores of each.
@@ -129,36 +129,47 @@ def changes_to_operations(changes: DataFrame, indexable: Column) -> DataFrame:
     return gone.unionByName(here).where(indexable)
 
 
-def latest(events: DataFrame, key: str, order: str) -> DataFrame:
+def latest(events: DataFrame, key: str | list[str], order: str) -> DataFrame:
     """The last event of each key."""
-    last = events.groupBy(key).agg(F.max_by(F.struct(*events.columns), F.col(order)).alias("_last"))
+    last = events.groupBy(*([key] if isinstance(key, str) else key)).agg(F.max_by(F.struct(*events.columns), F.col(order)).alias("_last"))
     return last.select("_last.*")
 
 
-def resumable(ledger: DataFrame, current: DataFrame) -> DataFrame:
-    """current sources with what a resumed run does: skip those whose last event finished the same version."""
-    done = latest(ledger, "source_id", "sequence").select("source_id", F.col("status").alias("last_status"), F.col("source_version").alias("_version"))
-    joined = current.join(done, "source_id", "left")
+def resumable(ledger: DataFrame, current: DataFrame, contract: str | None = None) -> DataFrame:
+    """current sources with what a resumed run does: skip those whose last event finished the same version.
+
+    A source is told by project, provider and id as far as both tables know them. Where contract is
+    given, events of runs with another contract (settings, code, models) count for nothing.
+    """
+    key = [c for c in ("project_id", "provider", "source_id") if c in ledger.columns and c in current.columns]
+    if contract is not None:
+        ledger = ledger.where(F.col("contract").eqNullSafe(contract))
+    done = latest(ledger, key, "sequence").select(*key, F.col("status").alias("last_status"), F.col("source_version").alias("_version"))
+    joined = current.join(done, key, "left")
     finished = F.col("last_status").isin("indexed", "unchanged", "excluded") & (F.col("source_version") == F.col("_version"))
-    return joined.select("source_id", "source_version", "last_status", F.when(finished, "skip").otherwise("run").alias("decision"))
+    return joined.select(*key, "source_version", "last_status", F.when(finished, "skip").otherwise("run").alias("decision"))
 
 
-def roots_subtree(pages: DataFrame, roots: list[str], depth: int = 64) -> DataFrame:
-    """Pages (page_id, parent_id) at or below the roots, each with its depth; a cycle ends where it began.
+def roots_subtree(pages: DataFrame, roots: list[str]) -> DataFrame:
+    """Pages (page_id, parent_id) at or below the roots, each with its depth below the nearest; cycles do no harm.
 
-    Each round joins the frontier with the pages whose parent is in it. Rounds are as many as the tree
-    is deep, and a page already reached is not reached again.
+    Ancestors are doubled: a round knows every page's ancestor 1, 2, 4, ... steps up and the nearest
+    root on the way, so rounds are as many as the depth has binary digits. Each is stored.
     """
-    reached = pages.where(F.col("page_id").isin(*roots)).select("page_id", F.lit(0).alias("depth"))
-    frontier, parts = reached, [reached]
-    for level in range(1, depth + 1):
-        known = reduce(DataFrame.unionByName, parts)
-        children = pages.join(frontier.select(F.col("page_id").alias("parent_id")), "parent_id").select("page_id", F.lit(level).alias("depth")).distinct()
-        frontier = children.join(known.select("page_id"), "page_id", "left_anti").persist()
-        if frontier.isEmpty():
+    pages = stored(pages.select("page_id", "parent_id"))
+    most = pages.count()
+    hit = pages.groupBy("page_id").agg(F.min(F.when(F.col("page_id").isin(*roots), 0)).alias("depth"))
+    up, step = pages.where("parent_id is not null").select("page_id", F.col("parent_id").alias("above")).distinct(), 1
+    while True:
+        over = up.join(hit.where("depth is not null").select(F.col("page_id").alias("above"), "depth"), "above").groupBy("page_id").agg((F.min("depth") + step).alias("_far"))
+        hit = stored(hit.join(over, "page_id", "left").select("page_id", F.least("depth", "_far").cast("int").alias("depth")))
+        step *= 2
+        if step > most:
+            break
+        up = stored(up.join(up.select(F.col("page_id").alias("above"), F.col("above").alias("_next")), "above").select("page_id", F.col("_next").alias("above")).distinct())
+        if up.isEmpty():
             break
-        parts.append(frontier)
-    return reduce(DataFrame.unionByName, parts)
+    return hit.where("depth is not null")
 
 
 def numbered(df: DataFrame, by: list[str], order: list[Column | str], name: str = "ordinal") -> DataFrame:

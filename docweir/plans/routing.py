@@ -213,18 +213,21 @@ def dead_letters(spark, sf_dir):
     return settlement(frame(spark, "fx_queue")).select("message_id", "outcome")
 
 
-GENERATION_SQL = views.BASE_SQL + """, old AS (SELECT sha256(project_id || '|' || provider || '|' || source_id || '|' || i) AS storage_id, source_id, i AS ordinal FROM (SELECT *, unnest(range(chunk_count + doc_id % 3)) AS i FROM src WHERE doc_id % 5 <> 0)),
-new AS (SELECT sha256(project_id || '|' || provider || '|' || source_id || '|' || i) AS storage_id, source_id, i AS ordinal FROM (SELECT *, unnest(range(CASE WHEN deleted THEN 0 ELSE chunk_count END)) AS i FROM src WHERE doc_id % 4 <> 0)),
-touched AS (SELECT source_id FROM src WHERE doc_id % 4 <> 0)
+GENERATION_SQL = views.BASE_SQL + """, held AS (SELECT doc_id, project_id, provider, source_id, chunk_count FROM src WHERE doc_id % 5 <> 0 UNION ALL SELECT doc_id, project_id, 'OTHER', source_id, chunk_count FROM src WHERE doc_id % 6 = 1),
+old AS (SELECT sha256(project_id || '|' || provider || '|' || source_id || '|' || i) AS storage_id, provider, source_id, i AS ordinal FROM (SELECT *, unnest(range(chunk_count + doc_id % 3)) AS i FROM held)),
+new AS (SELECT sha256(project_id || '|' || provider || '|' || source_id || '|' || i) AS storage_id, provider, source_id, i AS ordinal FROM (SELECT *, unnest(range(CASE WHEN deleted THEN 0 ELSE chunk_count END)) AS i FROM src WHERE doc_id % 4 <> 0)),
+touched AS (SELECT provider, source_id FROM src WHERE doc_id % 4 <> 0)
 """
 
 
 def _generations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Some sources are held under the same id by another provider, too; it isn't touched."""
     s = views.source_documents(spark, sf_dir)
     rows = lambda df, n: generation.storage_rows(df.withColumn("_n", n))
-    old = rows(s.where(F.col("doc_id") % 5 != 0), F.col("chunk_count") + F.col("doc_id") % 3)
+    held = s.where(F.col("doc_id") % 5 != 0).unionByName(s.where(F.col("doc_id") % 6 == 1).withColumn("provider", F.lit("OTHER")))
+    old = rows(held, F.col("chunk_count") + F.col("doc_id") % 3)
     touched = s.where(F.col("doc_id") % 4 != 0)
-    return old, rows(touched, F.when(F.col("deleted"), 0).otherwise(F.col("chunk_count"))), touched.select("source_id")
+    return old, rows(touched, F.when(F.col("deleted"), 0).otherwise(F.col("chunk_count"))), touched.select("project_id", "provider", "source_id")
 
 
 @query("storage_ids", views.BASE_SQL + " SELECT source_id, i AS ordinal, sha256(project_id || '|' || provider || '|' || source_id || '|' || i) AS storage_id FROM (SELECT *, unnest(range(chunk_count)) AS i FROM src)")
@@ -232,17 +235,17 @@ def storage_ids(spark, sf_dir):
     return generation.storage_rows(views.source_documents(spark, sf_dir).withColumn("_n", F.col("chunk_count"))).select("source_id", "ordinal", "storage_id")
 
 
-@query("generation_obsolete_ids", GENERATION_SQL + "SELECT storage_id FROM old WHERE source_id IN (SELECT source_id FROM touched) EXCEPT SELECT storage_id FROM new")
+@query("generation_obsolete_ids", GENERATION_SQL + "SELECT storage_id FROM old WHERE (provider, source_id) IN (SELECT provider, source_id FROM touched) EXCEPT SELECT storage_id FROM new")
 def generation_obsolete_ids(spark, sf_dir):
     return generation.obsolete(*_generations(spark, sf_dir)).select("storage_id")
 
 
-@query("generation_final_state", GENERATION_SQL + "SELECT source_id, count(*) AS chunks, max(ordinal) AS last_ordinal FROM (SELECT * FROM old WHERE source_id NOT IN (SELECT source_id FROM touched) UNION ALL SELECT * FROM new) GROUP BY source_id")
+@query("generation_final_state", GENERATION_SQL + "SELECT provider, source_id, count(*) AS chunks, max(ordinal) AS last_ordinal FROM (SELECT * FROM old ANTI JOIN touched USING (provider, source_id) UNION ALL BY NAME SELECT * FROM new) GROUP BY provider, source_id")
 def generation_final_state(spark, sf_dir):
-    return generation.replaced(*_generations(spark, sf_dir)).groupBy("source_id").agg(F.count(F.lit(1)).alias("chunks"), F.max("ordinal").alias("last_ordinal"))
+    return generation.replaced(*_generations(spark, sf_dir)).groupBy("provider", "source_id").agg(F.count(F.lit(1)).alias("chunks"), F.max("ordinal").alias("last_ordinal"))
 
 
-@query("generation_verify", GENERATION_SQL + "SELECT count(*) AS expected, count(*) FILTER (f.storage_id IS NOT NULL) AS written FROM new n LEFT JOIN (SELECT storage_id FROM old WHERE source_id NOT IN (SELECT source_id FROM touched) UNION ALL SELECT storage_id FROM new) f USING (storage_id)")
+@query("generation_verify", GENERATION_SQL + "SELECT count(*) AS expected, count(*) FILTER (f.storage_id IS NOT NULL) AS written FROM new n LEFT JOIN (SELECT storage_id FROM old ANTI JOIN touched USING (provider, source_id) UNION ALL SELECT storage_id FROM new) f USING (storage_id)")
 def generation_verify(spark, sf_dir):
     old, new, touched = _generations(spark, sf_dir)
     return generation.verified(new, generation.replaced(old, new, touched))

@@ -9,12 +9,12 @@ from docweir.plans.fixtures import cte, frame
 from docweir.plans.registry import query
 from docweir.plans.routing import POLICY
 from docweir.sources import projects, views
-from docweir.sources.tables import work_dir
+from docweir.shared import work_dir
 from docweir.streaming import ingest
 
 
 def _stored(spark, sf_dir):
-    """Runs documents through a stream into an empty store, and the same input once more."""
+    """Runs documents through a stream into an empty store."""
     where = work_dir(spark, "ingest")
     store = ingest.Store(spark, f"{where}/store")
     schema = views.table(spark, sf_dir, "documents").schema

@@ -1,37 +1,28 @@
-"""Schemas of the tables that the engine reads and writes."""
+"""Schemas of the state tables, and their keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_S, _I, _B, _TS = T.StringType(), T.IntegerType(), T.BooleanType(), T.TimestampType()
+_S, _B, _I, _TS = T.StringType(), T.BooleanType(), T.LongType(), T.TimestampType()
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-#: A source document as a connector delivers it.
-DOCUMENT = _struct(
-    project_id=_S, provider=_S, scope=_S, source_id=_S, source_type=_S, title=_S, reference=_S, source_url=_S, path=_S, version=_S, content=_S,
-    content_bytes=T.BinaryType(), content_hash=_S, updated_at=_TS, labels=T.ArrayType(_S), space_key=_S, metadata=T.MapType(_S, _S), deleted=_B,
-    mime_type=_S, language=_S, security_classification=_S,
-)
-#: What is known of a source after its last run; key: project_id, provider, scope, source_id.
+#: What tells a source apart in manifests, and in stored chunks, which don't know of scopes.
+KEY = ["project_id", "provider", "scope", "source_id"]
+SOURCE = ["project_id", "provider", "source_id"]
+#: What is known of a source after its last run; key: KEY.
 MANIFEST = _struct(
-    project_id=_S, provider=_S, scope=_S, source_id=_S, source_type=_S, title=_S, source_url=_S, version=_S, content_hash=_S, chunk_count=T.LongType(),
+    project_id=_S, provider=_S, scope=_S, source_id=_S, source_type=_S, title=_S, source_url=_S, version=_S, content_hash=_S, chunk_count=_I,
     last_seen_run=_S, deleted=_B, parser_version=_S, chunker_version=_S, embedding_profile=_S, schema_version=_S, access_policy_id=_S,
 )
+#: Stored chunks; key: SOURCE.
+CHUNKS = _struct(project_id=_S, provider=_S, source_id=_S, ordinal=_I, storage_id=_S)
 #: State that must never share keys with manifests has tables of its own.
 CURSOR = _struct(project_id=_S, provider=_S, scope=_S, cursor=_TS)
 LEASE = _struct(scope=_S, owner=_S, expires_at=_TS)
-QUARANTINE = _struct(project_id=_S, provider=_S, scope=_S, source_id=_S, reason_code=_S, recorded_at=_TS)
-#: An element that a chunker made of a document.
-ELEMENT = _struct(kind=_S, text=_S, heading_path=T.ArrayType(_S), locator=_S, metadata=T.MapType(_S, _S))
-CHUNK = _struct(
-    chunk_id=_S, source_id=_S, ordinal=_I, content=_S, content_hash=_S, structure_hash=_S, embedding_text=_S, structure_path=T.ArrayType(_S), locator=_S,
-    language=_S, visual_eligible=_B, visual_types=T.ArrayType(_S), visual_asset_ids=T.ArrayType(_S), page_number=_I, metadata=T.MapType(_S, _S),
-)
-ACCESS_RULE = _struct(ordinal=_I, provider=_S, match_field=_S, prefix=_S, access_policy_id=_S)
-#: Queue messages have exactly these fields, all of them strings.
-JOB = _struct(job_id=_S, project_id=_S, provider=_S, mode=_S, repository=_S, pull_request=_S, requested_at=_S)
+QUARANTINE = _struct(project_id=_S, provider=_S, scope=_S, source_id=_S, reason_code=_S, recorded_run=_S)
+DEAD_LETTER = _struct(message_id=_S, project_id=_S, deliveries=T.IntegerType(), recorded_run=_S)

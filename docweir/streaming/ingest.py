@@ -2,53 +2,122 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docweir import schemas
 from docweir.operators import generation, routing
 from docweir.sources.tables import StateTable
+from docweir.streaming import gates, leases
 
-STORED = "project_id string, provider string, source_id string, ordinal bigint, storage_id string"
+#: Files of a micro-batch, so that a backlog is taken in steps.
+MOST_FILES = 256
 
 
 class Store:
-    """Where a run's results are kept: stored chunks, and manifests. Chunks are written first, so a crash repeats work and loses none."""
+    """Where results and state are kept. Chunks are written before manifests, so a crash repeats work and loses none."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        stored = spark.createDataFrame([], STORED).schema
-        self.chunks = StateTable(spark, f"{path}/chunks", stored)
-        self.manifest = StateTable(spark, f"{path}/manifest", schemas.MANIFEST)
+        table = lambda name, schema, keys: StateTable(spark, f"{path}/{name}", schema, keys)
+        self.chunks = table("chunks", schemas.CHUNKS, schemas.SOURCE)
+        self.manifest = table("manifest", schemas.MANIFEST, schemas.KEY)
+        self.cursors = table("cursors", schemas.CURSOR, schemas.KEY[:-1])
+        self.quarantine = table("quarantine", schemas.QUARANTINE, schemas.KEY)
+        self.leases = table("leases", schemas.LEASE, ["scope"])
+        self.dead = table("dead", schemas.DEAD_LETTER, ["message_id"])
+
+
+def _upsert(table: StateTable, rows: DataFrame, token: int, writer: str) -> bool:
+    return table.rewrite(rows, lambda old: old.join(rows.select(*table.keys), table.keys, "left_anti").unionByName(rows), token, writer)
 
 
-def apply(store: Store, docs: DataFrame, token: int, run: str) -> None:
-    """Routes docs against the manifest, replaces the chunks of what changed, then commits. A token that was applied is passed over.
+def apply(store: Store, docs: DataFrame, token: int, run: str, writer: str = "") -> None:
+    """Routes docs against the manifest, replaces the chunks of what changed, then commits. A token that its writer has applied is passed over.
 
     docs have the manifest's columns and the fences' current values, one row per source; of a source
-    that comes twice in a batch the row with the greatest version counts.
+    that comes more than once in a batch the row that was updated last counts. Only buckets that hold
+    one of the batch's sources are read and written.
     """
-    if store.manifest.token() >= token:
+    if store.manifest.token(writer) >= token:
         return
-    one = docs.groupBy(*routing.KEY).agg(F.max_by(F.struct(*docs.columns), F.coalesce("version", F.lit(""))).alias("d")).select("d.*")
-    manifest = store.manifest.read()
-    routed = routing.route(one, manifest).persist()
+    order = F.struct(*(F.col(c) for c in ("updated_at", "version") if c in docs.columns))
+    one = docs.groupBy(*routing.KEY).agg(F.max_by(F.struct(*docs.columns), order).alias("d")).select("d.*").persist()
+    routed = routing.route(one, store.manifest.near(one)).persist()
     try:
         touched = routed.where("operation <> 'SKIP'")
-        rows = touched.withColumn("_n", F.when(F.col("operation") == "INDEX", F.col("chunk_count")).otherwise(0)).where("_n > 0")
-        rows = rows.withColumn("ordinal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n").cast("long") - 1)))
-        new = rows.select("project_id", "provider", "source_id", "ordinal", generation.storage_id().alias("storage_id"))
-        store.chunks.replace(generation.replaced(store.chunks.read(), new, touched.select("source_id")), token)
-        store.manifest.replace(routing.commit(manifest, routed, run), token)
+        rows = touched.withColumn("_n", F.when(F.col("operation") == "INDEX", F.col("chunk_count")).otherwise(0))
+        new, sources = generation.storage_rows(rows), touched.select(*schemas.SOURCE).distinct()
+        store.chunks.rewrite(sources, lambda old: generation.replaced(old, new, sources), token, writer)
+        store.manifest.rewrite(one, lambda old: routing.commit(old, routed, run), token, writer)
     finally:
         routed.unpersist()
+        one.unpersist()
+
+
+def advance(store: Store, outcomes: DataFrame, token: int, writer: str = "") -> None:
+    """Stores the cursor of every scope (project_id, provider, scope) whose documents (updated_at, failed) all went well.
+
+    A scope with a failure keeps its cursor, so that the next run reads it again; a cursor never goes back.
+    """
+    scope = schemas.KEY[:-1]
+    seen = outcomes.groupBy(*scope).agg(F.max("updated_at").alias("cursor"), F.count_if("failed").alias("failures")).where("failures = 0 and cursor is not null").drop("failures")
+    seen = seen.persist()
+    try:
+        store.cursors.rewrite(seen, lambda old: old.unionByName(seen).groupBy(*scope).agg(F.max("cursor").alias("cursor")), token, writer)
+    finally:
+        seen.unpersist()
+
+
+def put_aside(store: Store, judged: DataFrame, token: int, run: str, writer: str = "") -> DataFrame:
+    """Stores why documents with a reason_code are quarantined; returns the others, which go on."""
+    bad = judged.where("reason_code is not null").select(*schemas.KEY, "reason_code", F.lit(run).alias("recorded_run")).dropDuplicates(schemas.KEY)
+    _upsert(store.quarantine, bad, token, writer)
+    return judged.where("reason_code is null")
+
+
+def acquire(store: Store, requests: DataFrame, token: int, writer: str = "", seconds: int = 900) -> DataFrame:
+    """Decides on requests (scope, requester, asked_at) for leases, and stores what is granted.
+
+    Of two processes that decide at once, one gets a Conflict and asks again.
+    """
+    held = store.leases.near(requests)
+    decisions = leases.decide(held, requests)
+    store.leases.rewrite(requests, lambda old: leases.granted(old, decisions, requests, seconds), token, writer)
+    return decisions
+
+
+def settle(store: Store, messages: DataFrame, token: int, run: str, writer: str = "") -> DataFrame:
+    """Stores messages (message_id, project_id, deliveries, ok) that failed too often; returns those that are delivered again."""
+    again, aside = dead_letter(messages, gates.settlement(messages))
+    _upsert(store.dead, aside.select("message_id", "project_id", "deliveries", F.lit(run).alias("recorded_run")).dropDuplicates(["message_id"]), token, writer)
+    return again
+
+
+def documents(spark: SparkSession, path: str, schema: T.StructType, most_files: int = MOST_FILES) -> DataFrame:
+    """A stream of the Parquet files at path, at most most_files a micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", most_files).option("recursiveFileLookup", "true").parquet(path)
+
+
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """What tells a stream from any other: the id that its checkpoint holds. Batches are numbered anew in each checkpoint."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
 
 
 def start(stream: DataFrame, store: Store, checkpoint: str, run: str) -> StreamingQuery:
     """A stream of documents into a store, as far as there is input; it takes up where the checkpoint says."""
+    spark = stream.sparkSession
 
     def batch(docs: DataFrame, number: int) -> None:
-        apply(store, docs, number, run)
+        apply(store, docs, number, run, writer_of(spark, checkpoint))
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -9,7 +9,7 @@ from docweir.functions import formats, paths, richtext, security, text
 from docweir.operators import access, audits, chunkers, generation, routing, sections
 from docweir.plans.fixtures import frame
 from docweir.sources import local, paged, views
-from docweir.sources.tables import StateTable
+from docweir.sources.tables import Conflict, StateTable
 from docweir.streaming import gates, ingest
 
 
@@ -77,12 +77,79 @@ def test_stream_takes_up_where_it_stopped(spark, small, docs, tmp_path):
 
 
 def test_state_table_swaps_generations(spark, tmp_path):
-    table = StateTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "a int").schema)
+    table = StateTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "a int, b int").schema, ["a"], buckets=8)
+    rows = lambda lo, hi, b: spark.range(lo, hi).select(F.col("id").cast("int").alias("a"), F.lit(b).alias("b"))
     assert table.read().count() == 0 and table.token() == -1
-    assert table.replace(spark.range(3).select(F.col("id").cast("int").alias("a")), 0)
-    assert table.replace(table.read().where("a > 0"), 1) and not table.replace(table.read().limit(0), 1)
-    assert sorted(r.a for r in table.read().collect()) == [1, 2] and table.token() == 1
-    assert len(list((tmp_path / "t").glob("generation-*"))) == 1
+    assert table.replace(rows(0, 100, 0), 0)
+    before, parts = table.read(), table.state()["parts"]
+    assert table.rewrite(rows(5, 6, 1), lambda old: old.where("a <> 5").unionByName(rows(5, 6, 1)), 1) and not table.rewrite(rows(0, 9, 2), lambda old: old.limit(0), 1)
+    assert {(r.a, r.b) for r in table.read().collect()} == {(i, int(i == 5)) for i in range(100)} and table.token() == 1
+    after = table.state()["parts"]
+    assert len(parts) == 8 and sum(parts[b] != after[b] for b in parts) == 1  # one bucket was written
+    assert before.where("b = 0").count() == 100  # a reader that began before goes on
+    assert table.rewrite(rows(0, 9, 3), lambda old: old, 0, "another writer's first batch") and table.token() == 1
+
+
+def test_state_table_lets_one_of_two_writers_win(spark, tmp_path):
+    table = StateTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "a int").schema, ["a"], buckets=2)
+    one = spark.createDataFrame([(1,)], "a int")
+
+    def meanwhile(old):
+        table.replace(one, 0, "other")
+        return old
+
+    with pytest.raises(Conflict):
+        table.rewrite(one, meanwhile, 0, "mine")
+    assert table.read().count() == 1 and table.token("mine") == -1 and table.token("other") == 0
+
+
+def test_state_table_removes_what_no_reader_needs(spark, tmp_path):
+    table = StateTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "a int").schema, ["a"], buckets=2)
+    for n in range(8):
+        table.replace(spark.range(n + 1).select(F.col("id").cast("int").alias("a")), n)
+    live = {p.parent.name for p in (tmp_path / "t").glob("generation-*/_bucket=*")}
+    assert table.read().count() == 8 and len(live) <= 4 and len(list((tmp_path / "t" / "_log").glob("*.json"))) <= 4
+
+
+def test_another_checkpoint_starts_anew_and_replay_changes_nothing(spark, docs, tmp_path):
+    where = f"file://{tmp_path}"
+    store, schema = ingest.Store(spark, f"{where}/store"), docs.drop("labels").schema
+    run = lambda name: ingest.start(ingest.documents(spark, f"{where}/in", schema, most_files=1), store, f"{where}/{name}", name).awaitTermination()
+    docs.drop("labels").where("chunk_count = 1").coalesce(2).write.parquet(f"{where}/in/one")
+    run("first")
+    count, chunks = store.manifest.read().count(), sorted(map(tuple, store.chunks.read().collect()))
+    run("second")  # the same input, from the beginning
+    assert store.manifest.read().count() == count and sorted(map(tuple, store.chunks.read().collect())) == chunks
+    assert {r.last_seen_run for r in store.manifest.read().where("not deleted").collect()} == {"second"}
+    docs.drop("labels").where("chunk_count > 1").write.parquet(f"{where}/in/two")
+    run("second")
+    assert store.manifest.read().count() == docs.where("not deleted").count()
+
+
+def test_cursors_quarantine_leases_and_dead_letters_are_stored(spark, tmp_path):
+    store = ingest.Store(spark, f"file://{tmp_path}/store")
+    row = "project_id string, provider string, scope string, source_id string, updated_at timestamp, failed boolean, reason_code string"
+    at = lambda day: __import__("datetime").datetime(2024, 1, day)
+    rows = spark.createDataFrame([("p", "JIRA", "a", "1", at(1), False, None), ("p", "JIRA", "a", "2", at(3), False, "FILE_TOO_LARGE"), ("p", "JIRA", "b", "1", at(2), True, None)], row)
+    ingest.advance(store, rows, 0)
+    ingest.advance(store, rows.where("source_id = '1'").withColumn("failed", F.lit(False)), 1)
+    assert {(r.scope, r.cursor.day) for r in store.cursors.read().collect()} == {("a", 3), ("b", 2)}
+    assert ingest.put_aside(store, rows, 0, "run-1").count() == 2
+    assert [(r.source_id, r.reason_code, r.recorded_run) for r in store.quarantine.read().collect()] == [("2", "FILE_TOO_LARGE", "run-1")]
+    asked = spark.createDataFrame([("s", "w1", at(1)), ("t", "w1", at(1))], "scope string, requester string, asked_at timestamp")
+    assert {r.decision for r in ingest.acquire(store, asked, 0).collect()} == {"granted"}
+    other = asked.withColumn("requester", F.lit("w2"))
+    assert {r.decision for r in ingest.acquire(store, other, 1).collect()} == {"held"} and {r.owner for r in store.leases.read().collect()} == {"w1"}
+    assert {r.message_id for r in ingest.settle(store, frame(spark, "fx_queue"), 0, "run-1").collect()} == {"m2"}
+    assert {r.message_id for r in store.dead.read().collect()} == {"m3", "m4"}
+
+
+def test_the_row_updated_last_counts(spark, docs, tmp_path):
+    store = ingest.Store(spark, f"file://{tmp_path}/store")
+    one = docs.where("not deleted and updated_at is not null").limit(1)
+    older = one.withColumns({"version": F.lit("zzz"), "updated_at": F.col("updated_at") - F.expr("INTERVAL 1 DAY")})
+    ingest.apply(store, one.unionByName(older), 0, "run")
+    assert store.manifest.read().first().version == one.first().version
 
 
 def test_stale_guard_never_deletes_jira_or_below_the_floor(spark, small):
@@ -94,11 +161,12 @@ def test_stale_guard_never_deletes_jira_or_below_the_floor(spark, small):
 
 
 def test_replacement_keeps_other_sources(spark):
-    old = spark.createDataFrame([("s", "p", "a", 0, "1"), ("s", "p", "a", 1, "2"), ("s", "p", "b", 0, "3")], ingest.STORED)
-    new = spark.createDataFrame([("s", "p", "a", 0, "1")], ingest.STORED)
-    touched = new.select("source_id")
+    stored = "project_id string, provider string, source_id string, ordinal bigint, storage_id string"
+    old = spark.createDataFrame([("s", "p", "a", 0, "1"), ("s", "p", "a", 1, "2"), ("s", "p", "b", 0, "3"), ("s", "q", "a", 0, "4"), ("t", "p", "a", 0, "5")], stored)
+    new = spark.createDataFrame([("s", "p", "a", 0, "1")], stored)
+    touched = new.select("project_id", "provider", "source_id")
     assert {r.storage_id for r in generation.obsolete(old, new, touched).collect()} == {"2"}
-    assert {r.storage_id for r in generation.replaced(old, new, touched).collect()} == {"1", "3"}
+    assert {r.storage_id for r in generation.replaced(old, new, touched).collect()} == {"1", "3", "4", "5"}
     assert generation.verified(new, old).first().asDict() == {"expected": 1, "written": 1}
 
 
@@ -107,6 +175,30 @@ def test_tree_ends_at_cycles(spark):
     assert {(r.page_id, r.depth) for r in routing.roots_subtree(pages, ["a"]).collect()} == {("a", 0), ("b", 1), ("c", 2)}
 
 
+def test_deep_trees_are_whole(spark):
+    pages = spark.createDataFrame([(str(i), str(i - 1) if i else None) for i in range(150)] + [("x", "149"), ("y", "nowhere")], "page_id string, parent_id string")
+    assert {(r.page_id, r.depth) for r in routing.roots_subtree(pages, ["3", "100"]).collect()} == {(str(i), i - 3 if i < 100 else i - 100) for i in range(3, 150)} | {("x", 50)}
+    assert routing.roots_subtree(pages.limit(0), ["3"]).count() == 0
+
+
+def test_many_rules(spark):
+    rules = spark.createDataFrame([(i, "JIRA", "TITLE", f"T{i} ", f"p{i}") for i in range(3000)], "ordinal int, provider string, match_field string, prefix string, access_policy_id string")
+    docs = spark.createDataFrame([("JIRA", "T2999 x", None, None, None), ("JIRA", None, None, None, ["a"])], "provider string, title string, space_key string, path string, labels array<string>")
+    assert [r.access_policy_id for r in access.resolve_policy(docs, rules, "D").collect()] == ["p2999", "project:D"]
+
+
+def test_resume_looks_at_the_whole_key_and_the_contract(spark):
+    ledger = spark.createDataFrame([(1, "p", "JIRA", "s", "indexed", "v", "c1"), (2, "p", "GITHUB", "s", "failed", "v", "c1")], "sequence int, project_id string, provider string, source_id string, status string, source_version string, contract string")
+    current = spark.createDataFrame([("p", "JIRA", "s", "v"), ("p", "GITHUB", "s", "v")], "project_id string, provider string, source_id string, source_version string")
+    decide = lambda *contract: {r.provider: r.decision for r in routing.resumable(ledger, current, *contract).collect()}
+    assert decide() == {"JIRA": "skip", "GITHUB": "run"} == decide("c1") and decide("c2") == {"JIRA": "run", "GITHUB": "run"}
+
+
+def test_fingerprint_tells_nulls_and_borders_apart(spark):
+    prints = {audits.fingerprint(spark.createDataFrame([("k", a, b)], "k string, a string, b string"), "k", ["a", "b"]).first().fingerprint for a, b in [("x", None), (None, "x"), ("x|y", None), ("x", "y"), ("x", ""), ("", "x")]}
+    assert len(prints) == 6
+
+
 @pytest.mark.parametrize("path, pattern, expected", [
     ("project-documentation/a.md", "**/project-documentation/**", True), ("notes.docx", "**/*.docx", True), ("src/main/Cart.kt", "*.kt", False), ("docs", "docs/**", True), ("a/bb/c", "a/?/c", False),
 ])
