@@ -68,23 +68,29 @@ def matches_glob(path: Column, pattern: str) -> Column:
     return F.trim(path, F.lit("/")).rlike(glob_regex(pattern))
 
 
-#: Directories whose files aren't sources of the project's own, and names that hold secrets.
-SKIPPED_DIRS = ("node_modules", "vendor", ".git", "dist", "build", "target", "__pycache__")
-SECRET_SUFFIXES = (".pem", ".key", ".p12", ".pfx", ".jks", ".keystore")
-SECRET_NAMES = ("id_rsa", "id_ed25519", "id_dsa", "credentials", ".npmrc", ".pypirc")
+# Directories that are never read, wherever they stand in a path, and what files of secrets end with.
+CLOSED_DIRS = ("node_modules", "vendor", ".gradle", "build", "dist", "secrets")
+CLOSED_ENDS = (".pem", ".key", ".p12", ".pfx")
 
 
 def is_sensitive(path: Column) -> Column:
-    """Paths that are never read: .env files, keys, vendored directories."""
-    name = F.lower(F.element_at(F.split(path, "/"), -1))
-    dirs = F.exists(F.slice(F.split(F.lower(path), "/"), 1, F.greatest(F.size(F.split(path, "/")) - 1, F.lit(0))), lambda d: d.isin(*SKIPPED_DIRS))
-    return name.startswith(".env") | name.isin(*SECRET_NAMES) | suffix(path).isin(*SECRET_SUFFIXES) | dirs
-
-
-def is_sensitive_sql(path: str) -> str:
-    name = f"lower(list_extract(string_split({path}, '/'), -1))"
-    dirs = f"list_has_any(list_slice(string_split(lower({path}), '/'), 1, -2), [{', '.join(repr(d) for d in SKIPPED_DIRS)}])"
-    return f"(starts_with({name}, '.env') OR {name} IN {_names(SECRET_NAMES)} OR {suffix_sql(path)} IN {_names(SECRET_SUFFIXES)} OR {dirs})"
+    """Paths that are never read: .env files, keys, and what is in a closed directory, by either kind of slash."""
+    parts = F.split(F.translate(F.lower(path), "\\", "/"), "/")
+    name = F.element_at(parts, -1)
+    ends = F.lit(False)
+    for end in CLOSED_ENDS:
+        ends = ends | name.endswith(end)
+    return name.startswith(".env") | ends | F.exists(parts, lambda p: p.isin(*CLOSED_DIRS))
+
+
+def is_allowed(path: Column, include: tuple[str, ...] = (), exclude: tuple[str, ...] = ()) -> Column:
+    """Paths that a repository's configuration lets through: not sensitive, in an included glob if there are any, and in no excluded one."""
+    wanted, refused = F.lit(not include), F.lit(False)
+    for pattern in include:
+        wanted = wanted | matches_glob(path, pattern)
+    for pattern in exclude:
+        refused = refused | matches_glob(path, pattern)
+    return ~is_sensitive(path) & wanted & ~refused
 
 
 def changed_since(updated: Column, threshold: Column) -> Column:

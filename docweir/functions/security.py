@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,11 @@ CITATION = r"https://github\.com/[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+/blob/[0-9a-f]{4
 LEAST_ENTROPY = 4.7
 SAMPLE = 2_000_000
 MOST_BYTES = 25 * 1024 * 1024
-SIGNATURES = {".pdf": "255044462D", ".docx": "504B0304", ".pptx": "504B0304", ".xlsx": "504B0304"}
-EXECUTABLE = ("4D5A", "7F454C46")
+SIGNATURES = {".pdf": b"%PDF-", ".docx": b"PK\x03\x04", ".pptx": b"PK\x03\x04", ".xlsx": b"PK\x03\x04"}
+OFFICE = (".docx", ".pptx", ".xlsx")
+EXECUTABLE = (b"MZ", b"\x7fELF")
+ENCRYPTED = b"/Encrypt"
+PNG, JPEG, RIFF, WEBP = b"\x89PNG\r\n\x1a\n", b"\xff\xd8\xff", b"RIFF", b"WEBP"
 
 
 def has_secret(text: Column) -> Column:
@@ -40,10 +45,18 @@ def entropy(word: Column) -> Column:
     return F.aggregate(parts, F.lit(0.0), lambda total, p: total - p * F.log2(p))
 
 
+def apart(text: Column) -> Column:
+    """text with immutable source citations taken apart at their slashes; one that climbs out of its tree stays whole."""
+    between, cited = F.split(text, CITATION, -1), F.regexp_extract_all(text, F.lit(f"({CITATION})"), F.lit(1))
+    climbs = lambda c: F.exists(F.split(c, "/"), lambda part: part.isin(".", ".."))
+    opened = F.transform(cited, lambda c: F.when(climbs(c), c).otherwise(F.replace(c, F.lit("/"), F.lit(" "))))
+    joined = F.array_join(F.transform(F.arrays_zip(between.alias("b"), opened.alias("c")), lambda x: F.concat(x["b"], F.coalesce(x["c"], F.lit("")))), "")
+    return F.when(text.contains("/blob/"), joined).otherwise(text)
+
+
 def candidates(text: Column) -> Column:
-    """Words long and dense enough to be a token, with immutable source citations taken apart first."""
-    apart = F.regexp_replace(F.substring(text, 1, SAMPLE), CITATION, " ")
-    return F.regexp_extract_all(apart, F.lit(f"({CANDIDATE})"), F.lit(1))
+    """Words long enough to be a token, with immutable source citations taken apart first."""
+    return F.regexp_extract_all(apart(F.substring(text, 1, SAMPLE)), F.lit(f"({CANDIDATE})"), F.lit(1))
 
 
 def high_entropy(text: Column) -> Column:
@@ -52,28 +65,58 @@ def high_entropy(text: Column) -> Column:
 
 def signature_reason(suffix: Column, payload: Column) -> Column:
     """What a binary payload shows against its extension, or null."""
-    begins = F.hex(F.substring(payload, 1, 5))
     wrong = F.lit(False)
     for extension, magic in SIGNATURES.items():
-        wrong = wrong | ((suffix == extension) & ~begins.startswith(magic))
-    executable = begins.startswith(EXECUTABLE[0]) | begins.startswith(EXECUTABLE[1])
-    locked = (suffix == ".pdf") & F.hex(payload).contains(F.hex(F.lit("/Encrypt")))
+        wrong = wrong | ((suffix == extension) & ~F.startswith(payload, F.lit(magic)))
+    executable = F.startswith(payload, F.lit(EXECUTABLE[0])) | F.startswith(payload, F.lit(EXECUTABLE[1]))
+    locked = (suffix == ".pdf") & F.contains(payload, F.lit(ENCRYPTED))
     return F.when(wrong, "MIME_MISMATCH").when(executable, "EXECUTABLE_CONTENT").when(locked, "PASSWORD_PROTECTED")
 
 
-def quarantine(docs: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
+def is_raster(payload: Column) -> Column:
+    """PNG, JPEG or WebP, by how it begins."""
+    webp = F.startswith(payload, F.lit(RIFF)) & (F.substring(payload, 9, 4) == F.lit(WEBP))
+    return F.startswith(payload, F.lit(PNG)) | F.startswith(payload, F.lit(JPEG)) | webp
+
+
+def visuals_reason(visuals: Column, most_bytes: int = MOST_BYTES) -> Column:
+    """What is wrong with any of a document's linked pictures (an array of their bytes), or null."""
+    return F.when(F.exists(visuals, lambda v: F.octet_length(v) > most_bytes), "FILE_TOO_LARGE").when(F.exists(visuals, lambda v: ~is_raster(v)), "MIME_MISMATCH")
+
+
+def quarantine(docs: DataFrame, most_bytes: int = MOST_BYTES, binary: bool = True, scanner: Callable[[bytes], bool] | None = None) -> DataFrame:
     """docs (provider, path, content, content_bytes) with reason_code (null: clean) and sensitive.
 
     Reasons are tested in order and the first counts. A local source with credentials is marked
-    sensitive, and not quarantined.
+    sensitive, and not quarantined. Two more columns are looked at where docs have them: visuals
+    (bytes of linked pictures) and unverified (a Jira document cites a reference that isn't pinned).
+    scanner tells whether bytes hold malware. Without binary bodies (binary=False) no Python runs.
     """
-    suffix = paths.suffix(F.col("path"))
-    text = F.coalesce(F.when(F.col("content_bytes").isNotNull(), F.decode("content_bytes", "UTF-8")), F.col("content"))
-    docs = docs.withColumn("sensitive", F.coalesce(has_secret(text) | high_entropy(text), F.lit(False)))
-    reason = (
-        F.when(suffix.isin(*paths.BLOCKED), "BLOCKED_FILE_TYPE")
-        .when(F.octet_length("content_bytes") > most_bytes, "FILE_TOO_LARGE")
-        .when(F.col("content_bytes").isNotNull() & signature_reason(suffix, F.col("content_bytes")).isNotNull(), signature_reason(suffix, F.col("content_bytes")))
-        .when(F.col("sensitive") & (F.col("provider") != "LOCAL"), "POTENTIAL_SECRET")
+    from docweir.functions import richtext
+
+    suffix, payload, columns = paths.suffix(F.col("path")), F.col("content_bytes"), docs.columns
+    text = F.coalesce(F.when(payload.isNotNull(), F.decode(payload, "UTF-8")), F.col("content"))
+    outside = F.col("provider") != "LOCAL"
+    unverified = (F.col("provider") == "JIRA") & F.coalesce("unverified", F.lit(False)) if "unverified" in columns else F.lit(False)
+    found = {"_secret": F.coalesce(has_secret(text), F.lit(False)), "_dense": F.coalesce(high_entropy(text), F.lit(False)), "_malware": F.lit(False), "_office": F.lit(None).cast("string")}
+    if binary:
+        found["_office"] = richtext.container_reason(F.when(suffix.isin(*OFFICE), payload), suffix)
+    if scanner is not None:
+        found["_malware"] = F.coalesce(richtext.scanned(scanner)(payload), F.lit(False))
+        if "visuals" in columns:
+            found["_malware"] = found["_malware"] | F.coalesce(richtext.any_scanned(scanner)("visuals"), F.lit(False))
+    docs = docs.withColumns(found).withColumn("sensitive", F.col("_secret") | F.col("_dense"))
+    signature = F.when(payload.isNotNull(), signature_reason(suffix, payload))
+    reason = F.coalesce(
+        F.when(suffix.isin(*paths.BLOCKED), "BLOCKED_FILE_TYPE"),
+        F.when(F.octet_length(payload) > most_bytes, "FILE_TOO_LARGE"),
+        F.when(signature == "MIME_MISMATCH", signature),
+        F.when(payload.isNotNull(), F.col("_office")),
+        signature,
+        F.when(F.col("_malware"), "MALWARE_DETECTED"),
+        F.when(F.col("_secret") & outside, "POTENTIAL_SECRET"),
+        F.when(unverified, "UNVERIFIED_SOURCE_REFERENCE"),
+        F.when(F.col("_dense") & outside, "POTENTIAL_SECRET"),
+        visuals_reason(F.col("visuals"), most_bytes) if "visuals" in columns else F.lit(None).cast("string"),
     )
-    return docs.withColumn("reason_code", reason)
+    return docs.withColumn("reason_code", reason).drop(*found)

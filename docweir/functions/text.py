@@ -51,6 +51,101 @@ def code_symbols(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(SYMBOL), F.lit(1)))
 
 
+# How lines begin that only frame code, and what is too short to say anything.
+FRAMING = ("@", "package ", "import ", "//", "/*", "*", "*/")
+FEW_CHARACTERS, FEW_WORDS, CODE_WORD = 48, 3, r"[A-Za-z_]\w*"
+
+
+def low_information_code(text: Column) -> Column:
+    """Whether a piece of code says nothing alone: blank, nothing but framing lines, or a few short words."""
+    lines = F.filter(F.transform(F.split(text, r"\r\n|\n|\r"), lambda x: F.trim(x, F.lit(" \t"))), lambda x: x != "")
+
+    def frames(line: Column) -> Column:
+        found = F.lit(False)
+        for start in FRAMING:
+            found = found | line.startswith(start)
+        return found
+
+    short = (F.length(text) < FEW_CHARACTERS) & (F.regexp_count(text, F.lit(CODE_WORD)) <= FEW_WORDS)
+    return F.forall(lines, frames) | short
+
+
+def with_searchable(df: DataFrame, content: str = "content", heading_path: str | None = None) -> DataFrame:
+    """df with `searchable`, the fields by which a chunk is found; what df lacks is empty.
+
+    Looks at title, reference, source_type, path, repository, branch, issue_key, project_key, symbol,
+    symbols, kind, locator and provider. Jira chunks have no generated keywords: fragments of issues
+    side by side could look like credentials.
+    """
+    own = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")
+    path = F.coalesce(F.nullif(own("path"), F.lit("")), own("title"))
+    given = F.col("symbols") if "symbols" in df.columns else F.array().cast("array<string>")
+    symbols = F.array_distinct(F.filter(F.concat(F.array(own("symbol")), F.coalesce(given, F.array().cast("array<string>")), code_symbols(F.col(content))), lambda x: x != ""))
+    headings = F.concat_ws("\n", heading_path) if heading_path else F.lit("")
+    df = df.withColumns({"_path": path, "_symbols": symbols})
+    inputs = [own(c) for c in ("title", "reference", "source_type")] + [F.col("_path")] + [own(c) for c in ("repository", "branch", "issue_key", "project_key")]
+    is_jira = F.upper(own("provider")) == "JIRA"
+    df = with_keywords(df, [*inputs, headings, own("locator"), F.concat_ws("\n", "_symbols"), F.when(~is_jira, F.col(content)).otherwise("")], "_keywords")
+    fields = {c: own(c) for c in ("repository", "branch", "issue_key", "project_key", "symbol")}
+    fields |= {
+        "path": F.col("_path"), "file_name": F.element_at(F.split("_path", "/"), -1), "symbols": F.col("_symbols"), "important_kwd": F.when(is_jira, F.array().cast("array<string>")).otherwise(F.col("_keywords")),
+        "chunk_kind": own("kind"), "chunk_char_count": F.length(content).cast("long"), "chunk_token_count": F.regexp_count(content, F.lit(r"\S+")).cast("long"),
+    }
+    return df.withColumn("searchable", F.struct(*(v.alias(k) for k, v in fields.items()))).drop("_path", "_symbols", "_keywords")
+
+
+# Fields that enrich a chunk, in order, and the labels under which they are shown.
+ENRICHMENT = ("repository", "branch", "path", "file_name", "issue_key", "symbols", "important_kwd")
+LABELS = {"REPOSITORY": "repository", "BRANCH": "branch", "PATH": "path", "FILE": "file_name", "ISSUE": "issue_key", "SYMBOLS": "symbols", "KEYWORDS": "important_kwd"}
+MOST_VALUE, MOST_CONTEXT, MOST_RECORDS = 65_536, 262_144, 2_048
+
+
+def _flat(searchable: Column) -> Column:
+    """(name, value) of every enrichment field, lists taken apart, empty ones left out."""
+
+    def named(name: str) -> Column:
+        items = searchable[name] if name in ("symbols", "important_kwd") else F.array(searchable[name])
+        return F.transform(items, lambda v: F.struct(F.lit(name).alias("name"), v.alias("value")))
+
+    return F.filter(F.concat(*map(named, ENRICHMENT)), lambda r: F.coalesce(r["value"], F.lit("")) != "")
+
+
+def enrichment(searchable: Column) -> Column:
+    """The values that enrich a chunk, in the order of their fields."""
+    return F.transform(_flat(searchable), lambda r: r["value"])
+
+
+def framed_context(searchable: Column) -> Column:
+    """name, byte count, value of every enrichment value, so that none can break out of its frame.
+
+    Too many or too large values, and control characters, are an error.
+    """
+    records = _flat(searchable)
+    lines = F.transform(records, lambda r: F.concat(r["name"], F.lit(" "), F.octet_length(r["value"]).cast("string"), F.lit("\n"), r["value"], F.lit("\n")))
+    whole = F.array_join(lines, "")
+    over = F.exists(records, lambda r: F.octet_length(r["value"]) > MOST_VALUE) | (F.octet_length(whole) > MOST_CONTEXT) | (F.size(records) > MOST_RECORDS)
+    control = F.exists(records, lambda r: r["value"].rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]"))
+    return F.when(control, F.raise_error(F.lit("a value has control characters")).cast("string")).when(over, F.raise_error(F.lit("a chunk's context is too large")).cast("string")).otherwise(whole)
+
+
+def labelled_context(searchable: Column) -> Column:
+    """LABEL: value lines of the enrichment fields that have a value; lists are joined by commas."""
+    shown = {label: F.array_join(F.filter(searchable[c], lambda x: x != ""), ", ") if c in ("symbols", "important_kwd") else searchable[c] for label, c in LABELS.items()}
+    return metadata_context(shown)
+
+
+def next_link(origin: Column, link: Column) -> Column:
+    """Where a listing goes on, or null at its end."""
+    given = F.nullif(link, F.lit(""))
+    return F.when(given.startswith("http"), given).otherwise(F.concat(origin, F.when(given.startswith("/"), given).otherwise(F.concat(F.lit("/"), given))))
+
+
+def page_url(site: Column, web_ui: Column, page_id: Column) -> Column:
+    """Where a wiki page is read: its own link, or a view by its id."""
+    root = F.rtrim(site, F.lit("/"))
+    return F.when(F.coalesce(web_ui, F.lit("")) != "", F.concat(root, F.lit("/wiki"), web_ui)).otherwise(F.concat(root, F.lit("/wiki/pages/viewpage.action?pageId="), page_id))
+
+
 def passage(text: Column) -> Column:
     """text with exactly one passage prefix."""
     return F.concat(F.lit(PASSAGE), F.ltrim(F.regexp_replace(text, r"(?i)^(?:\s*passage:\s*)+", "")))

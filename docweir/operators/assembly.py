@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from docweir.functions import formats, text
+
 # Keys that a source's metadata can't set.
 RESERVED = (
     "embedding_text", "canonical_chunk_id", "project_id", "access_policy_id", "provider", "source_id", "source_type", "source_version", "title", "reference", "source_url", "chunk_ordinal",
@@ -52,3 +56,32 @@ def flattened(chunks: DataFrame) -> DataFrame:
         "structure_root": F.coalesce(F.try_element_at(path, F.lit(1)), F.lit("")), "structure_leaf": F.coalesce(F.try_element_at(path, F.lit(-1)), F.lit("")),
         "structure_path": F.to_json(path), "page_number": F.coalesce("page", F.lit(0)),
     })
+
+
+def merged(*maps: Column) -> Column:
+    """Maps in one: of a key that comes again the last value counts, and nulls count for nothing."""
+
+    def both(one: Column, two: Column) -> Column:
+        return F.map_concat(F.map_filter(one, lambda k, v: ~F.map_contains_key(two, k)), two)
+
+    return reduce(both, (F.map_filter(F.coalesce(m, F.create_map().cast("map<string,string>")), lambda k, v: v.isNotNull()) for m in maps))
+
+
+def assembled(chunks: DataFrame, docs: DataFrame, limit: int = 512) -> DataFrame:
+    """Chunks as they are stored: identity, digests, embedding text and searchable fields.
+
+    chunks are what chunk_documents makes, without failures; docs have project_id, provider,
+    source_id, version, chunker_version, title and, as far as they are known, what with_searchable
+    looks at. Of equal bodies in a source the first stays; both are shuffled by their source once.
+    """
+    keep = [c for c in docs.columns if c not in chunks.columns or c == "source_id"]
+    rows = chunks.where("failure is null").drop("failure").join(docs.select(*keep), "source_id")
+    rows = rows.withColumn("body", formats.clean(F.col("content"))).where("body <> ''").withColumns({"ordinal": F.col("ordinal").cast("long"), "kind": F.col("profile"), "heading_path": F.split("path", " > ")})
+    rows = first_bodies(identified(rows))
+    rows = rows.withColumn("structure_hash", F.sha2(F.to_json(F.struct("heading_path", "locator", "profile")), 256))
+    rows = text.with_searchable(rows.drop("path"), "body", "heading_path")
+    is_jira = F.col("provider") == "JIRA"
+    required = F.concat(F.lit("passage: "), F.concat_ws(" > ", "title", "heading_path"))
+    optional = [F.concat(F.lit("LOCATION: "), F.coalesce("locator", F.lit("source"))), F.when(is_jira, text.framed_context(F.col("searchable"))).otherwise(text.labelled_context(F.col("searchable")))]
+    rows = rows.withColumn("embedding_text", text.fitted(required, optional, F.col("body"), limit))
+    return rows.select("project_id", "provider", "source_id", "version", "ordinal", "chunk_id", F.col("digest").alias("content_hash"), "structure_hash", "heading_path", "locator", "profile", "tokens", "body", "embedding_text", "searchable")

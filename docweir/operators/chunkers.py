@@ -1,13 +1,15 @@
 """Chunkers for shapes that need a sequential reader: HTML, code, prose windows, wide tables.
 
-They run as Arrow batches, a document at a time. Sizes are in words, which stand in for a model's tokens.
-What holds for every chunk: no table row is split unless it alone is over the limit, a table's header
-is repeated, a heading never ends a chunk, and no word is lost.
+They run as Arrow batches, a document at a time. Budgets are in words; what no chunk may exceed is a
+limit in tokens, by any counter. What holds for every chunk: no table row is split unless it alone is
+over the limit, a table's header is repeated, a heading ends no chunk that has other text, and no
+word is lost.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from itertools import chain, groupby
@@ -15,6 +17,8 @@ from itertools import chain, groupby
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from docweir.functions.text import CODE_WORD, FEW_CHARACTERS, FEW_WORDS, FRAMING
+
 # Budgets in tokens.
 PROSE, CODE, TABLE, OVERLAP, LIMIT, INDEX = 420, 350, 300, 40, 512, 160
 Element = tuple[str, list[str], str, str]  # text, heading path, locator, kind
@@ -30,8 +34,11 @@ def _break(text: str, end: int, start: int) -> int:
     return 4 if lines > 1 else 3 if lines else 2 if text[end - 1] in ".;:!?" else 1 if text[end - 1] == "," else 0
 
 
+_HEADING_LINE = re.compile(r"(?m)^ {0,3}#{1,6}[ \t].*$")
+
+
 def prose_windows(text: str, budget: int = PROSE, overlap: int = OVERLAP) -> list[str]:
-    """Windows of at most budget words that end, where they can, at a paragraph, line or sentence end.
+    """Windows of at most budget words that end, where they can, at a paragraph, line or sentence end, and behind no heading.
 
     Each begins with up to overlap words (a quarter of the budget at most) of the one before.
     """
@@ -39,19 +46,54 @@ def prose_windows(text: str, budget: int = PROSE, overlap: int = OVERLAP) -> lis
     if len(marks) <= budget:
         return [text.strip()] if marks else []
     breaks = [0, *(_break(text, a[1], b[0]) for a, b in zip(marks, marks[1:]))]
+    starts = [a for a, _ in marks]
+    heads = [(bisect_right(starts, m.start() - 1), bisect_right(starts, m.end() - 1)) for m in _HEADING_LINE.finditer(text)]
+    under = {k: first for first, last in heads for k in range(first + 1, last + 1)}  # cuts in or just behind a heading, and where it begins
     overlap = min(overlap, budget // 4)
     out, at = [], 0
     while True:
         end = min(at + budget, len(marks))
         if end < len(marks):
-            best = max(range(at + max(overlap + 1, budget // 2) + 1, end + 1), key=lambda k: (breaks[k], k), default=end)
+            best = max((k for k in range(at + max(overlap + 1, budget // 2) + 1, end + 1) if k not in under), key=lambda k: (breaks[k], k), default=end)
             end = best if breaks[best] else end
+            first = end
+            while first in under:
+                first = under[first]
+            end = first if first > at + overlap else end
         out.append(text[marks[at][0] : marks[end - 1][1]])
         if end == len(marks):
             return out
         at = max(at + 1, end - overlap)
 
 
+class Indivisible(ValueError):
+    """A word alone has more tokens than a chunk may have."""
+
+
+def fitting(text: str, limit: int = LIMIT, count: Callable[[str], int] = words) -> list[str]:
+    """text, or as few runs of its words as it takes for each to have at most limit tokens by count.
+
+    The longest run that fits is found by halving, so a counter that isn't quite additive does no harm.
+    """
+    if count(text) <= limit:
+        return [text]
+    marks = [m.span() for m in re.finditer(r"\S+", text)]
+    out, at = [], 0
+    while at < len(marks):
+        low, high = at, len(marks) + 1  # the run up to low fits, the one up to high doesn't
+        while high - low > 1:
+            middle = (low + high) // 2
+            if count(text[marks[at][0] : marks[middle - 1][1]]) <= limit:
+                low = middle
+            else:
+                high = middle
+        if low == at:
+            raise Indivisible(f"a word of {marks[at][1] - marks[at][0]} characters is over the limit of {limit} tokens")
+        out.append(text[marks[at][0] : marks[low - 1][1]])
+        at = low
+    return out
+
+
 def packed(costs: list[int], budget: int) -> list[tuple[int, int]]:
     """Consecutive runs (start, end) of at most budget; an item over it is a run of its own."""
     cuts, size = [0], 0
@@ -144,43 +186,75 @@ def markdown(title: str, text: str, budget: int = PROSE, overlap: int = OVERLAP)
 _DECLARATION = re.compile(r"^\s*(?:@\w+\s*)*(?:export\s+|async\s+|public\s+|private\s+|protected\s+|internal\s+|static\s+|abstract\s+|open\s+|override\s+)*(?:class|interface|object|def|fun|func|function|enum|struct)\s+([A-Za-z_]\w*)")
 
 
+def _says_little(part: str) -> bool:
+    """What text.low_information_code says of a column."""
+    lines = [x for x in map(str.strip, part.splitlines()) if x]
+    return all(x.startswith(FRAMING) for x in lines) or len(part) < FEW_CHARACTERS and len(re.findall(CODE_WORD, part)) <= FEW_WORDS
+
+
 def code(title: str, text: str, budget: int = CODE) -> Iterator[Element]:
-    """Declarations with what follows them; pieces too small to say anything join a neighbour within the budget."""
+    """Declarations with what follows them; pieces that say nothing alone stand before the next one, or behind the last, within the budget."""
     parts: list[list[str]] = [[]]
     for line in text.splitlines():
         if _DECLARATION.match(line) and len(line) - len(line.lstrip()) <= 4 and any(x.strip() for x in parts[-1]):
             parts.append([])
         parts[-1].append(line)
+    pieces = [p for p in ("\n".join(p).strip("\n") for p in parts) if p.strip()]
+    runs = [list(g) for _, g in groupby(pieces, key=lambda p: _says_little(p.strip()))]
     merged: list[str] = []
-    for part in ("\n".join(p).strip("\n") for p in parts):
-        if merged and (words(part) < 12 or words(merged[-1]) < 12) and words(merged[-1]) + words(part) <= budget:
-            merged[-1] += "\n" + part
-        elif part.strip():
-            merged.append(part)
+    waiting: list[str] = []
+    for run in runs:
+        if _says_little(run[0].strip()):
+            waiting = run
+            continue
+        joined = "\n".join([*waiting, run[0]])
+        merged += [joined, *run[1:]] if words(joined) <= budget else [*waiting, *run]
+        waiting = []
+    if waiting:
+        tail = "\n".join(waiting)
+        if merged and words(merged[-1]) + words(tail) <= budget:
+            merged[-1] += "\n" + tail
+        else:
+            merged.append(tail)
     for part in merged:
         for k, window in enumerate(line_windows(part, budget)):
             names = [m[1] for line in window.splitlines() if (m := _DECLARATION.match(line))][:2]
             yield window, [title, *names], f"lines:{k}", "code"
 
 
+class TooLong(ValueError):
+    """A run of steps that belongs together is longer than a chunk may be."""
+
+
 def workflow(title: str, text: str) -> Iterator[Element]:
-    """What stands before the flows, then one chunk for each; one over the limit is split before nested headings, never inside a run of steps."""
-    heads = list(re.finditer(r"(?im)^#{1,4}\s+.*?\[([A-Z][A-Z0-9]*-\d+)\].*$", text))
+    """What stands before the flows, then one chunk for each.
+
+    One over the budget is cut before nested headings, never inside a run of steps; each part is led
+    by the flow's heading.
+    """
+    heads = list(re.finditer(r"(?im)^(#{1,4})\s+.*?\[([A-Z][A-Z0-9]*-\d+)\].*$", text))
     if heads and text[: heads[0].start()].strip():
         for window in section_windows(text[: heads[0].start()].strip(), PROSE, 0):
             yield window, [title], "workflow-support", "workflow-support"
     for head, after in zip(heads, [*heads[1:], None]):
-        flow = head[1].upper()
-        section = text[head.start() : after.start() if after else len(text)].strip()
-        if words(section) <= LIMIT:
-            yield section, [head[0].lstrip("# ").strip()], flow, "workflow"
+        flow, lead = head[2].upper(), head[0].strip()
+        body = text[head.end() : after.start() if after else len(text)].strip()
+        whole = f"{lead}\n{body}".strip()
+        if words(whole) <= PROSE:
+            yield whole, [lead.lstrip("# ")], flow, "workflow"
             continue
-        pieces = re.split(r"(?m)^(?=#{2,6}\s)", section)
-        for n, piece in enumerate(p for p in pieces if p.strip()):
-            if words(piece) > LIMIT and re.search(r"(?m)^\s*\d+[.)]\s", piece):
-                raise ValueError(f"the steps of {flow} are over the limit")
-            for window in section_windows(piece, PROSE, 0):
-                yield window, [head[0].lstrip("# ").strip()], f"{flow}:part:{n + 1}", "workflow"
+        deeper = min(len(head[1]) + 1, 6)
+        part = 0
+        for piece in filter(str.strip, re.split(rf"(?m)^(?=#{{{deeper},6}}\s)", body)):
+            nested = re.match(r"#{1,6}\s+(.+)", piece)
+            path = [lead.lstrip("# "), *([nested[1].strip()] if nested else [])]
+            room = max(64, PROSE - words(lead))
+            fits = words(lead) + words(piece) <= PROSE
+            if not fits and re.search(r"(?m)^\s*\d+[.)]\s", piece):
+                raise TooLong(f"the steps of {flow} are over the limit")
+            for window in [piece.strip()] if fits else section_windows(piece, room, 0):
+                part += 1
+                yield f"{lead}\n{window}", path, f"{flow}:part:{part}", "workflow"
 
 
 def contract(title: str, text: str) -> Iterator[Element]:
@@ -396,30 +470,61 @@ def route(title: str, kind: str, category: str, text: str) -> Iterator[Element]:
     return markdown(title, text)
 
 
-_NAMES = ["source_id", "ordinal", "path", "locator", "profile", "tokens", "content"]
-_SCHEMA = "source_id string, ordinal int, path string, locator string, profile string, tokens long, content string"
+_NAMES = ["source_id", "ordinal", "path", "locator", "profile", "tokens", "content", "failure"]
+_SCHEMA = "source_id string, ordinal int, path string, locator string, profile string, tokens long, content string, failure string"
+#: Rows and characters of documents that are cut before their chunks are handed on.
+_ROWS, _CHARACTERS = 256, 8 << 20
 
 
 def _emit(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[]] * len(_NAMES)
-    kinds = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string())
+    kinds = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
 
 
-def chunk_documents(docs: DataFrame) -> DataFrame:
-    """Chunks of docs (source_id, title, kind, category, content); blank documents have none."""
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of bounded rows and text; a longer text is a part of its own."""
+    sizes = [len(x.as_buffer()) if x.is_valid else 0 for x in batch.column(batch.num_columns - 1)]
+    at = size = 0
+    for i, n in enumerate(sizes):
+        if i > at and (size + n > _CHARACTERS or i - at == _ROWS):
+            yield batch.slice(at, i - at)
+            at, size = i, 0
+        size += n
+    if batch.num_rows:
+        yield batch.slice(at)
+
+
+def chunks_of(title: str, kind: str, category: str, text: str, limit: int = LIMIT, count: Callable[[str], int] = words) -> list[Element]:
+    """The chunks of a document, none of more than limit tokens by count. A blank one is an error, as it would pass for indexed."""
+    if not text.strip():
+        raise ValueError("EMPTY_BODY")
+    return [(window, path, locator, profile) for body, path, locator, profile in route(title, kind, category, text) if body.strip() for window in fitting(body, limit, count)]
+
+
+def chunk_documents(docs: DataFrame, limit: int = LIMIT, counter: Callable[[], Callable[[str], int]] | None = None) -> DataFrame:
+    """Chunks of docs (source_id, title, kind, category, content): source_id, ordinal, path, locator, profile, tokens, content, failure.
+
+    counter makes a function that counts a text's tokens, in each worker; without it words are
+    counted. A document that can't be cut (blank, steps or a word over the limit) is one row with its
+    failure, and fails alone.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = counter() if counter else words
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                rows = []
+            for batch in _slices(whole):
+                rows: list[tuple] = []
                 for source, title, kind, category, text in zip(*(c.to_pylist() for c in batch.columns)):
-                    for n, (body, path, locator, profile) in enumerate(e for e in route(title or "", kind or "prose", category or "narrative", text or "") if e[0].strip()):
-                        rows.append((source, n, " > ".join(path), locator, profile, words(body), body))
+                    try:
+                        found = chunks_of(title or "", kind or "prose", category or "narrative", text or "", limit, count)
+                    except ValueError as error:
+                        rows.append((source, 0, None, None, None, None, None, str(error) if str(error) == "EMPTY_BODY" else f"{type(error).__name__}: {error}"[:200]))
+                        continue
+                    rows += [(source, n, " > ".join(path), locator, profile, count(body), body, None) for n, (body, path, locator, profile) in enumerate(found)]
                 yield _emit(rows)
 
-    return docs.mapInArrow(run, _SCHEMA)
+    return docs.select("source_id", "title", "kind", "category", "content").mapInArrow(run, _SCHEMA)
 
 
 def html_chunks(docs: DataFrame) -> DataFrame:

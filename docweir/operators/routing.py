@@ -102,11 +102,12 @@ def commit(manifest: DataFrame, routed: DataFrame, run: str) -> DataFrame:
 
 
 def scope_counters(routed: DataFrame, by: list[str]) -> DataFrame:
-    """Counts of outcomes by scope, as a run reports them."""
+    """Counts of outcomes by scope, as a run reports them. Columns failed, excluded and visual (assets) count where there are any."""
     is_ = lambda op: F.count_if(F.col("operation") == op)
     return routed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("discovered"), is_("INDEX").alias("indexed"), is_("SKIP").alias("unchanged"), is_("DELETE").alias("deleted"),
         F.coalesce(F.sum(F.when(F.col("operation") == "INDEX", F.col("chunk_count"))), F.lit(0)).alias("chunks"),
+        *(F.count_if(c).alias(c) for c in ("failed", "excluded") if c in routed.columns), *(F.coalesce(F.sum("visual"), F.lit(0)).alias("visual") for c in ("visual",) if c in routed.columns),
     )
 
 
@@ -150,15 +151,18 @@ def resumable(ledger: DataFrame, current: DataFrame, contract: str | None = None
     return joined.select(*key, "source_version", "last_status", F.when(finished, "skip").otherwise("run").alias("decision"))
 
 
-def roots_subtree(pages: DataFrame, roots: list[str]) -> DataFrame:
-    """Pages (page_id, parent_id) at or below the roots, each with its depth below the nearest; cycles do no harm.
+def roots_subtree(pages: DataFrame, roots: DataFrame | list[str]) -> DataFrame:
+    """Pages (page_id, parent_id) at or below the roots (a list, or root_id), each with its depth below the nearest; cycles do no harm.
 
     Ancestors are doubled: a round knows every page's ancestor 1, 2, 4, ... steps up and the nearest
     root on the way, so rounds are as many as the depth has binary digits. Each is stored.
     """
     pages = stored(pages.select("page_id", "parent_id"))
     most = pages.count()
-    hit = pages.groupBy("page_id").agg(F.min(F.when(F.col("page_id").isin(*roots), 0)).alias("depth"))
+    if isinstance(roots, list):
+        roots = pages.sparkSession.createDataFrame([(r,) for r in roots], "root_id string")
+    known = roots.select(F.col("root_id").alias("page_id"), F.lit(0).alias("depth")).distinct()
+    hit = pages.select("page_id").distinct().join(known, "page_id", "left")
     up, step = pages.where("parent_id is not null").select("page_id", F.col("parent_id").alias("above")).distinct(), 1
     while True:
         over = up.join(hit.where("depth is not null").select(F.col("page_id").alias("above"), "depth"), "above").groupBy("page_id").agg((F.min("depth") + step).alias("_far"))
@@ -172,6 +176,17 @@ def roots_subtree(pages: DataFrame, roots: list[str]) -> DataFrame:
     return hit.where("depth is not null")
 
 
+# What an owner and a repository may be called.
+OWNER, REPOSITORY = r"^[A-Za-z0-9](?:[A-Za-z0-9-]{0,37}[A-Za-z0-9])?$", r"^[A-Za-z0-9_.-]{1,100}$"
+
+
+def by_repository(requests: DataFrame, projects: DataFrame) -> DataFrame:
+    """requests (owner, repository) with the project that the repository belongs to, or null; names that can't be one's find none."""
+    valid = F.col("owner").rlike(OWNER) & F.col("repository").rlike(REPOSITORY)
+    known = projects.where(valid).groupBy("owner", "repository").agg(F.min("project_id").alias("project_id"))
+    return requests.join(known, ["owner", "repository"], "left").select(*requests.columns, "project_id", F.coalesce(valid, F.lit(False)).alias("valid"))
+
+
 def numbered(df: DataFrame, by: list[str], order: list[Column | str], name: str = "ordinal") -> DataFrame:
     """df with a number from 0 in each group."""
     return df.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order)) - 1)

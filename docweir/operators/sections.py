@@ -19,6 +19,10 @@ NAVIGATION = r"(?i)\b(?:how to use|reading order|volume map|master index|corpus
 GLOSSARY = r"(?i)\b(?:glossar\w*|vocabular\w*|terminolog\w*|definitions?)\b"
 REGISTRY = r"(?i)\b(?:registry|matrix|inventory|catalog\w*|map|ownership|reference table)\b"
 WORKFLOW = r"(?i)\b(?:flow|lifecycle|workflow|process|walkthrough|end.to.end)\b"
+# What the classification of a corpus takes for a section, and for a contract's heading; reading is more lenient.
+CLASSIFIED = r"^(#{2,4})\s+(.+?)\s*$"
+OWN_CONTRACT = r"^#{3}\s+`([A-Z][A-Z0-9_]*)`\s+[—-]\s+id\s+\d+,\s+version\s+[\d.]+\s*$"
+NUMBERED_CONTRACT = r"^#{2,4}\s+[\d.]+\s+`([A-Z][A-Z0-9_]*)`\s+\(id\s+(\d+)\)"
 #: Parts of a section's live lines from which tables or steps rule it.
 TABLE_PART, STEP_PART = 0.28, 0.08
 
@@ -62,17 +66,17 @@ def heading_paths(lines: DataFrame, key: str = "source_id", depth: int = 4) -> D
 
 
 def classified(lines: DataFrame, key: str = "source_id") -> DataFrame:
-    """(key, section, title, category, reason) of every section, from its heading, title, and what its lines are."""
+    """(key, section, title, category, tables, steps, total) of every section under h2 to h4, from its heading, title, and what its lines are."""
     table, step, live = F.col("line").rlike(TABLE_ROW), F.col("line").rlike(r"^\s*\d+\.\s+\S"), F.trim("line") != ""
     default = lines.groupBy(key).agg(F.when(F.count_if(table) / F.greatest(F.count_if(live), F.lit(1)) >= TABLE_PART, "registry-table").otherwise("narrative").alias("default"))
-    parts = sections(lines, key).where("section > 0")
-    body = ~F.col("line").rlike(HEADING)
+    parts = sections(lines, key, CLASSIFIED).where("section > 0")
+    body = ~F.col("line").rlike(CLASSIFIED)
     grouped = parts.groupBy(key, "section").agg(
         F.min_by("line", "pos").alias("heading"), F.count_if(body & table).alias("tables"), F.count_if(body & step).alias("steps"), F.greatest(F.count_if(body & live), F.lit(1)).alias("total")
     )
-    title = F.regexp_extract("heading", HEADING, 2)
+    title = F.regexp_extract("heading", CLASSIFIED, 2)
     category = (
-        F.when(F.col("heading").rlike(CONTRACT), "entity-contract").when(title.rlike(REGISTRY), "registry-table").when(title.rlike(NAVIGATION), "index").when(title.rlike(GLOSSARY), "glossary")
+        F.when(F.col("heading").rlike(OWN_CONTRACT) | F.col("heading").rlike(NUMBERED_CONTRACT), "entity-contract").when(title.rlike(REGISTRY), "registry-table").when(title.rlike(NAVIGATION), "index").when(title.rlike(GLOSSARY), "glossary")
         .when(F.col("tables") / F.col("total") >= TABLE_PART, "registry-table")
         .when((F.col("steps") / F.col("total") >= STEP_PART) | (title.rlike(WORKFLOW) & (F.col("steps") >= 3)), "workflow")
         .otherwise(F.col("default"))

@@ -40,13 +40,17 @@ def heading_paths(spark, sf_dir):
     return sections.heading_paths(lines(spark, sf_dir))
 
 
-_TABLE, _STEP, _LIVE = f"regexp_matches(line, '{sections.TABLE_ROW}')", "regexp_matches(line, '^\\s*\\d+\\.\\s+\\S')", "trim(line, ' ') <> ''"
-CATEGORY_SQL = LINES_SQL + f""", d AS (SELECT source_id, CASE WHEN count(*) FILTER ({_TABLE}) / greatest(count(*) FILTER ({_LIVE}), 1) >= 0.28 THEN 'registry-table' ELSE 'narrative' END AS dflt FROM ln GROUP BY source_id),
-s AS (SELECT *, count(*) FILTER ({_HEAD}) OVER (PARTITION BY source_id ORDER BY pos) AS section FROM ln),
-g AS (SELECT source_id, section, arg_min(line, pos) AS heading, count(*) FILTER (NOT {_HEAD} AND {_TABLE}) AS tables, count(*) FILTER (NOT {_HEAD} AND {_STEP}) AS steps, greatest(count(*) FILTER (NOT {_HEAD} AND {_LIVE}), 1) AS total FROM s WHERE section > 0 GROUP BY source_id, section),
-n AS (SELECT *, regexp_extract(heading, '{sections.HEADING}', 2) AS title FROM g),
-k AS (SELECT source_id, section, title, CASE WHEN regexp_matches(heading, '{sections.CONTRACT}') THEN 'entity-contract' WHEN regexp_matches(title, '{sections.REGISTRY}') THEN 'registry-table' WHEN regexp_matches(title, '{sections.NAVIGATION}') THEN 'index'
- WHEN regexp_matches(title, '{sections.GLOSSARY}') THEN 'glossary' WHEN tables / total >= 0.28 THEN 'registry-table' WHEN steps / total >= 0.08 OR (regexp_matches(title, '{sections.WORKFLOW}') AND steps >= 3) THEN 'workflow' ELSE dflt END AS category, tables, steps, total FROM n JOIN d USING (source_id))
+_TABLE, _STEP, _LIVE = r"regexp_matches(line, '^\s*\|')", r"regexp_matches(line, '^\s*\d+\.\s+\S')", "trim(line, ' ') <> ''"
+_SECTION = r"regexp_matches(line, '^(#{2,4})\s+(.+?)\s*$')"
+CATEGORY_SQL = LINES_SQL + rf""", d AS (SELECT source_id, CASE WHEN count(*) FILTER ({_TABLE}) / greatest(count(*) FILTER ({_LIVE}), 1) >= 0.28 THEN 'registry-table' ELSE 'narrative' END AS dflt FROM ln GROUP BY source_id),
+s AS (SELECT *, count(*) FILTER ({_SECTION}) OVER (PARTITION BY source_id ORDER BY pos) AS section FROM ln),
+g AS (SELECT source_id, section, arg_min(line, pos) AS heading, count(*) FILTER (NOT {_SECTION} AND {_TABLE}) AS tables, count(*) FILTER (NOT {_SECTION} AND {_STEP}) AS steps, greatest(count(*) FILTER (NOT {_SECTION} AND {_LIVE}), 1) AS total FROM s WHERE section > 0 GROUP BY source_id, section),
+n AS (SELECT *, regexp_extract(heading, '^(#{{2,4}})\s+(.+?)\s*$', 2) AS title FROM g),
+k AS (SELECT source_id, section, title, CASE WHEN regexp_matches(heading, '^#{{3}}\s+`([A-Z][A-Z0-9_]*)`\s+[—-]\s+id\s+\d+,\s+version\s+[\d.]+\s*$') OR regexp_matches(heading, '^#{{2,4}}\s+[\d.]+\s+`([A-Z][A-Z0-9_]*)`\s+\(id\s+(\d+)\)') THEN 'entity-contract'
+ WHEN regexp_matches(title, '(?i)\b(?:registry|matrix|inventory|catalog\w*|map|ownership|reference table)\b') THEN 'registry-table'
+ WHEN regexp_matches(title, '(?i)\b(?:how to use|reading order|volume map|master index|corpus guide|what this volume|document metadata|scope and audience|index)\b') THEN 'index'
+ WHEN regexp_matches(title, '(?i)\b(?:glossar\w*|vocabular\w*|terminolog\w*|definitions?)\b') THEN 'glossary' WHEN tables / total >= 0.28 THEN 'registry-table'
+ WHEN steps / total >= 0.08 OR (regexp_matches(title, '(?i)\b(?:flow|lifecycle|workflow|process|walkthrough|end.to.end)\b') AND steps >= 3) THEN 'workflow' ELSE dflt END AS category, tables, steps, total FROM n JOIN d USING (source_id))
 """
 
 
@@ -177,3 +181,27 @@ def chunked_documents(spark, sf_dir):
 
     t = formats.with_category(formats.with_format(texts(spark, sf_dir)))
     return chunk_documents(t.select("source_id", "title", "kind", "category", "content"))
+
+
+@query("assembled_chunks")
+def assembled_chunks(spark, sf_dir):
+    """Every document cut, and its chunks as they would be stored."""
+    from docweir.operators.chunkers import chunk_documents
+
+    s = views.source_documents(spark, sf_dir)
+    t = formats.with_category(formats.with_format(s.select("source_id", "title", F.lit("").alias("declared"), "labels", "content")))
+    chunks = chunk_documents(t.select("source_id", "title", "kind", "category", "content"))
+    docs = s.withColumns({"reference": F.col("path"), "repository": F.col("scope")}).select("project_id", "provider", "source_id", "version", "chunker_version", "title", "reference", "source_type", "path", "repository")
+    out = assembly.assembled(chunks, docs.withColumnRenamed("path", "document_path"))
+    return out.select("source_id", "ordinal", "chunk_id", "content_hash", "structure_hash", "locator", "profile", "tokens", F.sha2("embedding_text", 256).alias("embedding_digest"))
+
+
+@query("metadata_merge", views.BASE_SQL + """, m AS (SELECT source_id, map {'title': title, 'path': path, 'lang': lower(space_key)} AS a, map {'title': CASE WHEN doc_id % 2 = 0 THEN 'own ' || doc_id END, 'kind': source_type} AS b FROM src)
+SELECT source_id, CASE WHEN b['title'] IS NOT NULL THEN b['title'] ELSE a['title'] END AS title, a['path'] AS path, a['lang'] AS lang, b['kind'] AS kind, CAST(3 + (a['lang'] IS NOT NULL)::INT AS INTEGER) AS entries FROM m""")
+def metadata_merge(spark, sf_dir):
+    s = views.source_documents(spark, sf_dir)
+    of = lambda **v: F.create_map(*(x for k, c in v.items() for x in (F.lit(k), c)))
+    base = of(title=F.col("title"), path=F.col("path"), lang=F.lower("space_key"))
+    own = of(title=F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("own "), "doc_id")), kind=F.col("source_type"))
+    m = s.select("source_id", assembly.merged(base, own).alias("m"))
+    return m.select("source_id", *(F.try_element_at("m", F.lit(k)).alias(k) for k in ("title", "path", "lang", "kind")), F.size("m").alias("entries"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHA = "0a" * 20
 
@@ -71,7 +72,7 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
     "fx_paths": (
         "path string",
         [
-            (".env",), ("conf/.env.local",), ("keys/server.pem",), ("a/id_rsa",), ("node_modules/x/index.js",), ("src/app.py",), ("README.MD",),
+            (".env",), ("conf/.env.local",), ("secrets/x.txt",), ("a\\SECRETS\\y.md",), (".gradle/z.kt",), ("target/a.py",), ("a/build",), ("certs/my.p12",), ("__pycache__/b.py",), ("src/secrets.py",), ("keys/server.pem",), ("a/id_rsa",), ("node_modules/x/index.js",), ("src/app.py",), ("README.MD",),
             ("img/logo.PNG",), ("data.parquet",), ("docs/spec.pdf",), ("vendor/lib/x.py",), ("archive.zip",), ("run.exe",), ("noext",), ("a.b/c",), ("x.TSX",),
         ],
     ),
@@ -136,6 +137,11 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
             ("t32", "Means", "", [], "Folio means a record of a stay\nRelief significa una cobertura larga\nX means y"),
             ("t33", "Owner matrix", "", [], "# Service registry\n| a | b |\n| 1 | 2 |\n# How to use\nread on\n# Notes\n| x | y |\nline\n# Steps\n1. one\n2. two\ntext\n# Tail\nwords"),
             ("t34", "Doubled", "", [], "passage: Passage:  body"),
+            ("t35", "Cited token", "", [], f"see https://github.com/a/b/blob/{_SHA}/aB3dE5fG7hI9jK1lM2nO4pQ6rS8tU0vW3xY5zA7bC9 for it"),
+            ("t36", "Cited path", "", [], f"(https://github.com/acme/shop/blob/{_SHA}/Source/Main9/Kotlin/Shop/Payment/Gateway/Zebra/Quick/File7.kt#L10-L20)"),
+            ("t37", "Climbing", "", [], f"https://github.com/acme/shop/blob/{_SHA}/Source/../Main9/Kotlin/Shop/Payment/Gateway/Zebra/Quick/XyFile7.kt"),
+            ("t38", "Not cited", "", [], f"https://github.com/acme/shop/blob/{_SHA}/Source/Main9/Kotlin/Shop/Payment/Gateway/Zebra/Quick/File7.kt?raw=1"),
+            ("t39", "Levels", "", [], "# Registry at the top\n| a | b |\n##### Too deep 1\n1. x\n1. y\n## Glossary\nwords\n### `POS_X` — id 7, version 1.2\nbody\n## 4.3 `POS_Y` (id 8) more\nbody\n## POS_Z (id 9)\nbody"),
         ],
     ),
     "fx_links": (
@@ -148,7 +154,7 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
     "fx_payloads": (
         "path string, payload string, reason_code string",
         [
-            ("a.pdf", "255044462D312E370A", None), ("b.pdf", "4E4F54", "MIME_MISMATCH"), ("c.pdf", "255044462D312E370A2F456E63727970742074727565", "PASSWORD_PROTECTED"), ("d.docx", "504B030414", None),
+            ("a.pdf", "255044462D312E370A", None), ("b.pdf", "4E4F54", "MIME_MISMATCH"), ("c.pdf", "255044462D312E370A2F456E63727970742074727565", "PASSWORD_PROTECTED"), ("d.docx", "504B030414", "MIME_MISMATCH"),
             ("e.xlsx", "255044462D", "MIME_MISMATCH"), ("f.txt", "4D5A9000", "EXECUTABLE_CONTENT"), ("g.md", "7F454C4602", "EXECUTABLE_CONTENT"), ("h.exe", "00", "BLOCKED_FILE_TYPE"),
             ("i.txt", "6170695F6B65793D6162636465666768696A6B6C6D6E6F70", "POTENTIAL_SECRET"), ("j.txt", "68656C6C6F", None),
         ],
@@ -233,7 +239,7 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
     "fx_pins": ("repository string, sha string, path string", [("a/b", _SHA, "src/x.py"), ("a/b", _SHA, "src/../x.py")]),
     "fx_files": ("path string, sha string", [("docs/img/a.png", "s1"), ("docs/sub/e.JPG", "s2")]),
     "fx_blobs": ("name string, body string, ok boolean", [("a", "aGVsbG8=", True), ("b", "//4=", False), ("c", "w6k=", True)]),
-    "fx_code": ("name string, body string", [("a", "import x\nimport y"), ("b", "import x\ndef f():\n  return 1"), ("c", "{\n}\n// note\nx = 1"), ("d", "")]),
+    "fx_code": ("name string, body string", [("a", "import x\nimport y"), ("b", "import x\ndef f():\n  return 1"), ("c", "{\n}\n// note\nx = 1"), ("d", ""), ("e", "@Inject\n// why\n* note"), ("f", "class A"), ("g", "val total = compute(first, second, third)"), ("h", "package a.b.c\nimport d.e.f.g.h.i.j.k.l.m.n.o.p\nfun main() {}")]),
     "fx_images": ("name string, width int, height int", [("a", 64, 64), ("b", 128, 128), ("c", 1000, 20), ("d", 256, 64)]),
     "fx_keys": ("raw string", [("provider",), ("x y",), ("_hidden",), ("title",), ("",), ("a" * 70,), ("né",), ("!x",)]),
     "fx_queue": (
@@ -243,10 +249,39 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
 }
 
 
-def frame(spark: SparkSession, name: str) -> DataFrame:
-    """A fixture table as a DataFrame."""
+#: Fixtures that every document has a copy of, and the columns that tell the copies apart: texts get the document's
+#: number behind them (in front, as a folder, where marked with a slash), numbers are counted on from it.
+SPREAD: dict[str, tuple[str, ...]] = {
+    "fx_issues": ("issue_key",), "fx_events": ("issue_key",), "fx_custom": ("issue_key",), "fx_wanted": ("issue_key",), "fx_labelled": ("source_id",), "fx_pages": ("page_id", "parent_id"), "fx_roots": ("root_id",),
+    "fx_changes": ("number",), "fx_webhooks": ("delivery",), "fx_ledger": ("source_id",), "fx_current": ("source_id",), "fx_projects": ("project_id",), "fx_payloads": ("/path",), "fx_listing": ("listing",),
+    "fx_elements": ("source_id",), "fx_assets": ("source_id",), "fx_labels": ("page_id",), "fx_adf": ("id",), "fx_metadata": ("id",), "fx_leases": ("scope",), "fx_requests": ("scope",), "fx_citing": ("source_id",),
+    "fx_blobs": ("name",), "fx_code": ("name",), "fx_images": ("name",), "fx_queue": ("message_id",), "fx_globs": ("/path",), "fx_paths": ("/path",),
+}
+
+
+def _columns(name: str) -> list[tuple[str, str, str]]:
+    """(column, type, how copies are told apart: behind, before, number or nothing)."""
+    keys = SPREAD.get(name, ())
+    out = []
+    for column, kind in (c.split() for c in TABLES[name][0].split(", ")):
+        how = "before" if f"/{column}" in keys else ("number" if kind == "int" else "behind") if column in keys else ""
+        out.append((column, kind, how))
+    return out
+
+
+def frame(spark: SparkSession, name: str, sf_dir: str | None = None) -> DataFrame:
+    """A fixture table as a DataFrame; with a data set, the copy of it that each document has."""
     schema, rows = TABLES[name]
-    return spark.createDataFrame(rows, schema)
+    if sf_dir is None or name not in SPREAD:
+        return spark.createDataFrame(rows, schema)
+
+    def literal(value: object, kind: str) -> Column:
+        return (F.array(*map(F.lit, value)) if isinstance(value, list) else F.lit(value)).cast(kind)
+
+    table = F.array(*(F.struct(*(literal(v, kind).alias(c) for v, (c, kind, _) in zip(row, _columns(name)))) for row in rows))
+    copies = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.explode(table).alias("f"))
+    told = {"behind": lambda c: F.concat(c, F.lit("#"), "doc_id"), "before": lambda c: F.concat("doc_id", F.lit("/"), c), "number": lambda c: (F.col("doc_id") * 1000 + c).cast("int"), "": lambda c: c}
+    return copies.select(*(told[how](F.col(f"f.{c}")).alias(c) for c, _, how in _columns(name)))
 
 
 def _literal(value: object) -> str:
@@ -265,12 +300,13 @@ _TYPES = {"int": "INTEGER", "string": "VARCHAR", "bigint": "BIGINT", "double": "
 
 
 def cte(*names: str) -> str:
-    """The fixture tables as the common table expressions of an SQL text (without WITH)."""
+    """The fixture tables as the common table expressions of an SQL text (without WITH), with a copy for each document where there are."""
     parts = []
+    told = {"behind": "{c} || '#' || doc_id", "before": "doc_id || '/' || {c}", "number": "doc_id * 1000 + {c}", "": "{c}"}
     for name in names:
-        schema, rows = TABLES[name]
-        columns = [c.split() for c in schema.split(", ")]
-        values = ",\n".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
-        casts = ", ".join(f"CAST({c} AS {_TYPES[t]}) AS {c}" for c, t in columns)
-        parts.append(f"{name} AS (SELECT {casts} FROM (VALUES {values}) AS v({', '.join(c for c, _ in columns)}))")
+        columns = _columns(name)
+        values = ",\n".join("(" + ", ".join(map(_literal, row)) + ")" for row in TABLES[name][1])
+        casts = ", ".join(f"CAST({told[how].format(c=f'v.{c}')} AS {_TYPES[t]}) AS {c}" for c, t, how in columns)
+        copies = "documents, " if name in SPREAD else ""
+        parts.append(f"{name} AS (SELECT {casts} FROM {copies}(VALUES {values}) AS v({', '.join(c for c, *_ in columns)}))")
     return ",\n".join(parts)

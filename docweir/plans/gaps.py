@@ -4,27 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docweir.functions import paths, richtext
-from docweir.operators import references, routing
+from docweir.functions import paths, richtext, text
+from docweir.operators import issues, references, routing
 from docweir.plans.fixtures import cte, frame
 from docweir.plans.quality import STORED_SQL, stored
 from docweir.plans.registry import query
-from docweir.sources import views
+from docweir.sources import local, views
 
 
 @query("lease_decisions", f"""WITH {cte('fx_leases', 'fx_requests')} SELECT r.scope, r.requester, CASE WHEN l.owner IS NULL THEN 'granted' WHEN l.owner = r.requester THEN 'renewed' WHEN CAST(l.expires_at AS TIMESTAMP) <= CAST(r.asked_at AS TIMESTAMP) THEN 'taken over' ELSE 'held' END AS decision FROM fx_requests r LEFT JOIN fx_leases l USING (scope)""")
 def lease_decisions(spark, sf_dir):
     from docweir.streaming.leases import decide
 
-    leases = frame(spark, "fx_leases").withColumn("expires_at", F.col("expires_at").cast("timestamp"))
-    return decide(leases, frame(spark, "fx_requests").withColumn("asked_at", F.col("asked_at").cast("timestamp")))
+    leases = frame(spark, "fx_leases", sf_dir).withColumn("expires_at", F.col("expires_at").cast("timestamp"))
+    return decide(leases, frame(spark, "fx_requests", sf_dir).withColumn("asked_at", F.col("asked_at").cast("timestamp")))
 
 
 @query("pinned_references", f"""WITH {cte('fx_citing', 'fx_pins')}, m AS (SELECT source_id, unnest(regexp_extract_all(content, 'https://github\\.com/[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+/blob/[0-9a-f]{{40}}/[A-Za-z0-9_./-]+')) AS u FROM fx_citing),
 r AS (SELECT DISTINCT source_id, regexp_extract(u, '{references.BLOB}', 1) AS repository, regexp_extract(u, '{references.BLOB}', 2) AS sha, regexp_extract(u, '{references.BLOB}', 3) AS path FROM m)
 SELECT r.source_id, r.repository, r.path, p.path IS NOT NULL AND NOT list_contains(string_split(r.path, '/'), '..') AS verified FROM r LEFT JOIN fx_pins p ON p.repository = r.repository AND p.sha = r.sha AND p.path = r.path""")
 def pinned_references(spark, sf_dir):
-    return references.pinned(frame(spark, "fx_citing"), frame(spark, "fx_pins"))
+    return references.pinned(frame(spark, "fx_citing", sf_dir), frame(spark, "fx_pins"))
 
 
 @query("linked_images")
@@ -35,7 +35,7 @@ def linked_images(spark, sf_dir):
 
 @query("blob_text", f"""WITH {cte('fx_blobs')} SELECT name, CASE WHEN ok THEN decode(from_base64(body)) END AS text FROM fx_blobs""")
 def blob_text(spark, sf_dir):
-    return frame(spark, "fx_blobs").select("name", F.try_validate_utf8(F.unbase64("body").cast("string")).alias("text"))
+    return frame(spark, "fx_blobs", sf_dir).select("name", F.try_validate_utf8(F.unbase64("body").cast("string")).alias("text"))
 
 
 @query("effective_chunkers", views.BASE_SQL + f" SELECT provider, CASE WHEN provider = 'JIRA' THEN chunker_version || '{routing.JIRA_SUFFIX}' ELSE chunker_version END AS chunker, count(*) AS sources FROM src GROUP BY 1, 2")
@@ -82,40 +82,53 @@ def changed_pages(spark, sf_dir):
 @query("issue_states", f"""WITH {cte('fx_issues')}, j AS (SELECT issue_key, CAST(fields_json AS JSON) AS f FROM fx_issues) SELECT issue_key, f->>'$.parent.key' AS parent_key, f->>'$.parent.id' AS parent_id, TRY_CAST(f->>'$.parent.id' AS BIGINT) AS parent_number, CAST(json_array_length(f->'$.subtasks') AS INTEGER) AS subtasks FROM j""")
 def issue_states(spark, sf_dir):
     get = lambda path: F.get_json_object("fields_json", path)
-    return frame(spark, "fx_issues").select("issue_key", get("$.parent.key").alias("parent_key"), get("$.parent.id").alias("parent_id"), get("$.parent.id").try_cast("long").alias("parent_number"), F.json_array_length(get("$.subtasks")).alias("subtasks"))
+    return frame(spark, "fx_issues", sf_dir).select("issue_key", get("$.parent.key").alias("parent_key"), get("$.parent.id").alias("parent_id"), get("$.parent.id").try_cast("long").alias("parent_number"), F.json_array_length(get("$.subtasks")).alias("subtasks"))
 
 
-@query("length_prefixed_context", views.BASE_SQL + " SELECT source_id, 'title:' || strlen(title) || ':' || title || chr(10) || 'path:' || strlen(path) || ':' || path AS context, strlen(title) > 2048 AS over FROM src WHERE provider = 'JIRA'")
+def _searchable(spark, sf_dir):
+    s = views.source_documents(spark, sf_dir).withColumns({"repository": F.col("scope"), "issue_key": F.when(F.col("provider") == "JIRA", F.concat(F.lit("KEY-"), "doc_id")), "content": F.lit("")})
+    return text.with_searchable(s.select("source_id", "provider", "path", "repository", "issue_key", "content"))
+
+
+_RECORDS_SQL = """, r AS (SELECT source_id, list_filter([{'n': 'repository', 'v': scope}, {'n': 'path', 'v': path}, {'n': 'file_name', 'v': list_extract(string_split(path, '/'), -1)}, {'n': 'issue_key', 'v': 'KEY-' || doc_id}], lambda x: x.v <> '') AS rs FROM src WHERE provider = 'JIRA')"""
+
+
+@query("length_prefixed_context", views.BASE_SQL + _RECORDS_SQL + " SELECT source_id, array_to_string(list_transform(rs, lambda x: x.n || ' ' || strlen(x.v) || chr(10) || x.v || chr(10)), '') AS context FROM r")
 def length_prefixed_context(spark, sf_dir):
     """Values are framed by their byte counts, so that none can break out of its frame."""
-    line = lambda c: F.concat(F.lit(f"{c}:"), F.octet_length(c), F.lit(":"), F.col(c))
-    s = views.source_documents(spark, sf_dir).where("provider = 'JIRA'")
-    return s.select("source_id", F.concat_ws("\n", line("title"), line("path")).alias("context"), (F.octet_length("title") > 2048).alias("over"))
+    return _searchable(spark, sf_dir).where("provider = 'JIRA'").select("source_id", text.framed_context(F.col("searchable")).alias("context"))
 
 
-@query("ordered_enrichment", views.BASE_SQL + " SELECT source_id, array_to_string(list_filter(list_concat(['', path, list_extract(string_split(path, '/'), -1), CASE WHEN provider = 'JIRA' THEN space_key END], labels), lambda x: x IS NOT NULL AND x <> ''), '|') AS enrichment FROM src")
+@query("ordered_enrichment", views.BASE_SQL + _RECORDS_SQL + " SELECT source_id, array_to_string(list_transform(rs, lambda x: x.v), '|') AS enrichment FROM r")
 def ordered_enrichment(spark, sf_dir):
-    found = F.concat(F.array(F.lit(""), F.col("path"), F.element_at(F.split("path", "/"), -1), F.when(F.col("provider") == "JIRA", F.col("space_key"))), F.col("labels"))
-    return views.source_documents(spark, sf_dir).select("source_id", F.concat_ws("|", F.filter(found, lambda x: x.isNotNull() & (x != ""))).alias("enrichment"))
+    return _searchable(spark, sf_dir).where("provider = 'JIRA'").select("source_id", F.concat_ws("|", text.enrichment(F.col("searchable"))).alias("enrichment"))
 
 
-@query("low_information_code", f"""WITH {cte('fx_code')}, l AS (SELECT name, list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS ls FROM fx_code)
-SELECT name, len(list_filter(ls, lambda x: NOT regexp_matches(x, '^(import |from |package |using |#include|@|//|#|\\*|/\\*|[\\{{\\}}\\(\\)\\[\\];,]+$)'))) < 2 AS low FROM l""")
+@query("low_information_code", f"""WITH {cte('fx_code')}, c AS (SELECT name, body FROM fx_code UNION ALL SELECT 'doc:' || doc_id, coalesce(text, '') FROM documents),
+l AS (SELECT name, body, list_filter(list_transform(regexp_split_to_array(body, '\\r\\n|\\n|\\r'), lambda x: trim(x, ' ' || chr(9))), lambda x: x <> '') AS ls FROM c)
+SELECT name, len(list_filter(ls, lambda x: NOT regexp_matches(x, '^(@|package |import |//|/\\*|\\*)'))) = 0 OR (len(body) < 48 AND len(regexp_extract_all(body, '[A-Za-z_]\\w*')) <= 3) AS low FROM l""")
 def low_information_code(spark, sf_dir):
-    live = F.filter(F.transform(F.split("body", "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    told = F.filter(live, lambda x: ~x.rlike(r"^(import |from |package |using |#include|@|//|#|\*|/\*|[\{\}\(\)\[\];,]+$)"))
-    return frame(spark, "fx_code").select("name", (F.size(told) < 2).alias("low"))
+    docs = views.table(spark, sf_dir, "documents").select(F.concat(F.lit("doc:"), "doc_id").alias("name"), F.coalesce("text", F.lit("")).alias("body"))
+    return frame(spark, "fx_code", sf_dir).unionByName(docs).select("name", text.low_information_code(F.col("body")).alias("low"))
+
+
+@query("torn_reads", views.BASE_SQL + " SELECT source_id AS issue_key, CASE WHEN doc_id % 13 = 0 THEN 'not read' ELSE 'changed meanwhile' END AS fault FROM src WHERE provider = 'JIRA' AND updated_at IS NOT NULL AND (doc_id % 13 = 0 OR doc_id % 11 = 0)")
+def torn_reads(spark, sf_dir):
+    s = views.source_documents(spark, sf_dir).where("provider = 'JIRA' and updated_at is not null")
+    read = s.where("doc_id % 13 <> 0").select(F.col("source_id").alias("issue_key"), (F.col("updated_at") + F.expr("make_interval(0, 0, 0, 0, CASE WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END)")).alias("updated"))
+    return issues.torn_reads(s.select(F.col("source_id").alias("issue_key"), F.col("updated_at").alias("updated")), read)
 
 
 @query("image_sizes", f"WITH {cte('fx_images')} SELECT name, width >= 64 AND height >= 64 AND width * height >= 16384 AS meaningful FROM fx_images")
 def image_sizes(spark, sf_dir):
-    return frame(spark, "fx_images").select("name", references.is_meaningful(F.col("width"), F.col("height")).alias("meaningful"))
+    return frame(spark, "fx_images", sf_dir).select("name", references.is_meaningful(F.col("width"), F.col("height")).alias("meaningful"))
 
 
-@query("prose_files", views.BASE_SQL + " SELECT scope, count(*) FILTER (ends_with(path, '.md') OR ends_with(path, '.txt')) AS passed_over, count(*) AS files FROM src WHERE provider = 'GITHUB' GROUP BY scope")
+@query("prose_files", views.BASE_SQL + ", f AS (SELECT scope, path FROM src WHERE provider = 'GITHUB' UNION ALL SELECT scope, replace(path, '.csv', '.RST') FROM src WHERE provider = 'GITHUB' AND path LIKE '%.csv') SELECT scope, count(*) FILTER (regexp_matches(lower(path), '\\.(md|markdown|txt|rst|adoc|docx|pdf)$')) AS passed_over, count(*) AS files FROM f GROUP BY scope")
 def prose_files(spark, sf_dir):
-    s = views.source_documents(spark, sf_dir).where("provider = 'GITHUB'")
-    return s.groupBy("scope").agg(F.count_if(paths.suffix(F.col("path")).isin(".md", ".txt")).alias("passed_over"), F.count(F.lit(1)).alias("files"))
+    s = views.source_documents(spark, sf_dir).where("provider = 'GITHUB'").select("scope", "path")
+    s = s.unionByName(s.where(F.col("path").endswith(".csv")).withColumn("path", F.replace("path", F.lit(".csv"), F.lit(".RST"))))
+    return s.groupBy("scope").agg(F.count_if(local.is_prose(F.col("path"))).alias("passed_over"), F.count(F.lit(1)).alias("files"))
 
 
 @query("job_payloads", views.BASE_SQL + """ SELECT scope, '{"job_id":"' || scope || '","project_id":"' || min(project_id) || '"}' AS payload FROM src GROUP BY scope""")
@@ -132,18 +145,36 @@ def manifest_truncation(spark, sf_dir):
 
 @query("office_containers")
 def office_containers(spark, sf_dir):
-    rows = frame(spark, "fx_payloads").select("path", richtext.container_reason(F.unhex("payload"), paths.suffix(F.col("path"))).alias("reason_code"))
+    rows = frame(spark, "fx_payloads", sf_dir).select("path", richtext.container_reason(F.unhex("payload"), paths.suffix(F.col("path"))).alias("reason_code"))
     return rows
 
 
 @query("parsed_payloads")
 def parsed_payloads(spark, sf_dir):
-    return references.parsed(frame(spark, "fx_payloads").select(F.col("path").alias("source_id"), "path", F.unhex("payload").alias("content_bytes")))
+    return references.parsed(frame(spark, "fx_payloads", sf_dir).select(F.col("path").alias("source_id"), "path", F.unhex("payload").alias("content_bytes")))
+
+
+def _raw_issues(spark, sf_dir):
+    """The fixture's issues as JSON, and a comment of each with a conversation's first words."""
+    rows = frame(spark, "fx_issues", sf_dir)
+    return rows.select(F.concat(F.lit('{"key":"'), "issue_key", F.lit('","fields":'), "fields_json", F.lit(',"comments":[{"id":"c1","body":"seen","created":"2024"},{"id":"c2","body":"hidden","visibility":{"type":"role"}}]}')).alias("raw"))
 
 
 @query("issue_windows")
 def issue_windows(spark, sf_dir):
     from docweir.operators.issue_documents import issue_windows as run
 
-    issues = frame(spark, "fx_issues").select(F.concat(F.lit('{"key":"'), "issue_key", F.lit('","fields":'), "fields_json", F.lit("}")).alias("raw"))
-    return run(issues)
+    return run(_raw_issues(spark, sf_dir))
+
+
+@query("issue_sections", f"""WITH {cte('fx_issues')}, j AS (SELECT issue_key, CAST(fields_json AS JSON) AS f FROM fx_issues), l AS (SELECT issue_key, unnest(CAST(f->'$.issuelinks' AS JSON[])) AS l FROM j)
+SELECT issue_key, 'CURRENT' AS kind, 'current' AS locator FROM j UNION ALL SELECT issue_key, 'COMMENT', 'comment:c1' FROM j
+UNION ALL SELECT issue_key, 'RELATIONSHIP', 'parent' FROM j WHERE json_type(f->'$.parent') = 'OBJECT'
+UNION ALL SELECT issue_key, 'RELATIONSHIP', 'subtask:' || coalesce(s->>'$.id', s->>'$.key') FROM (SELECT issue_key, unnest(CAST(f->'$.subtasks' AS JSON[])) AS s FROM j)
+UNION ALL SELECT issue_key, 'RELATIONSHIP', 'link:' || (l->>'$.id') || ':inward' FROM l WHERE (l->'$.inwardIssue') IS NOT NULL
+UNION ALL SELECT issue_key, 'RELATIONSHIP', 'link:' || (l->>'$.id') || ':outward' FROM l WHERE (l->'$.outwardIssue') IS NOT NULL
+UNION ALL SELECT issue_key, 'RELATIONSHIP', 'link:' || (l->>'$.id') FROM l WHERE (l->'$.inwardIssue') IS NULL AND (l->'$.outwardIssue') IS NULL""")
+def issue_sections(spark, sf_dir):
+    from docweir.operators.issue_documents import sections
+
+    return sections(_raw_issues(spark, sf_dir)).select("issue_key", "kind", "locator")

@@ -21,53 +21,53 @@ UNION ALL SELECT issue_key, 'link:' || (l->>'$.id') || ':inward', coalesce(l->>'
 UNION ALL SELECT issue_key, 'link:' || (l->>'$.id') || ':outward', coalesce(l->>'$.type.outward', l->>'$.type.name', 'outward'), l->>'$.outwardIssue.key' FROM l WHERE (l->'$.outwardIssue') IS NOT NULL
 UNION ALL SELECT issue_key, 'link:' || (l->>'$.id'), coalesce(l->>'$.type.name', 'link'), NULL FROM l WHERE (l->'$.inwardIssue') IS NULL AND (l->'$.outwardIssue') IS NULL""")
 def relationship_edges(spark, sf_dir):
-    return issues.relationships(frame(spark, I))
+    return issues.relationships(frame(spark, I, sf_dir))
 
 
 @query("restricted_counts", f"""WITH {cte(I, E)}, h AS (SELECT issue_key, count(*) AS held FROM fx_events WHERE visibility IS NOT NULL GROUP BY issue_key)
 SELECT project_key, count(*) AS issues, count(*) FILTER (security IS NOT NULL) AS restricted_issues, CAST(coalesce(sum(held), 0) AS BIGINT) AS restricted_events FROM fx_issues LEFT JOIN h USING (issue_key) GROUP BY project_key""")
 def restricted_counts(spark, sf_dir):
-    return issues.restricted_counts(frame(spark, I), frame(spark, E))
+    return issues.restricted_counts(frame(spark, I, sf_dir), frame(spark, E, sf_dir))
 
 
 @query("attachment_sizes", f"""WITH {cte(I)}, a AS (SELECT issue_key, unnest(CAST(CAST(attachments_json AS JSON) AS JSON[])) AS a FROM fx_issues)
 SELECT issue_key, a->>'$.id' AS attachment_id, CASE WHEN TRY_CAST(a->>'$.size' AS BIGINT) IS NULL THEN 'unknown size' WHEN TRY_CAST(a->>'$.size' AS BIGINT) > 26214400 THEN 'too large' ELSE 'read' END AS outcome FROM a""")
 def attachment_sizes(spark, sf_dir):
-    return issues.attachments(frame(spark, I))
+    return issues.attachments(frame(spark, I, sf_dir))
 
 
 @query("jira_richness_topk", f"""WITH {cte(I, E)} SELECT issue_key FROM fx_issues i ORDER BY coalesce(attachments_json, '[]') <> '[]' DESC, EXISTS (SELECT 1 FROM fx_events e WHERE e.issue_key = i.issue_key AND kind = 'COMMENT') DESC, (CAST(fields_json AS JSON)->>'$.parent.key') IS NOT NULL DESC, issue_key DESC LIMIT 3""")
 def jira_richness_topk(spark, sf_dir):
-    return issues.richest(frame(spark, I), frame(spark, E), 3).select("issue_key")
+    return issues.richest(frame(spark, I, sf_dir), frame(spark, E, sf_dir), 3).select("issue_key")
 
 
 @query("issue_timelines", f"""WITH {cte(I, E)} SELECT issue_key, count(event_id) AS events, coalesce(string_agg(concat_ws(' ', kind, event_id, body), '; ' ORDER BY created, event_id), '') AS timeline FROM fx_issues LEFT JOIN (SELECT * FROM fx_events WHERE visibility IS NULL) USING (issue_key) GROUP BY issue_key""")
 def issue_timelines(spark, sf_dir):
-    return issues.timelines(frame(spark, I), frame(spark, E))
+    return issues.timelines(frame(spark, I, sf_dir), frame(spark, E, sf_dir))
 
 
 @query("issue_scan_order", f"WITH {cte(I)} SELECT issue_key, row_number() OVER (ORDER BY updated, issue_key) AS place FROM fx_issues WHERE project_key = 'SHOP' AND updated >= '2024-01-02 00:00'")
 def issue_scan_order(spark, sf_dir):
     from pyspark.sql import Window as W
 
-    rows = frame(spark, I).where("project_key = 'SHOP' and updated >= '2024-01-02 00:00'")
+    rows = frame(spark, I, sf_dir).where("project_key = 'SHOP' and updated >= '2024-01-02 00:00'")
     return rows.select("issue_key", F.row_number().over(W.partitionBy("project_key").orderBy("updated", "issue_key")).cast("long").alias("place"))
 
 
 @query("custom_field_names", f"WITH {cte('fx_custom', 'fx_names')} SELECT issue_key, field_id, value, coalesce(name, field_id) AS name FROM fx_custom LEFT JOIN fx_names USING (field_id)")
 def custom_field_names(spark, sf_dir):
-    return issues.custom_fields(frame(spark, "fx_custom"), frame(spark, "fx_names")).select("issue_key", "field_id", "value", "name")
+    return issues.custom_fields(frame(spark, "fx_custom", sf_dir), frame(spark, "fx_names")).select("issue_key", "field_id", "value", "name")
 
 
 @query("page_faults", f"""WITH {cte('fx_listing')}, r AS (SELECT listing, min(total) AS lo, max(total) AS hi, count(*) AS rows, count(DISTINCT item_id) AS items FROM fx_listing GROUP BY listing)
 SELECT listing, rows, items, CASE WHEN lo <> hi THEN 'total changed' WHEN items <> rows THEN 'repeated id' WHEN rows <> hi THEN 'incomplete' END AS fault FROM r""")
 def page_faults(spark, sf_dir):
-    return issues.page_faults(frame(spark, "fx_listing"))
+    return issues.page_faults(frame(spark, "fx_listing", sf_dir))
 
 
 @query("wanted_keys_missing", f"WITH {cte(I, 'fx_wanted')} SELECT issue_key FROM fx_wanted EXCEPT SELECT issue_key FROM fx_issues")
 def wanted_keys_missing(spark, sf_dir):
-    return frame(spark, "fx_wanted").select("issue_key").exceptAll(frame(spark, I).select("issue_key"))
+    return frame(spark, "fx_wanted", sf_dir).select("issue_key").exceptAll(frame(spark, I, sf_dir).select("issue_key"))
 
 
 @query("section_kinds", f"""WITH {cte('fx_headings')} SELECT heading, CASE WHEN regexp_matches(heading, '(?i)acceptance|aceptaci[oó]n') THEN 'ACCEPTANCE' WHEN regexp_matches(heading, '(?i)requirement|requisito') THEN 'REQUIREMENTS' ELSE 'DESCRIPTION' END AS kind FROM fx_headings""")
@@ -82,12 +82,12 @@ def iso_times(spark, sf_dir):
 
 @query("bound_assets", f"""WITH {cte('fx_elements', 'fx_assets')} SELECT e.source_id, e.ordinal, a.asset_id FROM fx_elements e JOIN fx_assets a ON e.source_id = a.source_id AND (a.page = e.page OR (a.page IS NULL AND e.ordinal = 0))""")
 def bound_assets(spark, sf_dir):
-    return issues.bound_assets(frame(spark, "fx_elements"), frame(spark, "fx_assets"))
+    return issues.bound_assets(frame(spark, "fx_elements", sf_dir), frame(spark, "fx_assets", sf_dir))
 
 
 @query("page_labels", f"WITH {cte('fx_labels')} SELECT page_id, array_to_string(list_sort(list_distinct(list(trim(label)) FILTER (trim(label) <> ''))), ',') AS labels FROM fx_labels GROUP BY page_id")
 def page_labels(spark, sf_dir):
-    return frame(spark, "fx_labels").groupBy("page_id").agg(F.concat_ws(",", F.array_sort(F.collect_set(F.nullif(F.trim("label"), F.lit(""))))).alias("labels"))
+    return frame(spark, "fx_labels", sf_dir).groupBy("page_id").agg(F.concat_ws(",", F.array_sort(F.collect_set(F.nullif(F.trim("label"), F.lit(""))))).alias("labels"))
 
 
 @query("job_messages", f"""WITH {cte('fx_jobs')}, k AS (SELECT raw, CASE WHEN json_valid(raw) AND json_type(raw) = 'OBJECT' THEN list_sort(json_keys(raw)) END AS ks FROM fx_jobs)
@@ -101,7 +101,7 @@ def job_messages(spark, sf_dir):
 @query("provider_request", f"WITH {cte('fx_projects')} SELECT project_id, array_to_string(list_filter(['JIRA', 'GITHUB', 'LOCAL'], lambda x: list_contains(['JIRA', 'CONFLUENCE'], x)), ',') AS providers FROM fx_projects")
 def provider_request(spark, sf_dir):
     asked, known = F.array(*map(F.lit, ("JIRA", "GITHUB", "LOCAL"))), F.array(F.lit("JIRA"), F.lit("CONFLUENCE"))
-    return frame(spark, "fx_projects").select("project_id", F.concat_ws(",", F.array_intersect(asked, known)).alias("providers"))
+    return frame(spark, "fx_projects", sf_dir).select("project_id", F.concat_ws(",", F.array_intersect(asked, known)).alias("providers"))
 
 
 @query("conversation_turns", "SELECT role, count(*) AS turns, count(DISTINCT conv_id) AS conversations, CAST(sum(len(text)) AS BIGINT) AS characters FROM conversations GROUP BY role")
@@ -118,19 +118,19 @@ def event_counters(spark, sf_dir):
 
 @query("adf_text")
 def adf_text(spark, sf_dir):
-    return frame(spark, "fx_adf").select("id", richtext.rich_text("adf").alias("text"))
+    return frame(spark, "fx_adf", sf_dir).select("id", richtext.rich_text("adf").alias("text"))
 
 
 @query("adf_markdown")
 def adf_markdown(spark, sf_dir):
-    return frame(spark, "fx_adf").select("id", richtext.rich_markdown("adf").alias("text"))
+    return frame(spark, "fx_adf", sf_dir).select("id", richtext.rich_markdown("adf").alias("text"))
 
 
 @query("live_bodies")
 def live_bodies(spark, sf_dir):
     """An empty stored body is read from the rich-text tree instead."""
     body = F.coalesce(F.nullif(F.trim("storage"), F.lit("")), richtext.rich_markdown("adf"))
-    return frame(spark, "fx_adf").select("id", body.alias("body"))
+    return frame(spark, "fx_adf", sf_dir).select("id", body.alias("body"))
 
 
 @query("canonical_json")
@@ -140,7 +140,7 @@ def canonical_json(spark, sf_dir):
 
 @query("generated_scan")
 def generated_scan(spark, sf_dir):
-    return frame(spark, "fx_metadata").select("id", richtext.metadata_reason("metadata").alias("reason_code"))
+    return frame(spark, "fx_metadata", sf_dir).select("id", richtext.metadata_reason("metadata").alias("reason_code"))
 
 
 @query("heading_digests")

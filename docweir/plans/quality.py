@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweir.functions import security
-from docweir.operators import audits, vocabulary
+from docweir.operators import audits, visuals, vocabulary
 from docweir.plans.fixtures import cte, frame
 from docweir.plans.registry import query
 from docweir.plans.text import TEXTS_SQL, texts
@@ -19,7 +19,11 @@ def secret_patterns(spark, sf_dir):
     return texts(spark, sf_dir).where(security.has_secret(F.col("content"))).select("source_id")
 
 
-CANDIDATES_SQL = TEXTS_SQL + f""", w AS (SELECT DISTINCT source_id, unnest(regexp_extract_all(content, '{security.CANDIDATE}')) AS word FROM texts),
+# DuckDB's patterns can't look ahead: what stands behind a citation is tested for itself.
+CANDIDATES_SQL = TEXTS_SQL + r""", ci AS (SELECT source_id, content, list_filter(list_distinct(regexp_extract_all(content, 'https://github\.com/[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+/blob/[0-9a-f]{40}/[A-Za-z0-9_./-]+(?:#L[0-9]+(?:-L[0-9]+)?)?')),
+   lambda c: regexp_matches(content, regexp_escape(c) || '(?:$|[\s)>\]])') AND NOT list_has_any(string_split(c, '/'), ['.', '..'])) AS cs FROM texts),
+ap AS (SELECT source_id, list_reduce(list_prepend(content, cs), lambda t, c: replace(t, c, replace(c, '/', ' '))) AS content FROM ci),
+w AS (SELECT DISTINCT source_id, unnest(regexp_extract_all(content, '\b[A-Za-z0-9+/=_-]{40,200}\b')) AS word FROM ap),
 e AS (SELECT source_id, word, (SELECT -sum(p * log2(p)) FROM (SELECT count(*) / len(word) AS p FROM (SELECT unnest(string_split(word, '')) AS c) GROUP BY c)) AS bits FROM w)"""
 
 
@@ -35,12 +39,12 @@ q AS (SELECT t.source_id, CASE WHEN t.title LIKE 'Guide%' THEN 'x.zip' ELSE 'x.m
 SELECT source_id, sensitive, CASE WHEN path = 'x.zip' THEN 'BLOCKED_FILE_TYPE' WHEN sensitive THEN 'POTENTIAL_SECRET' END AS reason_code FROM q""")
 def quarantine_reasons(spark, sf_dir):
     t = texts(spark, sf_dir).select("source_id", F.lit("CONFLUENCE").alias("provider"), F.when(F.col("title").startswith("Guide"), "x.zip").otherwise("x.md").alias("path"), "content", F.lit(None).cast("binary").alias("content_bytes"))
-    return security.quarantine(t).select("source_id", "sensitive", "reason_code")
+    return security.quarantine(t, binary=False).select("source_id", "sensitive", "reason_code")
 
 
 @query("payload_signatures", f"WITH {cte('fx_payloads')} SELECT path, reason_code FROM fx_payloads")
 def payload_signatures(spark, sf_dir):
-    p = frame(spark, "fx_payloads").select(F.col("path"), F.lit("JIRA").alias("provider"), F.lit("").alias("content"), F.unhex("payload").alias("content_bytes"))
+    p = frame(spark, "fx_payloads", sf_dir).select(F.col("path"), F.lit("JIRA").alias("provider"), F.lit("").alias("content"), F.unhex("payload").alias("content_bytes"))
     return security.quarantine(p).select("path", "reason_code")
 
 
@@ -189,13 +193,34 @@ def language_mix(spark, sf_dir):
     return texts(spark, sf_dir).groupBy((F.col("title") != "").alias("titled")).agg(F.count(F.lit(1)).alias("texts"), F.sum(F.length("content")).alias("characters"))
 
 
-@query("visual_kinds", TEXTS_SQL + """ SELECT source_id, regexp_matches(content, '(?m)^\\s*\\|?(?:\\s*:?-{3,}:?\\s*\\|){1,}\\s*:?-{3,}:?\\s*\\|?\\s*$') AS has_table, regexp_matches(content, '!\\[[^\\]]*\\]\\(([^)]+)\\)') AS has_image,
- regexp_matches(content, '(?is)```\\s*mermaid\\s*\\n(.*?)```') OR regexp_matches(content, '(?:-->|->|=>|\\+[-=]{2,}\\+|\\|\\s{2,}\\|)') AS has_diagram, regexp_matches(content, '(?i)```\\s*(?:plantuml|dot|graphviz)\\b') AS unsupported FROM texts""")
+_IMAGES = r"list_transform(list_concat(regexp_extract_all(content, '!\[[^\]]*\]\(([^)]+)\)', 1), regexp_extract_all(content, '(?i)<img\b[^>]*\bsrc\s*=\s*[\x27\x22]([^\x27\x22]+)[\x27\x22]', 1)), lambda t: translate(regexp_extract(t, '^\s*(\S*)', 1), '<>' || chr(34) || chr(39), ''))"
+_UNSAFE = r"t = '' OR regexp_matches(lower(t), '^(http://|https://|data:|file:|javascript:)') OR regexp_matches(t, '^[/\\]') OR list_contains(string_split(replace(t, '\', '/'), '/'), '..') OR ends_with(lower(t), '.svg')"
+VISUALS_SQL = TEXTS_SQL + rf""", im AS (SELECT source_id, content, {_IMAGES} AS ts FROM texts),
+vi AS (SELECT source_id, list_filter([CASE WHEN regexp_matches(content, '(?is)```\s*mermaid\s*\n(.*?)```') OR regexp_matches(content, '(?:-->|->|=>|\+[-=]{{2,}}\+|\|\s{{2,}}\|)') THEN 'architecture_diagram' END,
+  CASE WHEN len(list_filter(ts, lambda t: NOT ({_UNSAFE}))) > 0 THEN 'image' END, CASE WHEN regexp_matches(content, '(?m)^\s*\|?(?:\s*:?-{{3,}}:?\s*\|){{1,}}\s*:?-{{3,}}:?\s*\|?\s*$') THEN 'table' END], lambda x: x IS NOT NULL) AS types,
+ list_filter([CASE WHEN len(list_filter(ts, lambda t: {_UNSAFE})) > 0 THEN 'UNSAFE_MARKDOWN_IMAGE_REFERENCE' END, CASE WHEN len(list_filter(ts, lambda t: NOT ({_UNSAFE}) AND regexp_matches(t, '(?i)\.(?:png|jpe?g|webp)$'))) > 0 THEN 'LOCAL_IMAGE_REQUIRES_PROVIDER_RESOLUTION' END,
+  CASE WHEN regexp_matches(content, '(?i)```\s*(?:plantuml|dot|graphviz)\b') THEN 'UNSUPPORTED_DIAGRAM_RETAINED_AS_TEXT' END], lambda x: x IS NOT NULL) AS reasons FROM im)
+"""
+
+
+@query("visual_kinds", VISUALS_SQL + "SELECT source_id, len(types) > 0 AS eligible, array_to_string(types, ',') AS visual_types, array_to_string(reasons, ',') AS reason_codes FROM vi")
 def visual_kinds(spark, sf_dir):
-    c = F.col("content")
-    return texts(spark, sf_dir).select(
-        "source_id", c.rlike(r"(?m)^\s*\|?(?:\s*:?-{3,}:?\s*\|){1,}\s*:?-{3,}:?\s*\|?\s*$").alias("has_table"), c.rlike(r"!\[[^\]]*\]\(([^)]+)\)").alias("has_image"),
-        (c.rlike(r"(?is)```\s*mermaid\s*\n(.*?)```") | c.rlike(r"(?:-->|->|=>|\+[-=]{2,}\+|\|\s{2,}\|)")).alias("has_diagram"), c.rlike(r"(?i)```\s*(?:plantuml|dot|graphviz)\b").alias("unsupported"),
-    )
+    return visuals.markdown_visuals(texts(spark, sf_dir)).withColumns({c: F.concat_ws(",", c) for c in ("visual_types", "reason_codes")})
+
+
+@query("visual_preview", VISUALS_SQL + "SELECT 'type' AS kind, name, count(*) AS documents FROM (SELECT unnest(types) AS name FROM vi) GROUP BY name UNION ALL SELECT 'reason', name, count(*) FROM (SELECT unnest(reasons) AS name FROM vi) GROUP BY name")
+def visual_preview(spark, sf_dir):
+    return visuals.preview(visuals.markdown_visuals(texts(spark, sf_dir)))
 
 
+@query("html_visuals", r"""WITH p AS (SELECT 'page:' || page_id AS source_id, coalesce(html, '') AS c FROM pages UNION ALL SELECT 'macro:' || page_id, '<ac:structured-macro ac:name="DrawIO"></ac:structured-macro>' || coalesce(html, '') FROM pages WHERE page_id % 5 = 0),
+m AS (SELECT source_id, c, least(64, len(regexp_extract_all(c, '(?is)<table\b.*?</table>'))) AS tables, list_transform(regexp_extract_all(c, '(?i)<(?:ac:)?structured-macro\b[^>]*?\b(?:ac:)?name\s*=\s*[\x27\x22]([^\x27\x22]+)[\x27\x22]', 1), lambda x: lower(x)) AS ms, regexp_matches(c, '(?i)<img\b') AS img FROM p),
+k AS (SELECT *, list_has_any(ms, ['drawio', 'gliffy', 'plantuml', 'graphviz']) AS kept FROM m)
+SELECT source_id, img OR kept OR tables > 0 OR list_contains(ms, 'mermaid') AS eligible, CAST(tables AS BIGINT) AS tables, concat_ws(',', CASE WHEN kept OR list_contains(ms, 'mermaid') THEN 'architecture_diagram' END, CASE WHEN img THEN 'image' END, CASE WHEN tables > 0 THEN 'table' END) AS visual_types,
+ concat_ws(',', CASE WHEN img THEN 'HTML_IMAGE_REQUIRES_PROVIDER_RESOLUTION' END, CASE WHEN kept THEN 'CONFLUENCE_DIAGRAM_REQUIRES_ATTACHMENT' END) AS reason_codes FROM k""")
+def html_visuals(spark, sf_dir):
+    """Every page, and some of them again with a diagram's macro, which the data set lacks."""
+    p = views.table(spark, sf_dir, "pages")
+    plain = p.select(F.concat(F.lit("page:"), "page_id").alias("source_id"), F.coalesce("html", F.lit("")).alias("content"))
+    macro = p.where("page_id % 5 = 0").select(F.concat(F.lit("macro:"), "page_id").alias("source_id"), F.concat(F.lit('<ac:structured-macro ac:name="DrawIO"></ac:structured-macro>'), F.coalesce("html", F.lit(""))).alias("content"))
+    return visuals.html_visuals(plain.unionByName(macro)).withColumns({c: F.concat_ws(",", c) for c in ("visual_types", "reason_codes")})

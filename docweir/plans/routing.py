@@ -123,7 +123,7 @@ def access_policy_first_match(spark, sf_dir):
 
 @query("access_policy_labels", f"WITH {cte('fx_rules', 'fx_labelled')} SELECT s.source_id, {POLICY} AS access_policy_id FROM fx_labelled s")
 def access_policy_labels(spark, sf_dir):
-    return access.resolve_policy(frame(spark, "fx_labelled"), frame(spark, "fx_rules"), PROJECT).select("source_id", "access_policy_id")
+    return access.resolve_policy(frame(spark, "fx_labelled", sf_dir), frame(spark, "fx_rules"), PROJECT).select("source_id", "access_policy_id")
 
 
 @query("access_rule_validation", f"""WITH {cte('fx_bad_rules')} SELECT ordinal, CASE WHEN provider NOT IN ('CONFLUENCE', 'JIRA', 'GITHUB') THEN 'unsupported provider'
@@ -138,7 +138,7 @@ walk(page_id, depth, seen) AS (SELECT page_id, 0, [page_id] FROM fx_pages WHERE
  UNION ALL SELECT p.page_id, depth + 1, list_append(seen, p.page_id) FROM fx_pages p JOIN walk w ON p.parent_id = w.page_id WHERE NOT list_contains(seen, p.page_id))
 SELECT page_id, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY page_id""")
 def root_page_tree(spark, sf_dir):
-    return routing.roots_subtree(frame(spark, "fx_pages"), [r[0] for r in frame(spark, "fx_roots").collect()])
+    return routing.roots_subtree(frame(spark, "fx_pages", sf_dir), frame(spark, "fx_roots", sf_dir))
 
 
 @query("rename_fanout", f"""WITH {cte('fx_changes')}, k AS (SELECT * FROM fx_changes WHERE status IN ('added', 'modified', 'removed', 'renamed')),
@@ -146,23 +146,23 @@ f AS (SELECT number, previous_path AS path, 'DELETE' AS operation, 'renamed away
  UNION ALL SELECT number, path, CASE WHEN status = 'removed' THEN 'DELETE' WHEN has_content THEN 'INDEX' ELSE 'SKIP' END, CASE WHEN status = 'removed' THEN 'removed' WHEN has_content THEN status ELSE 'no content' END FROM k)
 SELECT * FROM f WHERE {paths.indexable_sql('path')}""")
 def rename_fanout(spark, sf_dir):
-    return routing.changes_to_operations(frame(spark, "fx_changes"), paths.is_indexable(F.col("path")))
+    return routing.changes_to_operations(frame(spark, "fx_changes", sf_dir), paths.is_indexable(F.col("path")))
 
 
 @query("ledger_latest", f"WITH {cte('fx_ledger')} SELECT arg_max(sequence, sequence) AS sequence, source_id, arg_max(status, sequence) AS status, arg_max(source_version, sequence) AS source_version FROM fx_ledger GROUP BY source_id")
 def ledger_latest(spark, sf_dir):
-    return routing.latest(frame(spark, "fx_ledger"), "source_id", "sequence")
+    return routing.latest(frame(spark, "fx_ledger", sf_dir), "source_id", "sequence")
 
 
 @query("ledger_summary", f"WITH {cte('fx_ledger')}, l AS (SELECT source_id, arg_max(status, sequence) AS status FROM fx_ledger GROUP BY source_id) SELECT status, count(*) AS sources, status = 'started' AS unfinished FROM l GROUP BY status")
 def ledger_summary(spark, sf_dir):
-    return routing.latest(frame(spark, "fx_ledger"), "source_id", "sequence").groupBy("status").agg(F.count(F.lit(1)).alias("sources")).withColumn("unfinished", F.col("status") == "started")
+    return routing.latest(frame(spark, "fx_ledger", sf_dir), "source_id", "sequence").groupBy("status").agg(F.count(F.lit(1)).alias("sources")).withColumn("unfinished", F.col("status") == "started")
 
 
 @query("ledger_resume", f"""WITH {cte('fx_ledger', 'fx_current')}, l AS (SELECT source_id, arg_max(status, sequence) AS last_status, arg_max(source_version, sequence) AS v FROM fx_ledger GROUP BY source_id)
 SELECT c.source_id, c.source_version, l.last_status, CASE WHEN l.last_status IN ('indexed', 'unchanged', 'excluded') AND l.v = c.source_version THEN 'skip' ELSE 'run' END AS decision FROM fx_current c LEFT JOIN l USING (source_id)""")
 def ledger_resume(spark, sf_dir):
-    return routing.resumable(frame(spark, "fx_ledger"), frame(spark, "fx_current"))
+    return routing.resumable(frame(spark, "fx_ledger", sf_dir), frame(spark, "fx_current", sf_dir))
 
 
 @query("failure_budget", views.BASE_SQL + """ SELECT provider, scope, count(*) AS documents, count(*) FILTER (doc_id % 23 = 0) AS failures, count(*) FILTER (doc_id % 23 = 0) >= 5 AS aborted,
@@ -189,13 +189,19 @@ def cursor_overlap_read(spark, sf_dir):
  UNION ALL SELECT project_id, 'JIRA', jira_site || '|' || jira_key FROM fx_projects WHERE jira_site IS NOT NULL)
 SELECT project_id, provider, array_to_string(list_sort(list_distinct(list(scope))), ',') AS scopes FROM s GROUP BY project_id, provider""")
 def scan_scopes(spark, sf_dir):
-    return generation.scopes(frame(spark, "fx_projects")).groupBy("project_id", "provider").agg(F.concat_ws(",", F.array_sort(F.collect_set("scope"))).alias("scopes"))
+    return generation.scopes(frame(spark, "fx_projects", sf_dir)).groupBy("project_id", "provider").agg(F.concat_ws(",", F.array_sort(F.collect_set("scope"))).alias("scopes"))
 
 
-@query("project_lookup", f"WITH {cte('fx_projects')} SELECT project_id, owner || '/' || repository AS full_name, regexp_full_match(owner, '[A-Za-z0-9](?:[A-Za-z0-9-]{{0,37}}[A-Za-z0-9])?') AND regexp_full_match(repository, '[A-Za-z0-9_.-]{{1,100}}') AS valid FROM fx_projects")
+@query("project_lookup", f"""WITH {cte('fx_projects')}, r AS (SELECT doc_id, ['acme', 'acme', 'bad owner', '-x'][doc_id % 4 + 1] AS owner, CASE doc_id % 3 WHEN 0 THEN 'shop' WHEN 1 THEN 'x/y' ELSE 'nowhere' END AS repository FROM documents),
+v AS (SELECT *, regexp_full_match(owner, '[A-Za-z0-9](?:[A-Za-z0-9-]{{0,37}}[A-Za-z0-9])?') AND regexp_full_match(repository, '[A-Za-z0-9_.-]{{1,100}}') AS valid FROM r),
+p AS (SELECT owner, repository, min(project_id) AS project_id FROM fx_projects WHERE regexp_full_match(owner, '[A-Za-z0-9-]+') AND repository NOT LIKE '%/%' GROUP BY ALL)
+SELECT v.doc_id, v.owner, v.repository, p.project_id, v.valid FROM v LEFT JOIN p ON p.owner = v.owner AND p.repository = v.repository""")
 def project_lookup(spark, sf_dir):
-    p = frame(spark, "fx_projects")
-    return p.select("project_id", F.concat_ws("/", "owner", "repository").alias("full_name"), (F.col("owner").rlike("^[A-Za-z0-9](?:[A-Za-z0-9-]{0,37}[A-Za-z0-9])?$") & F.col("repository").rlike("^[A-Za-z0-9_.-]{1,100}$")).alias("valid"))
+    """Every document asks for the project of a repository, as an event would."""
+    pick = lambda names, at: F.element_at(F.array(*map(F.lit, names)), (at + 1).cast("int"))
+    d = F.col("doc_id")
+    asked = views.table(spark, sf_dir, "documents").select("doc_id", pick(("acme", "acme", "bad owner", "-x"), d % 4).alias("owner"), pick(("shop", "x/y", "nowhere"), d % 3).alias("repository"))
+    return routing.by_repository(asked, frame(spark, "fx_projects", sf_dir))
 
 
 @query("webhook_admission", f"""WITH {cte('fx_webhooks')} SELECT delivery, reason = 'accepted' AS accepted, reason FROM (SELECT delivery, CASE WHEN NOT signature_ok THEN 'bad signature' WHEN event <> 'pull_request' THEN 'ignored event'
@@ -203,14 +209,14 @@ def project_lookup(spark, sf_dir):
 def webhook_admission(spark, sf_dir):
     from docweir.streaming.gates import admission
 
-    return admission(frame(spark, "fx_webhooks")).select("delivery", "accepted", "reason")
+    return admission(frame(spark, "fx_webhooks", sf_dir)).select("delivery", "accepted", "reason")
 
 
 @query("dead_letters", f"WITH {cte('fx_queue')} SELECT message_id, CASE WHEN ok THEN 'complete' WHEN deliveries >= 5 THEN 'dead-letter' ELSE 'abandon' END AS outcome FROM fx_queue")
 def dead_letters(spark, sf_dir):
     from docweir.streaming.gates import settlement
 
-    return settlement(frame(spark, "fx_queue")).select("message_id", "outcome")
+    return settlement(frame(spark, "fx_queue", sf_dir)).select("message_id", "outcome")
 
 
 GENERATION_SQL = views.BASE_SQL + """, held AS (SELECT doc_id, project_id, provider, source_id, chunk_count FROM src WHERE doc_id % 5 <> 0 UNION ALL SELECT doc_id, project_id, 'OTHER', source_id, chunk_count FROM src WHERE doc_id % 6 = 1),

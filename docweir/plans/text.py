@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweir.functions import formats, paths, text
+from docweir.operators import visuals
 from docweir.plans.fixtures import cte, frame
 from docweir.plans.registry import query
 from docweir.sources import views
@@ -149,7 +150,7 @@ def token_counts(spark, sf_dir):
 
 @query("collection_names", f"WITH {cte('fx_projects')} SELECT project_id, substr(regexp_replace(regexp_replace(lower(trim('Team Docs! ' || owner)), '[^a-z0-9_-]+', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), 1, 48) || '-' || substr(regexp_replace(regexp_replace(lower(trim(project_id)), '[^a-z0-9_-]+', '-', 'g'), '^[-_]+|[-_]+$', '', 'g'), 1, 32) || '-' || substr(sha256(project_id), 1, 12) AS collection FROM fx_projects")
 def collection_names(spark, sf_dir):
-    return frame(spark, "fx_projects").select("project_id", text.collection_name(F.concat(F.lit("Team Docs! "), "owner"), F.col("project_id")).alias("collection"))
+    return frame(spark, "fx_projects", sf_dir).select("project_id", text.collection_name(F.concat(F.lit("Team Docs! "), "owner"), F.col("project_id")).alias("collection"))
 
 
 def _globs() -> list[str]:
@@ -164,12 +165,13 @@ def glob_filter(spark, sf_dir):
     for pattern in _globs():
         hit = paths.matches_glob(F.col("path"), pattern)
         matched = F.when(F.col("pattern") == pattern, hit) if matched is None else matched.when(F.col("pattern") == pattern, hit)
-    return frame(spark, "fx_globs").withColumn("matched", matched)
+    return frame(spark, "fx_globs", sf_dir).withColumn("matched", matched)
 
 
-@query("path_guard", f"WITH {cte('fx_paths')} SELECT path, {paths.kind_of_file_sql('path')} AS kind, {paths.is_sensitive_sql('path')} AS sensitive FROM fx_paths")
+@query("path_guard", f"""WITH {cte('fx_paths')}, n AS (SELECT path, string_split(replace(lower(path), '\\', '/'), '/') AS parts FROM fx_paths)
+SELECT path, {paths.kind_of_file_sql('path')} AS kind, starts_with(parts[-1], '.env') OR regexp_matches(parts[-1], '\\.(pem|key|p12|pfx)$') OR list_has_any(parts, ['node_modules', 'vendor', '.gradle', 'build', 'dist', 'secrets']) AS sensitive FROM n""")
 def path_guard(spark, sf_dir):
-    return frame(spark, "fx_paths").select("path", paths.kind_of_file(F.col("path")).alias("kind"), paths.is_sensitive(F.col("path")).alias("sensitive"))
+    return frame(spark, "fx_paths", sf_dir).select("path", paths.kind_of_file(F.col("path")).alias("kind"), paths.is_sensitive(F.col("path")).alias("sensitive"))
 
 
 @query("file_kinds", views.BASE_SQL + f" SELECT {paths.kind_of_file_sql('path')} AS kind, {paths.suffix_sql('path')} AS suffix, count(*) AS files FROM src GROUP BY 1, 2")
@@ -192,11 +194,26 @@ def image_targets(spark, sf_dir):
     return t.withColumn("unsafe", text.unsafe_target(F.col("target")))
 
 
-@query("diagram_edges")
+@query("diagram_edges", TEXTS_SQL + f""", d AS (SELECT source_id, array_to_string(regexp_extract_all(content, '(?is)```\\s*mermaid\\s*\\n(.*?)```', 1), chr(10)) AS d FROM texts),
+e AS (SELECT source_id, unnest(range(len(a))) AS i, a, la, b, lb FROM (SELECT source_id, {', '.join(f"regexp_extract_all(d, '{text.MERMAID_EDGE}', {n}) AS {c}" for n, c in ((1, 'a'), (2, 'la'), (3, 'b'), (4, 'lb')))} FROM d WHERE d <> ''))
+SELECT source_id, CAST(i AS INTEGER) AS ordinal, a[i + 1] AS from_node, nullif(la[i + 1], '') AS from_label, b[i + 1] AS to_node, nullif(lb[i + 1], '') AS to_label FROM e WHERE i < 30""")
 def diagram_edges(spark, sf_dir):
-    found = texts(spark, sf_dir).where(F.col("content").rlike(r"(?i)```\s*mermaid"))
-    pairs = F.arrays_zip(F.regexp_extract_all("content", F.lit(text.MERMAID_EDGE), F.lit(1)).alias("a"), F.regexp_extract_all("content", F.lit(text.MERMAID_EDGE), F.lit(3)).alias("b"))
-    return found.select("source_id", F.explode(pairs).alias("e")).select("source_id", F.col("e.a").alias("from_node"), F.col("e.b").alias("to_node"))
+    return visuals.diagram_edges(texts(spark, sf_dir))
+
+
+_SYMBOL_SQL = f"regexp_extract_all(content, '{text.SYMBOL}', 1)"
+
+
+@query("searchable_metadata", views.BASE_SQL + f""", i AS (SELECT *, 'KEY-' || doc_id AS issue_key, list_filter(list_distinct_ordered, lambda x: x <> '') AS symbols FROM (SELECT *, list_transform(list_filter(list_zip(ss, range(len(ss))), lambda z: list_position(ss, z[1]) = z[2] + 1), lambda z: z[1]) AS list_distinct_ordered FROM (SELECT *, {_SYMBOL_SQL} AS ss FROM src))),
+w AS (SELECT *, concat_ws(chr(10), title, source_type, path, scope, 'main', issue_key, array_to_string(symbols, chr(10)), CASE WHEN provider = 'JIRA' THEN '' ELSE content END) AS joined FROM i),
+k AS (SELECT source_id, j, ks[j] AS kw, row_number() OVER (PARTITION BY source_id, lower(ks[j]) ORDER BY j) AS nth FROM (SELECT source_id, ks, unnest(range(1, len(ks) + 1)) AS j FROM (SELECT source_id, regexp_extract_all(joined, '[A-Za-z0-9][A-Za-z0-9_./:#-]{{2,}}') AS ks FROM w WHERE provider <> 'JIRA'))),
+f AS (SELECT source_id, string_agg(kw, ' ' ORDER BY j) AS kws FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY j) AS place FROM k WHERE nth = 1) WHERE place <= 32 GROUP BY source_id)
+SELECT source_id, scope AS repository, 'main' AS branch, path, list_extract(string_split(path, '/'), -1) AS file_name, issue_key, '' AS project_key, '' AS symbol, array_to_string(symbols, ',') AS symbols, coalesce(kws, '') AS important_kwd,
+ source_type AS chunk_kind, CAST(len(content) AS BIGINT) AS chunk_char_count, CAST(len(regexp_extract_all(content, '\\S+')) AS BIGINT) AS chunk_token_count FROM w LEFT JOIN f USING (source_id)""")
+def searchable_metadata(spark, sf_dir):
+    s = views.source_documents(spark, sf_dir).withColumns({"repository": F.col("scope"), "branch": F.lit("main"), "issue_key": F.concat(F.lit("KEY-"), "doc_id"), "kind": F.col("source_type")})
+    out = text.with_searchable(s).select("source_id", "searchable.*")
+    return out.withColumns({"symbols": F.concat_ws(",", "symbols"), "important_kwd": F.concat_ws(" ", "important_kwd")})
 
 
 @query("glossary_terms", TEXTS_SQL + f""", l AS (SELECT source_id, unnest(regexp_split_to_array(content, {NEWLINE_SQL})) AS line FROM texts)

@@ -36,7 +36,7 @@ def test_entry_imports_without_them(monkeypatch):
 
     def without(name, globals=None, locals=None, fromlist=(), level=0):
         if name.startswith("docweir.llm") or name == "corpus_pipeline":
-            raise ImportError(name)
+            raise ModuleNotFoundError(name, name=name)
         return real(name, globals, locals, fromlist, level)
 
     monkeypatch.setattr(builtins, "__import__", without)

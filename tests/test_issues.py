@@ -23,38 +23,67 @@ ISSUE = {
 }
 
 
-def test_sections():
-    found = docs.sections(ISSUE, {"customfield_2": "Shade"})
-    assert [(k, w) for k, w, _ in found] == [
+def given(spark, *issues):
+    return spark.createDataFrame([(json.dumps(i) if isinstance(i, dict) else i,) for i in issues], "raw string")
+
+
+def test_sections(spark):
+    found = docs.sections(given(spark, ISSUE), {"customfield_2": "Shade"}).orderBy("pos", "part").collect()
+    assert [(r.kind, r.locator) for r in found] == [
         ("CURRENT", "current"), ("DESCRIPTION", "description:intro"), ("ACCEPTANCE", "description:1"), ("GLOSSARY", "glossary:0"), ("RELATIONSHIP", "parent"), ("RELATIONSHIP", "link:l1"),
         ("CUSTOM_FIELD", "customfield_2"), ("COMMENT", "comment:c1"), ("WORKLOG", "worklog:w1"),
     ]
-    texts = {w: t for _, w, t in found}
-    state = json.loads(texts["current"].split("\n", 2)[2])
-    assert state == {"status": {"id": "3", "name": "Open", "statusCategory": {"key": "new"}}, "assignee": {"displayName": "Ada"}, "labels": ["a"], "components": [{"id": "1", "name": "web"}]}
+    texts, facts = {r.locator: r.text for r in found}, {r.locator: r.facts for r in found}
+    title, label, state = texts["current"].split("\n", 2)
+    assert (title, label) == ("SHOP-1: Broken", "Current issue fields:")
+    assert json.loads(state) == {"status": {"id": "3", "name": "Open", "statusCategory": {"key": "new"}}, "assignee": {"displayName": "Ada"}, "labels": ["a"], "components": [{"id": "1", "name": "web"}]}
     assert texts["customfield_2"] == 'Shade (customfield_2): {"a":2,"b":1}' and "hidden" not in str(found)
-
-
-def test_version_follows_content():
-    one = docs.version(ISSUE, docs.sections(ISSUE, {}))
+    assert texts["description:1"].startswith("## Acceptance") and texts["glossary:0"] == "Folio means a record of a stay" and facts["glossary:0"] == {"glossary_term": "Folio"}
+    assert json.loads(texts["parent"]) == {"relationship": "parent", "issue_id": "9", "issue_key": "SHOP-9", "summary": "Epic"}
+    assert json.loads(texts["link:l1"]) == ISSUE["fields"]["issuelinks"][0] == json.loads(facts["link:l1"]["original_relationship"])
+    assert texts["comment:c1"].startswith("COMMENT c1; author: Bo; created: 2024; updated: \nseen seen") and facts["comment:c1"]["event_author"] == "Bo"
+    assert texts["worklog:w1"] == 'WORKLOG w1; author: ; created: 2024; updated: \n\n{"started":"2024","timeSpent":"2h","timeSpentSeconds":null}'
+
+
+def test_relations_of_every_shape(spark):
+    fields = {
+        "subtasks": [{"key": "A-2"}, {"id": "7", "self": "u", "fields": {"status": {"name": "Done"}, "issuetype": {"name": "Task"}}}],
+        "issuelinks": [{"id": "1", "type": {"name": "Blocks", "inward": "is blocked by"}, "inwardIssue": {"key": "A-3"}, "outwardIssue": {"key": "A-4"}}],
+    }
+    found = {r.locator: json.loads(r.text) for r in docs.sections(given(spark, {"key": "A-1", "fields": fields})).where("kind = 'RELATIONSHIP'").collect()}
+    assert found == {
+        "subtask:A-2": {"relationship": "subtask", "issue_key": "A-2"}, "subtask:7": {"relationship": "subtask", "issue_id": "7", "source_url": "u", "related_issue_status": "Done", "issue_type": "Task"},
+        "link:1:inward": {"relationship": "is blocked by", "direction": "inward", "link_id": "1", "issue_key": "A-3"}, "link:1:outward": {"relationship": "Blocks", "direction": "outward", "link_id": "1", "issue_key": "A-4"},
+    }
+
+
+def test_version_follows_content(spark):
+    version = lambda issue: docs.issue_documents(docs.sections(given(spark, issue))).first()
+    one = version(ISSUE)
+    assert one.version.startswith("jira-v2:") and one.failure is None and one.content.startswith("## CURRENT [current]\nSHOP-1: Broken")
     other = json.loads(json.dumps(ISSUE))
-    assert docs.version(other, docs.sections(other, {})) == one
     other["comments"][1]["body"] = "still hidden"
-    assert docs.version(other, docs.sections(other, {})) == one
+    assert version(other).version == one.version
     other["fields"]["labels"] = ["b"]
-    assert docs.version(other, docs.sections(other, {})) != one
+    assert version(other).version != one.version
 
 
 def test_windows_and_failures(spark):
     large = json.loads(json.dumps(ISSUE))
     large["fields"]["labels"] = ["x" * 70_000]
-    rows = spark.createDataFrame([(json.dumps(ISSUE),), ("not json",), (None,), (json.dumps(large),), (json.dumps({"key": "A-1", "fields": {"subtasks": [{}]}}),)], "raw string")
+    rows = given(spark, ISSUE, "not json", None, large, {"key": "A-1", "fields": {"subtasks": [{}]}}, {"fields": {}}, {"key": "A-2"}, {"key": "A-3", "fields": {}, "comments": [{"body": "x"}]})
     found = docs.issue_windows(rows).collect()
-    good = [r for r in found if r.failure is None]
+    good = sorted((r for r in found if r.failure is None), key=lambda r: r.ordinal)
     assert {r.issue_key for r in good} == {"SHOP-1"} and [r.ordinal for r in good] == list(range(len(good)))
     comments = [r for r in good if r.kind == "COMMENT"]
-    assert len(comments) > 2 and all(len(r.text.split()) <= docs.SHORT for r in comments)
-    assert sorted(r.failure.split(":")[0] for r in found if r.failure) == ["JSONDecodeError", "JSONDecodeError", "ValueError", "ValueError"]
+    assert len(comments) > 2 and all(len(r.text.split()) <= docs.SHORT for r in comments) and [r.locator for r in comments][:2] == ["comment:c1:1", "comment:c1:2"]
+    assert sorted(r.failure for r in found if r.failure) == ["NOT_JSON", "NOT_JSON", "NO_FIELDS", "NO_IDENTITY", "NO_IDENTITY", "NO_KEY", "STATE_TOO_LARGE"]
+    assert docs.issue_windows(rows.limit(0)).count() == 0
+
+
+def test_metadata_of_issues(spark):
+    row = docs.issue_metadata(given(spark, ISSUE, "junk")).collect()
+    assert len(row) == 1 and (row[0].issue_key, row[0].status, row[0].status_category_key, row[0].assignee, row[0].labels, row[0].parent_issue_key, row[0].components, row[0].priority) == ("SHOP-1", "Open", "new", "Ada", ["a"], "SHOP-9", ["web"], "")
 
 
 def test_settings_are_refused_together():

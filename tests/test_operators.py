@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docweir.functions import formats, paths, richtext, security, text
-from docweir.operators import access, audits, chunkers, generation, routing, sections
+from docweir.operators import access, assembly, audits, chunkers, generation, issues, routing, sections, visuals
 from docweir.plans.fixtures import frame
 from docweir.sources import local, paged, views
 from docweir.sources.tables import Conflict, StateTable
@@ -213,12 +213,23 @@ def test_query_text():
 
 
 def test_local_tree(spark, tmp_path):
-    files = {"a.md": b"# A", "src/b.py": b"x = 1", "node_modules/c.py": b"x", ".env": b"S=1", "skip/d.md": b"no", "blank.md": b"  \n", "bad.txt": b"\xff\xfe", "big.txt": b"y" * 50, "pic.png": b"p"}
+    files = {"a.md": b"# A", "src/b.py": b"x = 1", "c.tf": b"y", "node_modules/c.py": b"x", "out/e.py": b"x", ".env": b"S=1", "skip/d.py": b"no", "blank.py": b"  \n", "bad.sql": b"\xff\xfe", "big.sql": b"y" * 50, "pic.png": b"p", "docs/f.RST": b"r"}
     for name, body in files.items():
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_bytes(body)
     found = local.scan_tree(spark, str(tmp_path), excludes=("skip/**",), most_bytes=40).collect()
-    assert {r.path for r in found} == {"a.md", "src/b.py"} and all(r.version == r.content_hash for r in found)
+    assert {r.path for r in found} == {"c.tf", "src/b.py"} and all(r.version == r.content_hash for r in found)
+    assert {(r.suffix, r.files) for r in local.passed_over(spark, str(tmp_path)).collect()} == {(".md", 1), (".rst", 1)}
+
+
+def test_repository_trees(spark):
+    schema = "path string, type string, size bigint, truncated boolean"
+    rows = [("src/a.py", "blob", 10, False), ("src", "tree", None, False), ("src/big.py", "blob", 2_000_000, False), ("secrets/b.py", "blob", 1, False), ("img/c.png", "blob", 1, False), ("d.bin", "blob", 1, False), ("e.py", "blob", 1, False), ("docs/f.py", "blob", 1, False)]
+    tree = spark.createDataFrame(rows, schema)
+    assert {(r.path, r.kind) for r in local.repository_files(tree, exclude=("docs/**",)).collect()} == {("src/a.py", "text"), ("img/c.png", "visual"), ("e.py", "text")}
+    assert {r.path for r in local.repository_files(tree, include=("**/*.py",)).collect()} == {"src/a.py", "e.py", "docs/f.py"}
+    with pytest.raises(local.Truncated):
+        local.repository_files(tree.unionByName(spark.createDataFrame([("x", "blob", 1, True)], schema)))
 
 
 def listing(folder, name, *pages):
@@ -247,10 +258,138 @@ def test_paged_source_keeps_its_promises(tmp_path, pages, message):
         list(reader.read(reader.partitions()[0]))
 
 
+def test_cursor_paging(spark, tmp_path):
+    (tmp_path / "pages").mkdir()
+    first = {"results": [{"id": "1", "version": {"createdAt": "2024-01-01"}}, "odd"], "_links": {"next": "/wiki/api/v2/pages?limit=2&cursor=abc"}}
+    (tmp_path / "pages" / "first.json").write_text(json.dumps(first))
+    (tmp_path / "pages" / "abc.json").write_text(json.dumps({"results": [{"id": "2", "createdAt": "2024-02-01"}], "_links": {}}))
+    paged.register(spark)
+    rows = spark.read.format("paged").option("paging", "cursor").load(f"file://{tmp_path}")
+    assert {(r.id, r.updated) for r in rows.collect()} == {("1", "2024-01-01"), ("2", "2024-02-01")}
+    for body, message in ((first, "cursor abc came twice"), ({"results": 1}, "isn't one"), ({"results": [{"id": "1"}]}, "1 came twice")):
+        (tmp_path / "pages" / "abc.json").write_text(json.dumps(body | ({"results": []} if body is first else {})))
+        reader = paged.CursorReader(str(tmp_path))
+        with pytest.raises(ValueError, match=message):
+            list(reader.read(reader.partitions()[0]))
+
+
+def test_wiki_attachments(spark):
+    items = [
+        {"id": "1", "title": "a.pdf", "fileSize": 10, "mediaType": "application/pdf", "downloadLink": "/download/a.pdf", "pageId": "7", "version": {"number": 3}}, {"id": "2", "extensions": {"fileSize": 99_000_000}, "_links": {"download": "/wiki/x"}},
+        {"id": "3", "_links": {"download": "/wiki/y"}, "container": {"id": "8"}}, {"id": "4", "fileSize": 1},
+    ]
+    found = issues.wiki_attachments(spark.createDataFrame([("l", json.dumps(i)) for i in items], "listing string, item string"), "https://s")
+    assert [(r.source_id, r.title, r.version, r.page_id, r.download, r.outcome) for r in found.collect()] == [
+        ("attachment:1", "a.pdf", "3", "7", "https://s/wiki/download/a.pdf", "read"), ("attachment:2", "2", "2", "", "https://s/wiki/x", "too large"), ("attachment:3", "3", "3", "8", "https://s/wiki/y", "read"), ("attachment:4", "4", "4", "", None, "no link"),
+    ]
+    bodies = spark.createDataFrame([("attachment:1", bytearray(b"x")), ("attachment:3", bytearray(b"y" * 50))], "source_id string, content_bytes binary")
+    assert [(r.source_id, r.size) for r in issues.downloaded(found, bodies, most=20).collect()] == [("attachment:1", 10)]
+
+
+def test_converted_visuals(spark):
+    rows = [("d", 0, True, None, 1, 200, 200), ("d", 1, False, "Company logo", 1, 500, 500), ("d", 2, False, "flow chart", 1, 500, 500), ("d", 3, False, "bar chart", 900, 500, 500), ("d", 4, False, "photo", None, 10, 900), ("d", 5, False, None, 2, 300, 300)]
+    found = visuals.converted_visuals(spark.createDataFrame(rows, "source_id string, ordinal int, is_table boolean, label string, page int, width int, height int"), most=2).orderBy("ordinal").collect()
+    assert [(r.asset_type, r.outcome) for r in found] == [("table", "KEPT"), ("logo", "DECORATIVE"), ("architecture_diagram", "KEPT"), ("chart", "VISUAL_PAGE_LIMIT_REACHED"), ("image", "TOO_SMALL"), ("image", "VISUAL_ASSET_LIMIT_REACHED")]
+
+
+def test_first_tables(spark):
+    lines = sections.document_lines(spark.createDataFrame([("d", "x\n| a | b |\n| 1 | 2 |\ny\n| c | d |\n| 3 | 4 |")], "source_id string, content string"))
+    assert [tuple(r) for r in visuals.first_tables(lines).collect()] == [("d", "| a | b |\n| 1 | 2 |")]
+
+
 def words(parts):
     return [w for p in parts for w in p.split()]
 
 
+def test_no_window_ends_with_a_heading():
+    body = "\n".join(f"## Heading number {i}\n\n" + "word " * (7 + i % 5) for i in range(60))
+    for budget in (20, 33, 50):
+        windows = chunkers.prose_windows(body, budget, 0)
+        assert words(windows) == body.split() and not any(w.rstrip().splitlines()[-1].startswith("#") for w in windows)
+
+
+def test_no_chunk_is_over_the_limit(spark):
+    count = lambda text: 2 * len(text.split()) + len(text) // 50
+    body = "word " * 5000 + "\n| a | b |\n|---|---|\n| " + "cell " * 900 + "|\n"
+    for kind in ("log", "markdown", "csv", "code"):
+        found = chunkers.chunks_of("T", kind, "narrative", body, 300, count)
+        assert all(count(b) <= 300 for b, *_ in found) and set(words(b for b, *_ in found)) >= {"word", "cell"} and words(b for b, *_ in found).count("cell") == 900
+    with pytest.raises(chunkers.Indivisible):
+        chunkers.fitting("x" * 999, 5, len)
+    assert chunkers.fitting("aa bb cc", 5, len) == ["aa bb", "cc"]
+    docs = spark.createDataFrame([("a", "t", "prose", "narrative", "x" * 999 + " y"), ("b", "t", "prose", "narrative", " \n"), ("c", "t", "prose", "narrative", "fine")], "source_id string, title string, kind string, category string, content string")
+    rows = {r.source_id: (r.content, r.failure) for r in chunkers.chunk_documents(docs, 20, lambda: len).collect()}
+    assert rows == {"a": (None, "Indivisible: a word of 999 characters is over the limit of 20 tokens"), "b": (None, "EMPTY_BODY"), "c": ("fine", None)}
+
+
+def test_long_flows_repeat_their_heading(spark):
+    long = "## [FLOW-1] In\nintro " + "word " * 300 + "\n### First\n" + "more " * 300 + "\n### Second\n1. go"
+    found = list(chunkers.workflow("T", long))
+    assert all(t.startswith("## [FLOW-1] In\n") for t, *_ in found) and [(p[-1], k) for _, p, k, _ in found] == [("[FLOW-1] In", "FLOW-1:part:1"), ("First", "FLOW-1:part:2"), ("Second", "FLOW-1:part:3")]
+    steps = "## [FLOW-1] Long\n" + "\n".join(f"{i}. " + "step " * 30 for i in range(40))
+    docs = spark.createDataFrame([("a", "t", "markdown", "workflow", steps), ("b", "t", "markdown", "workflow", long)], "source_id string, title string, kind string, category string, content string")
+    rows = chunkers.chunk_documents(docs).collect()
+    assert [r.failure for r in rows if r.source_id == "a"] == ["TooLong: the steps of FLOW-1 are over the limit"] and sum(r.source_id == "b" for r in rows) == 3
+
+
+def test_assembled_chunks(spark):
+    body = "# One\nsame text\n# Two\nsame text\n# Three\nimport POS_LOGIN_KEY"
+    docs = spark.createDataFrame([("p", "GITHUB", "s", "v", "c1", "Title", "src/a.py", "repo"), ("p", "JIRA", "j", "v", "c1", "KEY-1", "", "")], "project_id string, provider string, source_id string, version string, chunker_version string, title string, reference string, repository string")
+    given = docs.select("source_id", "title", F.lit("markdown").alias("kind"), F.lit("narrative").alias("category"), F.lit(body).alias("content"))
+    rows = assembly.assembled(chunkers.chunk_documents(given), docs).orderBy("source_id", "ordinal").collect()
+    assert len(rows) == 6 and len({r.chunk_id for r in rows}) == 6 and len({r.structure_hash for r in rows if r.source_id == "s"}) == 3
+    github, jira = [r for r in rows if r.source_id == "s"], [r for r in rows if r.source_id == "j"]
+    assert github[2].embedding_text.startswith("passage: Title > Three\nLOCATION: section:0\nREPOSITORY: repo\n") and github[2].embedding_text.endswith(github[2].body)
+    assert github[2].searchable.chunk_token_count == 4 and "POS_LOGIN_KEY" in github[2].searchable.important_kwd and jira[2].searchable.important_kwd == []
+    twice = chunkers.chunk_documents(given.withColumn("content", F.lit("# One\nx\n# One\nx")))
+    assert assembly.assembled(twice, docs).count() == 2  # equal bodies of a source are one
+
+
+def test_merged_maps(spark):
+    of = lambda **v: F.create_map(*(x for k, c in v.items() for x in (F.lit(k), F.lit(c).cast("string"))))
+    row = spark.range(1).select(assembly.merged(of(a="1", b="2", c=None), of(b="3", c=None, d=None), F.lit(None).cast("map<string,string>"), of(a="9")).alias("m")).first()
+    assert row.m == {"b": "3", "a": "9"}
+
+
+@pytest.mark.parametrize("value, expected", [("", True), ("import a\n// b", True), ("class A", True), ("fun main() { println(first + second + third) }", False), ("x = 1\ny = 2", True), ("value = " + "x" * 60, False)])
+def test_low_information_is_one_rule(spark, value, expected):
+    assert spark.range(1).select(text.low_information_code(F.lit(value))).first()[0] is expected and chunkers._says_little(value) is expected
+
+
+def test_citations_in_columns_and_in_python_agree(spark):
+    sha = "0a" * 20
+    texts = [f"https://github.com/a/b/blob/{sha}/src/Long/Path/To/File9.kt#L1-L2 x", f"(https://github.com/a/b/blob/{sha}/aB3dE5fG7hI9jK1lM2nO4pQ6rS8tU0vW3xY5zA7bC9)", f"https://github.com/a/b/blob/{sha}/src/../Long/Path", f"https://github.com/a/b/blob/{sha}/x/y?z", "plain", f"two https://github.com/a/b/blob/{sha}/x/y https://github.com/a/b/blob/{sha}/z/w"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", security.apart(F.col("t")).alias("apart"), security.high_entropy(F.col("t")).alias("dense")).collect()
+    assert all(r.apart == richtext.apart(r.t) and r.dense == richtext.dense(r.t) for r in rows) and [r.dense for r in rows][:2] == [False, True]
+
+
+def test_the_whole_quarantine_chain(spark):
+    png, gif = b"\x89PNG\r\n\x1a\nx", b"GIF8"
+    schema = "provider string, path string, content string, content_bytes binary, visuals array<binary>, unverified boolean"
+    rows = [
+        ("JIRA", "a.txt", "", b"virus", None, False), ("JIRA", "b.md", "x", None, [png, gif], False), ("JIRA", "c.md", "x", None, [png], False), ("JIRA", "d.md", "x", None, [png * 10], False), ("JIRA", "e.md", "x", None, [b"virus"], False),
+        ("JIRA", "f.md", "x", None, None, True), ("GITHUB", "g.md", "x", None, None, True), ("JIRA", "h.docx", "", b"PK\x03\x04junk", None, False), ("JIRA", "i.md", "api_key = 'abcdefghijklmnop1234'", None, None, True),
+    ]
+    given = spark.createDataFrame([tuple(bytearray(v) if isinstance(v, bytes) else [bytearray(x) for x in v] if isinstance(v, list) else v for v in r) for r in rows], schema)
+    found = {r.path: r.reason_code for r in security.quarantine(given, most_bytes=50, scanner=lambda b: b == b"virus").collect()}
+    assert found == {"a.txt": "MALWARE_DETECTED", "b.md": "MIME_MISMATCH", "c.md": None, "d.md": "FILE_TOO_LARGE", "e.md": "MALWARE_DETECTED", "f.md": "UNVERIFIED_SOURCE_REFERENCE", "g.md": None, "h.docx": "MIME_MISMATCH", "i.md": "POTENTIAL_SECRET"}
+
+
+def test_contexts_refuse_what_breaks_frames(spark):
+    s = spark.createDataFrame([("r\u0001", "b")], "repository string, branch string").withColumn("content", F.lit(""))
+    with pytest.raises(Exception, match="control characters"):
+        text.with_searchable(s).select(text.framed_context(F.col("searchable"))).collect()
+    large = spark.createDataFrame([("r" * 70_000, "b")], "repository string, branch string").withColumn("content", F.lit(""))
+    with pytest.raises(Exception, match="too large"):
+        text.with_searchable(large).select(text.framed_context(F.col("searchable"))).collect()
+
+
+def test_links_of_listings(spark):
+    one = spark.createDataFrame([("/x", "/w"), ("y", ""), ("http://z", None), ("", "/v"), (None, None)], "link string, web string")
+    rows = one.select(text.next_link(F.lit("https://o"), F.col("link")), text.page_url(F.lit("https://s/"), F.col("web"), F.lit("5"))).collect()
+    assert [tuple(r) for r in rows] == [("https://o/x", "https://s/wiki/w"), ("https://o/y", "https://s/wiki/pages/viewpage.action?pageId=5"), ("http://z", "https://s/wiki/pages/viewpage.action?pageId=5"), (None, "https://s/wiki/v"), (None, "https://s/wiki/pages/viewpage.action?pageId=5")]
+
+
 def test_prose_windows_lose_nothing():
     body = ". ".join(" ".join(f"w{i}x{j}" for j in range(17)) for i in range(120))
     windows = chunkers.prose_windows(body, 100, 20)
@@ -331,19 +470,23 @@ def test_what_stands_before_the_first_flow_is_kept():
 def test_every_word_of_the_documents_is_in_a_chunk(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select(F.col("doc_id").cast("string").alias("source_id"), F.lit("t").alias("title"), F.lit("prose").alias("kind"), F.lit("narrative").alias("category"), F.col("text").alias("content"))
     found = {}
-    for r in chunkers.chunk_documents(docs).collect():
+    for r in chunkers.chunk_documents(docs).where("failure is null").collect():
         found.setdefault(r.source_id, set()).update(r.content.split())
-    assert all(found.get(r.source_id, set()) == set(r.content.split()) for r in docs.collect())
+    assert all(found.get(r.source_id, set()) == set((r.content or "").split()) for r in docs.collect())
 
 
 def test_rich_text():
     node = {"type": "doc", "content": [{"type": "heading", "attrs": {"level": 9}, "content": [{"type": "text", "text": " T "}]}, {"type": "mention", "attrs": {"id": "u1"}}, {"type": "hardBreak"}]}
     assert richtext.plain(node) == "###### T\n\nu1\n" and richtext.plain(None) == ""
-    deep = {"type": "doc"}
-    for _ in range(richtext.DEPTH + 3):
+    deep = {"type": "listItem", "content": [{"type": "text", "text": "x"}]}
+    for _ in range(3000):
         deep = {"type": "doc", "content": [deep]}
-    with pytest.raises(richtext.TooDeep):
-        richtext.plain(deep)
+    assert richtext.plain(deep) == "- x\n" and richtext.blocks(deep) == ["- x"] and richtext.flat(deep) == "x"
+    linked = {"type": "text", "text": "here", "marks": [{"type": "strong"}, {"type": "link", "attrs": {"href": "u"}}]}
+    cells = [{"type": "tableCell", "content": [{"type": "paragraph", "content": [linked]}]}, {"type": "tableHeader", "content": "a\nb"}]
+    table = {"type": "table", "content": [{"type": "tableRow", "content": cells}, {"type": "codeBlock", "attrs": {"language": "kt"}, "content": [{"type": "text", "text": " v "}]}]}
+    assert richtext.plain(table) == "[here](u) | a b |\n\n```kt\nv\n```\n\n" and richtext.flat([table, "y"]) == "here v y"
+    assert richtext.blocks({"type": "table", "content": [{"type": "tableRow", "content": cells[:1] + [{"type": "tableCell", "content": [linked, linked]}]}]}) == ["here | here here"]
     assert richtext.canonical({"b": 1, "a": "é"}) == '{"a":"é","b":1}'
 
 
