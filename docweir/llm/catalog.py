@@ -21,4 +21,5 @@ SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op5_mixing": mixing.SQL,
     "op7_near_dedup": near_dedup.SQL,
+    "op9_sharding": sharding.SQL,
 }

@@ -79,3 +79,14 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_by_bytes(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
+
+#: CRC-32 byte by byte, by a table made of its polynomial; sizes are summed and cut by window functions.
+SQL = """
+WITH t AS (SELECT list(c ORDER BY i) AS tb FROM (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), list_transform(range(8), lambda k: k)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS i))),
+h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b AS (SELECT doc_id, CAST(len(x) // 2 + 8 AS BIGINT) AS size, list_transform(range(1, len(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT)) AS bs FROM h),
+c AS (SELECT doc_id, size, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bs), lambda c, v: xor(c >> 8, tb[(xor(c, v) & 255) + 1])), 4294967295) AS BIGINT) AS text_crc32 FROM b, t),
+p AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) AS ends, sum(size) OVER () AS total FROM c),
+s AS (SELECT *, CAST((2 * ends - size) * 24 // (2 * total) AS INTEGER) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""

@@ -134,6 +134,14 @@ def test_mixing_equals_sql_over_whole_tables(spark, small):
     assert sorted(map(tuple, got)) == sorted(want) and sum(r.taken for r in got) > 0
 
 
+def test_shards_equal_sql_over_whole_tables(spark, small):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    columns = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({sharding.SQL})").fetchall()
+    assert sorted(map(tuple, sharding.op9_sharding(spark, small).select(*columns).collect())) == sorted(want)
+
+
 def test_cuts_hold_for_any_size():
     total, shards = 10**14, 100_000
     cuts = sharding.cut_points(total, shards)
