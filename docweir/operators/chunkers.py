@@ -15,6 +15,7 @@ from html.parser import HTMLParser
 from itertools import chain, groupby
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from docweir.functions.text import CODE_WORD, FEW_CHARACTERS, FEW_WORDS, FRAMING
@@ -47,14 +48,15 @@ def prose_windows(text: str, budget: int = PROSE, overlap: int = OVERLAP) -> lis
         return [text.strip()] if marks else []
     breaks = [0, *(_break(text, a[1], b[0]) for a, b in zip(marks, marks[1:]))]
     starts = [a for a, _ in marks]
-    heads = [(bisect_right(starts, m.start() - 1), bisect_right(starts, m.end() - 1)) for m in _HEADING_LINE.finditer(text)]
+    heads = [(bisect_right(starts, m.start() - 1), bisect_right(starts, m.end() - 1)) for m in _HEADING_LINE.finditer(text)] if "#" in text else []
     under = {k: first for first, last in heads for k in range(first + 1, last + 1)}  # cuts in or just behind a heading, and where it begins
     overlap = min(overlap, budget // 4)
     out, at = [], 0
     while True:
         end = min(at + budget, len(marks))
         if end < len(marks):
-            best = max((k for k in range(at + max(overlap + 1, budget // 2) + 1, end + 1) if k not in under), key=lambda k: (breaks[k], k), default=end)
+            places = range(at + max(overlap + 1, budget // 2) + 1, end + 1)
+            best = max([k for k in places if k not in under] if under else places, key=lambda k: (breaks[k], k), default=end)
             end = best if breaks[best] else end
             first = end
             while first in under:
@@ -484,7 +486,7 @@ def _emit(rows: list[tuple]) -> pa.RecordBatch:
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of bounded rows and text; a longer text is a part of its own."""
-    sizes = [len(x.as_buffer()) if x.is_valid else 0 for x in batch.column(batch.num_columns - 1)]
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
     at = size = 0
     for i, n in enumerate(sizes):
         if i > at and (size + n > _CHARACTERS or i - at == _ROWS):
@@ -495,11 +497,18 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at)
 
 
-def chunks_of(title: str, kind: str, category: str, text: str, limit: int = LIMIT, count: Callable[[str], int] = words) -> list[Element]:
-    """The chunks of a document, none of more than limit tokens by count. A blank one is an error, as it would pass for indexed."""
+def chunks_of(title: str, kind: str, category: str, text: str, limit: int = LIMIT, count: Callable[[str], int] = words) -> list[tuple[str, list[str], str, str, int]]:
+    """The chunks of a document and their tokens by count, none of more than limit. A blank one is an error, as it would pass for indexed."""
     if not text.strip():
         raise ValueError("EMPTY_BODY")
-    return [(window, path, locator, profile) for body, path, locator, profile in route(title, kind, category, text) if body.strip() for window in fitting(body, limit, count)]
+    out = []
+    for body, path, locator, profile in route(title, kind, category, text):
+        tokens = count(body)
+        if tokens > limit:
+            out += [(window, path, locator, profile, count(window)) for window in fitting(body, limit, count)]
+        elif body.strip():
+            out.append((body, path, locator, profile, tokens))
+    return out
 
 
 def chunk_documents(docs: DataFrame, limit: int = LIMIT, counter: Callable[[], Callable[[str], int]] | None = None) -> DataFrame:
@@ -521,7 +530,7 @@ def chunk_documents(docs: DataFrame, limit: int = LIMIT, counter: Callable[[], C
                     except ValueError as error:
                         rows.append((source, 0, None, None, None, None, None, str(error) if str(error) == "EMPTY_BODY" else f"{type(error).__name__}: {error}"[:200]))
                         continue
-                    rows += [(source, n, " > ".join(path), locator, profile, count(body), body, None) for n, (body, path, locator, profile) in enumerate(found)]
+                    rows += [(source, n, " > ".join(path), locator, profile, tokens, body, None) for n, (body, path, locator, profile, tokens) in enumerate(found)]
                 yield _emit(rows)
 
     return docs.select("source_id", "title", "kind", "category", "content").mapInArrow(run, _SCHEMA)
