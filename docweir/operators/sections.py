@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -120,22 +121,27 @@ def terms(lines: DataFrame, key: str = "source_id") -> DataFrame:
     return lines.where(F.col("line").rlike(TERM_LINE) & ~F.col("line").rlike(HEADING)).select(key, "pos", F.trim(F.regexp_extract("line", TERM_LINE, 1)).alias("term"))
 
 
+def _windows(counts: list[int], budget: int) -> list[dict[str, int]]:
+    done, lines, tokens = [], 0, 0
+    for n in counts:
+        if lines and tokens + n > budget:
+            done.append({"lines": lines, "tokens": tokens})
+            lines = tokens = 0
+        lines, tokens = lines + 1, tokens + n
+    return [*done, {"lines": lines, "tokens": tokens}]
+
+
 def packed_lines(docs: DataFrame, budget: int, key: str = "source_id", text: str = "content") -> DataFrame:
     """(key, window, lines, tokens): whole lines packed in turn into windows of at most budget words; a longer line stands alone.
 
-    The accumulator starts anew with each window, which no frame can say, so it is a fold over the
-    document's lines. It keeps counts alone; no line is copied.
+    The accumulator starts anew with each window, which no frame can say. A fold by `aggregate` copies
+    its finished windows at each line, so the lines' counts, and no text, are folded in Arrow batches.
     """
     counts = F.transform(formats.lines(F.col(text)), lambda x: F.regexp_count(x, F.lit(r"\S+")).cast("long"))
-    shape = "array<struct<lines:bigint,tokens:bigint>>"
-    start = F.struct(F.array().cast(shape).alias("done"), F.lit(0).cast("long").alias("lines"), F.lit(0).cast("long").alias("tokens"))
 
-    def add(acc: Column, n: Column) -> Column:
-        closed = F.array_append(acc["done"], F.struct(acc["lines"].alias("lines"), acc["tokens"].alias("tokens")))
-        over = (acc["lines"] > 0) & (acc["tokens"] + n > budget)
-        fresh = F.struct(closed.alias("done"), F.lit(1).cast("long").alias("lines"), n.alias("tokens"))
-        grown = F.struct(acc["done"].alias("done"), (acc["lines"] + 1).alias("lines"), (acc["tokens"] + n).alias("tokens"))
-        return F.when(over, fresh).otherwise(grown)
+    @F.pandas_udf("array<struct<lines:bigint,tokens:bigint>>")
+    def packed(series: pd.Series) -> pd.Series:
+        return series.map(lambda found: None if found is None else _windows(found.tolist(), budget))
 
-    windows = F.aggregate(counts, start, add, lambda acc: F.array_append(acc["done"], F.struct(acc["lines"].alias("lines"), acc["tokens"].alias("tokens"))))
+    windows = packed(counts)
     return docs.select(key, F.posexplode(windows).alias("window", "w")).select(key, "window", F.col("w.lines").alias("lines"), F.col("w.tokens").alias("tokens"))

@@ -550,6 +550,12 @@ def test_packing_lines_by_hand(spark):
     assert [(r.lines, r.tokens) for r in found] == [(2, 4), (1, 5), (1, 1)]
 
 
+def test_packing_many_lines_nulls_and_empty_texts(spark):
+    docs = spark.sql("SELECT 'd' AS source_id, repeat('w w w\n', 50000) AS content UNION ALL SELECT 'e', '' UNION ALL SELECT 'n', NULL")
+    found = sections.packed_lines(docs, 4).groupBy("source_id").agg(F.count("*").alias("windows"), F.sum("lines").alias("lines"), F.sum("tokens").alias("tokens"))
+    assert sorted(map(tuple, found.collect())) == [("d", 50000, 50001, 150000), ("e", 1, 1, 0)]
+
+
 @pytest.mark.parametrize("value, expected", [("body", "passage: body"), ("passage: body", "passage: body"), (" Passage:  PASSAGE: body", "passage: body"), ("", "passage: ")])
 def test_passage_prefix(spark, value, expected):
     assert spark.range(1).select(text.passage(F.lit(value))).first()[0] == expected
