@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweir.llm import exact_dedup, language_id, licences, mixing, near_dedup, ogg, packing, sharding, toxicity, training_order
+from docweir.llm import conversations, exact_dedup, language_id, licences, lm_scoring, mixing, near_dedup, ogg, packing, sharding, toxicity, training_order, whitening
 
 QUERIES = {
     "op1_ogg_media": ogg.op1_ogg_media,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_sharding": sharding.op9_sharding,
     "op10_language_id": language_id.op10_language_id,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_lm_scoring": lm_scoring.op12_lm_scoring,
+    "op13_conversation_repair": conversations.op13_conversation_repair,
 }
 
 SQL = {
