@@ -9,6 +9,7 @@ exactly that part of the automaton that its texts can reach.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweir.llm.common import checkpointed, id_crc, read, tidy
+from docweir.llm.common import checkpointed, id_crc, read, remove, shared_dir, tidy
 
 #: Tokens of the longest n-gram, and by order from 2 on the pseudo-counts that its lower order is worth.
 ORDER, PRIOR = 3, (100.0, 30.0)
@@ -199,7 +200,6 @@ class Read(NamedTuple):
     begins: np.ndarray
     trained: np.ndarray
     grams: list[Grams]
-    words: np.ndarray
 
 
 def _read_block(batch: pa.RecordBatch, i: int, order: int) -> Read:
@@ -207,7 +207,40 @@ def _read_block(batch: pa.RecordBatch, i: int, order: int) -> Read:
     words, begins = np.cumsum(field("words"), dtype=np.uint64), field("begins").astype(np.int64)
     hashes = words[field("tokens").astype(np.int64)]
     trained = np.repeat(~np.array(batch.column("held")[i].as_py(), bool), np.diff(np.append(begins, len(hashes))))
-    return Read(batch.column("block")[i].as_py(), begins, trained, grams_of(hashes, begins, order), words)
+    return Read(batch.column("block")[i].as_py(), begins, trained, grams_of(hashes, begins, order))
+
+
+def _own_counts(block: Read, k: int) -> np.ndarray:
+    """How often a block's training texts have each of its n-grams of order k + 1."""
+    at = block.grams[k].at
+    return np.bincount(at[at >= 0], block.trained[at >= 0], len(block.grams[k].keys))
+
+
+def _shared_parts(grams: list[Grams], k: int, shared: np.ndarray) -> np.ndarray:
+    """Which n-grams of order k + 1 have both their first and their last k tokens in several blocks; no other can be in several itself."""
+    here = grams[k].where
+    return shared[grams[k - 1].at[here - 1]] & shared[grams[k - 1].at[here]]
+
+
+def _answered(block: Read, replies: list[dict], slices: int, upto: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """By order up to upto: counts over all blocks of a block's n-grams, and whether each is in several blocks.
+
+    What wasn't asked for is in this block alone, so its own count is the whole.
+    """
+    parts: list[list[tuple[int, bytes]]] = [[] for _ in range(upto)]
+    for reply in replies:
+        parts[reply["slice"] // slices].append((reply["slice"], reply["totals"]))
+    counts, several, shared = [], [], np.empty(0, bool)
+    for k, part in enumerate(parts):
+        mask = _shared_parts(block.grams, k, shared) if k > 1 else np.ones(len(block.grams[k].keys), bool)
+        found = np.concatenate([unpacked(t) for _, t in sorted(part)]).astype(np.int64) if part else np.empty(0, np.int64)
+        total = _own_counts(block, k)
+        total[mask] = found >> 1
+        shared = np.zeros(len(mask), bool)
+        shared[mask] = found & 1 == 1
+        counts.append(total)
+        several.append(shared)
+    return counts, several
 
 
 def _slice_edges(keys: np.ndarray, slices: int) -> np.ndarray:
@@ -217,30 +250,39 @@ def _slice_edges(keys: np.ndarray, slices: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, inner), [len(keys)]]).astype(np.int64)
 
 
-def _asked(blocks: DataFrame, order: int, slices: int) -> DataFrame:
-    """Rows (slice, block, keys, counts): the distinct n-grams of each block and how often its training texts have them."""
+_BODY = ("block", "held", "begins", "words", "tokens")
+
+
+def _asked(blocks: DataFrame, orders: range, slices: int) -> DataFrame:
+    """Rows (slice, block, keys, counts): distinct n-grams of each block, of some orders, and how often its training texts have them.
+
+    From order 3 on, blocks have the replies to the orders below, and an n-gram of which the first or
+    the last tokens are in no other block isn't asked for.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block = _read_block(batch, i, order)
-                for k, g in enumerate(block.grams):
-                    inside = g.at >= 0
-                    counts = np.bincount(g.at[inside], block.trained[inside], len(g.keys))
-                    edges = _slice_edges(g.keys, slices)
+                block = _read_block(batch, i, orders[-1])
+                for order in orders:
+                    keys, counts = block.grams[order - 1].keys, _own_counts(block, order - 1)
+                    if order > 2:
+                        _, shared = _answered(block, batch.column("replies")[i].as_py(), slices, order - 1)
+                        mask = _shared_parts(block.grams, order - 1, shared[-1])
+                        keys, counts = keys[mask], counts[mask]
+                    edges = _slice_edges(keys, slices)
                     full = np.flatnonzero(np.diff(edges)).tolist()
                     if not full:
                         continue
-                    rows = [(packed(np.diff(g.keys[edges[s] : edges[s + 1]], prepend=np.uint64(0))), packed(counts[edges[s] : edges[s + 1]])) for s in full]
-                    arrays = [pa.array([k * slices + s for s in full], pa.int32()), pa.array([block.number] * len(full), pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*rows))]
+                    rows = [(packed(np.diff(keys[edges[s] : edges[s + 1]], prepend=np.uint64(0))), packed(counts[edges[s] : edges[s + 1]])) for s in full]
+                    arrays = [pa.array([(order - 1) * slices + s for s in full], pa.int32()), pa.array([block.number] * len(full), pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*rows))]
                     yield pa.RecordBatch.from_arrays(arrays, names=["slice", "block", "keys", "counts"])
 
-    narrow = blocks.select("block", "held", "begins", "words", "tokens")
-    return narrow.mapInArrow(tidy(run), "slice int, block long, keys binary, counts binary")
+    return blocks.mapInArrow(tidy(run), "slice int, block long, keys binary, counts binary")
 
 
 def _counted(asked: DataFrame) -> DataFrame:
-    """Rows (slice, block, totals, types): the counts over all blocks of the n-grams that a block asked for, in its order.
+    """Rows (slice, block, totals, types): of the n-grams that a block asked for, in its order, twice the count over all blocks, plus 1 where others asked, too.
 
     types, beside one row a slice, is how many of the slice's n-grams training texts have, without the start sign.
     """
@@ -252,12 +294,13 @@ def _counted(asked: DataFrame) -> DataFrame:
             keys += [np.cumsum(unpacked(x.as_py()), dtype=np.uint64) for x in batch.column("keys")]
             counts += [unpacked(x.as_py()) for x in batch.column("counts")]
         sizes = [len(x) for x in keys]
-        found, at = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.bincount(at, np.concatenate(counts), len(found))
+        found, at, blocks = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        totals = np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
         types = int((totals > 0).sum()) - int((totals[found == _START] > 0).sum())
+        answer = (totals << 1 | (blocks > 1))[at]
         lo = 0
         for i, (block, size) in enumerate(zip(number, sizes)):
-            arrays = [pa.array([key[0].as_py()], pa.int32()), pa.array([block], pa.int64()), pa.array([packed(totals[at[lo : lo + size]])]), pa.array([0 if i else types], pa.int64())]
+            arrays = [pa.array([key[0].as_py()], pa.int32()), pa.array([block], pa.int64()), pa.array([packed(answer[lo : lo + size])]), pa.array([0 if i else types], pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["slice", "block", "totals", "types"])
             lo += size
 
@@ -274,32 +317,41 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     null, each count and each return. Without training texts every token has probability 1. An empty
     table gives no rows. Other columns are not read; held is made of columns of docs.
 
-    Nothing is pruned or capped. Texts are read once and stored as numbers of words; n-grams go to the
-    tasks that own their keys and their counts return, packed by block and range of keys. A document's
-    block is in one task, so a very long text needs the memory that its own n-grams need. The keys are
-    64-bit digests. Rows between blocks and ranges number blocks x ranges: on very large tables
-    give a larger block.
+    Nothing is pruned from the model or capped. Texts are read once and stored as numbers of words, in a
+    table in buckets of blocks, so that only n-grams and their counts are shuffled, packed by block
+    and range of keys: one and two tokens first, then each longer order, as far as an n-gram can be in
+    several blocks. A document's block is in one task, so a very long text needs the memory that its
+    own n-grams need. The keys are 64-bit digests. Rows between blocks and ranges number blocks x
+    ranges: on very large tables give a larger block.
     """
     if len(prior) != order - 1:
         raise ValueError(f"a model of order {order} has {order - 1} priors")
     spark = docs.sparkSession
     narrow = docs.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(False)).alias("held"), F.col(text_col).alias("text"))
     kind = dict(narrow.dtypes)["id"]
-    blocks = checkpointed(_blocks(narrow, block))
+    name = f"lm_blocks_{uuid.uuid4().hex}"
+    where = f"{shared_dir(spark).rstrip('/')}/{name}"
+    _blocks(narrow, block).write.format("parquet").option("path", where).option("compression", "none").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name)
+    blocks = spark.table(name)
     known = blocks.agg(F.sum("size").alias("size"), F.sum("trained").alias("trained")).head()
     size, trained = known["size"] or 0, known["trained"] or 0
     slices = min(MOST_SLICES, 1 << (size // OWNED).bit_length())
-    replies = checkpointed(_counted(_asked(blocks, order, slices)))
-    types = replies.where(F.col("slice") < slices).agg(F.sum("types")).head()[0] or 0
+    told = checkpointed(_counted(_asked(blocks.select(*_BODY), range(1, min(order, 2) + 1), slices)))
+    types = told.where(F.col("slice") < slices).agg(F.sum("types")).head()[0] or 0
+
+    def with_replies(replies: DataFrame, *columns: str) -> DataFrame:
+        by_block = replies.groupBy("block").agg(F.collect_list(F.struct("slice", "totals")).alias("replies"))  # as many as a block has n-grams
+        return blocks.select(*columns).join(by_block, "block")
+
+    for k in range(3, order + 1):
+        more = _counted(_asked(with_replies(told, *_BODY), range(k, k + 1), slices))
+        told = told.unionByName(checkpointed(more) if k < order else more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 one = _read_block(batch, i, order)
-                parts: list[list[tuple[int, bytes]]] = [[] for _ in range(order)]
-                for reply in batch.column("replies")[i].as_py():
-                    parts[reply["slice"] // slices].append((reply["slice"], reply["totals"]))
-                counts = [np.concatenate([unpacked(t) for _, t in sorted(p)]) if p else np.empty(0) for p in parts]
+                counts, _ = _answered(one, batch.column("replies")[i].as_py(), slices, order)
                 model = smoothed(one.grams, counts, trained, types, prior)
                 ends = np.append(one.begins[1:], len(one.trained))
                 sums = lambda x: np.add.reduceat(x, one.begins)
@@ -311,10 +363,11 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
                 found = [pa.array(ends - one.begins - 1), pa.array(sums(there)), pa.array(np.full(n, trained)), pa.array(sums(single)), pa.array(sums(traversed(model, one.grams, one.begins)))]
                 yield pa.RecordBatch.from_arrays([owners, out, *found], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    by_block = replies.groupBy("block").agg(F.collect_list(F.struct("slice", "totals")).alias("replies"))  # as many as a block has n-grams
-    joined = blocks.select("block", "ids", "held", "begins", "words", "tokens").join(by_block, "block")
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return joined.mapInArrow(tidy(run), schema).withColumnRenamed("id", id_col)
+    scored = checkpointed(with_replies(told, *_BODY, "ids").select(*_BODY, "ids", "replies").mapInArrow(tidy(run), schema))
+    spark.sql(f"DROP TABLE {name}")
+    remove(spark, where)
+    return scored.withColumnRenamed("id", id_col)
 
 
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
