@@ -84,28 +84,37 @@ def visuals_reason(visuals: Column, most_bytes: int = MOST_BYTES) -> Column:
     return F.when(F.exists(visuals, lambda v: F.octet_length(v) > most_bytes), "FILE_TOO_LARGE").when(F.exists(visuals, lambda v: ~is_raster(v)), "MIME_MISMATCH")
 
 
+def sampled(payload: Column) -> Column:
+    """The first bytes of a payload as text; bytes that aren't UTF-8 are left out, so what stands on both sides of them meets."""
+    return F.replace(F.make_valid_utf8(F.substring(payload, 1, SAMPLE).cast("string")), F.lit("\ufffd"), F.lit(""))
+
+
 def quarantine(docs: DataFrame, most_bytes: int = MOST_BYTES, binary: bool = True, scanner: Callable[[bytes], bool] | None = None) -> DataFrame:
     """docs (provider, path, content, content_bytes) with reason_code (null: clean) and sensitive.
 
     Reasons are tested in order and the first counts. A local source with credentials is marked
-    sensitive, and not quarantined. Two more columns are looked at where docs have them: visuals
-    (bytes of linked pictures) and unverified (a Jira document cites a reference that isn't pinned).
-    scanner tells whether bytes hold malware. Without binary bodies (binary=False) no Python runs.
+    sensitive, and not quarantined. Bodies may be any bytes: what isn't text is passed over. Three more
+    columns are looked at where docs have them: visuals (bytes of linked pictures), unverified (a Jira
+    document cites a reference that isn't pinned), and metadata (JSON; every key and value of a Jira
+    document is scanned, and too much nesting refused). scanner tells whether bytes hold malware.
+    Without binary bodies (binary=False) and metadata no Python runs.
     """
     from docweir.functions import richtext
 
     suffix, payload, columns = paths.suffix(F.col("path")), F.col("content_bytes"), docs.columns
-    text = F.coalesce(F.when(payload.isNotNull(), F.decode(payload, "UTF-8")), F.col("content"))
+    text = F.coalesce(F.when(payload.isNotNull(), sampled(payload)), F.col("content"))
     outside = F.col("provider") != "LOCAL"
     unverified = (F.col("provider") == "JIRA") & F.coalesce("unverified", F.lit(False)) if "unverified" in columns else F.lit(False)
-    found = {"_secret": F.coalesce(has_secret(text), F.lit(False)), "_dense": F.coalesce(high_entropy(text), F.lit(False)), "_malware": F.lit(False), "_office": F.lit(None).cast("string")}
+    found = {"_secret": F.coalesce(has_secret(text), F.lit(False)), "_dense": F.coalesce(high_entropy(text), F.lit(False)), "_malware": F.lit(False), "_office": F.lit(None).cast("string"), "_fields": F.lit(None).cast("string")}
+    if "metadata" in columns:
+        found["_fields"] = richtext.values_reason(F.when(F.col("provider") == "JIRA", F.col("metadata")))
     if binary:
         found["_office"] = richtext.container_reason(F.when(suffix.isin(*OFFICE), payload), suffix)
     if scanner is not None:
         found["_malware"] = F.coalesce(richtext.scanned(scanner)(payload), F.lit(False))
         if "visuals" in columns:
             found["_malware"] = found["_malware"] | F.coalesce(richtext.any_scanned(scanner)("visuals"), F.lit(False))
-    docs = docs.withColumns(found).withColumn("sensitive", F.col("_secret") | F.col("_dense"))
+    docs = docs.withColumns(found).withColumn("sensitive", F.col("_secret") | F.col("_dense") | F.coalesce(F.col("_fields") == "POTENTIAL_SECRET", F.lit(False)))
     signature = F.when(payload.isNotNull(), signature_reason(suffix, payload))
     reason = F.coalesce(
         F.when(suffix.isin(*paths.BLOCKED), "BLOCKED_FILE_TYPE"),
@@ -117,6 +126,7 @@ def quarantine(docs: DataFrame, most_bytes: int = MOST_BYTES, binary: bool = Tru
         F.when(F.col("_secret") & outside, "POTENTIAL_SECRET"),
         F.when(unverified, "UNVERIFIED_SOURCE_REFERENCE"),
         F.when(F.col("_dense") & outside, "POTENTIAL_SECRET"),
+        F.col("_fields"),
         visuals_reason(F.col("visuals"), most_bytes) if "visuals" in columns else F.lit(None).cast("string"),
     )
     return docs.withColumn("reason_code", reason).drop(*found)

@@ -116,16 +116,20 @@ def enrichment(searchable: Column) -> Column:
 
 
 def framed_context(searchable: Column) -> Column:
-    """name, byte count, value of every enrichment value, so that none can break out of its frame.
-
-    Too many or too large values, and control characters, are an error.
-    """
+    """name, byte count, value of every enrichment value, so that none can break out of its frame; null where framed_failure says why not."""
     records = _flat(searchable)
     lines = F.transform(records, lambda r: F.concat(r["name"], F.lit(" "), F.octet_length(r["value"]).cast("string"), F.lit("\n"), r["value"], F.lit("\n")))
-    whole = F.array_join(lines, "")
-    over = F.exists(records, lambda r: F.octet_length(r["value"]) > MOST_VALUE) | (F.octet_length(whole) > MOST_CONTEXT) | (F.size(records) > MOST_RECORDS)
+    return F.when(framed_failure(searchable).isNull(), F.array_join(lines, ""))
+
+
+def framed_failure(searchable: Column) -> Column:
+    """Why a chunk's values can't be framed (control characters, too many or too large values), or null. It is that chunk's failure alone."""
+    records = _flat(searchable)
+    # A frame is the name, its value's size, and three separators.
+    size = F.aggregate(records, F.lit(0).cast("long"), lambda n, r: n + F.octet_length(r["value"]) + F.octet_length(r["name"]) + F.length(F.octet_length(r["value"]).cast("string")) + 3)
+    over = F.exists(records, lambda r: F.octet_length(r["value"]) > MOST_VALUE) | (size > MOST_CONTEXT) | (F.size(records) > MOST_RECORDS)
     control = F.exists(records, lambda r: r["value"].rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]"))
-    return F.when(control, F.raise_error(F.lit("a value has control characters")).cast("string")).when(over, F.raise_error(F.lit("a chunk's context is too large")).cast("string")).otherwise(whole)
+    return F.when(control, "a value has control characters").when(over, "a chunk's context is too large")
 
 
 def labelled_context(searchable: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from docweir.functions import formats, text
+from docweir.schemas import SOURCE
 
 # Keys that a source's metadata can't set.
 RESERVED = (
@@ -29,8 +30,8 @@ def identified(rows: DataFrame) -> DataFrame:
 
 
 def first_bodies(chunks: DataFrame, identity: list[str] | None = None) -> DataFrame:
-    """The first chunk, by ordinal, of each body in a source. identity tells further bodies apart (a Jira chunk's kind and event)."""
-    nth = F.row_number().over(W.partitionBy("source_id", "digest", *(identity or [])).orderBy("ordinal"))
+    """The first chunk, by ordinal, of each body in a source (project_id, provider, source_id). identity tells further bodies apart (a Jira chunk's kind and event)."""
+    nth = F.row_number().over(W.partitionBy(*SOURCE, "digest", *(identity or [])).orderBy("ordinal"))
     return chunks.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
@@ -70,18 +71,21 @@ def merged(*maps: Column) -> Column:
 def assembled(chunks: DataFrame, docs: DataFrame, limit: int = 512) -> DataFrame:
     """Chunks as they are stored: identity, digests, embedding text and searchable fields.
 
-    chunks are what chunk_documents makes, without failures; docs have project_id, provider,
-    source_id, version, chunker_version, title and, as far as they are known, what with_searchable
-    looks at. Of equal bodies in a source the first stays; both are shuffled by their source once.
+    chunks are what chunk_documents makes of docs with their whole key (project_id, provider,
+    source_id), without failures; docs have the key, version, chunker_version, title and, as far as
+    they are known, what with_searchable looks at. Of equal bodies in a source the first stays; both are
+    shuffled by their source once. A chunk whose values can't be framed has a failure and no embedding
+    text; its source must not be stored.
     """
-    keep = [c for c in docs.columns if c not in chunks.columns or c == "source_id"]
-    rows = chunks.where("failure is null").drop("failure").join(docs.select(*keep), "source_id")
-    rows = rows.withColumn("body", formats.clean(F.col("content"))).where("body <> ''").withColumns({"ordinal": F.col("ordinal").cast("long"), "kind": F.col("profile"), "heading_path": F.split("path", " > ")})
+    keep = [c for c in docs.columns if c not in chunks.columns or c in SOURCE]
+    rows = chunks.where("failure is null").drop("failure").join(docs.select(*keep), SOURCE)
+    rows = rows.withColumn("body", formats.clean(F.col("content"))).where("body <> ''").withColumns({"ordinal": F.col("ordinal").cast("long"), "kind": F.col("profile"), "heading_path": F.col("path")})
     rows = first_bodies(identified(rows))
     rows = rows.withColumn("structure_hash", F.sha2(F.to_json(F.struct("heading_path", "locator", "profile")), 256))
     rows = text.with_searchable(rows.drop("path"), "body", "heading_path")
     is_jira = F.col("provider") == "JIRA"
     required = F.concat(F.lit("passage: "), F.concat_ws(" > ", "title", "heading_path"))
     optional = [F.concat(F.lit("LOCATION: "), F.coalesce("locator", F.lit("source"))), F.when(is_jira, text.framed_context(F.col("searchable"))).otherwise(text.labelled_context(F.col("searchable")))]
-    rows = rows.withColumn("embedding_text", text.fitted(required, optional, F.col("body"), limit))
-    return rows.select("project_id", "provider", "source_id", "version", "ordinal", "chunk_id", F.col("digest").alias("content_hash"), "structure_hash", "heading_path", "locator", "profile", "tokens", "body", "embedding_text", "searchable")
+    rows = rows.withColumn("failure", F.when(is_jira, text.framed_failure(F.col("searchable"))))
+    rows = rows.withColumn("embedding_text", F.when(F.col("failure").isNull(), text.fitted(required, optional, F.col("body"), limit)))
+    return rows.select("project_id", "provider", "source_id", "version", "ordinal", "chunk_id", F.col("digest").alias("content_hash"), "structure_hash", "heading_path", "locator", "profile", "tokens", "body", "embedding_text", "searchable", "failure")

@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from docweir.functions.text import CODE_WORD, FEW_CHARACTERS, FEW_WORDS, FRAMING
+from docweir.schemas import SOURCE
 
 # Budgets in tokens.
 PROSE, CODE, TABLE, OVERLAP, LIMIT, INDEX = 420, 350, 300, 40, 512, 160
@@ -120,8 +121,9 @@ def is_separator(row: str) -> bool:
 def wide_row(header: list[str], row: str, budget: int) -> list[str]:
     """A row that is over the budget alone, as groups of columns, each under its own headers."""
     values = cells(row)
-    labels = (cells(header[0]) if header else [])[: len(values)]
+    labels = cells(header[0]) if header else []
     labels += [f"column {n}" for n in range(len(labels) + 1, len(values) + 1)]
+    values += [""] * (len(labels) - len(values))  # headers without a value stay
     runs = packed([words(x) + words(y) + 1 for x, y in zip(labels, values)], budget)
     return ["\n".join(" | ".join(part[a:b]) for part in (labels, values)) for a, b in runs]
 
@@ -296,15 +298,24 @@ def registry(title: str, text: str) -> Iterator[Element]:
 
 
 def glossary(title: str, text: str) -> Iterator[Element]:
-    """A chunk a term: headings, or else `term: definition` lines."""
+    """A chunk a term: headings, or else `term: definition` lines. What belongs to no term is in support windows."""
     heads = list(re.finditer(r"(?m)^#{2,4}\s+([^\n]+)$", text))
-    for head, after in zip(heads, [*heads[1:], None]):
-        section = text[head.start() : after.start() if after else len(text)].strip()
-        for window in section_windows(section, PROSE, 0):
-            yield window, [head[1].strip()], "term", "glossary"
-    if not heads:
-        for line in text.splitlines():
-            if term := re.match(r"^\s*([^:]{2,80}):\s+(.+)$", line):
+    if heads:
+        lead = text[: heads[0].start()].strip()
+        for window in section_windows(lead, PROSE, 0) if lead else ():
+            yield window, [title], "glossary-support", "glossary-support"
+        for head, after in zip(heads, [*heads[1:], None]):
+            section = text[head.start() : after.start() if after else len(text)].strip()
+            for window in section_windows(section, PROSE, 0):
+                yield window, [head[1].strip()], "term", "glossary"
+        return
+    entries = [(line, re.match(r"^\s*([^:]{2,80}):\s+(.+)$", line)) for line in text.splitlines()]
+    if any(term for _, term in entries):
+        rest = "\n".join(line for line, term in entries if not term).strip()
+        for window in section_windows(rest, PROSE, 0) if rest else ():
+            yield window, [title], "glossary-support", "glossary-support"
+        for line, term in entries:
+            if term:
                 yield line.strip(), [term[1].strip()], "term", "glossary"
 
 
@@ -472,16 +483,18 @@ def route(title: str, kind: str, category: str, text: str) -> Iterator[Element]:
     return markdown(title, text)
 
 
-_NAMES = ["source_id", "ordinal", "path", "locator", "profile", "tokens", "content", "failure"]
-_SCHEMA = "source_id string, ordinal int, path string, locator string, profile string, tokens long, content string, failure string"
+_NAMES = ["ordinal", "path", "locator", "profile", "tokens", "content", "failure"]
+_SCHEMA = "ordinal int, path array<string>, locator string, profile string, tokens long, content string, failure string"
+_KINDS = (pa.int32(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
 #: Rows and characters of documents that are cut before their chunks are handed on.
 _ROWS, _CHARACTERS = 256, 8 << 20
 
 
-def _emit(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * len(_NAMES)
-    kinds = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
+def _emit(keys: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+    """rows are the number of a document among keys, and what is told of its chunk."""
+    which, *columns = list(zip(*rows)) if rows else [[]] * (len(_NAMES) + 1)
+    owners = [c.take(pa.array(which, pa.int64())) for c in keys.columns]
+    return pa.RecordBatch.from_arrays([*owners, *(pa.array(c, k) for c, k in zip(columns, _KINDS))], names=[*keys.schema.names, *_NAMES])
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -512,32 +525,37 @@ def chunks_of(title: str, kind: str, category: str, text: str, limit: int = LIMI
 
 
 def chunk_documents(docs: DataFrame, limit: int = LIMIT, counter: Callable[[], Callable[[str], int]] | None = None) -> DataFrame:
-    """Chunks of docs (source_id, title, kind, category, content): source_id, ordinal, path, locator, profile, tokens, content, failure.
+    """Chunks of docs (source_id, title, kind, category, content): their key, ordinal, path, locator, profile, tokens, content, failure.
 
-    counter makes a function that counts a text's tokens, in each worker; without it words are
-    counted. A document that can't be cut (blank, steps or a word over the limit) is one row with its
-    failure, and fails alone.
+    The key is project_id, provider and source_id, as far as docs have them: an id is a source's only
+    within its provider. counter makes a function that counts a text's tokens, in each worker;
+    without it words are counted. A document that can't be cut (blank, steps or a word over the limit)
+    is one row with its failure, and fails alone.
     """
+    keys = [c for c in SOURCE if c in docs.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter() if counter else words
         for whole in batches:
             for batch in _slices(whole):
                 rows: list[tuple] = []
-                for source, title, kind, category, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for i, (title, kind, category, text) in enumerate(zip(*(c.to_pylist() for c in batch.columns[len(keys) :]))):
                     try:
                         found = chunks_of(title or "", kind or "prose", category or "narrative", text or "", limit, count)
                     except ValueError as error:
-                        rows.append((source, 0, None, None, None, None, None, str(error) if str(error) == "EMPTY_BODY" else f"{type(error).__name__}: {error}"[:200]))
+                        rows.append((i, 0, None, None, None, None, None, str(error) if str(error) == "EMPTY_BODY" else f"{type(error).__name__}: {error}"[:200]))
                         continue
-                    rows += [(source, n, " > ".join(path), locator, profile, tokens, body, None) for n, (body, path, locator, profile, tokens) in enumerate(found)]
-                yield _emit(rows)
+                    rows += [(i, n, path, locator, profile, tokens, body, None) for n, (body, path, locator, profile, tokens) in enumerate(found)]
+                yield _emit(batch.select(keys), rows)
 
-    return docs.select("source_id", "title", "kind", "category", "content").mapInArrow(run, _SCHEMA)
+    kinds = dict(docs.dtypes)
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), _SCHEMA])
+    return docs.select(*keys, "title", "kind", "category", "content").mapInArrow(run, schema)
 
 
 def html_chunks(docs: DataFrame) -> DataFrame:
     """Chunks of HTML documents (source_id, content)."""
     from pyspark.sql import functions as F
 
-    return chunk_documents(docs.select("source_id", F.lit("").alias("title"), F.lit("html").alias("kind"), F.lit("narrative").alias("category"), "content"))
+    keys = [c for c in SOURCE if c in docs.columns]
+    return chunk_documents(docs.select(*keys, F.lit("").alias("title"), F.lit("html").alias("kind"), F.lit("narrative").alias("category"), "content"))

@@ -27,10 +27,17 @@ def line_counts(spark, sf_dir):
     return lines(spark, sf_dir).groupBy("source_id").agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.trim("line") != "").alias("live"))
 
 
-@query("section_spans", LINES_SQL + f""", e AS (SELECT source_id, max(pos) AS fin FROM ln GROUP BY source_id), h AS (SELECT *, lead(pos) OVER w AS nxt, row_number() OVER w AS section FROM ln WHERE {_HEAD} WINDOW w AS (PARTITION BY source_id ORDER BY pos))
-SELECT source_id, section, {_LEVEL} AS level, {_TITLE} AS title, pos AS first, coalesce(nxt - 1, fin) AS last FROM h JOIN e USING (source_id)""")
+TWIN_LINES_SQL = TEXTS_SQL + f""", {views.TWINS_SQL}, tx AS (SELECT provider, source_id, content FROM tw UNION ALL SELECT 'FIXTURE', source_id, content FROM fx_texts),
+ln AS (SELECT provider, source_id, i - 1 AS pos, ls[i] AS line FROM (SELECT provider, source_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT provider, source_id, regexp_split_to_array(content, {NEWLINE_SQL}) AS ls FROM tx)))"""
+
+
+@query("section_spans", TWIN_LINES_SQL + r""", e AS (SELECT provider, source_id, max(pos) AS fin FROM ln GROUP BY ALL), h AS (SELECT *, lead(pos) OVER w AS nxt, row_number() OVER w AS section FROM ln WHERE regexp_matches(line, '^#{1,6}\s+.+$') WINDOW w AS (PARTITION BY provider, source_id ORDER BY pos))
+SELECT provider, source_id, section, len(regexp_extract(line, '^(#{1,6})\s+(.+)$', 1)) AS level, regexp_extract(line, '^(#{1,6})\s+(.+)$', 2) AS title, pos AS first, coalesce(nxt - 1, fin) AS last FROM h JOIN e USING (provider, source_id)""")
 def section_spans(spark, sf_dir):
-    return sections.spans(lines(spark, sf_dir))
+    """Sections of every document, and of other providers' documents that have the same ids."""
+    t = views.twin_documents(spark, sf_dir).select("provider", "source_id", "content").unionByName(frame(spark, "fx_texts").select(F.lit("FIXTURE").alias("provider"), "source_id", "content"))
+    key = ["provider", "source_id"]
+    return sections.spans(sections.document_lines(t, key), key)
 
 
 @query("heading_paths", LINES_SQL + f""", m AS (SELECT *, CASE WHEN {_HEAD} THEN {_LEVEL} END AS level, {_TITLE} AS title FROM ln),
@@ -110,27 +117,27 @@ def line_packing(spark, sf_dir):
     return sections.packed_lines(texts(spark, sf_dir), 120)
 
 
-CHUNKS_SQL = views.BASE_SQL + f""", pl AS (SELECT s.*, i - 1 AS ordinal, trim(ls[i], ' ') AS body FROM (SELECT src.*, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT *, regexp_split_to_array(content, {NEWLINE_SQL}) AS ls FROM src) src) s WHERE trim(ls[i], ' ') <> ''),
+CHUNKS_SQL = views.BASE_SQL + f""", {views.TWINS_SQL}, pl AS (SELECT s.*, i - 1 AS ordinal, trim(ls[i], ' ') AS body FROM (SELECT tw.*, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT *, regexp_split_to_array(content, {NEWLINE_SQL}) AS ls FROM tw) tw) s WHERE trim(ls[i], ' ') <> ''),
 ch AS (SELECT *, sha256(body) AS digest, sha256(project_id || '|' || provider || '|' || source_id || '|' || version || '|' || ordinal || '|' || sha256(body) || '|' || chunker_version) AS plain_id,
   sha256(project_id || '|JIRA|' || source_id || '|' || ('line:' || ordinal) || '|' || sha256(body) || '|jira-v2') AS jira_id FROM pl),
-k AS (SELECT *, CASE WHEN provider = 'JIRA' THEN jira_id ELSE plain_id END AS chunk_id, row_number() OVER (PARTITION BY source_id, digest ORDER BY ordinal) AS nth FROM ch)
+k AS (SELECT *, CASE WHEN provider = 'JIRA' THEN jira_id ELSE plain_id END AS chunk_id, row_number() OVER (PARTITION BY project_id, provider, source_id, digest ORDER BY ordinal) AS nth FROM ch)
 """
 
 
 def _chunks(spark, sf_dir):
-    s = views.source_documents(spark, sf_dir)
+    s = views.twin_documents(spark, sf_dir)
     rows = s.select("*", F.posexplode(formats.lines(F.col("content"))).alias("ordinal", "line")).withColumn("body", F.trim("line")).where("body <> ''")
     return assembly.identified(rows.withColumns({"locator": F.concat(F.lit("line:"), "ordinal"), "ordinal": F.col("ordinal").cast("long")}))
 
 
-@query("chunk_ids", CHUNKS_SQL + "SELECT source_id, ordinal, chunk_id, digest FROM k")
+@query("chunk_ids", CHUNKS_SQL + "SELECT provider, source_id, ordinal, chunk_id, digest FROM k")
 def chunk_ids(spark, sf_dir):
-    return _chunks(spark, sf_dir).select("source_id", "ordinal", "chunk_id", "digest")
+    return _chunks(spark, sf_dir).select("provider", "source_id", "ordinal", "chunk_id", "digest")
 
 
-@query("chunk_dedupe", CHUNKS_SQL + "SELECT source_id, ordinal, digest FROM k WHERE nth = 1")
+@query("chunk_dedupe", CHUNKS_SQL + "SELECT provider, source_id, ordinal, digest FROM k WHERE nth = 1")
 def chunk_dedupe(spark, sf_dir):
-    return assembly.first_bodies(_chunks(spark, sf_dir)).select("source_id", "ordinal", "digest")
+    return assembly.first_bodies(_chunks(spark, sf_dir)).select("provider", "source_id", "ordinal", "digest")
 
 
 @query("chunk_id_conflicts", CHUNKS_SQL + "SELECT chunk_id, count(*) AS copies FROM k WHERE nth = 1 GROUP BY chunk_id HAVING count(*) > 1")
@@ -172,15 +179,17 @@ def page_text(spark, sf_dir):
 def html_chunks(spark, sf_dir):
     from docweir.operators.chunkers import html_chunks as run
 
-    return run(views.table(spark, sf_dir, "pages").select(F.concat(F.lit("page:"), "page_id").alias("source_id"), F.col("html").alias("content")))
+    return run(views.table(spark, sf_dir, "pages").select(F.concat(F.lit("page:"), "page_id").alias("source_id"), F.col("html").alias("content"))).withColumn("path", F.concat_ws(" > ", "path"))
 
 
 @query("chunked_documents")
 def chunked_documents(spark, sf_dir):
     from docweir.operators.chunkers import chunk_documents
 
-    t = formats.with_category(formats.with_format(texts(spark, sf_dir)))
-    return chunk_documents(t.select("source_id", "title", "kind", "category", "content"))
+    twins = views.twin_documents(spark, sf_dir).select("provider", "source_id", "title", F.lit("").alias("declared"), F.array().cast("array<string>").alias("labels"), "content")
+    t = twins.unionByName(frame(spark, "fx_texts").withColumn("provider", F.lit("FIXTURE")))
+    found = chunk_documents(formats.with_category(formats.with_format(t)).select("provider", "source_id", "title", "kind", "category", "content"))
+    return found.withColumn("path", F.concat_ws(" > ", "path"))
 
 
 @query("assembled_chunks")
@@ -188,12 +197,13 @@ def assembled_chunks(spark, sf_dir):
     """Every document cut, and its chunks as they would be stored."""
     from docweir.operators.chunkers import chunk_documents
 
-    s = views.source_documents(spark, sf_dir)
-    t = formats.with_category(formats.with_format(s.select("source_id", "title", F.lit("").alias("declared"), "labels", "content")))
-    chunks = chunk_documents(t.select("source_id", "title", "kind", "category", "content"))
+    s = views.twin_documents(spark, sf_dir)
+    key = ["project_id", "provider", "source_id"]
+    t = formats.with_category(formats.with_format(s.select(*key, "title", F.lit("").alias("declared"), "labels", "content")))
+    chunks = chunk_documents(t.select(*key, "title", "kind", "category", "content"))
     docs = s.withColumns({"reference": F.col("path"), "repository": F.col("scope")}).select("project_id", "provider", "source_id", "version", "chunker_version", "title", "reference", "source_type", "path", "repository")
     out = assembly.assembled(chunks, docs.withColumnRenamed("path", "document_path"))
-    return out.select("source_id", "ordinal", "chunk_id", "content_hash", "structure_hash", "locator", "profile", "tokens", F.sha2("embedding_text", 256).alias("embedding_digest"))
+    return out.select("provider", "source_id", "ordinal", "chunk_id", "content_hash", "structure_hash", "locator", "profile", "tokens", F.sha2("embedding_text", 256).alias("embedding_digest"))
 
 
 @query("metadata_merge", views.BASE_SQL + """, m AS (SELECT source_id, map {'title': title, 'path': path, 'lang': lower(space_key)} AS a, map {'title': CASE WHEN doc_id % 2 = 0 THEN 'own ' || doc_id END, 'kind': source_type} AS b FROM src)

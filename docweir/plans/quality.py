@@ -42,6 +42,30 @@ def quarantine_reasons(spark, sf_dir):
     return security.quarantine(t, binary=False).select("source_id", "sensitive", "reason_code")
 
 
+@query("binary_bodies", CANDIDATES_SQL + """, f AS (SELECT DISTINCT source_id FROM e WHERE bits >= 4.7 AND regexp_matches(word, '[0-9]')),
+q AS (SELECT s.doc_id, s.source_id, s.source_id IN (SELECT source_id FROM f) OR s.doc_id % 5 = 2 OR regexp_matches(content, '-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----') OR regexp_matches(content, '(?i)(?:api[_-]?key|client[_-]?secret|password)\\s*[:=]\\s*[\\x27\\x22]?[A-Za-z0-9_./+=-]{16,}')
+ OR regexp_matches(content, '\\bgh[opsu]_[A-Za-z0-9]{30,}\\b') OR regexp_matches(content, '\\bAKIA[0-9A-Z]{16}\\b') AS sensitive, s.provider FROM src s)
+SELECT source_id, sensitive, CASE WHEN doc_id % 4 = 1 THEN 'MIME_MISMATCH' WHEN sensitive THEN 'POTENTIAL_SECRET' END AS reason_code FROM q""")
+def binary_bodies(spark, sf_dir):
+    """Every text within bytes that aren't text: behind a PDF's header, before binary tails; some with a key that such a byte divides, and some as the wrong type."""
+    s = views.source_documents(spark, sf_dir)
+    key = F.when(F.col("doc_id") % 5 == 2, F.concat(F.lit(b"\nAKIA"), F.unhex(F.lit("FF")), F.lit(b"ABCDEFGHIJKLMNOP\n"))).otherwise(F.lit(b""))
+    body = F.concat(F.lit(b"%PDF-1.7\n"), F.unhex(F.lit("FFFE90")), F.lit(b"\n"), F.col("content").cast("binary"), F.lit(b"\n"), key, F.unhex(F.lit("C328A0A1F0288CBC")))
+    path = F.when(F.col("doc_id") % 4 == 1, "x.xlsx").otherwise("x.pdf")
+    rows = s.select("source_id", F.lit("CONFLUENCE").alias("provider"), path.alias("path"), F.lit("").alias("content"), body.alias("content_bytes"))
+    return security.quarantine(rows).select("source_id", "sensitive", "reason_code")
+
+
+@query("issue_metadata_secrets", views.BASE_SQL + """ SELECT source_id, CASE WHEN provider = 'JIRA' AND doc_id % 5 = 1 THEN 'POTENTIAL_SECRET' END AS reason_code FROM src""")
+def issue_metadata_secrets(spark, sf_dir):
+    """Fields of issues, some with a credential inside JSON inside a field; other providers' fields aren't looked at."""
+    s = views.source_documents(spark, sf_dir)
+    inner = F.when(F.col("doc_id") % 5 == 1, F.to_json(F.struct(F.concat(F.lit("abcdefghijklmnop"), "doc_id").alias("password")))).otherwise(F.col("title"))
+    meta = F.to_json(F.struct("title", "path", F.struct(inner.alias("note"), F.array("scope", "space_key").alias("tags")).alias("fields")))
+    rows = s.select("source_id", "provider", F.lit("x.md").alias("path"), F.lit("").alias("content"), F.lit(None).cast("binary").alias("content_bytes"), meta.alias("metadata"))
+    return security.quarantine(rows, binary=False).select("source_id", "reason_code")
+
+
 @query("payload_signatures", f"WITH {cte('fx_payloads')} SELECT path, reason_code FROM fx_payloads")
 def payload_signatures(spark, sf_dir):
     p = frame(spark, "fx_payloads", sf_dir).select(F.col("path"), F.lit("JIRA").alias("provider"), F.lit("").alias("content"), F.unhex("payload").alias("content_bytes"))

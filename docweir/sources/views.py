@@ -75,4 +75,13 @@ SELECT project_id, provider, scope, 'doc:' || (doc_id + 1000000), source_type, t
        parser_version, chunker_version, embedding_profile, schema_version, 'project:DEMO'
 FROM src WHERE doc_id % 13 = 0)"""
 
+def twin_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """source_documents, and for some of them a source of another provider that has the same id. TWINS_SQL says the same."""
+    s = source_documents(spark, sf_dir)
+    twins = s.where(F.col("doc_id") % 7 == 3).withColumns({"provider": F.lit("LOCAL"), "content": F.concat(F.lit("# Twin\n"), "content", F.lit("\n## Its own end\nsame\nsame"))})
+    return s.unionByName(twins)
+
+
+TWINS_SQL = """tw AS (SELECT * FROM src UNION ALL SELECT * REPLACE ('LOCAL' AS provider, '# Twin' || chr(10) || content || chr(10) || '## Its own end' || chr(10) || 'same' || chr(10) || 'same' AS content) FROM src WHERE doc_id % 7 = 3)"""
+
 BASE_SQL = f"WITH {SOURCES_SQL},\n{MANIFEST_SQL}"
