@@ -99,6 +99,27 @@ def integrity(manifest: DataFrame, stored: DataFrame) -> DataFrame:
     return joined.select("source_id", "chunk_count", F.coalesce("held", F.lit(0)).cast("long").alias("held"), fault.alias("fault")).where("fault is not null")
 
 
+def vector_facts(vectors: DataFrame, dims: int, vector: str = "embedding") -> DataFrame:
+    """Per source (project_id, provider, source_id): vectors, and how many have other dimensions, entries that aren't finite, or no length; least and greatest model."""
+    v = F.col(vector)
+    finite = v.isNotNull() & F.forall(v, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    square = F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    bad = lambda c: F.count_if(F.coalesce(c, F.lit(True)))
+    return vectors.groupBy(*SOURCE).agg(
+        F.count(F.lit(1)).alias("vectors"), bad(F.size(v) != dims).alias("other_dims"), bad(~finite).alias("not_finite"), bad(finite & (square == 0)).alias("no_length"), F.min("model").alias("_low_model"), F.max("model").alias("_high_model"),
+    )
+
+
+def vector_integrity(manifest: DataFrame, vectors: DataFrame, dims: int, model: str) -> DataFrame:
+    """Live manifests (chunk_count) whose vectors aren't as many, of such dimensions, finite, of some length, and of one model; one aggregate a source."""
+    joined = manifest.where(~F.col("deleted")).join(vector_facts(vectors, dims), SOURCE, "left")
+    fault = (
+        F.when(F.coalesce("vectors", F.lit(0)) != F.col("chunk_count"), "vector count").when(F.col("other_dims") > 0, "dimensions").when(F.col("not_finite") > 0, "not finite")
+        .when(F.col("no_length") > 0, "no length").when((F.col("_low_model") != model) | (F.col("_high_model") != model), "model")
+    )
+    return joined.select(*SOURCE, "chunk_count", F.coalesce("vectors", F.lit(0)).cast("long").alias("vectors"), fault.alias("fault")).where("fault is not null")
+
+
 def set_difference(one: DataFrame, two: DataFrame, column: str) -> DataFrame:
     """Values that only one side has, and which."""
     a, b = one.select(column).distinct(), two.select(column).distinct()

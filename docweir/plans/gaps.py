@@ -12,12 +12,41 @@ from docweir.plans.registry import query
 from docweir.sources import local, views
 
 
-@query("lease_decisions", f"""WITH {cte('fx_leases', 'fx_requests')} SELECT r.scope, r.requester, CASE WHEN l.owner IS NULL THEN 'granted' WHEN l.owner = r.requester THEN 'renewed' WHEN CAST(l.expires_at AS TIMESTAMP) <= CAST(r.asked_at AS TIMESTAMP) THEN 'taken over' ELSE 'held' END AS decision FROM fx_requests r LEFT JOIN fx_leases l USING (scope)""")
+LEASES_SQL = """WITH l AS (SELECT 'user:' || user_id AS scope, arg_max(event_type, ts) AS owner, max(ts) + INTERVAL 2 DAY AS expires_at FROM events WHERE event_id % 3 = 0 GROUP BY user_id),
+r AS (SELECT event_id, 'user:' || user_id AS scope, event_type AS requester, ts AS asked_at FROM events WHERE event_id % 3 = 1),
+j AS (SELECT r.*, owner, expires_at FROM r LEFT JOIN l USING (scope)),
+w AS (SELECT scope, asked_at AS first_at, requester AS first_by FROM (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY asked_at, requester) AS n FROM j WHERE owner IS NULL OR owner = requester OR expires_at <= asked_at) WHERE n = 1),
+d AS (SELECT j.*, CASE WHEN first_by IS NULL OR requester <> first_by OR asked_at < first_at THEN 'held' WHEN asked_at > first_at THEN 'renewed' WHEN owner IS NULL THEN 'granted' WHEN owner = requester THEN 'renewed' ELSE 'taken over' END AS decision FROM j LEFT JOIN w USING (scope))
+"""
+
+
+def _lease_requests(spark, sf_dir):
+    """Leases that a third of the events left behind, and another third that asks."""
+    e = views.table(spark, sf_dir, "events").withColumn("scope", F.concat(F.lit("user:"), "user_id"))
+    held = e.where("event_id % 3 = 0").groupBy("scope").agg(F.max_by("event_type", "ts").alias("owner"), (F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("expires_at"))
+    return held, e.where("event_id % 3 = 1").select("event_id", "scope", F.col("event_type").alias("requester"), F.col("ts").alias("asked_at"))
+
+
+@query("lease_decisions", LEASES_SQL + "SELECT event_id, scope, requester, asked_at, decision FROM d")
 def lease_decisions(spark, sf_dir):
     from docweir.streaming.leases import decide
 
-    leases = frame(spark, "fx_leases", sf_dir).withColumn("expires_at", F.col("expires_at").cast("timestamp"))
-    return decide(leases, frame(spark, "fx_requests", sf_dir).withColumn("asked_at", F.col("asked_at").cast("timestamp")))
+    return decide(*_lease_requests(spark, sf_dir))
+
+
+@query("lease_table", LEASES_SQL + """, g AS (SELECT scope, requester AS owner, max(asked_at) + INTERVAL 900 SECOND AS expires_at FROM d WHERE decision <> 'held' GROUP BY ALL)
+SELECT scope, owner, expires_at FROM g UNION ALL SELECT scope, owner, expires_at FROM l WHERE scope NOT IN (SELECT scope FROM g)""")
+def lease_table(spark, sf_dir):
+    """What a store holds after leases were acquired by comparing and swapping, and the same batch came again."""
+    from docweir.shared import work_dir
+    from docweir.streaming import ingest
+
+    held, requests = _lease_requests(spark, sf_dir)
+    store = ingest.Store(spark, work_dir(spark, "leases"))
+    store.leases.replace(held, 0, "before")
+    ingest.acquire(store, requests, 0, "here")
+    ingest.acquire(store, requests, 0, "here")
+    return store.leases.read()
 
 
 @query("pinned_references", f"""WITH {cte('fx_citing', 'fx_pins')}, m AS (SELECT source_id, unnest(regexp_extract_all(content, 'https://github\\.com/[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+/blob/[0-9a-f]{{40}}/[A-Za-z0-9_./-]+')) AS u FROM fx_citing),

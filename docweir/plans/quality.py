@@ -204,6 +204,22 @@ def refetch_check(spark, sf_dir):
     return s.groupBy("scope").agg(F.count(F.lit(1)).alias("fetched"), (F.count(F.lit(1)) - F.countDistinct("title")).alias("repeated"), F.count_if(F.trim("content") == "").alias("empty"))
 
 
+@query("vector_integrity", """WITH n AS (SELECT vec_id, CASE vec_id % 10 WHEN 1 THEN embedding[1:63] WHEN 2 THEN list_prepend('nan'::FLOAT, embedding[2:]) WHEN 5 THEN list_transform(embedding, lambda x: 0::FLOAT) ELSE embedding END AS e, vec_id // 4 AS source FROM embeddings WHERE vec_id % 10 <> 3),
+f AS (SELECT source, count(*) AS vectors, count(*) FILTER (len(e) <> 64) AS od, count(*) FILTER (len(list_filter(e, lambda x: NOT isfinite(x))) > 0) AS nf, count(*) FILTER (list_sum(list_transform(e, lambda x: abs(x))) = 0) AS nl, count(*) FILTER (vec_id % 10 = 4) AS om FROM n GROUP BY source),
+m AS (SELECT vec_id // 4 AS source, count(*) AS chunk_count FROM embeddings GROUP BY 1)
+SELECT * FROM (SELECT 'DEMO' AS project_id, 'JIRA' AS provider, 'doc:' || source AS source_id, chunk_count, coalesce(vectors, 0) AS vectors,
+ CASE WHEN coalesce(vectors, 0) <> chunk_count THEN 'vector count' WHEN od > 0 THEN 'dimensions' WHEN nf > 0 THEN 'not finite' WHEN nl > 0 THEN 'no length' WHEN om > 0 THEN 'model' END AS fault FROM m LEFT JOIN f USING (source)) WHERE fault IS NOT NULL""")
+def vector_integrity(spark, sf_dir):
+    """Four vectors a source; some are missing, cut, not finite, zero, or another model's."""
+    e, d = views.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 10
+    key = {"project_id": F.lit("DEMO"), "provider": F.lit("JIRA"), "source_id": F.concat(F.lit("doc:"), F.floor(F.col("vec_id") / 4))}
+    rest = F.slice("embedding", 2, 4096)
+    changed = F.when(d == 1, F.slice("embedding", 1, 63)).when(d == 2, F.concat(F.array(F.lit(float("nan")).cast("float")), rest)).when(d == 5, F.transform("embedding", lambda x: F.lit(0).cast("float"))).otherwise(F.col("embedding"))
+    vectors = e.where(d != 3).withColumns({**key, "embedding": changed, "model": F.when(d == 4, "other").otherwise("e5")})
+    manifest = e.withColumns(key).groupBy(*key).agg(F.count(F.lit(1)).alias("chunk_count")).withColumn("deleted", F.lit(False))
+    return audits.vector_integrity(manifest, vectors, 64, "e5")
+
+
 @query("vector_dim_check", "SELECT vec_id, len(embedding) AS dims, len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding) AS finite, len(embedding) = 64 AS expected, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 4) AS norm FROM embeddings")
 def vector_dim_check(spark, sf_dir):
     e = views.table(spark, sf_dir, "embeddings")

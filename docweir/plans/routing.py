@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweir.functions import paths
+from docweir.functions import paths, signatures
 from docweir.operators import access, generation, routing
 from docweir.plans.fixtures import cte, frame
 from docweir.plans.registry import query
@@ -204,12 +204,37 @@ def project_lookup(spark, sf_dir):
     return routing.by_repository(asked, frame(spark, "fx_projects", sf_dir))
 
 
-@query("webhook_admission", f"""WITH {cte('fx_webhooks')} SELECT delivery, reason = 'accepted' AS accepted, reason FROM (SELECT delivery, CASE WHEN NOT signature_ok THEN 'bad signature' WHEN event <> 'pull_request' THEN 'ignored event'
- WHEN action <> 'closed' OR NOT merged THEN 'not merged' WHEN NOT mapped THEN 'unmapped repository' WHEN NOT enabled THEN 'schedule disabled' WHEN branch <> base THEN 'other branch' WHEN number IS NULL THEN 'missing ids' ELSE 'accepted' END AS reason FROM fx_webhooks)""")
+#: The secret of the query's deliveries. The SQL has the key's block under both masks as bytes.
+SECRET = b"a shared secret"
+WEBHOOKS_SQL = """WITH b AS (SELECT doc_id, CASE WHEN doc_id % 8 = 3 THEN 'push' ELSE 'pull_request' END AS event, '{"action":"' || CASE WHEN doc_id % 6 = 1 THEN 'opened' ELSE 'closed' END || '","pull_request":{"merged":' || CASE WHEN doc_id % 10 = 4 THEN 'false' ELSE 'true' END || CASE WHEN doc_id % 9 = 2 THEN '' ELSE ',"number":' || doc_id END
+ || ',"base":{"ref":"' || CASE WHEN doc_id % 7 = 5 THEN 'dev' ELSE 'main' END || '"}},"repository":{"full_name":"acme/' || source || '"},"digest":"' || sha256(coalesce(text, '')) || '","text":' || CAST(to_json(coalesce(lang, '')) AS VARCHAR) || '}' AS body FROM documents),
+h AS (SELECT *, sha256(unhex('3D7C2F343D2E39387C2F393F2E39285C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C5C') || unhex(sha256(unhex('5716455E574453521645535544534236363636363636363636363636363636363636363636363636363636363636363636363636363636363636363636363636') || encode(body)))) AS signature FROM b)
+"""
+
+
+def _webhooks(spark, sf_dir):
+    """A delivery of each document, some with a header that another body has."""
+    d, i = views.table(spark, sf_dir, "documents"), F.col("doc_id")
+    body = F.concat(
+        F.lit('{"action":"'), F.when(i % 6 == 1, "opened").otherwise("closed"), F.lit('","pull_request":{"merged":'), F.when(i % 10 == 4, "false").otherwise("true"), F.when(i % 9 == 2, "").otherwise(F.concat(F.lit(',"number":'), i)),
+        F.lit(',"base":{"ref":"'), F.when(i % 7 == 5, "dev").otherwise("main"), F.lit('"}},"repository":{"full_name":"acme/'), "source", F.lit('"},"digest":"'), F.sha2(F.coalesce("text", F.lit("")), 256), F.lit('","text":"'), F.coalesce("lang", F.lit("")), F.lit('"}'),
+    )
+    rows = d.select("doc_id", F.when(i % 8 == 3, "push").otherwise("pull_request").alias("event"), body.alias("body"), F.lit(True).alias("mapped"), F.lit(True).alias("enabled"), F.lit("main").alias("base"))
+    signature = signatures.hmac_sha256(F.col("body").cast("binary"), SECRET)
+    return rows.withColumn("header", F.when(i % 5 == 0, F.concat(F.lit("sha256="), F.sha2("body", 256))).when(i % 13 != 0, F.concat(F.lit("sha256="), signature)))
+
+
+@query("webhook_signatures", WEBHOOKS_SQL + "SELECT doc_id, signature FROM h")
+def webhook_signatures(spark, sf_dir):
+    return _webhooks(spark, sf_dir).select("doc_id", signatures.hmac_sha256(F.col("body").cast("binary"), SECRET).alias("signature"))
+
+
+@query("webhook_admission", WEBHOOKS_SQL + """, r AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 OR doc_id % 13 = 0 THEN 'bad signature' WHEN event <> 'pull_request' THEN 'ignored event' WHEN doc_id % 6 = 1 OR doc_id % 10 = 4 THEN 'not merged' WHEN doc_id % 7 = 5 THEN 'other branch' WHEN doc_id % 9 = 2 THEN 'missing ids' ELSE 'accepted' END AS reason FROM h)
+SELECT doc_id, reason = 'accepted' AS accepted, reason FROM r""")
 def webhook_admission(spark, sf_dir):
-    from docweir.streaming.gates import admission
+    from docweir.streaming.gates import admission, verified
 
-    return admission(frame(spark, "fx_webhooks", sf_dir)).select("delivery", "accepted", "reason")
+    return admission(verified(_webhooks(spark, sf_dir), SECRET)).select("doc_id", "accepted", "reason")
 
 
 @query("dead_letters", f"WITH {cte('fx_queue')} SELECT message_id, CASE WHEN ok THEN 'complete' WHEN deliveries >= 5 THEN 'dead-letter' ELSE 'abandon' END AS outcome FROM fx_queue")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docweir.operators import access
+from docweir.operators import access, generation
 from docweir.plans.fixtures import cte, frame
 from docweir.plans.registry import query
-from docweir.plans.routing import POLICY
-from docweir.sources import projects, views
-from docweir.shared import work_dir
-from docweir.streaming import ingest
+from docweir.plans.routing import POLICY, ROUTED_SQL, routed
+from docweir.shared import qualified, work_dir
+from docweir.sources import generations, projects, queue, views
+from docweir.streaming import ingest, keyed, metrics
 
 
 def _stored(spark, sf_dir):
@@ -35,6 +35,98 @@ def stream_chunks(spark, sf_dir):
     return _stored(spark, sf_dir).chunks.read().groupBy("source_id").agg(F.count(F.lit(1)).alias("chunks"), F.min("storage_id").alias("least_id"))
 
 
+def _in_parts(spark, sf_dir, parts, run):
+    """Writes parts of a table one after the other into a folder, and runs a stream over it after each: every part is a batch, and every run a restart."""
+    where = work_dir(spark, "stream")
+    for k, part in enumerate(parts):
+        part.write.parquet(f"{where}/in/part-{k}")
+        query = run(ingest.documents(spark, f"{where}/in", part.schema), f"{where}/checkpoint", f"{where}/out")
+        query.awaitTermination()
+    return spark.read.parquet(f"{where}/out")
+
+
+def _to_files(stream, checkpoint, out):
+    return stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+@query("lease_stream", """WITH RECURSIVE r AS (SELECT event_id, 'user:' || user_id AS scope, event_type AS requester, epoch_us(ts) AS asked, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 2, ts, event_id) AS k FROM events),
+f(event_id, scope, requester, k, owner, expires, decision) AS (SELECT event_id, scope, requester, k, requester, asked + 86400000000, 'granted' FROM r WHERE k = 1
+ UNION ALL SELECT r.event_id, r.scope, r.requester, r.k, CASE WHEN owner = r.requester OR expires <= asked THEN r.requester ELSE owner END, CASE WHEN owner = r.requester OR expires <= asked THEN asked + 86400000000 ELSE expires END,
+  CASE WHEN owner = r.requester THEN 'renewed' WHEN expires <= asked THEN 'taken over' ELSE 'held' END FROM f JOIN r ON r.scope = f.scope AND r.k = f.k + 1)
+SELECT event_id AS request_id, scope, requester, decision FROM f""")
+def lease_stream(spark, sf_dir):
+    """Events as requests for their user's lease of a day; the stream stops and starts again halfway."""
+    keyed.prepare(spark)
+    e = views.table(spark, sf_dir, "events").select(F.col("event_id").alias("request_id"), F.concat(F.lit("user:"), "user_id").alias("scope"), F.col("event_type").alias("requester"), F.col("ts").cast("timestamp").alias("asked_at"))
+    parts = [e.where(F.col("request_id") % 2 == k) for k in (0, 1)]
+    return _in_parts(spark, sf_dir, parts, lambda s, checkpoint, out: _to_files(keyed.lease_stream(s, 86_400), checkpoint, out))
+
+
+@query("manifest_stream", views.BASE_SQL + """ SELECT provider, source_id, CAST(0 AS BIGINT) AS scanned, CASE WHEN deleted THEN 'SKIP' ELSE 'INDEX' END AS operation FROM src
+UNION ALL SELECT provider, source_id, 1, CASE WHEN doc_id % 5 = 0 THEN CASE WHEN deleted THEN 'SKIP' ELSE 'DELETE' END WHEN deleted OR doc_id % 7 = 0 THEN 'INDEX' ELSE 'SKIP' END FROM src WHERE doc_id % 3 <> 1""")
+def manifest_stream(spark, sf_dir):
+    """Two scans of all documents, the second without some, and with some changed, deleted or back; what is known of each is keyed state."""
+    keyed.prepare(spark)
+    s = views.source_documents(spark, sf_dir).select("doc_id", "provider", "source_id", "version", "deleted", F.lit(0).cast("long").alias("scanned"))
+    again = s.where("doc_id % 3 <> 1").withColumns({"version": F.when(F.col("doc_id") % 7 == 0, F.concat("version", F.lit("+"))).otherwise(F.col("version")), "deleted": F.col("doc_id") % 5 == 0, "scanned": F.lit(1).cast("long")})
+    return _in_parts(spark, sf_dir, [s, again], lambda st, checkpoint, out: _to_files(keyed.manifest_stream(st), checkpoint, out))
+
+
+@query("late_event_windows", """SELECT CAST(time_bucket(INTERVAL 1 HOUR, ts) AS TIMESTAMP) AS start, event_type, count(*) AS events FROM events WHERE NOT (event_id % 10 = 0 AND ts < TIMESTAMP '2024-01-10 00:00:00')
+GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 HOUR, min(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""")
+def late_event_windows(spark, sf_dir):
+    """Events in three batches: some of the first ten days come last and are too late, some of the fifteenth come again and count once."""
+    e = views.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    day = lambda n: F.lit(f"2024-01-{n} 00:00:00").cast("timestamp")
+    late = (F.col("event_id") % 10 == 0) & (F.col("ts") < day(10))
+    again = (F.col("ts") >= day(15)) & (F.col("ts") < day(16))
+    parts = [e.where(~late & (F.col("ts") < day(16))), e.where((F.col("ts") >= day(16)) & (F.col("ts") < day(24))).unionByName(e.where(again)), e.where((F.col("ts") >= day(24)) | late)]
+    return _in_parts(spark, sf_dir, parts, lambda s, checkpoint, out: _to_files(ingest.event_counts(s), checkpoint, out)).withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("queue_settlements", """SELECT 'job:' || doc_id AS message_id, CASE doc_id % 10 WHEN 3 THEN 'dead-letter' ELSE 'complete' END AS outcome, CAST(CASE doc_id % 10 WHEN 3 THEN 5 WHEN 5 THEN 3 ELSE 1 END AS INTEGER) AS deliveries FROM documents""")
+def queue_settlements(spark, sf_dir):
+    """A message for each document. Some fail twice, some always: those are put aside at their fifth delivery."""
+    where = work_dir(spark, "queue")
+    source, store = queue.Queue(qualified(spark, f"{where}/queue")), ingest.Store(spark, f"{where}/store")
+    d = views.table(spark, sf_dir, "documents").select("doc_id", "source")
+    source.send(d.select(F.concat(F.lit("job:"), "doc_id").alias("message_id"), F.lit(1).cast("int").alias("deliveries"), F.to_json(F.struct(F.col("source").alias("project_id"), "doc_id")).alias("body")), "first")
+
+    def handle(rows):
+        digit = F.get_json_object("body", "$.doc_id").cast("long") % 10
+        done = rows.withColumn("ok", (digit != 3) & ~((digit == 5) & (F.col("deliveries") < 3)))
+        done.where("ok").select("message_id", "deliveries").write.mode("append").parquet(f"{where}/done")
+        return done
+
+    query = ingest.consume(queue.stream(spark, source.folder, 100_000), source, store, handle, f"{where}/checkpoint", "run-1")
+    try:
+        query.processAllAvailable()  # what is sent again meanwhile, too
+    finally:
+        query.stop()
+    done = spark.read.parquet(f"{where}/done").select("message_id", F.lit("complete").alias("outcome"), "deliveries")
+    return done.unionByName(store.dead.read().select("message_id", F.lit("dead-letter").alias("outcome"), "deliveries"))
+
+
+@query("observed_counters", ROUTED_SQL + """, c AS (SELECT provider, operation, count(*) AS documents, CAST(coalesce(sum(chunk_count) FILTER (operation = 'INDEX'), 0) AS BIGINT) AS chunks FROM r GROUP BY ALL)
+SELECT 'documents|' || provider || '|' || operation AS counter, documents AS value FROM c UNION ALL SELECT 'chunks|' || provider || '|INDEX', chunks FROM c WHERE operation = 'INDEX' AND chunks > 0""")
+def observed_counters(spark, sf_dir):
+    """Counters of a scan, taken as its rows pass on their way to a store; no second scan."""
+    meter = metrics.Meter()
+    meter.observed(routed(spark, sf_dir)).select("source_id", "operation").write.parquet(f"{work_dir(spark, 'observed')}/routed")
+    return spark.createDataFrame([(k, int(v)) for k, v in meter.close().items()], "counter string, value long")
+
+
+@query("chunk_generations", views.BASE_SQL + " SELECT source_id, count(*) AS chunks, min(sha256(project_id || '|' || provider || '|' || source_id || '|' || i)) AS least_id FROM (SELECT *, unnest(range(chunk_count)) AS i FROM src WHERE NOT deleted) GROUP BY source_id")
+def chunk_generations(spark, sf_dir):
+    """A generation of all chunks replaces one of some, in two phases."""
+    where = qualified(spark, work_dir(spark, "generations"))
+    rows = generation.storage_rows(views.source_documents(spark, sf_dir).where("not deleted").withColumn("_n", F.col("chunk_count")))
+    generations.replace(rows.where("ordinal = 0"), where)
+    generations.replace(rows, where, rows.count())
+    stored = generations.Generations(where).read(spark, rows.schema)
+    return stored.groupBy("source_id").agg(F.count(F.lit(1)).alias("chunks"), F.min("storage_id").alias("least_id"))
+
+
 @query("event_windows", "SELECT CAST(time_bucket(INTERVAL 1 HOUR, ts) AS TIMESTAMP) AS start, event_type, count(*) AS events FROM events GROUP BY 1, 2")
 def event_windows(spark, sf_dir):
     return ingest.late_events(views.table(spark, sf_dir, "events"))

@@ -27,6 +27,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, where: str) -> str:
+    """A folder's full URI, by which pyarrow finds what Spark means by a path."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    return f"file://{full.removeprefix('file:')}" if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df, written to the shared folder once and read from there: its lineage ends here."""
     shared_folder(df.sparkSession)

@@ -5,18 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docweir.functions import signatures
+
 # The fields of a message, all of them and no others.
 JOB_FIELDS = ("job_id", "mode", "project_id", "provider", "pull_request", "repository", "requested_at")
 #: A message that failed on so many deliveries is put aside.
 MOST_DELIVERIES = 5
 
 
+#: Bytes that a webhook's body may have.
+MOST_BODY = 1_048_576
+
+
+def verified(events: DataFrame, secret: bytes, most: int = MOST_BODY) -> DataFrame:
+    """Deliveries (header, body) with signature_ok, and what their JSON says of a merge: event stays, action, merged, branch, number, repository."""
+    get = lambda path: F.get_json_object("body", path)
+    raw = F.col("body").cast("binary")
+    return events.withColumns({
+        "signature_ok": (F.octet_length(raw) <= most) & signatures.is_signed(F.col("header"), raw, secret), "action": get("$.action"), "merged": F.coalesce(get("$.pull_request.merged") == "true", F.lit(False)),
+        "branch": get("$.pull_request.base.ref"), "number": get("$.pull_request.number").try_cast("int"), "repository": get("$.repository.full_name"),
+    })
+
+
 def admission(events: DataFrame) -> DataFrame:
     """Merge events with accepted and the first reason against each. Works on streams as on tables."""
     reason = (
         F.when(~F.col("signature_ok"), "bad signature")
         .when(F.col("event") != "pull_request", "ignored event")
-        .when((F.col("action") != "closed") | ~F.col("merged"), "not merged")
+        .when(~F.coalesce((F.col("action") == "closed") & F.col("merged"), F.lit(False)), "not merged")
         .when(~F.col("mapped"), "unmapped repository")
         .when(~F.col("enabled"), "schedule disabled")
         .when(F.col("branch") != F.col("base"), "other branch")
