@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docweir.functions import formats
 from docweir.operators import assembly, sections
-from docweir.plans.fixtures import cte, frame
+from docweir.plans.fixtures import frame
 from docweir.plans.registry import query
 from docweir.plans.text import NEWLINE_SQL, TEXTS_SQL, texts
 from docweir.sources import views
@@ -157,10 +157,14 @@ def flat_metadata(spark, sf_dir):
     return assembly.flattened(views.source_documents(spark, sf_dir).withColumns({"structure_path": F.array("title", "path"), "page": F.lit(None).cast("int")})).select("source_id", "structure_path", "structure_root", "structure_leaf", "page_number", F.lower("space_key").alias("x_lang"))
 
 
-@query("reserved_metadata_keys", f"""WITH {cte('fx_keys')}, k AS (SELECT raw, substr(regexp_replace(raw, '[^A-Za-z0-9_]', '_', 'g'), 1, 64) AS key FROM fx_keys)
-SELECT raw, key, CASE WHEN key IN ({', '.join(repr(k) for k in assembly.RESERVED)}) THEN 'reserved' WHEN key = '' OR starts_with(key, '_') THEN 'dropped' ELSE 'kept' END AS outcome FROM k""")
+@query("reserved_metadata_keys", """WITH r AS (SELECT doc_id, ['provider', 'title', substr(coalesce(text, ''), 1, 70), '_' || coalesce(lang, ''), coalesce(source, '') || ' key', '', 'embedding text', 'schema-version'][doc_id % 8 + 1] AS raw FROM documents), k AS (SELECT doc_id, raw, substr(regexp_replace(raw, '[^A-Za-z0-9_]', '_', 'g'), 1, 64) AS key FROM r)
+SELECT doc_id, key, CASE WHEN key IN ('embedding_text', 'canonical_chunk_id', 'project_id', 'access_policy_id', 'provider', 'source_id', 'source_type', 'source_version', 'title', 'reference', 'source_url', 'chunk_ordinal', 'content_hash', 'structure_hash', 'parent_id', 'record_kind', 'schema_version', 'embedding_model') THEN 'reserved'
+ WHEN key = '' OR starts_with(key, '_') THEN 'dropped' ELSE 'kept' END AS outcome FROM k""")
 def reserved_metadata_keys(spark, sf_dir):
-    return frame(spark, "fx_keys").select("raw", assembly.safe_key(F.col("raw")).alias("key"), assembly.key_outcome(F.col("raw")).alias("outcome"))
+    """Keys of each document's metadata: reserved ones, ones that become reserved, its own first words, and hidden ones."""
+    own = F.array(F.lit("provider"), F.lit("title"), F.substring(F.coalesce("text", F.lit("")), 1, 70), F.concat(F.lit("_"), F.coalesce("lang", F.lit(""))), F.concat(F.coalesce("source", F.lit("")), F.lit(" key")), F.lit(""), F.lit("embedding text"), F.lit("schema-version"))
+    rows = views.table(spark, sf_dir, "documents").select("doc_id", F.element_at(own, (F.col("doc_id") % 8 + 1).cast("int")).alias("raw"))
+    return rows.select("doc_id", assembly.safe_key(F.col("raw")).alias("key"), assembly.key_outcome(F.col("raw")).alias("outcome"))
 
 
 @query("page_headings", "SELECT page_id, regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1) AS heading, CAST(len(regexp_extract_all(html, '<p[ >]')) AS BIGINT) AS paragraphs, CAST(len(regexp_extract_all(html, '<li[ >]')) AS BIGINT) AS items FROM pages")
@@ -192,6 +196,17 @@ def chunked_documents(spark, sf_dir):
     return found.withColumn("path", F.concat_ws(" > ", "path"))
 
 
+@query("token_windows")
+def token_windows(spark, sf_dir):
+    """Windows of every document by a public tokenizer's tokens."""
+    import public_tokenizers
+
+    from docweir.operators.token_windows import window_documents
+
+    found = window_documents(views.twin_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select("provider", "source_id", "ordinal", F.concat_ws(" > ", "path").alias("path"), "start", "end", "tokens", "total", F.sha2("content", 256).alias("digest"))
+
+
 @query("assembled_chunks")
 def assembled_chunks(spark, sf_dir):
     """Every document cut, and its chunks as they would be stored."""

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import re
+import zipfile
+from xml.sax.saxutils import escape
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docweir.functions import paths, richtext, text
+from docweir.functions import ooxml, paths, richtext, text
 from docweir.operators import issues, references, routing
 from docweir.plans.fixtures import cte, frame
 from docweir.plans.quality import STORED_SQL, stored
@@ -56,10 +63,18 @@ def pinned_references(spark, sf_dir):
     return references.pinned(frame(spark, "fx_citing", sf_dir), frame(spark, "fx_pins"))
 
 
-@query("linked_images")
+@query("linked_images", """WITH d AS (SELECT 'doc:' || doc_id AS source_id, doc_id, coalesce(source, 'none') AS folder FROM documents)
+SELECT source_id, folder || '/img/' || doc_id || '.png' AS image, CASE WHEN doc_id % 3 = 0 THEN sha256(CAST(doc_id AS VARCHAR)) END AS sha FROM d
+UNION ALL SELECT source_id, 'shared/' || doc_id % 7 || '.JPG', CASE WHEN doc_id % 7 = 2 THEN 'seven' END FROM d WHERE doc_id % 2 = 1""")
 def linked_images(spark, sf_dir):
-    docs = frame(spark, "fx_texts").select("source_id", F.lit("docs/page.md").alias("path"), "content")
-    return references.linked_images(docs, frame(spark, "fx_files"))
+    """Pictures of each document: one of its own beside it, some named from the folder above, one that climbs out, and one that is remote."""
+    d = views.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("none")).alias("folder"))
+    climbs = F.when(F.col("doc_id") % 2 == 1, F.concat(F.lit("![s](./x/./"), F.col("doc_id") % 7, F.lit(".JPG)"))).otherwise("")
+    content = F.concat(F.lit("![a](img/"), "doc_id", F.lit(".png) ![b](http://x/b.png) ![c](../../up.png) ![d](d.svg) "))
+    own = d.select(F.concat(F.lit("doc:"), "doc_id").alias("source_id"), F.concat("folder", F.lit("/page.md")).alias("path"), content.alias("content"))
+    shared = d.select(F.concat(F.lit("doc:"), "doc_id").alias("source_id"), F.lit("index.md").alias("path"), F.replace(climbs, F.lit("./x/./"), F.lit("./shared/./")).alias("content"))
+    listing = d.where("doc_id % 3 = 0").select(F.concat("folder", F.lit("/img/"), "doc_id", F.lit(".png")).alias("path"), F.sha2(F.col("doc_id").cast("string"), 256).alias("sha"))
+    return references.linked_images(own.unionByName(shared), listing.unionByName(spark.createDataFrame([("shared/2.JPG", "seven")], "path string, sha string")))
 
 
 @query("blob_text", f"""WITH {cte('fx_blobs')} SELECT name, CASE WHEN ok THEN decode(from_base64(body)) END AS text FROM fx_blobs""")
@@ -183,6 +198,38 @@ def parsed_payloads(spark, sf_dir):
     return references.parsed(frame(spark, "fx_payloads", sf_dir).select(F.col("path").alias("source_id"), "path", F.unhex("payload").alias("content_bytes")))
 
 
+@F.pandas_udf(T.BinaryType())
+def _docx(title: pd.Series, text: pd.Series, source: pd.Series, lang: pd.Series) -> pd.Series:
+    """Word bodies: a heading, a paragraph for each line, and a table."""
+
+    def one(*values: str) -> bytes:
+        head, body, *cells = (escape(v) for v in values)
+        par = lambda t, style="": f"<w:p><w:pPr><w:pStyle w:val='{style}'/></w:pPr><w:r><w:t xml:space='preserve'>{t}</w:t></w:r></w:p>"
+        rows = "".join(f"<w:tc>{par(c)}</w:tc>" for c in cells)
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            space = "xmlns:w='http://schemas.openxmlformats.org/wordprocessingml/2006/main'"
+            archive.writestr("word/document.xml", f"<w:document {space}><w:body>{par(head, 'Top')}{''.join(map(par, re.split(chr(10) + '|' + chr(13), body)))}<w:tbl><w:tr>{rows}</w:tr></w:tbl></w:body></w:document>")
+            archive.writestr("word/styles.xml", f"<w:styles {space}><w:style w:styleId='Top'><w:name w:val='heading 1'/></w:style></w:styles>")
+        return out.getvalue()
+
+    return pd.Series([one(*v) for v in zip(title, text, source, lang)], dtype=object)
+
+
+#: White space of any kind, and what XML can't hold.
+_SPACE = r"[\x{00}-\x{20}\x{7f}-\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{fffe}\x{ffff}]+"
+
+
+@query("office_bodies", views.BASE_SQL + f""" SELECT source_id, sha256(regexp_replace('#' || title || content || '|' || scope || '|' || coalesce(space_key, '') || '||---|---|', '{_SPACE}', '', 'g')) AS digest FROM src""")
+def office_bodies(spark, sf_dir):
+    """Every document as a Word body, read back: heading, paragraphs and cells."""
+    s = views.source_documents(spark, sf_dir)
+    text = F.regexp_replace("content", r"[\x00-\x08\x0b\x0c\x0e-\x1f\x{fffe}\x{ffff}]", " ")
+    rows = s.select("source_id", F.lit("x.docx").alias("path"), _docx("title", text, "scope", F.coalesce("space_key", F.lit(""))).alias("content_bytes"))
+    read = references.parsed(rows, ooxml.read).groupBy("source_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "text"))), lambda r: r["text"]), "").alias("text"))
+    return read.select("source_id", F.sha2(F.regexp_replace("text", _SPACE, ""), 256).alias("digest"))
+
+
 def _raw_issues(spark, sf_dir):
     """The fixture's issues as JSON, and a comment of each with a conversation's first words."""
     rows = frame(spark, "fx_issues", sf_dir)

@@ -70,14 +70,22 @@ def wanted_keys_missing(spark, sf_dir):
     return frame(spark, "fx_wanted", sf_dir).select("issue_key").exceptAll(frame(spark, I, sf_dir).select("issue_key"))
 
 
-@query("section_kinds", f"""WITH {cte('fx_headings')} SELECT heading, CASE WHEN regexp_matches(heading, '(?i)acceptance|aceptaci[oó]n') THEN 'ACCEPTANCE' WHEN regexp_matches(heading, '(?i)requirement|requisito') THEN 'REQUIREMENTS' ELSE 'DESCRIPTION' END AS kind FROM fx_headings""")
+@query("section_kinds", """WITH h AS (SELECT doc_id, '## ' || ['Acceptance', 'Criterios de aceptación', 'Requirements', 'Requisitos', 'Notes'][doc_id % 5 + 1] || ' ' || substr(coalesce(text, ''), 1, 30) AS heading FROM documents)
+SELECT doc_id, CASE WHEN regexp_matches(heading, '(?i)acceptance|aceptaci[oó]n') THEN 'ACCEPTANCE' WHEN regexp_matches(heading, '(?i)requirement|requisito') THEN 'REQUIREMENTS' ELSE 'DESCRIPTION' END AS kind FROM h""")
 def section_kinds(spark, sf_dir):
-    return frame(spark, "fx_headings").select("heading", text.section_kind(F.col("heading")).alias("kind"))
+    names = F.array(*map(F.lit, ("Acceptance", "Criterios de aceptación", "Requirements", "Requisitos", "Notes")))
+    d = views.table(spark, sf_dir, "documents")
+    heading = F.concat(F.lit("## "), F.element_at(names, (F.col("doc_id") % 5 + 1).cast("int")), F.lit(" "), F.substring(F.coalesce("text", F.lit("")), 1, 30))
+    return d.select("doc_id", text.section_kind(heading).alias("kind"))
 
 
-@query("iso_times", f"""WITH {cte('fx_times')} SELECT raw, strftime(TRY_CAST(raw AS TIMESTAMPTZ) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') AS minute FROM fx_times""")
+@query("iso_times", """SELECT event_id, CASE event_id % 5 WHEN 1 THEN strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M') WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M') END AS minute FROM events""")
 def iso_times(spark, sf_dir):
-    return frame(spark, "fx_times").select("raw", paths.jql_minute(paths.iso_time(F.col("raw"))).alias("minute"))
+    """Times of events as services write them: in UTC, in another zone, without a zone, and not at all."""
+    e, k = views.table(spark, sf_dir, "events"), F.col("event_id") % 5
+    form = lambda pattern: F.date_format("ts", pattern)
+    raw = F.when(k == 0, form("yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k == 1, form("yyyy-MM-dd'T'HH:mm:ss'+02:00'")).when(k == 2, form("yyyy-MM-dd HH:mm:ss")).when(k == 3, F.concat(F.lit("not "), "event_type"))
+    return e.select("event_id", paths.jql_minute(paths.iso_time(raw)).alias("minute"))
 
 
 @query("bound_assets", f"""WITH {cte('fx_elements', 'fx_assets')} SELECT e.source_id, e.ordinal, a.asset_id FROM fx_elements e JOIN fx_assets a ON e.source_id = a.source_id AND (a.page = e.page OR (a.page IS NULL AND e.ordinal = 0))""")
@@ -90,12 +98,15 @@ def page_labels(spark, sf_dir):
     return frame(spark, "fx_labels", sf_dir).groupBy("page_id").agg(F.concat_ws(",", F.array_sort(F.collect_set(F.nullif(F.trim("label"), F.lit(""))))).alias("labels"))
 
 
-@query("job_messages", f"""WITH {cte('fx_jobs')}, k AS (SELECT raw, CASE WHEN json_valid(raw) AND json_type(raw) = 'OBJECT' THEN list_sort(json_keys(raw)) END AS ks FROM fx_jobs)
-SELECT raw, CASE WHEN ks IS NULL THEN 'not an object' WHEN ks <> ['job_id', 'mode', 'project_id', 'provider', 'pull_request', 'repository', 'requested_at'] THEN 'wrong fields' ELSE 'ok' END AS verdict FROM k""")
+@query("job_messages", """SELECT doc_id, ['ok', 'wrong fields', 'wrong fields', 'not an object', 'not an object'][doc_id % 5 + 1] AS verdict FROM documents""")
 def job_messages(spark, sf_dir):
+    """A message for each document: whole, without a field, with one more, a list, and its bare text."""
     from docweir.streaming.gates import job_verdict
 
-    return frame(spark, "fx_jobs").select("raw", job_verdict(F.col("raw")).alias("verdict"))
+    d, k = views.table(spark, sf_dir, "documents"), F.col("doc_id") % 5
+    fields = [F.col("doc_id").cast("string").alias("job_id"), F.lit("full").alias("mode"), F.coalesce("source", F.lit("")).alias("project_id"), F.lit("JIRA").alias("provider"), F.lit("7").alias("pull_request"), F.coalesce("lang", F.lit("")).alias("repository"), F.lit("2024").alias("requested_at")]
+    raw = F.when(k == 0, F.to_json(F.struct(*fields))).when(k == 1, F.to_json(F.struct(*fields[1:]))).when(k == 2, F.to_json(F.struct(*fields, F.lit("x").alias("extra")))).when(k == 3, F.to_json(F.array("doc_id"))).otherwise(F.concat(F.lit("job "), F.coalesce("text", F.lit(""))))
+    return d.select("doc_id", job_verdict(raw).alias("verdict"))
 
 
 @query("provider_request", f"WITH {cte('fx_projects')} SELECT project_id, array_to_string(list_filter(['JIRA', 'GITHUB', 'LOCAL'], lambda x: list_contains(['JIRA', 'CONFLUENCE'], x)), ',') AS providers FROM fx_projects")

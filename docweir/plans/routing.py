@@ -126,11 +126,16 @@ def access_policy_labels(spark, sf_dir):
     return access.resolve_policy(frame(spark, "fx_labelled", sf_dir), frame(spark, "fx_rules"), PROJECT).select("source_id", "access_policy_id")
 
 
-@query("access_rule_validation", f"""WITH {cte('fx_bad_rules')} SELECT ordinal, CASE WHEN provider NOT IN ('CONFLUENCE', 'JIRA', 'GITHUB') THEN 'unsupported provider'
- WHEN match_field NOT IN ('TITLE', 'SPACE_KEY', 'LABEL', 'PATH') THEN 'unsupported match field' WHEN prefix = '' THEN 'empty prefix'
- WHEN NOT (access_policy_id = 'project:DEMO' OR regexp_full_match(access_policy_id, 'department:DEMO:[A-Z0-9_]{{2,64}}')) THEN 'policy of another project' END AS error FROM fx_bad_rules""")
+@query("access_rule_validation", """WITH r AS (SELECT doc_id AS ordinal, ['CONFLUENCE', 'JIRA', 'GITHUB', 'DROPBOX'][doc_id % 4 + 1] AS provider, ['TITLE', 'SPACE_KEY', 'LABEL', 'PATH', 'AUTHOR'][doc_id % 5 + 1] AS match_field, CASE WHEN doc_id % 7 = 0 THEN '' ELSE source END AS prefix,
+ ['project:DEMO', 'department:DEMO:' || upper(coalesce(lang, 'XX')), 'department:OTHER:HR', 'department:DEMO:h r', 'project:' || source, 'department:DEMO:A'][doc_id % 6 + 1] AS policy FROM documents WHERE source IS NOT NULL)
+SELECT ordinal, CASE WHEN provider = 'DROPBOX' THEN 'unsupported provider' WHEN match_field = 'AUTHOR' THEN 'unsupported match field' WHEN prefix = '' THEN 'empty prefix' WHEN ordinal % 6 > 1 AND policy <> 'project:DEMO' THEN 'policy of another project' END AS error FROM r""")
 def access_rule_validation(spark, sf_dir):
-    return access.rule_errors(frame(spark, "fx_bad_rules"), PROJECT).select("ordinal", "error")
+    """A rule for each document, wrong in its provider, field, prefix or policy, or not at all."""
+    d, i = views.table(spark, sf_dir, "documents").where("source is not null"), F.col("doc_id")
+    pick = lambda values, n: F.element_at(F.array(*(v if not isinstance(v, str) else F.lit(v) for v in values)), (i % n + 1).cast("int"))
+    policies = ("project:DEMO", F.concat(F.lit("department:DEMO:"), F.upper(F.coalesce("lang", F.lit("XX")))), "department:OTHER:HR", "department:DEMO:h r", F.concat(F.lit("project:"), "source"), "department:DEMO:A")
+    rules = d.select(i.alias("ordinal"), pick(("CONFLUENCE", "JIRA", "GITHUB", "DROPBOX"), 4).alias("provider"), pick(("TITLE", "SPACE_KEY", "LABEL", "PATH", "AUTHOR"), 5).alias("match_field"), F.when(i % 7 == 0, "").otherwise(F.col("source")).alias("prefix"), pick(policies, 6).alias("access_policy_id"))
+    return access.rule_errors(rules, PROJECT).select("ordinal", "error")
 
 
 @query("root_page_tree", f"""WITH RECURSIVE {cte('fx_pages', 'fx_roots')},

@@ -132,9 +132,15 @@ def event_windows(spark, sf_dir):
     return ingest.late_events(views.table(spark, sf_dir, "events"))
 
 
-@query("project_configs", f"""WITH {cte('fx_payloads_json')}, j AS (SELECT CAST(payload AS JSON) AS p FROM fx_payloads_json),
-d AS (SELECT p->>'$.project_id' AS project_id, coalesce(p->>'$.collection', 'documents') AS collection, coalesce(CAST(p->>'$.schedule.enabled' AS BOOLEAN), true) AS enabled, coalesce(p->>'$.schedule.branch', 'main') AS branch,
- coalesce(CAST(p->>'$.embedding.dimensions' AS INTEGER), 1024) AS dimensions, coalesce(CAST(p->>'$.batch' AS INTEGER), 16) AS batch, CAST(coalesce(json_array_length(p->'$.rules'), 0) AS INTEGER) AS rules FROM j)
-SELECT *, CASE WHEN project_id IS NULL THEN 'no project' WHEN dimensions NOT IN (384, 768, 1024) THEN 'dimensions' WHEN batch NOT BETWEEN 1 AND 64 THEN 'batch' END AS fault FROM d""")
+@query("project_configs", """WITH d AS (SELECT doc_id, CASE WHEN doc_id % 9 <> 0 THEN 'p' || doc_id END AS project_id, coalesce(CASE WHEN doc_id % 2 = 0 THEN source END, 'documents') AS collection, doc_id % 5 <> 1 AS enabled, coalesce(CASE WHEN doc_id % 3 = 1 THEN lang END, 'main') AS branch,
+ [384, 768, 1024, 64, 1024][doc_id % 5 + 1] AS dimensions, CASE WHEN doc_id % 4 = 3 THEN 16 ELSE doc_id % 90 END AS batch, doc_id % 3 AS rules FROM documents)
+SELECT project_id, collection, enabled, branch, CAST(dimensions AS INTEGER) AS dimensions, CAST(batch AS INTEGER) AS batch, CAST(rules AS INTEGER) AS rules, CASE WHEN project_id IS NULL THEN 'no project' WHEN dimensions = 64 THEN 'dimensions' WHEN batch NOT BETWEEN 1 AND 64 THEN 'batch' END AS fault FROM d""")
 def project_configs(spark, sf_dir):
-    return projects.decoded(frame(spark, "fx_payloads_json"))
+    """A configuration for each document, with fields left out, and values that aren't allowed."""
+    d, i = views.table(spark, sf_dir, "documents"), F.col("doc_id")
+    rule = F.struct(F.lit("JIRA").alias("provider"), F.col("source").alias("prefix"))
+    fields = F.struct(
+        F.when(i % 9 != 0, F.concat(F.lit("p"), i)).alias("project_id"), F.when(i % 2 == 0, F.col("source")).alias("collection"), F.struct(F.when(i % 5 == 1, F.lit(False)).alias("enabled"), F.when(i % 3 == 1, F.col("lang")).alias("branch")).alias("schedule"),
+        F.struct(F.lit("e5").alias("model"), F.element_at(F.array(*map(F.lit, (384, 768, 1024, 64))), F.when(i % 5 < 4, i % 5 + 1).cast("int")).alias("dimensions")).alias("embedding"), F.when(i % 4 != 3, i % 90).alias("batch"), F.when(i % 3 > 0, F.array_repeat(rule, (i % 3).cast("int"))).alias("rules"),
+    )
+    return projects.decoded(d.select(F.to_json(fields).alias("payload")))

@@ -179,12 +179,20 @@ def file_kinds(spark, sf_dir):
     return views.source_documents(spark, sf_dir).groupBy(paths.kind_of_file(F.col("path")).alias("kind"), paths.suffix(F.col("path")).alias("suffix")).agg(F.count(F.lit(1)).alias("files"))
 
 
-@query("link_kinds", f"""WITH {cte('fx_links')} SELECT url, CASE WHEN regexp_matches(url, '^https://github\\.com/[^/]+/[^/]+/issues/[^/]+') THEN 'GITHUB_ISSUE' WHEN regexp_matches(url, '^https://github\\.com/[^/]+/[^/]+/pull/[^/]+') THEN 'GITHUB_PR'
- WHEN regexp_matches(url, '^https://github\\.com/[^/]+/[^/]+/commit/[^/]+') THEN 'GITHUB_COMMIT' ELSE 'REMOTE_LINK' END AS kind,
- CASE WHEN starts_with(url, 'http') THEN url WHEN starts_with(url, '/wiki/') THEN 'https://site' || url ELSE 'https://site/wiki' || url END AS resolved, TRY_CAST(regexp_extract(url, '^page:(\\d+)$', 1) AS INTEGER) AS page FROM fx_links""")
+@query("link_kinds", """WITH u AS (SELECT doc_id, ['https://github.com/acme/' || source || '/issues/' || doc_id, 'https://github.com/acme/' || source || '/pull/' || doc_id, 'https://github.com/acme/' || source || '/commit/' || substr(sha256(text), 1, 12), 'https://github.com/acme/' || source,
+ 'https://example.org/acme/' || source || '/pull/' || doc_id, '/wiki/spaces/' || lang || '/' || doc_id, '/download/' || source || '.png', 'page:' || doc_id, 'page:' || lang][doc_id % 9 + 1] AS url FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL)
+SELECT doc_id, url, ['GITHUB_ISSUE', 'GITHUB_PR', 'GITHUB_COMMIT', 'REMOTE_LINK', 'REMOTE_LINK', 'REMOTE_LINK', 'REMOTE_LINK', 'REMOTE_LINK', 'REMOTE_LINK'][doc_id % 9 + 1] AS kind,
+ CASE WHEN doc_id % 9 < 5 THEN url WHEN doc_id % 9 = 5 THEN 'https://site' || url ELSE 'https://site/wiki' || url END AS resolved, CASE WHEN doc_id % 9 = 7 THEN CAST(doc_id AS INTEGER) END AS page FROM u""")
 def link_kinds(spark, sf_dir):
+    d = views.table(spark, sf_dir, "documents").where("text is not null and lang is not null and source is not null")
+    hub = lambda *rest: F.concat(F.lit("https://github.com/acme/"), "source", *rest)
+    urls = F.array(
+        hub(F.lit("/issues/"), F.col("doc_id")), hub(F.lit("/pull/"), F.col("doc_id")), hub(F.lit("/commit/"), F.substring(F.sha2("text", 256), 1, 12)), hub(), F.concat(F.lit("https://example.org/acme/"), "source", F.lit("/pull/"), "doc_id"),
+        F.concat(F.lit("/wiki/spaces/"), "lang", F.lit("/"), "doc_id"), F.concat(F.lit("/download/"), "source", F.lit(".png")), F.concat(F.lit("page:"), "doc_id"), F.concat(F.lit("page:"), "lang"),
+    )
     url = F.col("url")
-    return frame(spark, "fx_links").select("url", text.link_kind(url).alias("kind"), text.absolute_link(F.lit("https://site"), url).alias("resolved"), text.page_of(url).alias("page"))
+    rows = d.select("doc_id", F.element_at(urls, (F.col("doc_id") % 9 + 1).cast("int")).alias("url"))
+    return rows.select("doc_id", "url", text.link_kind(url).alias("kind"), text.absolute_link(F.lit("https://site"), url).alias("resolved"), text.page_of(url).alias("page"))
 
 
 @query("image_targets", TEXTS_SQL + f""", t AS (SELECT source_id, unnest(regexp_extract_all(content, '{text.MARKDOWN_IMAGE}', 1)) AS target FROM texts)
