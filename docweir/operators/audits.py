@@ -60,6 +60,16 @@ def defects(chunks: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFram
     return chunks.withColumn("_nth", nth).select("chunk_id", "ordinal", reasons.alias("reasons")).where(F.size("reasons") > 0)
 
 
+def summary(chunks: DataFrame, by: list[str], required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """Per group: chunks, issues, least, median and most tokens, how many chunks have defects, and whether none has."""
+    bad = defects(chunks, required).groupBy("chunk_id", "ordinal").agg(F.count(F.lit(1)).alias("_bad"))
+    rows = chunks.join(bad, ["chunk_id", "ordinal"], "left")
+    out = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("chunks"), F.countDistinct("source_id").alias("issues"), F.min("tokens").alias("least"), F.median("tokens").alias("median"), F.max("tokens").alias("most"), F.count("_bad").alias("defects"),
+    )
+    return out.withColumn("passed", F.col("defects") == 0)
+
+
 def gates(scores: DataFrame) -> DataFrame:
     """Every gate with passed; a score that is missing has failed."""
     rows = [(m, "at_least", t) for m, t in THRESHOLDS.items()] + [(m, "zero", 0.0) for m in ZERO] + [("non_jira_regression", "at_most", 0.05), ("evaluation_case_count", "count", 40.0)]

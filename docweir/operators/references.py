@@ -48,13 +48,31 @@ def linked_version(version, shas):
     return F.when(F.size(shas) > 0, F.sha2(F.concat_ws("|", version, F.concat_ws("|", F.array_sort(shas))), 256)).otherwise(version)
 
 
-def pinned(docs: DataFrame, pins: DataFrame) -> DataFrame:
-    """Repository references in docs (source_id, content) against pinned files (repository, sha, path): verified or not."""
+#: Bytes that a pinned file may have.
+MOST_PINNED = 4_000_000
+
+
+def pinned(docs: DataFrame, pins: DataFrame, files: DataFrame) -> DataFrame:
+    """Repository references in docs (project_id, source_id, content) against pins and the files that are there: one row each, with reason (null: verified).
+
+    pins are approved: project_id, repository, sha, path, digest. files are what is under the approved
+    roots now: repository, path, digest, size. Reasons are tested in order and the first counts: the
+    path climbs, the pin belongs to another project, nothing is pinned, the file isn't there, it is too
+    large, or its content differs from what was pinned. Both joins are by repository and path, so each
+    document's text is read once.
+    """
     matches = F.arrays_zip(*(F.regexp_extract_all("content", F.lit(BLOB), F.lit(i)).alias(n) for i, n in ((1, "repository"), (2, "sha"), (3, "path"))))
-    refs = docs.select("source_id", F.explode(matches).alias("m")).select("source_id", "m.repository", "m.sha", "m.path").distinct()
-    joined = refs.join(pins.withColumn("_known", F.lit(True)), ["repository", "sha", "path"], "left")
-    climbs = F.array_contains(F.split("path", "/"), "..")
-    return joined.select("source_id", "repository", "path", (F.coalesce("_known", F.lit(False)) & ~climbs).alias("verified"))
+    refs = docs.select("project_id", "source_id", F.explode(matches).alias("m")).select("project_id", "source_id", "m.repository", "m.sha", "m.path").distinct()
+    owned = pins.select("repository", "sha", "path", F.col("project_id").alias("_project"), F.col("digest").alias("_expected")).groupBy("repository", "sha", "path").agg(F.collect_set(F.struct("_project", "_expected")).alias("_pins"))
+    there = files.select("repository", "path", F.col("digest").alias("_digest"), F.col("size").alias("_size"))
+    joined = refs.join(owned, ["repository", "sha", "path"], "left").join(there, ["repository", "path"], "left")
+    own = F.filter("_pins", lambda p: p["_project"] == F.col("project_id"))
+    climbs = F.exists(F.split("path", "/"), lambda part: part.isin("", ".", ".."))
+    reason = (
+        F.when(climbs, "invalid path").when(F.col("_pins").isNull(), "not pinned").when(F.size(own) == 0, "another project's").when(F.col("_digest").isNull(), "unavailable")
+        .when(F.col("_size") > MOST_PINNED, "too large").when(~F.exists(own, lambda p: p["_expected"] == F.col("_digest")), "content differs")
+    )
+    return joined.select("project_id", "source_id", "repository", "path", reason.alias("reason"))
 
 
 def is_meaningful(width, height):

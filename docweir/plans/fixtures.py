@@ -175,13 +175,6 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
             ("m5", None), ("m6", '{"list":["aB3dE5fG7hI9jK1lM2nO4p","Q6rS8tU0vW3xY5zA7bC9"]}'),
         ],
     ),
-    "fx_citing": (
-        "source_id string, content string",
-        [
-            ("c1", f"see https://github.com/a/b/blob/{_SHA}/src/x.py and https://github.com/a/b/blob/{_SHA}/src/y.py"), ("c2", f"https://github.com/a/b/blob/{_SHA}/src/../x.py"), ("c3", "https://github.com/a/b/blob/main/src/x.py"),
-        ],
-    ),
-    "fx_pins": ("repository string, sha string, path string", [("a/b", _SHA, "src/x.py"), ("a/b", _SHA, "src/../x.py")]),
     "fx_blobs": ("name string, body string, ok boolean", [("a", "aGVsbG8=", True), ("b", "//4=", False), ("c", "w6k=", True)]),
     "fx_code": ("name string, body string", [("a", "import x\nimport y"), ("b", "import x\ndef f():\n  return 1"), ("c", "{\n}\n// note\nx = 1"), ("d", ""), ("e", "@Inject\n// why\n* note"), ("f", "class A"), ("g", "val total = compute(first, second, third)"), ("h", "package a.b.c\nimport d.e.f.g.h.i.j.k.l.m.n.o.p\nfun main() {}")]),
     "fx_images": ("name string, width int, height int", [("a", 64, 64), ("b", 128, 128), ("c", 1000, 20), ("d", 256, 64)]),
@@ -195,7 +188,7 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
 #: Fixtures that every document has a copy of, and the columns that tell the copies apart: texts get the document's
 #: number behind them (in front, as a folder, where marked with a slash), numbers are counted on from it.
 SPREAD: dict[str, tuple[str, ...]] = {
-    "fx_projects": ("project_id",), "fx_payloads": ("/path",), "fx_adf": ("id",), "fx_metadata": ("id",), "fx_citing": ("source_id",),
+    "fx_projects": ("project_id",), "fx_payloads": ("/path",), "fx_adf": ("id",), "fx_metadata": ("id",),
     "fx_blobs": ("name",), "fx_code": ("name",), "fx_globs": ("/path",), "fx_paths": ("/path",),
 }
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweir.functions import ooxml, paths, richtext, text
-from docweir.operators import issues, references, routing
+from docweir.operators import audits, generation, issues, references, routing
 from docweir.plans.fixtures import cte, frame
 from docweir.plans.quality import STORED_SQL, stored
 from docweir.plans.registry import query
@@ -56,11 +56,43 @@ def lease_table(spark, sf_dir):
     return store.leases.read()
 
 
-@query("pinned_references", f"""WITH {cte('fx_citing', 'fx_pins')}, m AS (SELECT source_id, unnest(regexp_extract_all(content, 'https://github\\.com/[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+/blob/[0-9a-f]{{40}}/[A-Za-z0-9_./-]+')) AS u FROM fx_citing),
-r AS (SELECT DISTINCT source_id, regexp_extract(u, '{references.BLOB}', 1) AS repository, regexp_extract(u, '{references.BLOB}', 2) AS sha, regexp_extract(u, '{references.BLOB}', 3) AS path FROM m)
-SELECT r.source_id, r.repository, r.path, p.path IS NOT NULL AND NOT list_contains(string_split(r.path, '/'), '..') AS verified FROM r LEFT JOIN fx_pins p ON p.repository = r.repository AND p.sha = r.sha AND p.path = r.path""")
+@query("pinned_references", """WITH d AS (SELECT doc_id, coalesce(source, 'none') AS source, sha256(coalesce(text, '')) AS digest, coalesce(n_chars, 0) * 100 AS size FROM documents),
+c AS (SELECT doc_id, source, 'src/f' || doc_id || '.md' AS path, doc_id AS target FROM d UNION ALL SELECT doc_id, source, 'src/../f' || doc_id || '.md', NULL FROM d WHERE doc_id % 4 = 1)
+SELECT CASE WHEN c.doc_id % 11 = 3 THEN 'OTHER' ELSE 'DEMO' END AS project_id, 'doc:' || c.doc_id AS source_id, 'acme/' || c.source AS repository, path,
+ CASE WHEN target IS NULL THEN 'invalid path' WHEN c.doc_id % 3 = 0 THEN 'not pinned' WHEN c.doc_id % 11 = 3 THEN 'another project''s' WHEN c.doc_id % 7 = 1 THEN 'unavailable' WHEN size > 4000000 THEN 'too large' WHEN c.doc_id % 5 = 2 THEN 'content differs' END AS reason FROM c JOIN d USING (doc_id)""")
 def pinned_references(spark, sf_dir):
-    return references.pinned(frame(spark, "fx_citing", sf_dir), frame(spark, "fx_pins"))
+    """Every document cites itself in a repository; some pins, files or contents are missing or differ."""
+    d, i = views.table(spark, sf_dir, "documents").withColumn("source", F.coalesce("source", F.lit("none"))), F.col("doc_id")
+    sha, digest, repository = F.repeat(F.lit("0a"), 20), F.sha2(F.coalesce("text", F.lit("")), 256), F.concat(F.lit("acme/"), "source")
+    path = F.concat(F.lit("src/f"), i, F.lit(".md"))
+    link = lambda p: F.concat(F.lit("see https://github.com/"), repository, F.lit("/blob/"), sha, F.lit("/"), p, F.lit(" "))
+    docs = d.select(F.when(i % 11 == 3, "OTHER").otherwise("DEMO").alias("project_id"), F.concat(F.lit("doc:"), i).alias("source_id"), F.concat(link(path), link(path), F.when(i % 4 == 1, link(F.concat(F.lit("src/../f"), i, F.lit(".md")))).otherwise("")).alias("content"))
+    pins = d.where(i % 3 != 0).select(F.lit("DEMO").alias("project_id"), repository.alias("repository"), sha.alias("sha"), path.alias("path"), digest.alias("digest"))
+    files = d.where(i % 7 != 1).select(repository.alias("repository"), path.alias("path"), F.when(i % 5 == 2, F.sha2(digest, 256)).otherwise(digest).alias("digest"), (F.coalesce("n_chars", F.lit(0)) * 100).alias("size"))
+    return references.pinned(docs, pins, files)
+
+
+@query("linked_versions", views.BASE_SQL + """, s AS (SELECT source_id, version, list_sort(CASE doc_id % 3 WHEN 0 THEN [] WHEN 1 THEN [content_hash] ELSE [version, content_hash, scope] END) AS shas FROM src)
+SELECT source_id, CASE WHEN len(shas) > 0 THEN sha256(version || '|' || array_to_string(shas, '|')) ELSE version END AS version FROM s""")
+def linked_versions(spark, sf_dir):
+    """Versions of documents that change with their linked pictures."""
+    s = views.source_documents(spark, sf_dir)
+    shas = F.when(F.col("doc_id") % 3 == 0, F.array().cast("array<string>")).when(F.col("doc_id") % 3 == 1, F.array("content_hash")).otherwise(F.array("version", "content_hash", "scope"))
+    return s.select("source_id", references.linked_version(F.col("version"), shas).alias("version"))
+
+
+@query("jira_storage_ids", STORED_SQL + "SELECT source_id, ordinal, CASE WHEN provider = 'JIRA' THEN sha256(chunk_id || '|' || version) ELSE sha256(project_id || '|' || provider || '|' || source_id || '|' || ordinal) END AS storage_id FROM sx")
+def jira_storage_ids(spark, sf_dir):
+    """Records are known by source and ordinal, those of issues by chunk and version."""
+    return stored(spark, sf_dir).select("source_id", "ordinal", F.when(F.col("provider") == "JIRA", generation.jira_storage_id()).otherwise(generation.storage_id()).alias("storage_id"))
+
+
+@query("jira_audit", STORED_SQL + """, j AS (SELECT * FROM sx WHERE provider = 'JIRA'),
+n AS (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY ordinal) > 1 OR NOT starts_with(embedding_text, 'passage: ') OR NOT ends_with(embedding_text, body) OR tokens > 512 OR access_policy_id = '' OR issue_key IS NULL AS bad FROM j)
+SELECT doc_category AS kind, language, count(*) AS chunks, count(DISTINCT source_id) AS issues, min(tokens) AS least, median(tokens) AS median, max(tokens) AS most, count(*) FILTER (bad) AS defects, count(*) FILTER (bad) = 0 AS passed FROM n GROUP BY doc_category, language""")
+def jira_audit(spark, sf_dir):
+    j = stored(spark, sf_dir).where("provider = 'JIRA'").withColumn("kind", F.col("doc_category"))
+    return audits.summary(j, ["kind", "language"])
 
 
 @query("linked_images", """WITH d AS (SELECT 'doc:' || doc_id AS source_id, doc_id, coalesce(source, 'none') AS folder FROM documents)

@@ -260,6 +260,16 @@ def visual_kinds(spark, sf_dir):
     return visuals.markdown_visuals(texts(spark, sf_dir)).withColumns({c: F.concat_ws(",", c) for c in ("visual_types", "reason_codes")})
 
 
+@query("missing_pictures", VISUALS_SQL + """, w AS (SELECT source_id, list_distinct(list_filter(ts, lambda t: regexp_matches(t, '(?i)\\.(?:png|jpe?g)$'))) AS wanted FROM im)
+SELECT source_id, CASE WHEN len(list_filter(wanted, lambda t: NOT regexp_matches(t, '^img/'))) > 0 THEN 'LOCAL_IMAGE_REQUIRES_PROVIDER_RESOLUTION' END AS reason FROM w""")
+def missing_pictures(spark, sf_dir):
+    """Pictures that a document names, against those that were supplied: the ones in its folder img."""
+    named = F.concat(F.regexp_extract_all("content", F.lit(r"!\[[^\]]*\]\(([^)]+)\)"), F.lit(1)), F.regexp_extract_all("content", F.lit(visuals.HTML_IMAGE), F.lit(1)))
+    bare = F.transform(named, lambda t: F.translate(F.regexp_extract(t, r"^\s*(\S*)", 1), "<>\"'", ""))
+    wanted = F.filter(bare, lambda t: t.rlike(r"(?i)\.(?:png|jpe?g)$"))
+    return texts(spark, sf_dir).select("source_id", visuals.missing_local(wanted, F.filter(wanted, lambda t: t.startswith("img/"))).alias("reason"))
+
+
 @query("visual_preview", VISUALS_SQL + "SELECT 'type' AS kind, name, count(*) AS documents FROM (SELECT unnest(types) AS name FROM vi) GROUP BY name UNION ALL SELECT 'reason', name, count(*) FROM (SELECT unnest(reasons) AS name FROM vi) GROUP BY name")
 def visual_preview(spark, sf_dir):
     return visuals.preview(visuals.markdown_visuals(texts(spark, sf_dir)))

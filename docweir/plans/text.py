@@ -209,6 +209,24 @@ def diagram_edges(spark, sf_dir):
     return visuals.diagram_edges(texts(spark, sf_dir))
 
 
+def _diagrams(spark, sf_dir):
+    """A diagram of each document, of as many nodes as its number says: each node leads to its double, the one behind that, and the third next."""
+    d, n = views.table(spark, sf_dir, "documents"), (F.col("doc_id") % 8 + 3).cast("int")
+    nodes = F.sequence(F.lit(1), n)
+    lines = F.flatten(F.transform(nodes, lambda k: F.transform(F.filter(F.array(k * 2, k * 2 + 1, k + 3), lambda t: t <= n), lambda t: F.concat(F.lit("n"), k, F.lit(" --> n"), t))))
+    return d.select(F.concat(F.lit("doc:"), "doc_id").alias("source_id"), F.concat(F.lit("```mermaid\ngraph TD\n"), F.array_join(lines, "\n"), F.lit("\n```")).alias("content"))
+
+
+@query("diagram_layers", """WITH RECURSIVE k AS (SELECT doc_id, doc_id % 8 + 3 AS n, unnest(range(1, doc_id % 8 + 4)) AS a FROM documents),
+e AS (SELECT DISTINCT doc_id, a, b FROM (SELECT doc_id, n, a, unnest([a * 2, a * 2 + 1, a + 3]) AS b FROM k) WHERE b <= n),
+w(doc_id, node, depth) AS (SELECT DISTINCT doc_id, a, 0 FROM e WHERE NOT EXISTS (SELECT 1 FROM e AS f WHERE f.doc_id = e.doc_id AND f.b = e.a) UNION SELECT e.doc_id, e.b, depth + 1 FROM w JOIN e ON e.doc_id = w.doc_id AND e.a = w.node)
+SELECT 'doc:' || doc_id AS source_id, 'n' || node AS node, CAST(max(depth) AS INTEGER) AS layer FROM w GROUP BY doc_id, node""")
+def diagram_layers(spark, sf_dir):
+    from docweir.operators.drawings import drawn
+
+    return drawn(_diagrams(spark, sf_dir)).select("source_id", F.explode("layers").alias("node", "layer"))
+
+
 _SYMBOL_SQL = f"regexp_extract_all(content, '{text.SYMBOL}', 1)"
 
 
