@@ -75,8 +75,16 @@ def tokens_between(stops: np.ndarray, a, b):
     return np.searchsorted(stops, b, "right") - np.searchsorted(stops, a, "right")
 
 
+def _cells(text: str, a: int, b: int, stops: np.ndarray, room: int) -> Iterator[tuple[int, int]]:
+    """The cells of a row that is too long for a window, each with the pipe before it; a cell that is too long as well is its words."""
+    for m in re.finditer(r"\|?[^|]*", text[a:b]):
+        x, y = a + m.start(), a + m.start() + len(m[0].rstrip())
+        if y > x:
+            yield from [(x, y)] if tokens_between(stops, x, y) <= room else ((x + w.start(), x + w.end()) for w in re.finditer(r"\S+", text[x:y]))
+
+
 def atoms(text: str, section: Section, stops: np.ndarray, room: int) -> Atoms:
-    """A section's words; a table's rows are whole where they fit with their header."""
+    """A section's words; a table's rows are whole where they fit with their header, else their cells."""
     rows = [(section.start + a, section.start + b) for a, b in _lines(text[section.start : section.end])]
     out: list[tuple[int, int, tuple[int, int]]] = []
     at = 0
@@ -94,7 +102,7 @@ def atoms(text: str, section: Section, stops: np.ndarray, room: int) -> Atoms:
                 a, b = rows[i][0], rows[i][0] + len(text[slice(*rows[i])].rstrip())
                 own = (-1, -1) if i < top else head
                 fits = tokens_between(stops, a, b) + (tokens_between(stops, *head) if i >= top else 0) <= room
-                out += [(a, b, own)] if fits else [(a + m.start(), a + m.end(), own) for m in re.finditer(r"\S+", text[a:b])]
+                out += [(a, b, own)] if fits else [(x, y, own) for x, y in _cells(text, a, b, stops, room // 2)]
         at = last
     starts, ends, heads = (np.array([o[k] for o in out], np.int64) for k in range(3))
     gaps = np.array([_break(text, e, s) for e, s in zip(ends[:-1].tolist(), starts[1:].tolist())] + [5], np.int64) if out else np.empty(0, np.int64)

@@ -112,9 +112,9 @@ def test_signatures_and_delays():
 def test_leases_move_on(spark):
     from pyspark.sql import functions as F
 
-    held = frame(spark, "fx_leases").withColumn("expires_at", F.col("expires_at").cast("timestamp"))
-    asked = frame(spark, "fx_requests").withColumn("asked_at", F.col("asked_at").cast("timestamp"))
-    after = {r.scope: (r.owner, str(r.expires_at)) for r in leases.granted(held, leases.decide(held, asked), asked).collect()}
+    held = spark.createDataFrame([("s1", "w1", "2024-01-01 10:00:00"), ("s2", "w2", "2024-01-01 12:00:00"), ("s3", "w9", "2024-01-01 12:00:00")], "scope string, owner string, expires_at string").withColumn("expires_at", F.col("expires_at").cast("timestamp"))
+    asked = spark.createDataFrame([("s1", "w5"), ("s2", "w5"), ("s3", "w9"), ("s4", "w5")], "scope string, requester string").withColumn("asked_at", F.lit("2024-01-01 11:00:00").cast("timestamp"))
+    after = {r.scope: (r.owner, str(r.expires_at)) for r in leases.granted(held, leases.decide(held, asked)).collect()}
     assert after == {"s1": ("w5", "2024-01-01 11:15:00"), "s2": ("w2", "2024-01-01 12:00:00"), "s3": ("w9", "2024-01-01 11:15:00"), "s4": ("w5", "2024-01-01 11:15:00")}
 
 

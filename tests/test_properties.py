@@ -55,12 +55,14 @@ def test_canonical_json_reads_back(value):
     assert json.loads(text) == value and richtext.canonical(json.loads(text)) == text
 
 
-@given(st.lists(st.integers(0, 300), max_size=12))
-def test_spans_are_short_runs(sizes):
-    for a, b in richtext.spans(sizes):
-        assert 0 <= a <= b <= sum(sizes)
-    starts = {sum(sizes[:i]) for i in range(len(sizes))}
-    assert {a for a, _ in richtext.spans(sizes)} == starts
+@given(st.lists(st.text("aB3dE5fG7hI9jK1lM2nO4pQ6rS8tU0vW3xY5zA7bC9 .", max_size=60), max_size=12))
+def test_spans_lie_in_runs_and_reach_borders(parts):
+    text, borders = "".join(parts), {sum(len(p) for p in parts[:i]) for i in range(len(parts) + 1)}
+    for a, b in richtext.spans(text, [len(p) for p in parts]):
+        assert b - a >= 40 and not set(text[a:b]) & set(" .")
+        assert a in borders or a == 0 or text[a - 1] in " ." and b in borders | {len(text)} or text[b] in " ."
+    whole = any(richtext.dense(text[a:b]) for a in borders for b in borders if a < b and b - a <= 200)
+    assert not whole or richtext.dealt(parts)
 
 
 @given(st.text("ab/*?.", max_size=12))
