@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import string
 import tempfile
 from collections.abc import Callable, Iterator
@@ -58,6 +59,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of steps that nothing refers to any more; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only. Texts that are all ASCII take the byte-wise built-in."""
     plain = F.length(text) == F.octet_length(text)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweir.llm.common import checkpointed, id_crc, read, remove, shared_dir, tidy
+from docweir.llm.common import checkpointed, collect_garbage, id_crc, read, remove, shared_dir, tidy
 
 #: Tokens of the longest n-gram, and by order from 2 on the pseudo-counts that its lower order is worth.
 ORDER, PRIOR = 3, (100.0, 30.0)
@@ -337,6 +337,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     size, trained = known["size"] or 0, known["trained"] or 0
     slices = min(MOST_SLICES, 1 << (size // OWNED).bit_length())
     told = checkpointed(_counted(_asked(blocks.select(*_BODY), range(1, min(order, 2) + 1), slices)))
+    collect_garbage(spark)  # the shuffled keys
     types = told.where(F.col("slice") < slices).agg(F.sum("types")).head()[0] or 0
 
     def with_replies(replies: DataFrame, *columns: str) -> DataFrame:
@@ -345,7 +346,8 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
 
     for k in range(3, order + 1):
         more = _counted(_asked(with_replies(told, *_BODY), range(k, k + 1), slices))
-        told = told.unionByName(checkpointed(more) if k < order else more)
+        told = told.unionByName(checkpointed(more))
+        collect_garbage(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
