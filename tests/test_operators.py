@@ -111,6 +111,42 @@ def test_state_table_removes_what_no_reader_needs(spark, tmp_path):
     assert table.read().count() == 8 and len(live) <= 4 and len(list((tmp_path / "t" / "_log").glob("*.json"))) <= 4
 
 
+def test_state_table_splits_as_it_grows(spark, tmp_path):
+    table = StateTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "a int, b string").schema, ["a"], buckets=2, bucket_bytes=4_000)
+    rows = lambda ids, b: ids.select(F.col("id").cast("int").alias("a"), F.concat(F.lit(b), F.sha2(F.col("id").cast("string"), 256)).alias("b"))
+    whole = rows(spark.range(60_000), "")
+    table.replace(whole, 0)
+    table.replace(table.read(), 1)
+    table.replace(table.read(), 2)
+    sizes = {b: size for b, (_, size) in table.state()["parts"].items()}
+    assert len(sizes) > 500 and max(sizes.values()) < 3 * 4_000
+    before, few = table.state()["parts"], rows(spark.range(0, 60_000, 3_000), "new")
+    assert table.rewrite(few, lambda old: old.join(few.select("a"), "a", "left_anti").unionByName(few), 3)
+    after = table.state()["parts"]
+    written = sum(size for b, (folder, size) in after.items() if before.get(b, [None])[0] != folder)
+    assert written < 0.1 * sum(sizes.values())  # 20 keys, and a few of many buckets
+    assert table.read().exceptAll(whole.where("a % 3000 <> 0").unionByName(few)).isEmpty() and table.read().count() == 60_000
+    assert table.near(few).where("b like 'new%'").count() == 20
+
+
+def test_state_table_does_not_split_one_key_for_ever(spark, tmp_path):
+    table = StateTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "a int, b string").schema, ["a"], buckets=2, bucket_bytes=1_000)
+    one = spark.range(2_000).select(F.lit(1).alias("a"), F.sha2(F.col("id").cast("string"), 256).alias("b"))
+    for n in range(4):
+        table.replace(one, n)
+    state = table.state()["parts"]
+    assert len(state) <= 2 + 4 * sum(size for _, size in state.values()) // 1_000 and table.read().count() == 2_000
+
+
+def test_state_table_refuses_rows_that_it_was_not_asked_about(spark, tmp_path):
+    table = StateTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "a int").schema, ["a"], buckets=8)
+    rows = spark.range(100).select(F.col("id").cast("int").alias("a"))
+    table.replace(rows, 0)
+    with pytest.raises(ValueError, match="wasn't asked about"):
+        table.rewrite(rows.where("a = 5"), lambda old: rows, 1)
+    assert table.read().count() == 100 and table.token() == 0
+
+
 def test_another_checkpoint_starts_anew_and_replay_changes_nothing(spark, docs, tmp_path):
     where = f"file://{tmp_path}"
     store, schema = ingest.Store(spark, f"{where}/store"), docs.drop("labels").schema
