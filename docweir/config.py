@@ -6,8 +6,6 @@ import hashlib
 import hmac
 import re
 from dataclasses import dataclass
-from datetime import UTC, datetime, timedelta
-from email.utils import parsedate_to_datetime
 
 # Dimensions that embeddings may have, and positions of the embedder.
 DIMENSIONS = (384, 768, 1024)
@@ -55,22 +53,3 @@ def targeted_keys(keys: list[str], most: int = 10) -> list[str]:
 def signed_by(secret: bytes, body: bytes, header: str | None) -> bool:
     """Whether a webhook's header is the HMAC of its body; compared in constant time."""
     return hmac.compare_digest("sha256=" + hmac.new(secret, body, hashlib.sha256).hexdigest(), header or "")
-
-
-def retry_delay(attempt: int, header: str | None, now: datetime | None = None, most: float = 30.0, longest: float = 60.0) -> float | None:
-    """Seconds to wait before the next attempt, or None where the service asks for more than longest.
-
-    The header holds seconds or a date; without one that can be read, the wait doubles with each attempt.
-    """
-    wait = None
-    if header:
-        try:
-            wait = float(header)
-        except ValueError:
-            try:
-                wait = (parsedate_to_datetime(header) - (now or datetime.now(UTC))) / timedelta(seconds=1)
-            except (TypeError, ValueError):
-                wait = None
-    if wait is None:
-        return min(most, 2.0**attempt)
-    return None if wait > longest else max(0.0, wait)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -108,8 +107,8 @@ def jql_minute(value: Column) -> Column:
     return F.date_format(value, "yyyy-MM-dd HH:mm")
 
 
-def jql(project: str, since: datetime | None) -> str:
-    """The search for a project's issues since a time, in a stable order. Quotes and backslashes are escaped."""
-    quoted = project.replace("\\", "\\\\").replace('"', '\\"')
-    when = f' AND updated >= "{since:%Y-%m-%d %H:%M}"' if since else ""
-    return f'project = "{quoted}"{when} ORDER BY updated ASC, key ASC'
+def search(project: Column, since: Column) -> Column:
+    """The search for a project's issues since a time (null: all), in a stable order. Quotes and backslashes are escaped."""
+    quoted = F.regexp_replace(project, r'(["\\\\])', r"\\$1")
+    when = F.when(since.isNull(), "").otherwise(F.concat(F.lit(' AND updated >= "'), jql_minute(since), F.lit('"')))
+    return F.concat(F.lit('project = "'), quoted, F.lit('"'), when, F.lit(" ORDER BY updated ASC, key ASC"))

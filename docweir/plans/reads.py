@@ -1,0 +1,194 @@
+"""Queries of what connectors list, ask for and read, and of the state that they leave."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from docweir.functions import paths, text
+from docweir.operators import issues, visuals
+from docweir.operators.issue_documents import issue_metadata as metadata_of
+from docweir.plans.registry import query
+from docweir.shared import work_dir
+from docweir.sources import local, views
+from docweir.streaming import gates, ingest
+
+
+def doc():
+    return F.col("doc_id")
+
+
+def _one_of(number, *values):
+    """The value at a number, modulo how many there are."""
+    return F.element_at(F.array(*(v if not isinstance(v, str) else F.lit(v) for v in values)), (number % len(values) + 1).cast("int"))
+
+
+def _files(spark, sf_dir):
+    """Every document as a file: some in folders that aren't walked, some of kinds that aren't read, blank, or not UTF-8."""
+    d = views.table(spark, sf_dir, "documents")
+    folder = _one_of(doc(), "src", "build", "app/project-documentation", ".git/x", "lib")
+    body = F.encode(F.when(doc() % 11 == 0, F.lit(" \n\t")).otherwise(F.coalesce("text", F.lit(""))), "UTF-8")
+    body = F.when(doc() % 7 == 0, F.concat(F.unhex(F.lit("FF")), body)).otherwise(body)
+    return d.select("doc_id", F.concat(folder, F.lit("/doc-"), doc(), _one_of(F.floor(doc() / 5), ".py", ".md", ".KT", ".sql", ".png", ".rst", ".yml")).alias("path"), body.alias("content")).withColumn("length", F.octet_length("content").cast("long"))
+
+
+FILES_SQL = """WITH f AS (SELECT doc_id, ['src', 'build', 'app/project-documentation', '.git/x', 'lib'][doc_id % 5 + 1] || '/doc-' || doc_id || ['.py', '.md', '.KT', '.sql', '.png', '.rst', '.yml'][doc_id // 5 % 7 + 1] AS path,
+ CASE WHEN doc_id % 11 = 0 THEN ' ' || chr(10) || chr(9) ELSE coalesce(text, '') END AS content, doc_id % 7 = 0 AS broken FROM documents)
+"""
+
+
+@query("tree_sources", FILES_SQL + """SELECT 'local:tree:main:' || path AS source_id, path, sha256(content) AS version, content FROM f
+WHERE doc_id % 5 IN (0, 4) AND doc_id // 5 % 7 IN (0, 2, 3, 6) AND NOT broken AND strlen(content) <= 1500 AND regexp_matches(content, '[^\\s\\x0B\\x1C-\\x1F\\x85\\xA0]')""")
+def tree_sources(spark, sf_dir):
+    """What a scan of a tree with a limit of 1500 bytes takes of files that documents make."""
+    return local.readable(_files(spark, sf_dir), most_bytes=1500).select("source_id", "path", "version", "content")
+
+
+@query("tree_prose", FILES_SQL + "SELECT CASE doc_id // 5 % 7 WHEN 1 THEN '.md' ELSE '.rst' END AS suffix, count(*) AS files FROM f WHERE doc_id % 5 IN (0, 4) AND doc_id // 5 % 7 IN (1, 5) GROUP BY 1")
+def tree_prose(spark, sf_dir):
+    return local.prose_counts(_files(spark, sf_dir))
+
+
+@query("inventory_audit", """SELECT 'doc-' || doc_id AS path, CASE WHEN doc_id % 5 = 0 THEN 'missing' WHEN doc_id % 7 = 0 THEN 'unexpected' ELSE 'changed' END AS fault FROM documents
+WHERE (doc_id % 5 = 0) <> (doc_id % 7 = 0) OR (doc_id % 3 = 0 AND doc_id % 5 <> 0 AND doc_id % 7 <> 0)""")
+def inventory_audit(spark, sf_dir):
+    """Documents' checksums against an inventory in which some are missing, some new and some changed."""
+    d = views.table(spark, sf_dir, "documents")
+    path, body = F.concat(F.lit("doc-"), doc()).alias("path"), F.coalesce("text", F.lit(""))
+    found = d.where("doc_id % 5 <> 0").select(path, F.sha2(body, 256).alias("sha256"))
+    expected = d.where("doc_id % 7 <> 0").select(path, F.sha2(F.when(doc() % 3 == 0, F.concat(body, F.lit("+"))).otherwise(body), 256).alias("sha256"))
+    return local.inventory_faults(found, expected)
+
+
+@query("repository_reads", """SELECT path, size, kind FROM (SELECT ['src/', 'secrets/', 'docs/', 'docs/old/', ''][doc_id % 5 + 1] || 'f' || doc_id || suffix AS path, strlen(coalesce(text, '')) AS size, kind, doc_id
+ FROM documents, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS k, unnest(['.py', '.pdf', '.PNG', '.exe', '.xyz', '.key']) AS suffix, unnest(['text', 'binary', 'visual', NULL, NULL, NULL]) AS kind) WHERE k = doc_id // 5 % 6)
+WHERE kind IS NOT NULL AND doc_id % 5 IN (0, 2) AND doc_id % 9 <> 4 AND size <= 1200""")
+def repository_reads(spark, sf_dir):
+    """What is read of a repository whose tree has a file for each document; two globs let paths in, one keeps some out."""
+    d = views.table(spark, sf_dir, "documents")
+    path = F.concat(_one_of(doc(), "src/", "secrets/", "docs/", "docs/old/", ""), F.lit("f"), doc(), _one_of(F.floor(doc() / 5), ".py", ".pdf", ".PNG", ".exe", ".xyz", ".key"))
+    tree = d.select(path.alias("path"), F.when(doc() % 9 == 4, "tree").otherwise("blob").alias("type"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("size"), F.lit(False).alias("truncated"))
+    return local.repository_files(tree, ("src/**", "docs/**"), ("docs/old/**",), 1200).select("path", "size", "kind")
+
+
+@query("attachment_downloads", """WITH b AS (SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, '')) AS n FROM documents)
+SELECT 'attachment:a' || doc_id AS source_id, CASE WHEN doc_id % 3 = 0 THEN 'a' || doc_id ELSE 'File ' || doc_id END AS title, CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id % 9 AS VARCHAR) ELSE 'a' || doc_id END AS version,
+ CASE WHEN doc_id % 3 = 1 THEN 'text/plain' ELSE 'application/octet-stream' END AS media_type, CASE WHEN doc_id % 4 < 2 THEN 'p' || doc_id // 7 ELSE '' END AS page_id, n AS size,
+ 'https://wiki.example.org/' || CASE doc_id % 5 WHEN 0 THEN 'wiki/get/' WHEN 1 THEN 'wiki/download/' ELSE 'wiki/x/' END || doc_id AS download FROM b
+WHERE n <= 1000 AND doc_id % 5 <> 4 AND doc_id % 13 <> 0""")
+def attachment_downloads(spark, sf_dir):
+    """Every document as a wiki attachment: sizes known or not, links of three forms or none, and some bodies that never come."""
+    d = views.table(spark, sf_dir, "documents")
+    own, body = F.concat(F.lit("a"), doc()), F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    size = F.octet_length(body)
+    link = F.when(doc() % 5 == 0, F.concat(F.lit("/wiki/get/"), doc())).when(doc() % 5 == 1, F.concat(F.lit("/download/"), doc())).when(doc() % 5 != 4, F.concat(F.lit("https://wiki.example.org/wiki/x/"), doc()))
+    item = F.to_json(F.struct(
+        own.alias("id"), F.when(doc() % 3 != 0, F.concat(F.lit("File "), doc())).alias("title"), F.when(doc() % 2 == 0, F.struct((doc() % 9).alias("number"))).alias("version"), F.when(doc() % 3 == 1, F.lit("text/plain")).alias("mediaType"),
+        F.when(doc() % 4 == 0, F.concat(F.lit("p"), F.floor(doc() / 7))).alias("pageId"), F.when(doc() % 4 == 1, F.struct(F.concat(F.lit("p"), F.floor(doc() / 7)).alias("id"))).alias("container"),
+        F.when(doc() % 6 == 0, size).alias("fileSize"), F.when(doc() % 6 == 1, F.struct(size.alias("fileSize"))).alias("extensions"), F.struct(link.alias("download")).alias("_links"),
+    ))
+    listed = issues.wiki_attachments(d.select(item.alias("item")), "https://wiki.example.org", 1000)
+    bodies = d.where("doc_id % 13 <> 0").select(F.concat(F.lit("attachment:"), own).alias("source_id"), body.alias("content_bytes"))
+    return issues.downloaded(listed, bodies, 1000).select("source_id", "title", "version", "media_type", "page_id", "size", "download")
+
+
+@query("listing_links", """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'https://h.example.org/next/' || doc_id WHEN 1 THEN 'https://w.example.org/rest?cursor=' || doc_id WHEN 2 THEN 'https://w.example.org/rest/' || doc_id END AS next,
+ 'https://w.example.org/wiki' || CASE WHEN doc_id % 3 = 0 THEN '/spaces/' || source || '/' || doc_id ELSE '/pages/viewpage.action?pageId=' || doc_id END AS page FROM documents""")
+def listing_links(spark, sf_dir):
+    """Where a listing goes on after each document's page, and where the page is read."""
+    d, site = views.table(spark, sf_dir, "documents"), F.lit("https://w.example.org")
+    link = F.when(doc() % 4 == 0, F.concat(F.lit("https://h.example.org/next/"), doc())).when(doc() % 4 == 1, F.concat(F.lit("/rest?cursor="), doc())).when(doc() % 4 == 2, F.concat(F.lit("rest/"), doc())).otherwise("")
+    own = F.when(doc() % 3 == 0, F.concat(F.lit("/spaces/"), F.coalesce("source", F.lit("")), F.lit("/"), doc()))
+    return d.select("doc_id", text.next_link(site, link).alias("next"), text.page_url(F.concat(site, F.lit("/")), own, doc().cast("string")).alias("page"))
+
+
+@query("scope_searches", views.BASE_SQL + r""", s AS (SELECT scope || '"' || chr(92) || coalesce(space_key, '') AS project, max(updated_at) - INTERVAL 5 MINUTE AS since FROM src WHERE provider = 'JIRA' GROUP BY ALL)
+SELECT project, 'project = "' || replace(replace(project, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"' || coalesce(' AND updated >= "' || strftime(since, '%Y-%m-%d %H:%M') || '"', '') || ' ORDER BY updated ASC, key ASC' AS search FROM s""")
+def scope_searches(spark, sf_dir):
+    """The next search of every project: from its last change on, with the overlap."""
+    s = views.source_documents(spark, sf_dir).where("provider = 'JIRA'")
+    last = s.groupBy(F.concat("scope", F.lit('"\\'), F.coalesce("space_key", F.lit(""))).alias("project")).agg(F.max("updated_at").alias("last"))
+    return last.select("project", paths.search(F.col("project"), F.col("last") - F.expr("INTERVAL 5 MINUTES")).alias("search"))
+
+
+@query("retry_waits", """WITH e AS (SELECT event_id, event_id % 5 AS k, event_id // 5 % 90 AS n, least(30.0, 2.0 ** (event_id % 9)) AS own FROM events)
+SELECT event_id, CAST(CASE WHEN k IN (0, 4) THEN own WHEN k = 3 AND n > 45 THEN 0 WHEN k = 3 THEN 45 - n WHEN n > 60 THEN NULL ELSE n END AS DOUBLE) AS wait FROM e""")
+def retry_waits(spark, sf_dir):
+    """How long to wait after each event, were it a refused request: no header, seconds, a date ahead, one that may have passed, and none that can be read."""
+    e, k, n = views.table(spark, sf_dir, "events"), F.col("event_id") % 5, F.floor(F.col("event_id") / 5) % 90
+    now = F.col("ts").cast("timestamp")
+    date = lambda seconds: F.date_format(F.date_trunc("second", now) + F.make_dt_interval(secs=seconds), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    header = F.when(k == 1, n.cast("string")).when(k == 2, date(n)).when(k == 3, date(45 - n)).when(k == 4, F.concat(F.lit("after "), "event_type"))
+    return e.select("event_id", gates.retry_wait((F.col("event_id") % 9).cast("int"), header, F.date_trunc("second", now)).alias("wait"))
+
+
+_KIND = "['Flow of orders', 'Bar chart', 'Company LOGO', 'A picture', NULL, 'Signature', 'Page background', 'Sequence']"
+
+
+@query("converted_items", rf"""WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '[.!?]')) AS s, unnest(range(len(regexp_split_to_array(coalesce(text, ''), '[.!?]')))) AS ordinal FROM documents),
+i AS (SELECT doc_id, ordinal, len(s) % 11 = 3 AS is_table, ({_KIND})[len(s) % 8 + 1] AS label, ordinal // 2 + 1 AS page, len(s) * 6 AS width, 90 + len(s) % 50 AS height FROM w),
+k AS (SELECT *, CASE WHEN is_table THEN 'table' ELSE ['architecture_diagram', 'chart', 'logo', 'image', 'image', 'signature', 'decorative', 'architecture_diagram'][width // 6 % 8 + 1] END AS asset_type FROM i),
+e AS (SELECT *, CASE WHEN asset_type IN ('logo', 'signature', 'decorative') THEN 'DECORATIVE' WHEN page > 8 THEN 'VISUAL_PAGE_LIMIT_REACHED' WHEN width < 64 OR height < 64 OR width * height < 16384 THEN 'TOO_SMALL' END AS early FROM k)
+SELECT doc_id, ordinal, asset_type, coalesce(early, CASE WHEN count(*) FILTER (early IS NULL) OVER (PARTITION BY doc_id ORDER BY ordinal ROWS UNBOUNDED PRECEDING) > 4 THEN 'VISUAL_ASSET_LIMIT_REACHED' ELSE 'KEPT' END) AS outcome FROM e""")
+def converted_items(spark, sf_dir):
+    """The sentences of every document as what a converter found, sized and named after their lengths; at most 8 pages and 4 assets a document."""
+    d = views.table(spark, sf_dir, "documents").where("doc_id is not null")
+    rows = d.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "[.!?]", -1)).alias("ordinal", "s"))
+    n = F.length("s")
+    labels = ("Flow of orders", "Bar chart", "Company LOGO", "A picture", F.lit(None).cast("string"), "Signature", "Page background", "Sequence")
+    items = rows.select(doc().alias("source_id"), F.col("ordinal").cast("long").alias("ordinal"), (n % 11 == 3).alias("is_table"), _one_of(n, *labels).alias("label"), (F.floor(F.col("ordinal") / 2) + 1).alias("page"), (n * 6).alias("width"), (90 + n % 50).alias("height"))
+    return visuals.converted_visuals(items, most_pages=8, most=4).select(F.col("source_id").alias("doc_id"), "ordinal", "asset_type", "outcome")
+
+
+@query("first_tables", """WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\s|]+') AS w FROM documents WHERE doc_id % 3 <> 0)
+SELECT doc_id, '| ' || w[1] || ' | ' || w[2] || ' |' || chr(10) || '|---|---|' || CASE WHEN doc_id % 2 = 0 THEN chr(10) || '| ' || w[3] || ' | ' || doc_id || ' |' ELSE '' END AS text FROM d WHERE len(w) > 3""")
+def first_tables(spark, sf_dir):
+    """Documents that hold tables of their first words, after a line with one bar, and before a second table."""
+    from docweir.operators import sections
+
+    w = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\s|]+"), F.lit(0))
+    d = views.table(spark, sf_dir, "documents").select("doc_id", w.alias("w")).where("size(w) > 3")
+    row = lambda a, b: F.concat(F.lit("| "), a, F.lit(" | "), b, F.lit(" |"))
+    third = F.when(doc() % 2 == 0, F.concat(row(F.col("w")[2], doc().cast("string")), F.lit("\n"))).otherwise("")
+    table = F.concat(row(F.col("w")[0], F.col("w")[1]), F.lit("\n|---|---|\n"), third)
+    content = F.when(doc() % 3 == 0, F.concat_ws(" ", "w")).otherwise(F.concat(F.lit("one | bar\n"), table, F.lit("\nplain\n"), row(F.lit("x"), F.lit("y")), F.lit("\n|---|---|\n")))
+    lines = sections.document_lines(d.select(doc().alias("source_id"), content.alias("content")))
+    return visuals.first_tables(lines, "source_id").select(F.col("source_id").alias("doc_id"), "text")
+
+
+@query("issue_metadata", """SELECT 'SHOP-' || doc_id AS issue_key, CASE WHEN doc_id % 2 = 0 THEN 'Bug' ELSE '' END AS issue_type, coalesce(source, '') AS status, CASE WHEN doc_id % 3 = 0 THEN lang ELSE '' END AS priority, 'Ada ' || doc_id % 7 AS assignee,
+ CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'SHOP-' || doc_id // 5 END AS parent_issue_key, CASE WHEN doc_id % 4 = 0 THEN '' ELSE coalesce(lang, '') || ',x' END AS labels, coalesce(source, '') || ',' AS components FROM documents WHERE doc_id % 11 <> 0""")
+def issue_metadata(spark, sf_dir):
+    """What is known of an issue for each document besides its text; some payloads can't be read."""
+    d = views.table(spark, sf_dir, "documents")
+    named = lambda c: F.struct(c.alias("name"))
+    fields = F.struct(
+        F.when(doc() % 2 == 0, named(F.lit("Bug"))).alias("issuetype"), named(F.col("source")).alias("status"), F.when(doc() % 3 == 0, named(F.col("lang"))).alias("priority"), F.struct(F.concat(F.lit("Ada "), doc() % 7).alias("displayName")).alias("assignee"),
+        F.when(doc() % 5 != 0, F.struct(F.concat(F.lit("SHOP-"), F.floor(doc() / 5)).alias("key"))).alias("parent"), F.when(doc() % 4 != 0, F.array(F.coalesce("lang", F.lit("")), F.lit("x"))).alias("labels"), F.array(named(F.col("source")), named(F.lit(None).cast("string"))).alias("components"),
+    )
+    raw = F.to_json(F.struct(F.concat(F.lit("SHOP-"), doc()).alias("key"), fields.alias("fields")))
+    found = metadata_of(d.select(F.when(doc() % 11 == 0, F.concat(F.lit("{"), "doc_id")).otherwise(raw).alias("raw")))
+    joined = {c: F.concat_ws(",", c) for c in ("labels", "components")}
+    return found.withColumns(joined).select("issue_key", "issue_type", "status", "priority", "assignee", "parent_issue_key", "labels", "components")
+
+
+@query("scope_cursors", views.BASE_SQL + """, o AS (SELECT provider, scope, doc_id % 2 AS part, max(updated_at) AS cursor, bool_or(CASE WHEN provider = 'JIRA' THEN doc_id % 2 = 1 ELSE provider = 'GITHUB' AND doc_id % 8 = 2 END) AS failed FROM src GROUP BY ALL)
+SELECT provider, scope, CAST(max(cursor) AS TIMESTAMP) AS cursor FROM o WHERE NOT failed AND cursor IS NOT NULL GROUP BY ALL""")
+def scope_cursors(spark, sf_dir):
+    """The cursors of scopes after two batches, in each of which the scopes with a failure keep what they had; both come twice."""
+    store = ingest.Store(spark, f"{work_dir(spark, 'cursors')}/store")
+    failed = F.when(F.col("provider") == "JIRA", doc() % 2 == 1).otherwise((F.col("provider") == "GITHUB") & (doc() % 8 == 2))
+    outcomes = views.source_documents(spark, sf_dir).select("project_id", "provider", "scope", "updated_at", failed.alias("failed"), (doc() % 2).alias("part"))
+    for token in (0, 1, 0, 1):
+        ingest.advance(store, outcomes.where(F.col("part") == token), token)
+    return store.cursors.read().select("provider", "scope", F.col("cursor").cast("timestamp_ntz").alias("cursor"))
+
+
+@query("quarantine_store", views.BASE_SQL + """ SELECT source_id, CASE WHEN len(content) > 900 THEN 'TOO_LARGE' ELSE 'BLANK' END AS reason_code, 'run-' || doc_id % 2 AS recorded_run FROM src WHERE len(content) > 900 OR trim(content, ' ') = ''""")
+def quarantine_store(spark, sf_dir):
+    """What two batches leave in the table of quarantined documents."""
+    store = ingest.Store(spark, f"{work_dir(spark, 'quarantine')}/store")
+    content = F.col("content")
+    judged = views.source_documents(spark, sf_dir).withColumn("reason_code", F.when(F.length(content) > 900, "TOO_LARGE").when(F.trim(content) == "", "BLANK"))
+    for token in (0, 1):
+        ingest.put_aside(store, judged.where(doc() % 2 == token), token, f"run-{token}")
+    return store.quarantine.read().select("source_id", "reason_code", "recorded_run")

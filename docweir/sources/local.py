@@ -50,7 +50,12 @@ def scan_tree(spark: SparkSession, root: str, excludes: tuple[str, ...] = EXCLUD
     Files that are too large, of a type that isn't read, in a skipped folder, excluded, not UTF-8 or
     blank are left out. What can be told from the listing is filtered before any file is opened.
     """
-    files = _files(spark, root).where((F.col("length") <= most_bytes) & is_source(F.col("path")) & is_walked(F.col("path"), excludes))
+    return readable(_files(spark, root), excludes, most_bytes, name, branch)
+
+
+def readable(files: DataFrame, excludes: tuple[str, ...] = EXCLUDED, most_bytes: int = MOST_BYTES, name: str = "tree", branch: str = "main") -> DataFrame:
+    """What a scan takes of files (path, length, content as bytes)."""
+    files = files.where((F.col("length") <= most_bytes) & is_source(F.col("path")) & is_walked(F.col("path"), excludes))
     text = F.try_validate_utf8(F.col("content").cast("string"))
     read = files.select("path", text.alias("content"), F.sha2("content", 256).alias("content_hash"))
     kept = read.where(F.col("content").isNotNull() & (formats.stripped(F.col("content")) != ""))
@@ -59,7 +64,12 @@ def scan_tree(spark: SparkSession, root: str, excludes: tuple[str, ...] = EXCLUD
 
 def passed_over(spark: SparkSession, root: str, excludes: tuple[str, ...] = EXCLUDED) -> DataFrame:
     """How many prose files a scan of root passes over, by suffix; none is opened."""
-    files = _files(spark, root).where(is_prose(F.col("path")) & is_walked(F.col("path"), excludes))
+    return prose_counts(_files(spark, root), excludes)
+
+
+def prose_counts(files: DataFrame, excludes: tuple[str, ...] = EXCLUDED) -> DataFrame:
+    """How many of files (path) are prose that is passed over, by suffix."""
+    files = files.where(is_prose(F.col("path")) & is_walked(F.col("path"), excludes))
     return files.groupBy(paths.suffix(F.col("path")).alias("suffix")).agg(F.count(F.lit(1)).alias("files"))
 
 

@@ -53,3 +53,13 @@ def job_verdict(raw: Column) -> Column:
     keys = F.json_object_keys(raw)
     exact = F.array_sort(keys) == F.array(*map(F.lit, JOB_FIELDS))
     return F.when(keys.isNull(), "not an object").when(~exact, "wrong fields").otherwise("ok")
+
+
+def retry_wait(attempt: Column, header: Column, now: Column, most: float = 30.0, longest: float = 60.0) -> Column:
+    """Seconds to wait before the next attempt, or null where the service asks for more than longest.
+
+    The header holds seconds or a date; without one that can be read, the wait doubles with each attempt.
+    """
+    date = F.try_to_timestamp(F.regexp_replace(header, r"^[A-Za-z]{3}, | GMT$", ""), F.lit("dd MMM yyyy HH:mm:ss"))
+    asked = F.coalesce(header.try_cast("double"), (F.unix_micros(date) - F.unix_micros(now)) / 1e6)
+    return F.when(asked.isNull(), F.least(F.lit(most), F.pow(F.lit(2.0), attempt))).when(asked <= longest, F.greatest(F.lit(0.0), asked))

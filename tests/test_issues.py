@@ -8,7 +8,7 @@ from docweir import config
 from docweir.operators import issue_documents as docs
 from docweir.operators import references
 from docweir.plans.fixtures import frame
-from docweir.streaming import leases
+from docweir.streaming import gates, leases
 
 ISSUE = {
     "key": "SHOP-1",
@@ -99,14 +99,14 @@ def test_targeted_keys(keys):
         config.targeted_keys(keys)
 
 
-def test_signatures_and_delays():
-    from datetime import UTC, datetime
+def test_signatures_and_delays(spark):
+    from pyspark.sql import functions as F
 
     header = "sha256=" + __import__("hmac").new(b"k", b"body", "sha256").hexdigest()
     assert config.signed_by(b"k", b"body", header) and not config.signed_by(b"k", b"other", header) and not config.signed_by(b"k", b"body", None)
-    now = datetime(2024, 1, 1, tzinfo=UTC)
-    assert config.retry_delay(3, None) == 8 and config.retry_delay(9, "junk") == 30 and config.retry_delay(0, "12") == 12 and config.retry_delay(0, "61") is None
-    assert config.retry_delay(0, "Mon, 01 Jan 2024 00:00:20 GMT", now) == 20
+    asked = spark.createDataFrame([(3, None), (9, "junk"), (0, "12"), (0, "61"), (0, "Mon, 01 Jan 2024 00:00:20 GMT"), (1, "Sun, 31 Dec 2023 23:00:00 GMT"), (1, "Tue, 02 Jan 2024 00:00:00 GMT")], "attempt int, header string")
+    waits = asked.select(gates.retry_wait(F.col("attempt"), F.col("header"), F.lit("2024-01-01 00:00:00").cast("timestamp"))).collect()
+    assert [r[0] for r in waits] == [8, 30, 12, None, 20, 0, None]
 
 
 def test_leases_move_on(spark):

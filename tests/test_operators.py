@@ -242,10 +242,9 @@ def test_globs(spark, path, pattern, expected):
     assert spark.range(1).select(paths.matches_glob(F.lit(path), pattern)).first()[0] is expected
 
 
-def test_query_text():
-    from datetime import datetime
-
-    assert paths.jql('A"B\\', datetime(2024, 1, 2, 3, 4, 59)) == 'project = "A\\"B\\\\" AND updated >= "2024-01-02 03:04" ORDER BY updated ASC, key ASC'
+def test_query_text(spark):
+    row = spark.createDataFrame([('A"B\\', "2024-01-02 03:04:59")], "p string, t string").select(paths.search(F.col("p"), F.col("t").cast("timestamp")), paths.search(F.lit("S"), F.lit(None).cast("timestamp"))).head()
+    assert tuple(row) == ('project = "A\\"B\\\\" AND updated >= "2024-01-02 03:04" ORDER BY updated ASC, key ASC', 'project = "S" ORDER BY updated ASC, key ASC')
 
 
 def test_local_tree(spark, tmp_path):
