@@ -15,25 +15,38 @@ MOST_RULES = 10_000
 def resolve_policy(docs: DataFrame, rules: DataFrame, project_id: str) -> DataFrame:
     """docs (provider, title, space_key, path, labels array) with access_policy_id; unmatched ones are the project's.
 
-    The rules, in order, are one constant array that each document is held against, so nothing is
-    shuffled or joined, and the plan stays as deep as it is however many rules there are.
+    A document is not held against the rules: its values' beginnings, of each length that a prefix has,
+    are looked up. A set of all prefixes tells most beginnings apart at once, and only what is in it
+    is looked for among the rules. Nothing is shuffled or joined, work for a document grows with the
+    number of different lengths, and the plan stays as deep as it is however many rules there are.
     """
     found = rules.orderBy("ordinal").limit(MOST_RULES + 1).collect()
     if len(found) > MOST_RULES:
         raise ValueError(f"more than {MOST_RULES} access rules")
-    if not found:
-        return docs.withColumn("access_policy_id", F.lit(f"project:{project_id}"))
-    names = ("provider", "match_field", "prefix", "access_policy_id")
-    table = F.array(*(F.struct(*(F.lit(rule[c]).alias(c) for c in names)) for rule in found))
-    labels = F.coalesce("labels", F.array().cast("array<string>"))
-
-    def hits(rule: Column) -> Column:
-        value = F.coalesce(F.when(rule["match_field"] == "TITLE", F.col("title")).when(rule["match_field"] == "SPACE_KEY", F.col("space_key")).when(rule["match_field"] == "PATH", F.col("path")), F.lit(""))
-        begins = F.when(rule["match_field"] == "LABEL", F.exists(labels, lambda x: F.startswith(x, rule["prefix"]))).otherwise(F.startswith(value, rule["prefix"]))
-        return (rule["provider"] == F.col("provider")) & begins
-
-    first = F.try_element_at(F.filter(table, hits), F.lit(1))
-    return docs.withColumn("access_policy_id", F.coalesce(first["access_policy_id"], F.lit(f"project:{project_id}")))
+    first: dict[str, tuple[int, str]] = {}
+    lengths: dict[str, set[int]] = {}
+    for place, rule in enumerate(found):
+        if None not in (rule["provider"], rule["prefix"]) and rule["match_field"] in MATCH_FIELDS:
+            first.setdefault(f"{rule['provider']}|{rule['match_field']}|{rule['prefix']}", (place, rule["access_policy_id"]))
+            lengths.setdefault(rule["match_field"], set()).add(len(rule["prefix"]))
+    project = F.lit(f"project:{project_id}")
+    if not first:
+        return docs.withColumn("access_policy_id", project)
+
+    def beginnings(field: str, value: Column) -> Column:
+        """A value's beginnings as keys; of one that is shorter than a length, the value itself."""
+        key = F.concat("provider", F.lit(f"|{field}|"))
+        return F.transform(F.array(*map(F.lit, sorted(lengths[field]))), lambda n: F.concat(key, F.substr(value, F.lit(1), n)))
+
+    values = {"TITLE": "title", "SPACE_KEY": "space_key", "PATH": "path"}
+    lists = [beginnings(f, F.coalesce(c, F.lit(""))) for f, c in values.items() if f in lengths]
+    if "LABEL" in lengths:
+        labels = F.coalesce("labels", F.array().cast("array<string>"))
+        lists.append(F.flatten(F.transform(labels, lambda x: beginnings("LABEL", x))))
+    known = F.filter(F.concat(*lists), lambda k: k.isin(*first))
+    table = F.map_from_arrays(F.array(*map(F.lit, first)), F.array(*(F.struct(F.lit(n).alias("place"), F.lit(p).alias("policy")) for n, p in first.values())))
+    least = F.array_min(F.transform(known, lambda k: F.try_element_at(table, k)))
+    return docs.withColumn("access_policy_id", F.when(F.size(known) > 0, F.coalesce(least["policy"], project)).otherwise(project))
 
 
 def rule_errors(rules: DataFrame, project_id: str) -> DataFrame:

@@ -51,12 +51,30 @@ def key_outcome(key: Column) -> Column:
 
 
 def flattened(chunks: DataFrame) -> DataFrame:
-    """chunks (structure_path array, page) with the path as JSON, its first and last parts, and a page number that is 0 where there is none."""
+    """chunks with what a store that takes only scalars needs of them.
+
+    structure_path (an array) becomes JSON, with its first and last parts beside it; so do visual_types
+    and visual_asset_ids where chunks have them, with the first of each; page_number is 0 where there is
+    no page. metadata (a map of JSON or plain values), where there is one, becomes extra: its keys made
+    safe, of two that become the same the last counts, nulls and hidden keys dropped. A key that is
+    reserved is the chunk's failure, and only its own.
+    """
     path = F.filter("structure_path", lambda x: x != "")
-    return chunks.withColumns({
+    out = {
         "structure_root": F.coalesce(F.try_element_at(path, F.lit(1)), F.lit("")), "structure_leaf": F.coalesce(F.try_element_at(path, F.lit(-1)), F.lit("")),
         "structure_path": F.to_json(path), "page_number": F.coalesce("page", F.lit(0)),
-    })
+    }
+    for several, one in (("visual_types", "visual_type"), ("visual_asset_ids", "visual_asset_id")):
+        if several in chunks.columns:
+            given = F.coalesce(F.col(several), F.array().cast("array<string>"))
+            out |= {one: F.coalesce(F.try_element_at(given, F.lit(1)), F.lit("")), several: F.to_json(given)}
+    if "metadata" in chunks.columns:
+        pairs = F.transform(F.map_entries(F.coalesce("metadata", F.create_map().cast("map<string,string>"))), lambda e: F.struct(safe_key(e["key"]).alias("k"), e["value"].alias("v"), key_outcome(e["key"]).alias("o")))
+        kept = F.filter(pairs, lambda e: (e["o"] == "kept") & e["v"].isNotNull())
+        last = F.filter(kept, lambda e, i: ~F.array_contains(F.transform(F.slice(kept, i + 2, F.greatest(F.size(kept) - i - 1, F.lit(0))), lambda x: x["k"]), e["k"]))
+        reserved = F.filter(pairs, lambda e: e["o"] == "reserved")
+        out |= {"extra": F.map_from_entries(F.transform(last, lambda e: F.struct(e["k"], e["v"]))), "failure": F.concat(F.lit("reserved key: "), F.try_element_at(reserved, F.lit(1))["k"])}
+    return chunks.withColumns(out)
 
 
 def merged(*maps: Column) -> Column:

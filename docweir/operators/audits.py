@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from docweir.functions import text
+from docweir.functions import security, text
 from docweir.schemas import SOURCE
 
 LIMIT = 512
@@ -85,16 +86,31 @@ def gates(scores: DataFrame) -> DataFrame:
 def fingerprint(rows: DataFrame, key: str, payload: list[str]) -> DataFrame:
     """One digest of all rows, regardless of their order.
 
-    Values are led by their lengths, and nulls have a mark of their own, so no two rows look alike. Rows are digested; the sorted digests that begin alike are digested together, first by four
-    digits, then by two, then all, so that no row of the tree holds more than a 65,536th of the rows.
+    Values are led by their lengths, and nulls have a mark of their own, so no two rows look alike. Rows
+    are digested, and the digest of all is that of their number and of the sums of their four quarters,
+    which are combined before the shuffle: no list of digests is made. It finds what was lost, doubled
+    or changed; it isn't made to withstand someone who chooses rows so that their sums agree.
     """
     framed = lambda c: F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("v"), F.octet_length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")))
-    digest = F.sha2(F.concat(*map(framed, [key, *payload])), 256)
-    level = rows.select(digest.alias("d"), digest.alias("x"), F.lit(1).cast("long").alias("n"))
-    for digits in (4, 2, 0):
-        inside = F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"])
-        level = level.groupBy(F.substring("d", 1, digits).alias("d")).agg(F.sha2(F.concat_ws(",", inside), 256).alias("x"), F.sum("n").alias("n"))
-    return level.select(F.col("n").alias("rows"), F.col("x").alias("fingerprint"))
+    digested = rows.select(F.sha2(F.concat(*map(framed, [key, *payload])), 256).alias("d"))
+    quarters = [F.sum(F.conv(F.substring("d", 1 + 16 * k, 16), 16, 10).cast("decimal(25,0)")).alias(f"q{k}") for k in range(4)]
+    sums = digested.agg(F.count(F.lit(1)).alias("rows"), *quarters)
+    told = F.concat_ws(",", F.col("rows").cast("string"), *(F.coalesce(F.col(f"q{k}"), F.lit(0)).cast("string") for k in range(4)))
+    return sums.select("rows", F.sha2(told, 256).alias("fingerprint"))
+
+
+class Changed(RuntimeError):
+    """Rows that were copied aren't what they were when the copy began, or the copy isn't what they are."""
+
+
+def cloned(rows: DataFrame, where: str, key: str, payload: list[str]) -> DataFrame:
+    """A copy of rows at where, read from there. What is copied is fingerprinted before and after, and so is the copy; where they differ, that is a Changed."""
+    before = fingerprint(rows, key, payload).head()
+    rows.write.parquet(where)
+    copy = rows.sparkSession.read.schema(rows.schema).parquet(where)
+    if not before == fingerprint(copy, key, payload).head() == fingerprint(rows, key, payload).head():
+        raise Changed(f"{where} isn't a copy of what was to be copied")
+    return copy
 
 
 def integrity(manifest: DataFrame, stored: DataFrame) -> DataFrame:
@@ -130,6 +146,27 @@ def vector_integrity(manifest: DataFrame, vectors: DataFrame, dims: int, model:
     return joined.select(*SOURCE, "chunk_count", F.coalesce("vectors", F.lit(0)).cast("long").alias("vectors"), fault.alias("fault")).where("fault is not null")
 
 
+def kinds(chunks: DataFrame, kind: str = "kind", noise: str | None = None) -> DataFrame:
+    """Per kind of chunk (source_id, body): sources, chunks, least, median and most characters, and how many hold what a transport leaves behind (noise, a pattern)."""
+    n = F.length("body").cast("long")
+    noisy = F.count_if(F.col("body").rlike(noise)) if noise else F.lit(0).cast("long")
+    return chunks.groupBy(F.col(kind).alias("kind")).agg(F.countDistinct("source_id").alias("sources"), F.count(F.lit(1)).alias("chunks"), F.min(n).alias("least"), F.median(n).alias("median"), F.max(n).alias("most"), noisy.alias("noise"))
+
+
+def secret_findings(chunks: DataFrame, fields: list[str]) -> DataFrame:
+    """(chunk_id, field, explicit, entropy) of every field of a chunk, its maps' values included, in which a credential shows; the values stay where they are."""
+
+    def values(field: str) -> Column:
+        if not isinstance(chunks.schema[field].dataType, T.MapType):
+            return F.array(F.struct(F.lit(field).alias("field"), F.col(field).alias("value")))
+        entries = F.map_entries(F.coalesce(field, F.create_map().cast("map<string,string>")))
+        return F.transform(entries, lambda e: F.struct(F.concat(F.lit(f"{field}."), e["key"]).alias("field"), e["value"].alias("value")))
+
+    rows = chunks.select("chunk_id", F.explode(F.concat(*map(values, fields))).alias("p")).select("chunk_id", "p.field", F.coalesce("p.value", F.lit("")).alias("value"))
+    found = rows.select("chunk_id", "field", F.coalesce(security.has_secret(F.col("value")), F.lit(False)).alias("explicit"), F.coalesce(security.high_entropy(F.col("value")), F.lit(False)).alias("entropy"))
+    return found.where("explicit or entropy")
+
+
 def set_difference(one: DataFrame, two: DataFrame, column: str) -> DataFrame:
     """Values that only one side has, and which."""
     a, b = one.select(column).distinct(), two.select(column).distinct()

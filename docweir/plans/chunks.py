@@ -152,9 +152,26 @@ def shared_entities(spark, sf_dir):
     return e.select("source_id", F.size("es").cast("long").alias("entities"), (F.size("es") > 1).alias("shared"))
 
 
-@query("flat_metadata", views.BASE_SQL + """ SELECT source_id, '["' || title || '","' || path || '"]' AS structure_path, title AS structure_root, path AS structure_leaf, coalesce(CAST(NULL AS INTEGER), 0) AS page_number, lower(space_key) AS x_lang FROM src""")
+@query("flat_metadata", views.BASE_SQL + """, f AS (SELECT source_id, doc_id, title, path, scope, coalesce(space_key, '') AS lang, substr(version, 1, 6) AS v FROM src)
+SELECT source_id, '["' || title || '","' || path || '"]' AS structure_path, title AS structure_root, path AS structure_leaf, CAST(CASE WHEN doc_id % 4 = 0 THEN 0 ELSE doc_id % 40 END AS INTEGER) AS page_number,
+ CASE doc_id % 3 WHEN 0 THEN '[]' WHEN 1 THEN '["table"]' ELSE '["image","table"]' END AS visual_types, ['', 'table', 'image'][doc_id % 3 + 1] AS visual_type,
+ CASE doc_id % 5 WHEN 0 THEN '[]' ELSE '["' || v || '"]' END AS visual_asset_ids, CASE doc_id % 5 WHEN 0 THEN '' ELSE v END AS visual_asset_id,
+ 'a_key=' || CASE WHEN doc_id % 6 = 0 THEN scope ELSE lang END || CASE WHEN doc_id % 6 = 0 THEN '' ELSE ';n=' || doc_id END AS extra, CASE WHEN doc_id % 13 = 0 THEN 'reserved key: source_url' END AS failure FROM f""")
 def flat_metadata(spark, sf_dir):
-    return assembly.flattened(views.source_documents(spark, sf_dir).withColumns({"structure_path": F.array("title", "path"), "page": F.lit(None).cast("int")})).select("source_id", "structure_path", "structure_root", "structure_leaf", "page_number", F.lower("space_key").alias("x_lang"))
+    """Pages, pictures and metadata of every document as scalars: keys that become the same, hidden ones, nulls, and a reserved one."""
+    s, i = views.source_documents(spark, sf_dir), F.col("doc_id")
+    none = F.array().cast("array<string>")
+    given = F.create_map(
+        F.lit("a key"), "scope", F.lit("_hidden"), F.lit("x"), F.when(i % 6 == 0, "other").otherwise("a-key"), F.when(i % 6 != 0, F.coalesce("space_key", F.lit(""))), F.lit("n"), F.when(i % 6 != 0, i.cast("string")),
+        F.when(i % 13 == 0, "source url").otherwise("_none"), F.lit("y"),
+    )
+    rows = s.withColumns({
+        "structure_path": F.array("title", F.lit(""), "path"), "page": F.when(i % 4 != 0, (i % 40).cast("int")), "metadata": given,
+        "visual_types": F.when(i % 3 == 1, F.array(F.lit("table"))).when(i % 3 == 2, F.array(F.lit("image"), F.lit("table"))), "visual_asset_ids": F.when(i % 5 == 0, none).otherwise(F.array(F.substring("version", 1, 6))),
+    })
+    flat = assembly.flattened(rows)
+    extra = F.array_join(F.transform(F.array_sort(F.map_entries("extra")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return flat.select("source_id", "structure_path", "structure_root", "structure_leaf", "page_number", "visual_types", "visual_type", "visual_asset_ids", "visual_asset_id", extra.alias("extra"), "failure")
 
 
 @query("reserved_metadata_keys", """WITH r AS (SELECT doc_id, ['provider', 'title', substr(coalesce(text, ''), 1, 70), '_' || coalesce(lang, ''), coalesce(source, '') || ' key', '', 'embedding text', 'schema-version'][doc_id % 8 + 1] AS raw FROM documents), k AS (SELECT doc_id, raw, substr(regexp_replace(raw, '[^A-Za-z0-9_]', '_', 'g'), 1, 64) AS key FROM r)

@@ -16,6 +16,7 @@ from docweir.operators import audits, generation, issues, references, routing
 from docweir.plans.fixtures import cte, frame
 from docweir.plans.quality import STORED_SQL, stored
 from docweir.plans.registry import query
+from docweir.shared import work_dir
 from docweir.sources import local, views
 
 
@@ -121,7 +122,9 @@ def effective_chunkers(spark, sf_dir):
 
 @query("staging_rows", STORED_SQL + "SELECT chunk_id, provider FROM sx WHERE provider <> 'JIRA' AND source_type <> 'SYSTEM'")
 def staging_rows(spark, sf_dir):
-    return stored(spark, sf_dir).where("provider <> 'JIRA' and source_type <> 'SYSTEM'").select("chunk_id", "provider")
+    """A copy of what is stored of all providers but one, with fingerprints before and after."""
+    rows = stored(spark, sf_dir).where("provider <> 'JIRA' and source_type <> 'SYSTEM'").select("chunk_id", "provider", "body", "version")
+    return audits.cloned(rows, f"{work_dir(spark, 'staging')}/rows", "chunk_id", ["provider", "body", "version"]).select("chunk_id", "provider")
 
 
 @query("obsolete_policies", STORED_SQL + ", old AS (SELECT unnest(['project:DEMO', 'department:DEMO:GONE']) AS access_policy_id) SELECT access_policy_id FROM old EXCEPT SELECT access_policy_id FROM sx WHERE access_policy_id <> ''")
@@ -140,8 +143,7 @@ def finding_examples(spark, sf_dir):
 
 @query("canary_summary", STORED_SQL + "SELECT source_type AS kind, count(*) AS chunks, min(len(body)) AS least, max(len(body)) AS most, median(len(body)) AS median, count(*) FILTER (len(body) < 3) AS noise FROM sx GROUP BY source_type")
 def canary_summary(spark, sf_dir):
-    n = F.length("body").cast("long")
-    return stored(spark, sf_dir).groupBy(F.col("source_type").alias("kind")).agg(F.count(F.lit(1)).alias("chunks"), F.min(n).alias("least"), F.max(n).alias("most"), F.median(n).alias("median"), F.count_if(n < 3).alias("noise"))
+    return audits.kinds(stored(spark, sf_dir), "source_type", r"(?s)^.{0,2}$").drop("sources")
 
 
 @query("changed_pages", views.BASE_SQL + """, p AS (SELECT source_id, 'page' AS kind, updated_at FROM src WHERE provider = 'CONFLUENCE'), a AS (SELECT 'attachment:' || source_id AS source_id, 'attachment' AS kind, updated_at + INTERVAL 3 HOUR AS updated_at FROM src WHERE provider = 'CONFLUENCE' AND doc_id % 4 = 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweir.functions import paths, richtext, text
-from docweir.operators import issues
+from docweir.operators import issues, wiki
 from docweir.plans.fixtures import cte, frame
 from docweir.plans.registry import query
 from docweir.sources import views
@@ -95,7 +95,7 @@ def bound_assets(spark, sf_dir):
 
 @query("page_labels", f"WITH {cte('fx_labels')} SELECT page_id, array_to_string(list_sort(list_distinct(list(trim(label)) FILTER (trim(label) <> ''))), ',') AS labels FROM fx_labels GROUP BY page_id")
 def page_labels(spark, sf_dir):
-    return frame(spark, "fx_labels", sf_dir).groupBy("page_id").agg(F.concat_ws(",", F.array_sort(F.collect_set(F.nullif(F.trim("label"), F.lit(""))))).alias("labels"))
+    return wiki.page_labels(frame(spark, "fx_labels", sf_dir)).withColumn("labels", F.concat_ws(",", "labels"))
 
 
 @query("job_messages", """SELECT doc_id, ['ok', 'wrong fields', 'wrong fields', 'not an object', 'not an object'][doc_id % 5 + 1] AS verdict FROM documents""")

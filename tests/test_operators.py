@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -230,6 +231,32 @@ def test_resume_looks_at_the_whole_key_and_the_contract(spark):
     assert decide() == {"JIRA": "skip", "GITHUB": "run"} == decide("c1") and decide("c2") == {"JIRA": "run", "GITHUB": "run"}
 
 
+def test_a_copy_of_rows_that_change_is_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "k long, v string")
+    assert audits.cloned(rows, f"file://{tmp_path}/same", "k", ["v"]).exceptAll(rows).isEmpty()
+    moving = rows.withColumn("v", F.udf(lambda v: v + os.urandom(4).hex()).asNondeterministic()("v"))
+    with pytest.raises(audits.Changed):
+        audits.cloned(moving, f"file://{tmp_path}/moving", "k", ["v"])
+    one, two = (audits.fingerprint(r, "k", ["v"]).head() for r in (rows, rows.unionByName(rows.limit(1))))
+    assert one != two and one == audits.fingerprint(rows.orderBy(F.desc("k")).repartition(7), "k", ["v"]).head()
+    assert audits.fingerprint(rows.limit(0), "k", ["v"]).head().rows == 0
+
+
+def test_flattened_fails_alone_for_a_reserved_key(spark):
+    rows = spark.createDataFrame([(["a", "", "b"], 3, {"x y": "1", "x-y": "2", "_z": "3", "n": None}, None), ([], None, {"provider": "x"}, ["t"]), (None, None, None, None)], "structure_path array<string>, page int, metadata map<string,string>, visual_types array<string>")
+    got = {r.page_number: r for r in assembly.flattened(rows).where("failure is null").collect()}
+    assert got[3].extra == {"x_y": "2"} and got[3].structure_root == "a" and got[3].structure_leaf == "b" and got[3].visual_type == "" and got[3].visual_types == "[]"
+    assert got[0].extra == {} and got[0].structure_root == ""
+    assert assembly.flattened(rows).where("failure is not null").collect()[0].failure == "reserved key: provider"
+
+
+def test_the_first_rule_wins_whatever_its_length(spark):
+    schema = "ordinal int, provider string, match_field string, prefix string, access_policy_id string"
+    rules = spark.createDataFrame([(9, "JIRA", "TITLE", "ab", "late"), (1, "JIRA", "TITLE", "abc", "first"), (2, "JIRA", "LABEL", "x", "label"), (3, "JIRA", "PATH", "", "all"), (4, "JIRA", "SPACE_KEY", None, "never")], schema)
+    docs = spark.createDataFrame([("JIRA", "abcd", None, None, ["xy"]), ("JIRA", "ab", None, None, ["xy", None]), ("JIRA", "ab", None, None, None), ("GITHUB", "abc", None, "p", ["x"]), (None, "abc", None, None, [])], "provider string, title string, space_key string, path string, labels array<string>")
+    assert [r.access_policy_id for r in access.resolve_policy(docs, rules, "D").collect()] == ["first", "label", "all", "project:D", "project:D"]
+
+
 def test_fingerprint_tells_nulls_and_borders_apart(spark):
     prints = {audits.fingerprint(spark.createDataFrame([("k", a, b)], "k string, a string, b string"), "k", ["a", "b"]).first().fingerprint for a, b in [("x", None), (None, "x"), ("x|y", None), ("x", "y"), ("x", ""), ("", "x")]}
     assert len(prints) == 6
