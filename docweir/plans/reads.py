@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docweir.functions import paths, text
 from docweir.operators import audits, issues, visuals, wiki
 from docweir.operators.issue_documents import issue_metadata as metadata_of
+from docweir.plans.quality import STORED_SQL, stored
 from docweir.plans.registry import query
 from docweir.shared import work_dir
 from docweir.sources import local, views
@@ -226,3 +227,23 @@ def canary_findings(spark, sf_dir):
     fields = F.create_map(F.lit("url"), F.when(k == 1, F.concat(F.lit("password="), F.lit("abcdefghijklmnop"), doc())).otherwise("https://example.org"), F.lit("empty"), F.lit(None).cast("string"))
     chunks = d.select(F.concat(F.lit("doc:"), doc()).alias("chunk_id"), body.alias("body"), fields.alias("metadata"))
     return audits.secret_findings(chunks, ["body", "metadata"])
+
+
+def _values_sql(name: str, where: str) -> str:
+    """Observed values of rows, by policy."""
+    lists = ", ".join(f"array_to_string(list_transform(list_sort(list_distinct(list({{'f': lower({v}), 'v': {v}}}) FILTER ({v} <> ''))), lambda x: x.v), ',') AS {n}" for n, v in (("entities", "trim(entity, ' ')"), ("categories", "doc_category"), ("providers", "provider"), ("languages", "coalesce(language, '')")))
+    return f"{name} AS (SELECT access_policy_id, {lists} FROM sx WHERE access_policy_id <> '' AND ({where}) GROUP BY access_policy_id)"
+
+
+@query("vocabulary_store", STORED_SQL + f", {_values_sql('one', 'doc_id % 2 = 0 OR doc_id % 3 = 0')}, {_values_sql('two', 'true')}" + """
+SELECT two.*, CASE WHEN one.entities = two.entities AND one.categories = two.categories AND one.providers = two.providers AND one.languages = two.languages THEN 'run-1' ELSE 'run-2' END AS recorded_run FROM two LEFT JOIN one USING (access_policy_id)""")
+def vocabulary_store(spark, sf_dir):
+    """The stored vocabulary after two runs: of some chunks and a policy that is gone later, then of all; the first comes twice."""
+    store, rows = ingest.Store(spark, f"{work_dir(spark, 'vocabulary')}/store"), stored(spark, sf_dir)
+    some = rows.where("doc_id % 2 = 0 or doc_id % 3 = 0")
+    gone = rows.where("doc_id % 7 = 1").withColumn("access_policy_id", F.lit("department:DEMO:GONE"))
+    for token, (chunks, run) in enumerate([(some.unionByName(gone), "run-1"), (rows, "run-2")]):
+        ingest.publish_vocabulary(store, chunks, token, run)
+    ingest.publish_vocabulary(store, some, 0, "run-3")
+    lists = ("entities", "categories", "providers", "languages")
+    return store.vocabulary.read().withColumns({c: F.concat_ws(",", c) for c in lists})

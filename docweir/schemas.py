@@ -25,4 +25,5 @@ CHUNKS = _struct(project_id=_S, provider=_S, source_id=_S, ordinal=_I, storage_i
 CURSOR = _struct(project_id=_S, provider=_S, scope=_S, cursor=_TS)
 LEASE = _struct(scope=_S, owner=_S, expires_at=_TS)
 QUARANTINE = _struct(project_id=_S, provider=_S, scope=_S, source_id=_S, reason_code=_S, recorded_run=_S)
+VOCABULARY = _struct(access_policy_id=_S, entities=T.ArrayType(_S), categories=T.ArrayType(_S), providers=T.ArrayType(_S), languages=T.ArrayType(_S), recorded_run=_S)
 DEAD_LETTER = _struct(message_id=_S, project_id=_S, deliveries=T.IntegerType(), recorded_run=_S)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docweir import schemas
-from docweir.operators import generation, routing
+from docweir.operators import generation, routing, vocabulary
 from docweir.shared import stored
 from docweir.sources import queue
 from docweir.sources.tables import StateTable
@@ -32,6 +32,7 @@ class Store:
         self.quarantine = table("quarantine", schemas.QUARANTINE, schemas.KEY)
         self.leases = table("leases", schemas.LEASE, ["scope"])
         self.dead = table("dead", schemas.DEAD_LETTER, ["message_id"])
+        self.vocabulary = table("vocabulary", schemas.VOCABULARY, ["access_policy_id"])
 
 
 def _upsert(table: StateTable, rows: DataFrame, token: int, writer: str) -> bool:
@@ -124,6 +125,25 @@ def release(store: Store, owners: DataFrame, token: int, writer: str = "") -> bo
     return store.leases.rewrite(owners, lambda old: leases.released(old, owners), token, writer)
 
 
+def publish_vocabulary(store: Store, chunks: DataFrame, token: int, run: str, writer: str = "") -> bool:
+    """Stores what stored chunks talk about, a row a policy; policies that no chunk has any longer go.
+
+    A policy whose values are as they were keeps the run that recorded them.
+    """
+    state = store.vocabulary.state()
+    found = stored(vocabulary.by_policy(chunks))
+    known = store.vocabulary.read()
+    values = [c for c in schemas.VOCABULARY.fieldNames() if c not in ("access_policy_id", "recorded_run")]
+
+    def change(old: DataFrame) -> DataFrame:
+        before = old.select("access_policy_id", F.struct(*values).alias("_values"), F.col("recorded_run").alias("_run"))
+        same = F.struct(*values).eqNullSafe(F.col("_values"))
+        return found.join(before, "access_policy_id", "left").withColumn("recorded_run", F.when(same, F.col("_run")).otherwise(F.lit(run))).drop("_values", "_run")
+
+    keys = found.select("access_policy_id").unionByName(known.select("access_policy_id")).distinct()
+    return store.vocabulary.rewrite(keys, change, token, writer, state)
+
+
 def settle(store: Store, messages: DataFrame, token: int, run: str, writer: str = "") -> DataFrame:
     """Stores messages (message_id, project_id, deliveries, ok) that failed too often; returns those that are delivered again."""
     again, aside = dead_letter(messages, gates.settlement(messages))
