@@ -25,6 +25,18 @@ def suffix_sql(path: str) -> str:
     return f"lower(regexp_extract({path}, '[^/](\\.[^./]+)$', 1))"
 
 
+def beside(path: Column, target: Column) -> Column:
+    """target against the folder of path, without empty, `.` and `..` parts; null where it climbs out of the tree."""
+    parts = F.split(F.concat(F.regexp_extract(path, "(?s)^(.*/)?", 0), target), "/")
+
+    def step(at: Column, part: Column) -> Column:
+        up = F.when(F.size(at) > 0, F.slice(at, 1, F.greatest(F.size(at) - 1, F.lit(0))))
+        return F.when(part.isin("", "."), at).when(part == "..", up).otherwise(F.concat(at, F.array(part)))
+
+    walked = F.aggregate(parts, F.array().cast("array<string>"), step)
+    return F.when(walked.isNotNull(), F.array_join(walked, "/"))
+
+
 def is_indexable(path: Column) -> Column:
     return suffix(path).isin(*INDEXABLE)
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import posixpath
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from docweir.functions import text
+from docweir.functions import paths, text
 
 # Fixed values.
 RASTER = (".png", ".jpg", ".jpeg", ".webp")
@@ -26,20 +24,15 @@ def local_targets(docs: DataFrame) -> DataFrame:
     return rows.where(~text.unsafe_target(F.col("target")))
 
 
-@F.pandas_udf(T.StringType())
-def resolved(path: pd.Series, target: pd.Series) -> pd.Series:
+def resolved(path: Column, target: Column) -> Column:
     """The target against the folder of the document; null where it climbs out or isn't a raster image."""
-
-    def one(p: str, t: str) -> str | None:
-        out = posixpath.normpath(posixpath.join(posixpath.dirname(p), t))
-        return None if out == ".." or out.startswith("../") or posixpath.splitext(out)[1].lower() not in RASTER else out
-
-    return pd.Series([one(p, t) for p, t in zip(path, target)], dtype=object)
+    out = paths.beside(path, target)
+    return F.when(paths.suffix(out).isin(*RASTER), out)
 
 
 def linked_images(docs: DataFrame, listing: DataFrame) -> DataFrame:
     """Resolved image links of docs, with the sha of the listed file, or null where the listing lacks it."""
-    links = local_targets(docs).select("source_id", resolved("path", "target").alias("image")).where("image is not null").distinct()
+    links = local_targets(docs).select("source_id", resolved(F.col("path"), F.col("target")).alias("image")).where("image is not null").distinct()
     return links.join(listing.select(F.col("path").alias("image"), "sha"), "image", "left").select("source_id", "image", "sha")
 
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 import os
+import posixpath
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -614,6 +616,10 @@ def test_rich_text():
     table = {"type": "table", "content": [{"type": "tableRow", "content": cells}, {"type": "codeBlock", "attrs": {"language": "kt"}, "content": [{"type": "text", "text": " v "}]}]}
     assert richtext.plain(table) == "[here](u) | a b |\n\n```kt\nv\n```\n\n" and richtext.flat([table, "y"]) == "here v y"
     assert richtext.blocks({"type": "table", "content": [{"type": "tableRow", "content": cells[:1] + [{"type": "tableCell", "content": [linked, linked]}]}]}) == ["here | here here"]
+    odd = [{"type": "heading", "attrs": {"level": level}, "content": [{"type": "text", "text": "h"}]} for level in (None, "x", [], 0, 1e400)]
+    odd += [{"type": [], "attrs": 7, "text": "t", "marks": 1}, {"type": "mention", "attrs": []}, {"type": "text", "text": "u", "marks": [3, {"type": "link", "attrs": None}]}]
+    assert richtext.plain(odd) == "## h\n\n" * 3 + "# h\n\n" + "## h\n\nt[u]()"
+    assert richtext.blocks({"content": odd[:5]}) == ["# h"] * 5
     assert richtext.canonical({"b": 1, "a": "é"}) == '{"a":"é","b":1}'
 
 
@@ -720,3 +726,11 @@ def test_late_events_are_left_out_of_a_stream(spark, tmp_path):
     run()
     found = {(str(r.start), r.event_type): r.events for r in spark.read.parquet(f"{where}/out").collect()}
     assert found == {("2024-01-01 10:00:00", "a"): 2, ("2024-01-01 11:00:00", "b"): 1, ("2024-01-01 12:00:00", "b"): 1}
+
+
+def test_links_are_resolved_beside_their_document(spark):
+    parts, rng = ("a", "b.png", "..", ".", ""), random.Random(5)
+    rows = [("/".join(rng.choice("xyz") for _ in range(rng.randint(1, 4))), "t" + "/".join(rng.choice(parts) for _ in range(rng.randint(1, 6)))) for _ in range(400)]
+    for path, target, found in spark.createDataFrame(rows, "p string, t string").select("p", "t", paths.beside(F.col("p"), F.col("t"))).collect():
+        whole = posixpath.normpath(posixpath.join(posixpath.dirname(path), target))
+        assert found == (None if whole == ".." or whole.startswith("../") else "" if whole == "." else whole)
