@@ -199,6 +199,11 @@ def section_kind(heading: Column) -> Column:
     return F.when(heading.rlike("(?i)acceptance|aceptaci[oó]n"), "ACCEPTANCE").when(heading.rlike("(?i)requirement|requisito"), "REQUIREMENTS").otherwise("DESCRIPTION")
 
 
+def blob(body: Column) -> Column:
+    """The text of a base64 body, lines and all; null where it isn't UTF-8."""
+    return F.try_validate_utf8(F.unbase64(body).cast("string"))
+
+
 def unsafe_target(target: Column) -> Column:
     """Image targets that are remote, absolute, outside the tree, or vector graphics."""
     low = F.lower(target)

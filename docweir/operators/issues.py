@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweir.functions import text
@@ -73,6 +73,11 @@ def custom_fields(values: DataFrame, names: DataFrame) -> DataFrame:
     return values.join(names, "field_id", "left").withColumn("name", F.coalesce("name", "field_id"))
 
 
+def granted_providers(asked: Column, known: Column) -> Column:
+    """The providers that a run reads: those asked for that the project has, in any case of letters, once each; null asks for all."""
+    return F.when(asked.isNull(), known).otherwise(F.array_intersect(F.transform(asked, F.upper), known))
+
+
 def page_faults(pages: DataFrame) -> DataFrame:
     """What breaks the promises of a paged listing: totals that move, ids that repeat, rows that are missing."""
     rows = pages.groupBy("listing").agg(F.min("total").alias("low"), F.max("total").alias("high"), F.count(F.lit(1)).alias("rows"), F.countDistinct("item_id").alias("items"))

@@ -110,9 +110,15 @@ def linked_images(spark, sf_dir):
     return references.linked_images(own.unionByName(shared), listing.unionByName(spark.createDataFrame([("shared/2.JPG", "seven")], "path string, sha string")))
 
 
-@query("blob_text", f"""WITH {cte('fx_blobs')} SELECT name, CASE WHEN ok THEN decode(from_base64(body)) END AS text FROM fx_blobs""")
+@query("blob_text", "SELECT 'b' || doc_id AS name, CASE doc_id % 5 WHEN 3 THEN NULL WHEN 4 THEN '' ELSE coalesce(text, '') END AS text FROM documents")
 def blob_text(spark, sf_dir):
-    return frame(spark, "fx_blobs", sf_dir).select("name", F.try_validate_utf8(F.unbase64("body").cast("string")).alias("text"))
+    """Every document as the base64 lines that a repository delivers; some aren't UTF-8, some are empty."""
+    d = views.table(spark, sf_dir, "documents")
+    body = F.coalesce("text", F.lit("")).cast("binary")
+    bad = F.concat(F.unhex(F.lit("FFFE")), body)
+    k = F.col("doc_id") % 5
+    lines = F.regexp_replace(F.base64(F.when(k == 3, bad).when(k == 4, F.lit(b"")).otherwise(body)), "(.{60})", "$1\n")
+    return d.select(F.concat(F.lit("b"), "doc_id").alias("name"), text.blob(lines).alias("text"))
 
 
 @query("effective_chunkers", views.BASE_SQL + f" SELECT provider, CASE WHEN provider = 'JIRA' THEN chunker_version || '{routing.JIRA_SUFFIX}' ELSE chunker_version END AS chunker, count(*) AS sources FROM src GROUP BY 1, 2")
@@ -221,22 +227,35 @@ def manifest_truncation(spark, sf_dir):
     return routing.truncated(s)
 
 
-@query("office_containers")
+@query("office_containers", """SELECT doc_id, CASE doc_id % 6 WHEN 1 THEN 'MIME_MISMATCH' WHEN 2 THEN 'MIME_MISMATCH' WHEN 4 THEN 'MACRO_CONTENT' WHEN 5 THEN 'MIME_MISMATCH' END AS reason_code FROM documents""")
 def office_containers(spark, sf_dir):
-    rows = frame(spark, "fx_payloads", sf_dir).select("path", richtext.container_reason(F.unhex("payload"), paths.suffix(F.col("path"))).alias("reason_code"))
-    return rows
+    """Every document as a Word body: as it is, under another Office name, cut off, under a name that isn't looked into, with macros, and no container at all."""
+    s, k = views.source_documents(spark, sf_dir), F.col("doc_id") % 6
+    suffix = F.when(k == 1, ".pptx").when(k == 3, ".txt").otherwise(".docx")
+    body = _docx("title", "version", F.coalesce("scope", F.lit("")), F.coalesce("space_key", F.lit("")), k == 4)
+    rows = s.select("doc_id", suffix.alias("suffix"), F.when(k == 5, F.col("content").cast("binary")).when(k == 2, F.substring(body, 1, F.length(body) - 30)).otherwise(body).alias("body"))
+    return rows.select("doc_id", richtext.container_reason("body", "suffix").alias("reason_code"))
 
 
-@query("parsed_payloads")
+@query("parsed_payloads", """SELECT 'doc:' || doc_id AS source_id, CAST(0 AS INTEGER) AS ordinal, CASE doc_id % 3 WHEN 0 THEN 'body' ELSE '' END AS locator, coalesce(text, '') AS text, CASE doc_id % 3 WHEN 1 THEN 'ValueError: ' || doc_id WHEN 2 THEN 'no parser' END AS warning FROM documents""")
 def parsed_payloads(spark, sf_dir):
-    return references.parsed(frame(spark, "fx_payloads", sf_dir).select(F.col("path").alias("source_id"), "path", F.unhex("payload").alias("content_bytes")))
+    """Every document's bytes through a parser that knows some kinds, fails at others, and has nothing to say of the rest."""
+
+    def parser(body: bytes, path: str) -> list[tuple[str, str]] | None:
+        number, kind = path.split(".")
+        if kind == "bad":
+            raise ValueError(number)
+        return [("body", body.decode())] if kind == "ok" else None
+
+    path = F.concat("doc_id", F.element_at(F.array(F.lit(".ok"), F.lit(".bad"), F.lit(".odd")), (F.col("doc_id") % 3 + 1).cast("int")))
+    return references.parsed(views.source_documents(spark, sf_dir).select("source_id", path.alias("path"), F.col("content").cast("binary").alias("content_bytes")), parser)
 
 
 @F.pandas_udf(T.BinaryType())
-def _docx(title: pd.Series, text: pd.Series, source: pd.Series, lang: pd.Series) -> pd.Series:
+def _docx(title: pd.Series, text: pd.Series, source: pd.Series, lang: pd.Series, macros: pd.Series) -> pd.Series:
     """Word bodies: a heading, a paragraph for each line, and a table."""
 
-    def one(*values: str) -> bytes:
+    def one(macro: bool, *values: str) -> bytes:
         head, body, *cells = (escape(v) for v in values)
         par = lambda t, style="": f"<w:p><w:pPr><w:pStyle w:val='{style}'/></w:pPr><w:r><w:t xml:space='preserve'>{t}</w:t></w:r></w:p>"
         rows = "".join(f"<w:tc>{par(c)}</w:tc>" for c in cells)
@@ -245,9 +264,11 @@ def _docx(title: pd.Series, text: pd.Series, source: pd.Series, lang: pd.Series)
             space = "xmlns:w='http://schemas.openxmlformats.org/wordprocessingml/2006/main'"
             archive.writestr("word/document.xml", f"<w:document {space}><w:body>{par(head, 'Top')}{''.join(map(par, re.split(chr(10) + '|' + chr(13), body)))}<w:tbl><w:tr>{rows}</w:tr></w:tbl></w:body></w:document>")
             archive.writestr("word/styles.xml", f"<w:styles {space}><w:style w:styleId='Top'><w:name w:val='heading 1'/></w:style></w:styles>")
+            if macro:
+                archive.writestr("word/vbaProject.bin", b"")
         return out.getvalue()
 
-    return pd.Series([one(*v) for v in zip(title, text, source, lang)], dtype=object)
+    return pd.Series([one(*v) for v in zip(macros, title, text, source, lang)], dtype=object)
 
 
 #: White space of any kind, and what XML can't hold.
@@ -259,7 +280,7 @@ def office_bodies(spark, sf_dir):
     """Every document as a Word body, read back: heading, paragraphs and cells."""
     s = views.source_documents(spark, sf_dir)
     text = F.regexp_replace("content", r"[\x00-\x08\x0b\x0c\x0e-\x1f\x{fffe}\x{ffff}]", " ")
-    rows = s.select("source_id", F.lit("x.docx").alias("path"), _docx("title", text, "scope", F.coalesce("space_key", F.lit(""))).alias("content_bytes"))
+    rows = s.select("source_id", F.lit("x.docx").alias("path"), _docx("title", text, "scope", F.coalesce("space_key", F.lit("")), F.lit(False)).alias("content_bytes"))
     read = references.parsed(rows, ooxml.read).groupBy("source_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "text"))), lambda r: r["text"]), "").alias("text"))
     return read.select("source_id", F.sha2(F.regexp_replace("text", _SPACE, ""), 256).alias("digest"))
 

@@ -109,10 +109,17 @@ def job_messages(spark, sf_dir):
     return d.select("doc_id", job_verdict(raw).alias("verdict"))
 
 
-@query("provider_request", f"WITH {cte('fx_projects')} SELECT project_id, array_to_string(list_filter(['JIRA', 'GITHUB', 'LOCAL'], lambda x: list_contains(['JIRA', 'CONFLUENCE'], x)), ',') AS providers FROM fx_projects")
+@query("provider_request", """WITH k AS (SELECT source, list_distinct(list(['CONFLUENCE', 'JIRA', 'GITHUB'][doc_id % 3 + 1])) AS known FROM documents GROUP BY source),
+a AS (SELECT doc_id, source, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN ['JIRA', 'LOCAL'] WHEN 2 THEN ['GITHUB', upper(coalesce(lang, 'none')), 'JIRA', 'GITHUB'] ELSE [] END AS asked FROM documents)
+SELECT doc_id, array_to_string(list_sort(CASE WHEN asked IS NULL THEN known ELSE list_distinct(list_filter(asked, lambda x: list_contains(known, x))) END), ',') AS providers FROM a JOIN k ON k.source IS NOT DISTINCT FROM a.source""")
 def provider_request(spark, sf_dir):
-    asked, known = F.array(*map(F.lit, ("JIRA", "GITHUB", "LOCAL"))), F.array(F.lit("JIRA"), F.lit("CONFLUENCE"))
-    return frame(spark, "fx_projects", sf_dir).select("project_id", F.concat_ws(",", F.array_intersect(asked, known)).alias("providers"))
+    """Every document asks its source for some providers, or for all; it gets those that the source has."""
+    s = views.source_documents(spark, sf_dir)
+    known = s.groupBy(F.col("scope").alias("_scope")).agg(F.collect_set("provider").alias("known"))
+    k = F.col("doc_id") % 4
+    asked = F.when(k == 1, F.array(F.lit("jira"), F.lit("LOCAL"))).when(k == 2, F.array(F.lit("GITHUB"), F.coalesce("space_key", F.lit("NONE")), F.lit("JIRA"), F.lit("GITHUB"))).when(k == 3, F.array().cast("array<string>"))
+    joined = s.withColumn("asked", asked).join(known, F.col("scope").eqNullSafe(F.col("_scope")))
+    return joined.select("doc_id", F.concat_ws(",", F.array_sort(issues.granted_providers(F.col("asked"), F.col("known")))).alias("providers"))
 
 
 @query("conversation_turns", "SELECT role, count(*) AS turns, count(DISTINCT conv_id) AS conversations, CAST(sum(len(text)) AS BIGINT) AS characters FROM conversations GROUP BY role")
@@ -127,21 +134,56 @@ def event_counters(spark, sf_dir):
     return e.groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(F.count(F.lit(1)).alias("events"))
 
 
-@query("adf_text")
+#: White space as Python strips it, and what each document's rich text must be read as.
+_SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+TREES_SQL = f"""WITH t AS (SELECT 'd' || doc_id AS id, doc_id, doc_id % 13 = 5 AS broken, coalesce(text, '') AS t, coalesce(source, 'none') AS s, coalesce(lang, 'none') AS l, repeat('#', greatest(1, CAST(doc_id % 7 AS INTEGER))) || ' ' AS h FROM documents),
+r AS (SELECT id, doc_id, s, CASE WHEN NOT broken THEN h || s || chr(10) || chr(10) || regexp_replace(t, '^{_SPACE}', '') || '[here](https://example.org/' || doc_id || ')' || chr(10) || chr(10) || s || ' | ' || l || ' |' || chr(10) || chr(10) || '- ' || l || chr(10) || chr(10)
+  || '```sql' || chr(10) || s || chr(10) || '```' || chr(10) || chr(10) || 'by @' || l || chr(10) || chr(10) || 'https://example.org/' || doc_id || chr(10) || chr(10) END AS text,
+ CASE WHEN NOT broken THEN h || s || chr(10) || trim(regexp_replace(t || ' here', '{_SPACE}', ' ', 'g'), ' ') || chr(10) || s || ' | ' || l || chr(10) || '- ' || l || chr(10) || s || chr(10) || 'by' END AS markdown FROM t)
+"""
+
+
+def _trees(spark, sf_dir):
+    """Every document as a rich-text tree: a heading, its whole text and a link, a table, a list, code, a mention and a card. Some are broken."""
+
+    def quoted(c):
+        return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+
+    def node(kind, *content, attrs=None):
+        inner = F.concat(F.lit('"content":['), F.concat_ws(",", *content), F.lit("]"))
+        return F.concat(F.lit(f'{{"type":"{kind}",'), *([F.lit('"attrs":'), attrs, F.lit(",")] if attrs is not None else []), inner, F.lit("}"))
+
+    def words(c, link=None):
+        return F.concat(F.lit('{"type":"text","text":'), quoted(c), *([F.lit(',"marks":[{"type":"strong"},{"type":"link","attrs":{"href":'), quoted(link), F.lit("}}]")] if link is not None else []), F.lit("}"))
+
+    d = F.col("doc_id")
+    t, s, lang, url = F.coalesce("text", F.lit("")), F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.concat(F.lit("https://example.org/"), d)
+    level, paragraph = F.concat(F.lit('{"level":'), d % 7, F.lit("}")), lambda *c: node("paragraph", *c)
+    mention = F.concat(F.lit('{"type":"mention","attrs":{"id":"7","text":'), quoted(F.concat(F.lit("@"), lang)), F.lit("}}"))
+    card = F.concat(F.lit('{"type":"inlineCard","attrs":{"url":'), quoted(url), F.lit("}}"))
+    row = node("tableRow", node("tableHeader", paragraph(words(s))), node("tableCell", paragraph(words(lang))))
+    tree = node(
+        "doc", node("heading", words(s), attrs=level), paragraph(words(t), words(F.lit("here"), url)), node("table", row), node("bulletList", node("listItem", paragraph(words(lang)))),
+        node("codeBlock", words(s), attrs=F.lit('{"language":"sql"}')), paragraph(words(F.lit("by ")), mention), paragraph(card),
+    )
+    storage = F.when(d % 3 == 0, F.concat(F.lit(" <p>"), s, F.lit("</p>"))).when(d % 3 == 1, "  ")
+    return views.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), d).alias("id"), storage.alias("storage"), F.when(d % 13 == 5, "broken").otherwise(tree).alias("adf"))
+
+
+@query("adf_text", TREES_SQL + "SELECT id, text FROM r")
 def adf_text(spark, sf_dir):
-    return frame(spark, "fx_adf", sf_dir).select("id", richtext.rich_text("adf").alias("text"))
+    return _trees(spark, sf_dir).select("id", richtext.rich_text("adf").alias("text"))
 
 
-@query("adf_markdown")
+@query("adf_markdown", TREES_SQL + "SELECT id, markdown AS text FROM r")
 def adf_markdown(spark, sf_dir):
-    return frame(spark, "fx_adf", sf_dir).select("id", richtext.rich_markdown("adf").alias("text"))
+    return _trees(spark, sf_dir).select("id", richtext.rich_markdown("adf").alias("text"))
 
 
-@query("live_bodies")
+@query("live_bodies", TREES_SQL + "SELECT id, CASE WHEN doc_id % 3 = 0 THEN '<p>' || s || '</p>' ELSE markdown END AS body FROM r")
 def live_bodies(spark, sf_dir):
     """An empty stored body is read from the rich-text tree instead."""
-    body = F.coalesce(F.nullif(F.trim("storage"), F.lit("")), richtext.rich_markdown("adf"))
-    return frame(spark, "fx_adf", sf_dir).select("id", body.alias("body"))
+    return _trees(spark, sf_dir).select("id", richtext.live_body(F.col("storage"), F.col("adf")).alias("body"))
 
 
 @query("canonical_json")
@@ -149,7 +191,7 @@ def canonical_json(spark, sf_dir):
     return views.table(spark, sf_dir, "events").select("event_id", richtext.canonical_json("props").alias("canonical"))
 
 
-@query("generated_scan")
+@query("generated_scan", f"WITH {cte('fx_metadata')} SELECT id, reason_code FROM fx_metadata")
 def generated_scan(spark, sf_dir):
     return frame(spark, "fx_metadata", sf_dir).select("id", richtext.metadata_reason("metadata").alias("reason_code"))
 

@@ -197,15 +197,17 @@ def scan_scopes(spark, sf_dir):
     return generation.scopes(frame(spark, "fx_projects", sf_dir)).groupBy("project_id", "provider").agg(F.concat_ws(",", F.array_sort(F.collect_set("scope"))).alias("scopes"))
 
 
-@query("project_lookup", f"""WITH {cte('fx_projects')}, r AS (SELECT doc_id, ['acme', 'acme', 'bad owner', '-x'][doc_id % 4 + 1] AS owner, CASE doc_id % 3 WHEN 0 THEN 'shop' WHEN 1 THEN 'x/y' ELSE 'nowhere' END AS repository FROM documents),
+@query("project_lookup", f"""WITH {cte('fx_projects')}, r AS (SELECT doc_id, ['acme-' || coalesce(lang, 'none'), 'bad owner', '-x', 'acme-' || coalesce(lang, 'none')][doc_id % 4 + 1] AS owner, coalesce(source, 'none') || CASE WHEN doc_id % 9 = 2 THEN '/' ELSE '.' END || doc_id % 25 AS repository FROM documents),
 v AS (SELECT *, regexp_full_match(owner, '[A-Za-z0-9](?:[A-Za-z0-9-]{{0,37}}[A-Za-z0-9])?') AND regexp_full_match(repository, '[A-Za-z0-9_.-]{{1,100}}') AS valid FROM r),
-p AS (SELECT owner, repository, min(project_id) AS project_id FROM fx_projects WHERE regexp_full_match(owner, '[A-Za-z0-9-]+') AND repository NOT LIKE '%/%' GROUP BY ALL)
+p AS (SELECT owner, repository, min(project_id) AS project_id FROM fx_projects WHERE owner <> 'bad owner' AND NOT contains(repository, '/') GROUP BY ALL)
 SELECT v.doc_id, v.owner, v.repository, p.project_id, v.valid FROM v LEFT JOIN p ON p.owner = v.owner AND p.repository = v.repository""")
 def project_lookup(spark, sf_dir):
-    """Every document asks for the project of a repository, as an event would."""
-    pick = lambda names, at: F.element_at(F.array(*map(F.lit, names)), (at + 1).cast("int"))
-    d = F.col("doc_id")
-    asked = views.table(spark, sf_dir, "documents").select("doc_id", pick(("acme", "acme", "bad owner", "-x"), d % 4).alias("owner"), pick(("shop", "x/y", "nowhere"), d % 3).alias("repository"))
+    """Every document asks for the project of a repository, as an event would; some repositories no project has, some several."""
+    d, owner = F.col("doc_id"), F.concat(F.lit("acme-"), F.coalesce("lang", F.lit("none")))
+    asked = views.table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(d % 4 == 1, "bad owner").when(d % 4 == 2, "-x").otherwise(owner).alias("owner"),
+        F.concat(F.coalesce("source", F.lit("none")), F.when(d % 9 == 2, "/").otherwise("."), d % 25).alias("repository"),
+    )
     return routing.by_repository(asked, frame(spark, "fx_projects", sf_dir))
 
 

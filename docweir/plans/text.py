@@ -153,28 +153,33 @@ def collection_names(spark, sf_dir):
     return frame(spark, "fx_projects", sf_dir).select("project_id", text.collection_name(F.concat(F.lit("Team Docs! "), "owner"), F.col("project_id")).alias("collection"))
 
 
-def _globs() -> list[str]:
-    from docweir.plans.fixtures import TABLES
+#: Globs, and what each lets through in SQL, by a path without its outer slashes (p) and its parts (ps).
+GLOBS = {
+    "**/project-documentation/**": "list_contains(ps, 'project-documentation')", "**/*.docx": "ends_with(p, '.docx')", "*.kt": "len(ps) = 1 AND ends_with(p, '.kt')", "src/**/*.kt": "ps[1] = 'src' AND len(ps) > 1 AND ends_with(p, '.kt')",
+    "a/?/c.txt": "len(ps) = 3 AND ps[1] = 'a' AND len(ps[2]) = 1 AND ps[3] = 'c.txt'", "docs/*.md": "len(ps) = 2 AND ps[1] = 'docs' AND ends_with(p, '.md')", "docs/**": "ps[1] = 'docs'", "a.b.*": "len(ps) = 1 AND starts_with(p, 'a.b.')",
+}
 
-    return list(dict.fromkeys(row[1] for row in TABLES["fx_globs"][1]))
 
-
-@query("glob_filter", f"WITH {cte('fx_globs')} SELECT path, pattern, regexp_matches(trim(path, '/'), CASE pattern {' '.join('WHEN ' + repr(g) + ' THEN ' + chr(39) + paths.glob_regex(g) + chr(39) for g in _globs())} END) AS matched FROM fx_globs")
+@query("glob_filter", f"WITH {cte('fx_globs')}, g AS (SELECT path, trim(path, '/') AS p FROM fx_globs), s AS (SELECT path, p, string_split(p, '/') AS ps FROM g) " + " UNION ALL ".join(f"SELECT path, '{glob}' AS pattern, {hit} AS matched FROM s" for glob, hit in GLOBS.items()))
 def glob_filter(spark, sf_dir):
-    matched = None
-    for pattern in _globs():
-        hit = paths.matches_glob(F.col("path"), pattern)
-        matched = F.when(F.col("pattern") == pattern, hit) if matched is None else matched.when(F.col("pattern") == pattern, hit)
-    return frame(spark, "fx_globs", sf_dir).withColumn("matched", matched)
+    """A path of each document against every glob."""
+    found = F.array(*(F.struct(F.lit(g).alias("pattern"), paths.matches_glob(F.col("path"), g).alias("matched")) for g in GLOBS))
+    return frame(spark, "fx_globs", sf_dir).select("path", F.inline(found))
+
+
+#: What the kinds of files are, stated anew: the last part of a path, and its extension.
+KIND_SQL = """, nm AS (SELECT *, list_extract(string_split(path, '/'), -1) AS name FROM {0}), ex AS (SELECT *, CASE WHEN contains(substr(name, 2), '.') AND NOT ends_with(name, '.') THEN '.' || lower(list_extract(string_split(name, '.'), -1)) ELSE '' END AS suffix FROM nm),
+kd AS (SELECT *, CASE WHEN suffix IN ('.zip', '.7z', '.rar', '.tar', '.gz', '.jar', '.iso', '.dmg', '.exe', '.dll', '.com', '.bat', '.cmd', '.msi', '.scr', '.vbs', '.jsm', '.docm', '.xlsm', '.pptm') THEN 'blocked' WHEN suffix IN ('.pdf', '.docx', '.pptx', '.xlsx') THEN 'binary'
+ WHEN suffix IN ('.md', '.markdown', '.txt', '.csv', '.html', '.htm', '.xml', '.yaml', '.yml', '.sql', '.py', '.js', '.ts', '.tsx', '.java', '.kt', '.kts') THEN 'text' WHEN suffix IN ('.png', '.jpg', '.jpeg', '.webp') THEN 'visual' ELSE 'other' END AS kind FROM ex)"""
 
 
-@query("path_guard", f"""WITH {cte('fx_paths')}, n AS (SELECT path, string_split(replace(lower(path), '\\', '/'), '/') AS parts FROM fx_paths)
-SELECT path, {paths.kind_of_file_sql('path')} AS kind, starts_with(parts[-1], '.env') OR regexp_matches(parts[-1], '\\.(pem|key|p12|pfx)$') OR list_has_any(parts, ['node_modules', 'vendor', '.gradle', 'build', 'dist', 'secrets']) AS sensitive FROM n""")
+@query("path_guard", f"WITH {cte('fx_paths')}{KIND_SQL.format('fx_paths')}" + r""", n AS (SELECT *, string_split(replace(lower(path), '\', '/'), '/') AS parts FROM kd)
+SELECT path, kind, starts_with(parts[-1], '.env') OR regexp_matches(parts[-1], '\.(pem|key|p12|pfx)$') OR list_has_any(parts, ['node_modules', 'vendor', '.gradle', 'build', 'dist', 'secrets']) AS sensitive FROM n""")
 def path_guard(spark, sf_dir):
     return frame(spark, "fx_paths", sf_dir).select("path", paths.kind_of_file(F.col("path")).alias("kind"), paths.is_sensitive(F.col("path")).alias("sensitive"))
 
 
-@query("file_kinds", views.BASE_SQL + f" SELECT {paths.kind_of_file_sql('path')} AS kind, {paths.suffix_sql('path')} AS suffix, count(*) AS files FROM src GROUP BY 1, 2")
+@query("file_kinds", views.BASE_SQL + KIND_SQL.format("src") + " SELECT kind, suffix, count(*) AS files FROM kd GROUP BY 1, 2")
 def file_kinds(spark, sf_dir):
     return views.source_documents(spark, sf_dir).groupBy(paths.kind_of_file(F.col("path")).alias("kind"), paths.suffix(F.col("path")).alias("suffix")).agg(F.count(F.lit(1)).alias("files"))
 

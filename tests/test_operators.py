@@ -16,6 +16,11 @@ from docweir.sources.tables import Conflict, StateTable
 from docweir.streaming import gates, ingest
 
 
+def queue(spark):
+    rows = [("m1", "DEMO", 1, True), ("m2", "DEMO", 4, False), ("m3", "APP", 5, False), ("m4", "APP", 7, False), ("m5", "OPS", 5, True)]
+    return spark.createDataFrame(rows, "message_id string, project_id string, deliveries int, ok boolean")
+
+
 @pytest.fixture
 def docs(spark, small):
     return access.resolve_policy(views.source_documents(spark, small), frame(spark, "fx_rules"), views.PROJECT).drop("doc_id")
@@ -179,7 +184,7 @@ def test_cursors_quarantine_leases_and_dead_letters_are_stored(spark, tmp_path):
     assert {r.decision for r in ingest.acquire(store, asked, 0).collect()} == {"granted"}
     other = asked.withColumn("requester", F.lit("w2"))
     assert {r.decision for r in ingest.acquire(store, other, 1).collect()} == {"held"} and {r.owner for r in store.leases.read().collect()} == {"w1"}
-    assert {r.message_id for r in ingest.settle(store, frame(spark, "fx_queue"), 0, "run-1").collect()} == {"m2"}
+    assert {r.message_id for r in ingest.settle(store, queue(spark), 0, "run-1").collect()} == {"m2"}
     assert {r.message_id for r in store.dead.read().collect()} == {"m3", "m4"}
 
 
@@ -701,7 +706,7 @@ def test_embedding_text_keeps_the_body(spark):
 
 
 def test_dead_letters(spark):
-    messages = frame(spark, "fx_queue")
+    messages = queue(spark)
     again, aside = ingest.dead_letter(messages, gates.settlement(messages))
     assert {r.message_id for r in again.collect()} == {"m2"} and {r.message_id for r in aside.collect()} == {"m3", "m4"}
 
