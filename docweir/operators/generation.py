@@ -45,6 +45,26 @@ def purge(rows: DataFrame, provider: str, scope: str | None = None) -> DataFrame
     return rows.where(~(gone & (F.col("scope") == scope) if scope is not None else gone))
 
 
+def purge_plan(manifest: DataFrame, chunks: DataFrame, scopes: DataFrame, project: str, provider: str) -> DataFrame:
+    """What purging a provider of a project takes, a row a scope: scope, sources, chunks, forgotten.
+
+    All of its stored chunks go; those whose source has no manifest row are counted under a null
+    scope. Manifest rows go in scopes (project_id, provider, scope) that are configured (forgotten):
+    what a scan can't find again keeps its state. A source that is in several scopes counts in the least.
+    """
+    mine = (F.col("project_id") == project) & (F.col("provider") == provider)
+    known = manifest.where(mine).groupBy("source_id").agg(F.min("scope").alias("scope"), F.lit(1).alias("_known"))
+    held = chunks.where(mine).groupBy("source_id").agg(F.count(F.lit(1)).alias("_chunks"))
+    found = known.join(held, "source_id", "full").groupBy("scope").agg(F.count("_known").alias("sources"), F.coalesce(F.sum("_chunks"), F.lit(0)).alias("chunks"))
+    return found.join(scopes.where(mine).select("scope", F.lit(True).alias("_configured")).distinct(), "scope", "left").select("scope", "sources", "chunks", F.coalesce("_configured", F.lit(False)).alias("forgotten"))
+
+
+def recovered_scopes(manifest: DataFrame, project: str) -> DataFrame:
+    """(provider, scope, sources) under which a project has written manifests, for a configuration that was lost."""
+    named = manifest.where((F.col("project_id") == project) & (F.col("provider") != "") & (F.col("scope") != ""))
+    return named.groupBy(F.upper("provider").alias("provider"), "scope").agg(F.count(F.lit(1)).alias("sources"))
+
+
 def scopes(projects: DataFrame) -> DataFrame:
     """(project_id, provider, scope) of every project: repositories by branch (main where none is named) and Jira projects."""
     branches = F.when(F.size("branches") == 0, F.array(F.lit("main"))).otherwise(F.col("branches"))

@@ -186,9 +186,14 @@ def live_bodies(spark, sf_dir):
     return _trees(spark, sf_dir).select("id", richtext.live_body(F.col("storage"), F.col("adf")).alias("body"))
 
 
-@query("canonical_json")
+@query("canonical_json", """SELECT event_id, CASE WHEN event_id % 9 <> 4 THEN '{"a":[1,{"y":null,"z":"' || event_type || '"}],"k":' || (props->>'$.k') || ',"é":"' || user_id || CASE event_id % 3 WHEN 0 THEN chr(92) || 'n' WHEN 1 THEN ' / ' ELSE chr(92) || '"' END || '"}' END AS canonical FROM events""")
 def canonical_json(spark, sf_dir):
-    return views.table(spark, sf_dir, "events").select("event_id", richtext.canonical_json("props").alias("canonical"))
+    """Properties of events within more fields, in another order, with spaces and escapes; some are cut off."""
+    e = views.table(spark, sf_dir, "events")
+    tail = F.element_at(F.array(F.lit("\\u000a"), F.lit(" \\/ "), F.lit("\\u0022")), (F.col("event_id") % 3 + 1).cast("int"))
+    inner = F.regexp_replace("props", r"^\{|\}$", "")
+    raw = F.concat(F.lit('{ "\\u00e9" : "'), "user_id", tail, F.lit('",'), inner, F.lit(',\n "a": [1, {"z": "'), "event_type", F.lit('", "y":null}]'), F.when(F.col("event_id") % 9 == 4, "").otherwise(" }"))
+    return e.select("event_id", richtext.canonical_json(raw).alias("canonical"))
 
 
 @query("generated_scan", f"WITH {cte('fx_metadata')} SELECT id, reason_code FROM fx_metadata")
@@ -196,7 +201,10 @@ def generated_scan(spark, sf_dir):
     return frame(spark, "fx_metadata", sf_dir).select("id", richtext.metadata_reason("metadata").alias("reason_code"))
 
 
-@query("heading_digests")
+@query("heading_digests", views.BASE_SQL + """ SELECT source_id, 'section:' || substr(sha256(CASE doc_id % 3 WHEN 0 THEN '["' || title || '","' || scope || '"]' WHEN 1 THEN '["Caf' || chr(233) || ' ' || lower(space_key) || '"]' ELSE '[]' END), 1, 12) AS locator FROM src""")
 def heading_digests(spark, sf_dir):
-    s = views.source_documents(spark, sf_dir)
-    return s.select("source_id", F.concat(F.lit("section:"), richtext.heading_digest(F.array("title", "scope"))).alias("locator"))
+    """Heading paths with spaces and parts of their own, with a composed letter's two spellings, and without any words."""
+    s, k = views.source_documents(spark, sf_dir), F.col("doc_id") % 3
+    cafe = F.when(F.col("doc_id") % 2 == 0, "Caf\u00e9").otherwise("Cafe\u0301")
+    parts = F.when(k == 0, F.array(F.concat(F.lit(" "), F.regexp_replace("title", " ", " \t "), F.lit("\n")), F.lit(" "), F.lit(None).cast("string"), F.col("scope"))).when(k == 1, F.array(F.concat(cafe, F.lit("  "), F.lower("space_key")))).otherwise(F.array(F.lit("  ")))
+    return s.select("source_id", F.concat(F.lit("section:"), richtext.heading_digest(parts)).alias("locator"))

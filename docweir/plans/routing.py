@@ -116,6 +116,11 @@ def purge_provider_plan(spark, sf_dir):
     return m.groupBy("provider").agg(F.count(F.lit(1)).alias("sources"), F.count_if(~F.col("deleted")).alias("live"), F.sum("chunk_count").alias("chunks"))
 
 
+@query("recovered_scopes", views.BASE_SQL + " SELECT provider, scope, count(*) AS sources FROM man GROUP BY provider, scope")
+def recovered_scopes(spark, sf_dir):
+    return generation.recovered_scopes(views.manifest(spark, sf_dir), PROJECT)
+
+
 @query("access_policy_first_match", f"{views.BASE_SQL}, {cte('fx_rules')} SELECT s.source_id, {POLICY} AS access_policy_id FROM src s")
 def access_policy_first_match(spark, sf_dir):
     return with_policy(spark, sf_dir).select("source_id", "access_policy_id")

@@ -35,6 +35,32 @@ def stream_chunks(spark, sf_dir):
     return _stored(spark, sf_dir).chunks.read().groupBy("source_id").agg(F.count(F.lit(1)).alias("chunks"), F.min("storage_id").alias("least_id"))
 
 
+def _purgeable(spark, sf_dir):
+    """Manifests of an earlier run, chunks of all documents (some have no manifest row), and all scopes but one as configured."""
+    chunks = generation.storage_rows(views.source_documents(spark, sf_dir).withColumn("_n", F.col("chunk_count")))
+    manifest = views.manifest(spark, sf_dir)
+    return manifest, chunks, manifest.where("scope <> 'src1'").select("project_id", "provider", "scope").distinct()
+
+
+@query("purge_plan", views.BASE_SQL + """, m AS (SELECT source_id, scope FROM man WHERE provider = 'GITHUB'), c AS (SELECT source_id, chunk_count AS n FROM src WHERE provider = 'GITHUB')
+SELECT scope, count(scope) AS sources, CAST(coalesce(sum(n), 0) AS BIGINT) AS chunks, coalesce(scope <> 'src1', false) AS forgotten FROM m FULL JOIN c USING (source_id) GROUP BY scope""")
+def purge_plan(spark, sf_dir):
+    return generation.purge_plan(*_purgeable(spark, sf_dir), views.PROJECT, "GITHUB")
+
+
+@query("purged_store", views.BASE_SQL + """ SELECT 'manifest' AS kept, provider, scope, count(*) AS n FROM man WHERE provider <> 'GITHUB' OR scope = 'src1' GROUP BY provider, scope
+UNION ALL SELECT 'chunks', provider, NULL, CAST(sum(chunk_count) AS BIGINT) FROM src WHERE provider <> 'GITHUB' GROUP BY provider""")
+def purged_store(spark, sf_dir):
+    """What a store holds after a provider was purged."""
+    manifest, chunks, configured = _purgeable(spark, sf_dir)
+    store = ingest.Store(spark, work_dir(spark, "purge"))
+    store.manifest.replace(manifest, 0)
+    store.chunks.replace(chunks, 0)
+    ingest.purge(store, configured, views.PROJECT, "GITHUB", execute=True)
+    kept = store.manifest.read().groupBy("provider", "scope").agg(F.count(F.lit(1)).alias("n")).select(F.lit("manifest").alias("kept"), "provider", "scope", "n")
+    return kept.unionByName(store.chunks.read().groupBy("provider").agg(F.count(F.lit(1)).alias("n")).select(F.lit("chunks").alias("kept"), "provider", F.lit(None).cast("string").alias("scope"), "n"))
+
+
 def _in_parts(spark, sf_dir, parts, run):
     """Writes parts of a table one after the other into a folder, and runs a stream over it after each: every part is a batch, and every run a restart."""
     where = work_dir(spark, "stream")

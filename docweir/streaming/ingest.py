@@ -144,6 +144,24 @@ def publish_vocabulary(store: Store, chunks: DataFrame, token: int, run: str, wr
     return store.vocabulary.rewrite(keys, change, token, writer, state)
 
 
+def purge(store: Store, scopes: DataFrame, project: str, provider: str, execute: bool = False, writer: str = "") -> DataFrame:
+    """The plan of purging a provider of a project (generation.purge_plan); only with execute, what it says is done.
+
+    Chunks go before manifests: a crash between leaves manifests that the next purge finds, and no
+    chunk that a search could still deliver. Doing it twice changes nothing. Another writer's change
+    in the meantime is a Conflict.
+    """
+    mine = (F.col("project_id") == project) & (F.col("provider") == provider)
+    plan = stored(generation.purge_plan(store.manifest.read(), store.chunks.read(), scopes, project, provider))
+    if execute:
+        sources = stored(store.chunks.read().where(mine).select(*schemas.SOURCE).distinct())
+        store.chunks.rewrite(sources, lambda old: old.join(sources, schemas.SOURCE, "left_anti"), None, writer)
+        known = store.manifest.read().where(mine).join(scopes, schemas.KEY[:-1], "left_semi")
+        keys = stored(known.select(*schemas.KEY).distinct())
+        store.manifest.rewrite(keys, lambda old: old.join(keys, schemas.KEY, "left_anti"), None, writer)
+    return plan
+
+
 def settle(store: Store, messages: DataFrame, token: int, run: str, writer: str = "") -> DataFrame:
     """Stores messages (message_id, project_id, deliveries, ok) that failed too often; returns those that are delivered again."""
     again, aside = dead_letter(messages, gates.settlement(messages))

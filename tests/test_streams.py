@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docweir.functions import signatures
-from docweir.operators import access, audits
+from docweir.operators import access, audits, generation
 from docweir.plans.fixtures import frame
 from docweir.sources import generations, queue, views
 from docweir.sources.tables import Conflict, StateTable
@@ -253,3 +253,25 @@ def test_vectors_of_a_manifest(spark):
     rows = spark.createDataFrame([("p", p, s, v, m) for s, v, m in vectors for p in ("JIRA", "OTHER")], "project_id string, provider string, source_id string, embedding array<float>, model string")
     found = {r.source_id: r.fault for r in audits.vector_integrity(manifest, rows, 2, "m").collect()}
     assert found == {"few": "vector count", "none": "vector count", "null": "dimensions", "zero": "no length", "mixed": "model"}
+
+
+def test_a_purge_takes_chunks_first_and_can_be_repeated(spark, small, tmp_path, monkeypatch):
+    manifest = views.manifest(spark, small)
+    store = ingest.Store(spark, f"file://{tmp_path}/store")
+    store.manifest.replace(manifest, 0)
+    store.chunks.replace(generation.storage_rows(views.source_documents(spark, small).withColumn("_n", F.col("chunk_count"))), 0)
+    scopes = manifest.where("scope <> 'src1'").select("project_id", "provider", "scope").distinct()
+    counts = lambda: (store.manifest.read().where("provider = 'JIRA'").count(), store.chunks.read().where("provider = 'JIRA'").count())
+    before, others = counts(), store.chunks.read().where("provider <> 'JIRA'").count()
+    plan = ingest.purge(store, scopes, views.PROJECT, "JIRA").collect()
+    assert counts() == before == (sum(r.sources for r in plan), sum(r.chunks for r in plan))
+    assert any(r.scope is None and r.chunks for r in plan) and not next(r for r in plan if r.scope == "src1").forgotten
+    with monkeypatch.context() as broken:
+        broken.setattr(store.manifest, "rewrite", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.purge(store, scopes, views.PROJECT, "JIRA", execute=True)
+    assert counts() == (before[0], 0)
+    for _ in range(2):
+        ingest.purge(store, scopes, views.PROJECT, "JIRA", execute=True)
+        assert counts() == (sum(r.sources for r in plan if not r.forgotten), 0) and store.chunks.read().where("provider <> 'JIRA'").count() == others
+    assert ingest.purge(store, scopes.limit(0), "OTHER", "JIRA", execute=True).count() == 0
