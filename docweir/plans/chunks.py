@@ -13,9 +13,9 @@ from docweir.sources import views
 
 LINES_SQL = TEXTS_SQL + f""", ln AS (SELECT source_id, i - 1 AS pos, ls[i] AS line FROM (SELECT source_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT source_id, regexp_split_to_array(content, {NEWLINE_SQL}) AS ls FROM texts)))
 """
-_HEAD = f"regexp_matches(line, '{sections.HEADING}')"
-_LEVEL = f"len(regexp_extract(line, '{sections.HEADING}', 1))"
-_TITLE = f"regexp_extract(line, '{sections.HEADING}', 2)"
+_HEAD = f"regexp_matches(line, '^(#{{1,6}})\\s+(.+)$')"
+_LEVEL = f"len(regexp_extract(line, '^(#{{1,6}})\\s+(.+)$', 1))"
+_TITLE = f"regexp_extract(line, '^(#{{1,6}})\\s+(.+)$', 2)"
 
 
 def lines(spark, sf_dir):
@@ -73,8 +73,8 @@ def section_totals(spark, sf_dir):
     return grouped.select(F.when(F.col("all") == 1, "CORPUS").otherwise(F.col("source_id")).alias("source_id"), "category", "sections")
 
 
-@query("workflow_steps", LINES_SQL + f""", s AS (SELECT *, count(*) FILTER (regexp_matches(line, '{sections.FLOW_HEADING}')) OVER (PARTITION BY source_id ORDER BY pos) AS section FROM ln)
-SELECT source_id, section, regexp_extract(arg_min(line, pos), '{sections.FLOW_HEADING}', 1) AS flow_id, count(*) FILTER (regexp_matches(line, '{sections.STEP}')) AS steps FROM s WHERE section > 0 GROUP BY source_id, section""")
+@query("workflow_steps", LINES_SQL + f""", s AS (SELECT *, count(*) FILTER (regexp_matches(line, '^#{{1,4}}\\s+.*?\\[([A-Z][A-Z0-9]*-\\d+)\\].*$')) OVER (PARTITION BY source_id ORDER BY pos) AS section FROM ln)
+SELECT source_id, section, regexp_extract(arg_min(line, pos), '^#{{1,4}}\\s+.*?\\[([A-Z][A-Z0-9]*-\\d+)\\].*$', 1) AS flow_id, count(*) FILTER (regexp_matches(line, '^\\s*\\d+[.)]\\s+\\S')) AS steps FROM s WHERE section > 0 GROUP BY source_id, section""")
 def workflow_steps(spark, sf_dir):
     return sections.workflows(lines(spark, sf_dir))
 
@@ -104,7 +104,7 @@ def table_captions(spark, sf_dir):
     return sections.captions(lines(spark, sf_dir))
 
 
-@query("glossary_entries", LINES_SQL + f"SELECT source_id, pos, trim(regexp_extract(line, '{sections.TERM_LINE}', 1), ' ') AS term FROM ln WHERE regexp_matches(line, '{sections.TERM_LINE}') AND NOT {_HEAD}")
+@query("glossary_entries", LINES_SQL + f"SELECT source_id, pos, trim(regexp_extract(line, '^\\s*([^:]{{2,80}}):\\s+(.+)$', 1), ' ') AS term FROM ln WHERE regexp_matches(line, '^\\s*([^:]{{2,80}}):\\s+(.+)$') AND NOT {_HEAD}")
 def glossary_entries(spark, sf_dir):
     return sections.terms(lines(spark, sf_dir))
 

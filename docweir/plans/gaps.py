@@ -121,7 +121,7 @@ def blob_text(spark, sf_dir):
     return d.select(F.concat(F.lit("b"), "doc_id").alias("name"), text.blob(lines).alias("text"))
 
 
-@query("effective_chunkers", views.BASE_SQL + f" SELECT provider, CASE WHEN provider = 'JIRA' THEN chunker_version || '{routing.JIRA_SUFFIX}' ELSE chunker_version END AS chunker, count(*) AS sources FROM src GROUP BY 1, 2")
+@query("effective_chunkers", views.BASE_SQL + f" SELECT provider, CASE WHEN provider = 'JIRA' THEN chunker_version || '.jira-context-v3' ELSE chunker_version END AS chunker, count(*) AS sources FROM src GROUP BY 1, 2")
 def effective_chunkers(spark, sf_dir):
     return views.source_documents(spark, sf_dir).groupBy("provider", routing.effective_chunker(F.col("chunker_version"), F.col("provider")).alias("chunker")).agg(F.count(F.lit(1)).alias("sources"))
 

@@ -78,7 +78,7 @@ def stale_floor_guard(spark, sf_dir):
     return routing.guarded_stale(views.manifest(spark, sf_dir), views.source_documents(spark, sf_dir), floor=15).select("provider", "scope", "source_id")
 
 
-@query("tombstones", views.BASE_SQL + f""" SELECT source_id, true AS deleted, '{routing.EMPTY_HASH}' AS content_hash, CAST(0 AS BIGINT) AS chunk_count, 'run-2' AS last_seen_run, title
+@query("tombstones", views.BASE_SQL + f""" SELECT source_id, true AS deleted, 'e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855' AS content_hash, CAST(0 AS BIGINT) AS chunk_count, 'run-2' AS last_seen_run, title
  FROM (SELECT m.* FROM man m ANTI JOIN src s USING (project_id, provider, scope, source_id) WHERE NOT m.deleted)""")
 def tombstone_rows(spark, sf_dir):
     m = views.manifest(spark, sf_dir)
@@ -88,7 +88,7 @@ def tombstone_rows(spark, sf_dir):
 
 @query("manifest_commit", ROUTED_SQL + f""", k AS (SELECT * FROM man)
 SELECT coalesce(k.source_id, r.source_id) AS source_id, CASE WHEN operation = 'INDEX' THEN r.version ELSE k.version END AS version,
- CASE WHEN operation = 'INDEX' THEN r.content_hash WHEN operation = 'DELETE' THEN '{routing.EMPTY_HASH}' ELSE k.content_hash END AS content_hash,
+ CASE WHEN operation = 'INDEX' THEN r.content_hash WHEN operation = 'DELETE' THEN 'e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855' ELSE k.content_hash END AS content_hash,
  CASE WHEN operation = 'INDEX' THEN r.chunk_count WHEN operation = 'DELETE' THEN 0 ELSE k.chunk_count END AS chunk_count,
  CASE WHEN operation = 'INDEX' THEN false WHEN operation = 'DELETE' THEN true ELSE k.deleted END AS deleted,
  CASE WHEN operation IS NOT NULL THEN 'run-2' ELSE k.last_seen_run END AS last_seen_run,

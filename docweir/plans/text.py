@@ -33,16 +33,16 @@ def _agree_sql(delimiter: str) -> str:
 
 
 FORMAT_SQL = TEXTS_SQL + f""", b AS (SELECT source_id, declared, {strip_sql('content')} AS body FROM texts),
-l AS (SELECT *, regexp_split_to_array(body, {NEWLINE_SQL}) AS ls FROM b), s AS (SELECT *, ls[1:{formats.SAMPLE_LINES}] AS sample FROM l),
+l AS (SELECT *, regexp_split_to_array(body, {NEWLINE_SQL}) AS ls FROM b), s AS (SELECT *, ls[1:200] AS sample FROM l),
 n AS (SELECT *, {_agree_sql("','")} AS comma, {_agree_sql("chr(9)")} AS tab, {_agree_sql("';'")} AS semicolon,
-  len(list_filter(sample, lambda x: len(x) - len(replace(x, '|', '')) >= 2)) AS pipes, len(list_filter(sample, lambda x: regexp_matches(x, '{formats.LOG_LINE}'))) AS logs,
-  len(list_filter(sample, lambda x: regexp_matches(x, '{formats.CODE_LINE}'))) AS code FROM s)
+  len(list_filter(sample, lambda x: len(x) - len(replace(x, '|', '')) >= 2)) AS pipes, len(list_filter(sample, lambda x: regexp_matches(x, '^\\s*(?:\\[?\\d{{4}}-\\d{{2}}-\\d{{2}}[T ]\\d{{2}}:\\d{{2}}|\\d{{2}}:\\d{{2}}:\\d{{2}}|(?:TRACE|DEBUG|INFO|WARN|WARNING|ERROR|FATAL)\\b)'))) AS logs,
+  len(list_filter(sample, lambda x: regexp_matches(x, '^\\s*(?:package |import |from \\S+ import |#include|using |def |class |func |public |private |internal |fun |val |var |const |let |async def )'))) AS code FROM s)
 SELECT source_id, k[1] AS kind, k[2] AS reason FROM (SELECT source_id, CASE WHEN declared <> '' THEN [declared, 'declared'] WHEN body = '' THEN ['prose', 'empty']
  WHEN regexp_matches(body, '^[\\{{\\[]') AND regexp_matches(body, '[\\}}\\]]$') AND json_valid(body) THEN ['json', 'parses as JSON']
  WHEN comma >= 3 THEN ['csv', comma || ' leading lines agree'] WHEN tab >= 3 THEN ['csv', tab || ' leading lines agree'] WHEN semicolon >= 3 THEN ['csv', semicolon || ' leading lines agree']
- WHEN len(list_filter(sample, lambda x: regexp_matches(x, '{formats.PIPE_ROW}'))) > 0 AND pipes >= 3 THEN ['markdown', pipes || ' pipe rows']
- WHEN len(list_filter(ls, lambda x: regexp_matches(x, '{formats.HEADING}') OR regexp_matches(x, '{formats.FENCE}'))) > 0 THEN ['markdown', 'headings or fences']
- WHEN regexp_matches(body, '{formats.HTML_TAG}') THEN ['html', 'block tags'] WHEN logs >= greatest(3, len(sample) // 2) THEN ['log', logs || ' log lines']
+ WHEN len(list_filter(sample, lambda x: regexp_matches(x, '^\\s*\\|.*\\|\\s*$'))) > 0 AND pipes >= 3 THEN ['markdown', pipes || ' pipe rows']
+ WHEN len(list_filter(ls, lambda x: regexp_matches(x, '^ {{0,3}}#{{1,6}} \\S') OR regexp_matches(x, '^ {{0,3}}```'))) > 0 THEN ['markdown', 'headings or fences']
+ WHEN regexp_matches(body, '(?i)<(p|div|table|h[1-6]|ul|ol|span|section)\\b[^>]*>') THEN ['html', 'block tags'] WHEN logs >= greatest(3, len(sample) // 2) THEN ['log', logs || ' log lines']
  WHEN code >= 3 THEN ['code', code || ' code lines'] ELSE ['prose', 'no markers'] END AS k FROM n)"""
 
 
@@ -62,8 +62,8 @@ c AS (SELECT *, len(list_filter(ls, lambda x: len(x) - len(replace(x, '|', ''))
   coalesce(substr(list_min(list_filter(list_transform(labels, lambda x: lower(trim(x))), lambda x: starts_with(x, 'pi-category:'))), 13), '') AS label FROM r),
 t AS (SELECT *, CASE WHEN contains(name, 'bot-rag-00') THEN 'index' WHEN contains(name, 'bot-rag-02') THEN 'workflow' WHEN regexp_matches(name, 'bot-rag-0[134]') THEN 'narrative'
   WHEN regexp_matches(name, '\\b(master index|corpus guide|navigation index)\\b') THEN 'index' WHEN regexp_matches(name, '\\b(glossary|terms and definitions)\\b') THEN 'glossary'
-  WHEN regexp_matches(name, '\\b(workflow|business flow|end to end)\\b') OR regexp_matches(sample, '{formats.FLOW_TAG}') THEN 'workflow'
-  WHEN len(list_filter(ls, lambda x: regexp_matches(x, '{formats.CONTRACT_HEADING}'))) > 0 OR contains(name, 'event and integration contract') THEN 'entity-contract'
+  WHEN regexp_matches(name, '\\b(workflow|business flow|end to end)\\b') OR regexp_matches(sample, '(?i)\\[(?:BOT)?FLOW-\\d+\\]') THEN 'workflow'
+  WHEN len(list_filter(ls, lambda x: regexp_matches(x, '(?i)^#{{2,4}}\\s+`?[A-Z][A-Z0-9_]+`?\\s+[-—].*\\bid\\s+\\d+.*\\bversion\\b'))) > 0 OR contains(name, 'event and integration contract') THEN 'entity-contract'
   WHEN piped >= 20 AND piped > prose THEN 'registry-table' ELSE 'narrative' END AS structure FROM c)
 SELECT source_id, CASE WHEN label <> '' THEN label ELSE structure END AS category, CASE WHEN label <> '' THEN 'label' WHEN structure <> 'narrative' THEN 'structure' ELSE 'no markers' END AS reason,
  CASE WHEN label <> '' AND structure <> 'narrative' AND structure <> label THEN 'structure says ' || structure ELSE '' END AS warning FROM t"""
@@ -80,7 +80,7 @@ _STOP = "(" + ", ".join(f"'{w}'" for w in formats.STOP_ENTITIES) + ")"
 
 @query("entity_detect", TEXTS_SQL + f""", e AS (SELECT source_id,
  regexp_replace(coalesce(substr(list_min(list_filter(list_transform(labels, lambda x: lower(trim(x))), lambda x: starts_with(x, 'pi-entity:'))), 11), ''), '[^a-z0-9_-]+', '', 'g') AS label,
- lower(regexp_extract(title, '{formats.TITLE_ENTITY}', 1)) AS titled, lower(regexp_extract(substr(content, 1, 8000), '{formats.STRUCTURE_ENTITY}', 1)) AS inside FROM texts)
+ lower(regexp_extract(title, '(?i)^\\s*([A-Za-z][A-Za-z0-9]{{1,30}})(?:[-_:]+|\\s+RAG[-_ ]*\\d+\\b)', 1)) AS titled, lower(regexp_extract(substr(content, 1, 8000), '\\b([A-Z][A-Z0-9]{{1,30}})_[A-Z0-9_]{{2,}}\\b', 1)) AS inside FROM texts)
 SELECT source_id, CASE WHEN label <> '' THEN label WHEN titled <> '' AND titled NOT IN {_STOP} THEN titled WHEN inside <> '' AND inside NOT IN {_STOP} THEN inside ELSE '' END AS entity,
  CASE WHEN label <> '' THEN 'label' WHEN titled <> '' AND titled NOT IN {_STOP} THEN 'title prefix' WHEN inside <> '' AND inside NOT IN {_STOP} THEN 'identifier prefix' ELSE 'none' END AS reason FROM e""")
 def entity_detect(spark, sf_dir):
@@ -107,7 +107,7 @@ def identifiers_per_doc(spark, sf_dir):
     return texts(spark, sf_dir).select("source_id", F.concat_ws(",", text.identifiers(F.col("content"))).alias("identifiers"))
 
 
-@query("keywords_top32", TEXTS_SQL + f""", k AS (SELECT source_id, regexp_extract_all(title || chr(10) || content, '{text.KEYWORD}') AS ks FROM texts),
+@query("keywords_top32", TEXTS_SQL + f""", k AS (SELECT source_id, regexp_extract_all(title || chr(10) || content, '[A-Za-z0-9][A-Za-z0-9_./:#-]{{2,}}') AS ks FROM texts),
 u AS (SELECT source_id, i, ks[i] AS kw, row_number() OVER (PARTITION BY source_id, lower(ks[i]) ORDER BY i) AS nth FROM (SELECT source_id, ks, unnest(range(1, len(ks) + 1)) AS i FROM k)),
 f AS (SELECT source_id, kw, i, row_number() OVER (PARTITION BY source_id ORDER BY i) AS place FROM u WHERE nth = 1)
 SELECT source_id, string_agg(kw, ' ' ORDER BY i) AS keywords FROM f WHERE place <= 32 GROUP BY source_id""")
@@ -116,7 +116,7 @@ def keywords_top32(spark, sf_dir):
     return found.select("source_id", F.concat_ws(" ", "keywords").alias("keywords"))
 
 
-@query("code_symbols", TEXTS_SQL + f""", k AS (SELECT source_id, regexp_extract_all(content, '{text.SYMBOL}', 1) AS ks FROM texts),
+@query("code_symbols", TEXTS_SQL + f""", k AS (SELECT source_id, regexp_extract_all(content, '(?m)^\\s*(?:async\\s+)?(?:(?:public|private|protected|internal|open|abstract|sealed|data|enum|annotation|value|inline|tailrec|suspend|operator|infix|override|actual|expect|final|external)\\s+)*(?:class|interface|object|def|fun|function)\\s+([A-Za-z_][A-Za-z0-9_]*)', 1) AS ks FROM texts),
 u AS (SELECT source_id, min(i) AS i, kw FROM (SELECT source_id, i, ks[i] AS kw FROM (SELECT source_id, ks, unnest(range(1, len(ks) + 1)) AS i FROM k)) GROUP BY source_id, kw)
 SELECT source_id, string_agg(kw, ',' ORDER BY i) AS symbols FROM u GROUP BY source_id""")
 def code_symbols(spark, sf_dir):
@@ -200,7 +200,7 @@ def link_kinds(spark, sf_dir):
     return rows.select("doc_id", "url", text.link_kind(url).alias("kind"), text.absolute_link(F.lit("https://site"), url).alias("resolved"), text.page_of(url).alias("page"))
 
 
-@query("image_targets", TEXTS_SQL + f""", t AS (SELECT source_id, unnest(regexp_extract_all(content, '{text.MARKDOWN_IMAGE}', 1)) AS target FROM texts)
+@query("image_targets", TEXTS_SQL + f""", t AS (SELECT source_id, unnest(regexp_extract_all(content, '!\\[[^\\]]*\\]\\(([^)]+)\\)', 1)) AS target FROM texts)
 SELECT source_id, target, target = '' OR regexp_matches(lower(target), '^(http://|https://|data:|file:|javascript:)') OR starts_with(target, '/') OR list_contains(string_split(target, '/'), '..') OR ends_with(lower(target), '.svg') AS unsafe FROM t""")
 def image_targets(spark, sf_dir):
     t = texts(spark, sf_dir).select("source_id", F.explode(F.regexp_extract_all("content", F.lit(text.MARKDOWN_IMAGE), F.lit(1))).alias("target"))
@@ -208,7 +208,7 @@ def image_targets(spark, sf_dir):
 
 
 @query("diagram_edges", TEXTS_SQL + f""", d AS (SELECT source_id, array_to_string(regexp_extract_all(content, '(?is)```\\s*mermaid\\s*\\n(.*?)```', 1), chr(10)) AS d FROM texts),
-e AS (SELECT source_id, unnest(range(len(a))) AS i, a, la, b, lb FROM (SELECT source_id, {', '.join(f"regexp_extract_all(d, '{text.MERMAID_EDGE}', {n}) AS {c}" for n, c in ((1, 'a'), (2, 'la'), (3, 'b'), (4, 'lb')))} FROM d WHERE d <> ''))
+e AS (SELECT source_id, unnest(range(len(a))) AS i, a, la, b, lb FROM (SELECT source_id, {', '.join(f"regexp_extract_all(d, '([A-Za-z][\\w-]*)(?:\\s*\\[([^\\]]+)\\])?\\s*(?:-->|==>|-\\.->)\\s*([A-Za-z][\\w-]*)(?:\\s*\\[([^\\]]+)\\])?', {n}) AS {c}" for n, c in ((1, 'a'), (2, 'la'), (3, 'b'), (4, 'lb')))} FROM d WHERE d <> ''))
 SELECT source_id, CAST(i AS INTEGER) AS ordinal, a[i + 1] AS from_node, nullif(la[i + 1], '') AS from_label, b[i + 1] AS to_node, nullif(lb[i + 1], '') AS to_label FROM e WHERE i < 30""")
 def diagram_edges(spark, sf_dir):
     return visuals.diagram_edges(texts(spark, sf_dir))
@@ -232,7 +232,7 @@ def diagram_layers(spark, sf_dir):
     return drawn(_diagrams(spark, sf_dir)).select("source_id", F.explode("layers").alias("node", "layer"))
 
 
-_SYMBOL_SQL = f"regexp_extract_all(content, '{text.SYMBOL}', 1)"
+_SYMBOL_SQL = f"regexp_extract_all(content, '(?m)^\\s*(?:async\\s+)?(?:(?:public|private|protected|internal|open|abstract|sealed|data|enum|annotation|value|inline|tailrec|suspend|operator|infix|override|actual|expect|final|external)\\s+)*(?:class|interface|object|def|fun|function)\\s+([A-Za-z_][A-Za-z0-9_]*)', 1)"
 
 
 @query("searchable_metadata", views.BASE_SQL + f""", i AS (SELECT *, 'KEY-' || doc_id AS issue_key, list_filter(list_distinct_ordered, lambda x: x <> '') AS symbols FROM (SELECT *, list_transform(list_filter(list_zip(ss, range(len(ss))), lambda z: list_position(ss, z[1]) = z[2] + 1), lambda z: z[1]) AS list_distinct_ordered FROM (SELECT *, {_SYMBOL_SQL} AS ss FROM src))),
@@ -248,7 +248,7 @@ def searchable_metadata(spark, sf_dir):
 
 
 @query("glossary_terms", TEXTS_SQL + f""", l AS (SELECT source_id, unnest(regexp_split_to_array(content, {NEWLINE_SQL})) AS line FROM texts)
-SELECT source_id, regexp_extract(trim(line, ' '), '{text.GLOSSARY}', 1) AS term, regexp_extract(trim(line, ' '), '{text.GLOSSARY}', 2) AS meaning FROM l WHERE regexp_matches(trim(line, ' '), '{text.GLOSSARY}')""")
+SELECT source_id, regexp_extract(trim(line, ' '), '(?i)^([\\w][\\w /-]{{1,50}})\\s+(?:means|significa|se define como)\\s+(.{{10,}})$', 1) AS term, regexp_extract(trim(line, ' '), '(?i)^([\\w][\\w /-]{{1,50}})\\s+(?:means|significa|se define como)\\s+(.{{10,}})$', 2) AS meaning FROM l WHERE regexp_matches(trim(line, ' '), '(?i)^([\\w][\\w /-]{{1,50}})\\s+(?:means|significa|se define como)\\s+(.{{10,}})$')""")
 def glossary_terms(spark, sf_dir):
     l = texts(spark, sf_dir).select("source_id", F.explode(formats.lines(F.col("content"))).alias("line")).withColumn("line", F.trim("line"))
     return l.where(F.col("line").rlike(text.GLOSSARY)).select("source_id", F.regexp_extract("line", text.GLOSSARY, 1).alias("term"), F.regexp_extract("line", text.GLOSSARY, 2).alias("meaning"))
