@@ -86,17 +86,17 @@ def gates(scores: DataFrame) -> DataFrame:
 def fingerprint(rows: DataFrame, key: str, payload: list[str]) -> DataFrame:
     """One digest of all rows, regardless of their order.
 
-    Values are led by their lengths, and nulls have a mark of their own, so no two rows look alike. Rows
-    are digested, and the digest of all is that of their number and of the sums of their four quarters,
-    which are combined before the shuffle: no list of digests is made. It finds what was lost, doubled
-    or changed; it isn't made to withstand someone who chooses rows so that their sums agree.
+    Values are led by their lengths, and nulls have a mark of their own, so no two rows look alike. Rows are digested; the sorted digests that begin alike are digested together, first by four
+    digits, then by two, then all, so that no row of the tree holds more than about a 65,536th of the rows. Every row's whole digest is in it: none can be lost, doubled or changed unseen,
+    nor rows be chosen that make up for others.
     """
     framed = lambda c: F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("v"), F.octet_length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")))
-    digested = rows.select(F.sha2(F.concat(*map(framed, [key, *payload])), 256).alias("d"))
-    quarters = [F.sum(F.conv(F.substring("d", 1 + 16 * k, 16), 16, 10).cast("decimal(25,0)")).alias(f"q{k}") for k in range(4)]
-    sums = digested.agg(F.count(F.lit(1)).alias("rows"), *quarters)
-    told = F.concat_ws(",", F.col("rows").cast("string"), *(F.coalesce(F.col(f"q{k}"), F.lit(0)).cast("string") for k in range(4)))
-    return sums.select("rows", F.sha2(told, 256).alias("fingerprint"))
+    digest = F.sha2(F.concat(*map(framed, [key, *payload])), 256)
+    level = rows.select(digest.alias("d"), digest.alias("x"), F.lit(1).cast("long").alias("n"))
+    inside = F.sha2(F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"])), 256)
+    for digits in (4, 2):
+        level = level.groupBy(F.substring("d", 1, digits).alias("d")).agg(inside.alias("x"), F.sum("n").alias("n"))
+    return level.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), inside.alias("fingerprint"))
 
 
 class Changed(RuntimeError):

@@ -186,8 +186,9 @@ def promotion_gates(spark, sf_dir):
 
 
 @query("fingerprint", views.BASE_SQL + """, v AS (SELECT *, CASE WHEN source_id LIKE '%7' THEN NULL ELSE title END AS t FROM man WHERE provider <> 'JIRA'),
-d AS (SELECT sha256('v' || strlen(source_id) || ':' || source_id || CASE WHEN t IS NULL THEN 'n' ELSE 'v' || strlen(t) || ':' || t END || 'v' || strlen(version) || ':' || version || 'v' || strlen(CAST(chunk_count AS VARCHAR)) || ':' || chunk_count) AS d FROM v)
-SELECT count(*) AS rows, sha256(concat_ws(',', count(*), sum(CAST('0x' || substr(d, 1, 16) AS UBIGINT)), sum(CAST('0x' || substr(d, 17, 16) AS UBIGINT)), sum(CAST('0x' || substr(d, 33, 16) AS UBIGINT)), sum(CAST('0x' || substr(d, 49, 16) AS UBIGINT)))) AS fingerprint FROM d""")
+d AS (SELECT sha256('v' || strlen(source_id) || ':' || source_id || CASE WHEN t IS NULL THEN 'n' ELSE 'v' || strlen(t) || ':' || t END || 'v' || strlen(version) || ':' || version || 'v' || strlen(CAST(chunk_count AS VARCHAR)) || ':' || chunk_count) AS d FROM v),
+a AS (SELECT substr(d, 1, 4) AS b, sha256(string_agg(d, ',' ORDER BY d)) AS x, count(*) AS n FROM d GROUP BY 1), b AS (SELECT substr(b, 1, 2) AS b, sha256(string_agg(x, ',' ORDER BY b)) AS x, sum(n) AS n FROM a GROUP BY substr(a.b, 1, 2))
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS rows, sha256(coalesce(string_agg(x, ',' ORDER BY b), '')) AS fingerprint FROM b""")
 def fingerprint(spark, sf_dir):
     rows = views.manifest(spark, sf_dir).where("provider <> 'JIRA'").withColumn("title", F.when(~F.col("source_id").endswith("7"), F.col("title")))
     return audits.fingerprint(rows, "source_id", ["title", "version", "chunk_count"])

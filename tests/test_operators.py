@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+import itertools
 import json
 import os
 import posixpath
@@ -269,6 +271,20 @@ def test_fingerprint_tells_nulls_and_borders_apart(spark):
     assert len(prints) == 6
 
 
+def test_a_fingerprint_digests_the_sorted_digests_of_all_rows(spark):
+    rows = spark.createDataFrame([(f"k{i % 290}", None if i % 290 % 7 == 0 else f"v{i % 290}") for i in range(300)], "k string, v string")
+
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    of = lambda v: "n" if v is None else f"v{len(v)}:{v}"
+    level = sorted((d, d) for d in (digest(of(r.k) + of(r.v)) for r in rows.collect()))
+    for digits in (4, 2, 0):
+        level = [(key, digest(",".join(x for _, x in group))) for key, group in itertools.groupby(level, lambda pair: pair[0][:digits])]
+    assert tuple(audits.fingerprint(rows.repartition(5), "k", ["v"]).first()) == (300, level[0][1])
+    assert tuple(audits.fingerprint(rows.limit(0), "k", ["v"]).first()) == (0, digest(""))
+
+
 @pytest.mark.parametrize("path, pattern, expected", [
     ("project-documentation/a.md", "**/project-documentation/**", True), ("notes.docx", "**/*.docx", True), ("src/main/Cart.kt", "*.kt", False), ("docs", "docs/**", True), ("a/bb/c", "a/?/c", False),
 ])
