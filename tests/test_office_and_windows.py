@@ -138,3 +138,14 @@ def test_long_words_rows_and_headings(other):
     assert token_windows.windows_of("T", " \n ", ENCODE) == [] and token_windows.windows_of("", "x", ENCODE)[0].path == ("",)
     emoji = token_windows.windows_of("T", "👩‍👩‍👧 " * 400, ENCODE)
     assert all(w.total <= 512 and w.tokens == len(other.encode_ordinary(w.content)) for w in emoji)
+
+
+def test_ends_of_tokens_by_the_fast_engine_are_those_of_tokenizers():
+    import tokenizers
+
+    from docweir.functions import tokens
+
+    slow, fast = tokenizers.Tokenizer.from_file(PATH), tokens.encoder(PATH)
+    assert fast._fast is not None and fast._slow is None
+    for text in ["", " \n\t ", "It's  a probe:\n\n don't", "naïve façade €9 日本語   x", "👩‍👩‍👧 " * 40, "a<|endoftext|> b", "x\x1cy\x85z " * 9, "| é | 日 |\r\n" * 30]:
+        assert fast.ends(text).tolist() == [b for _, b in slow.encode(text, add_special_tokens=False).offsets]
