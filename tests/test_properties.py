@@ -4,6 +4,8 @@ import json
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docweir.functions import richtext
 from docweir.functions.paths import glob_regex
@@ -76,3 +78,25 @@ def test_globs_always_compile(pattern):
 @settings(deadline=None)
 def test_html_never_fails(text):
     assert isinstance(chunkers.html_markdown(f"<p>{text}</p>"), str)
+
+
+def test_rows_are_python_objects_a_few_at_a_time():
+    import pyarrow as pa
+
+    from docweir.functions import batches
+
+    wide, small = pa.array(["x" * n for n in (10, 3_000_000, 0, 600_000, 600_000, *[5] * 300)]), pa.array([None] * 305, pa.int32())
+    parts = batches.slices([wide, small])
+    assert [at for at, _ in parts] == [0, *(at + n for at, n in parts)][:-1] and sum(n for _, n in parts) == 305
+    assert all(n == 1 or (n <= batches.MOST_ROWS and wide.slice(at, n).nbytes <= batches.MOST_BYTES) for at, n in parts)
+    assert batches.slices([wide.slice(0, 0)]) == []
+
+
+def test_functions_of_rows_keep_order_and_nulls(spark):
+    from docweir.functions import batches, richtext
+
+    joined = batches.per_row(lambda a, b: None if a is None else f"{a}{'' if b is None else len(b)}", T.StringType())
+    rows = spark.range(1000).select("id", joined(F.when(F.col("id") % 7 != 0, F.col("id")), F.when(F.col("id") % 3 != 0, F.encode(F.col("id").cast("string"), "utf-8"))).alias("v"))
+    assert [r.v for r in rows.orderBy("id").collect()] == [None if i % 7 == 0 else f"{i}{len(str(i)) if i % 3 else ''}" for i in range(1000)]
+    assert spark.range(0).select(joined("id", F.lit(b"x"))).collect() == []
+    assert spark.range(1).select(richtext.rich_text(F.lit(None).cast("string")), richtext.heading_digest(F.lit(None).cast("array<string>"))).first()[:2] == (None, None)
