@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: What keeps state that a processor declares.
@@ -69,20 +69,23 @@ def lease_stream(requests: DataFrame, seconds: int = 900, delay: str = "60 days"
 
 
 class ManifestKeeper(StatefulProcessor):
-    """What is known of a source is the key's value: its version and whether it is deleted. Every scan of it gets its operation."""
+    """What is known of a source is the key's value: its version and whether it is deleted. Every scan of it gets its operation.
+
+    Keys are many and have few rows each, so they are rows and no data frames, and a key's state is asked for once.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.known = handle.getValueState("manifest", "version string, deleted boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seen = pd.concat(list(rows)).sort_values("scanned", kind="stable")
-        version, deleted = self.known.get() if self.known.exists() else (None, True)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        provider, source_id = key
+        version, deleted = self.known.get() or (None, True)
         out = []
-        for now, gone in zip(seen["version"], seen["deleted"].tolist()):
-            out.append(("SKIP" if deleted else "DELETE") if gone else "INDEX" if deleted or version != now else "SKIP")
+        for scanned, now, gone in sorted(((r.scanned, r.version, r.deleted) for r in rows), key=lambda r: r[0]):
+            out.append(Row(provider=provider, source_id=source_id, scanned=scanned, operation=("SKIP" if deleted else "DELETE") if gone else "INDEX" if deleted or version != now else "SKIP"))
             version, deleted = now, gone
         self.known.update((version, deleted))
-        yield pd.DataFrame({"provider": key[0], "source_id": key[1], "scanned": seen["scanned"], "operation": out})
+        yield from out
 
     def close(self) -> None:
         pass
@@ -91,4 +94,4 @@ class ManifestKeeper(StatefulProcessor):
 def manifest_stream(scans: DataFrame) -> DataFrame:
     """A stream of scans (provider, source_id, version, deleted, scanned long) with operation: INDEX, DELETE or SKIP; the last version of a source is state."""
     rows = scans.select("provider", "source_id", "version", "deleted", "scanned")
-    return rows.groupBy("provider", "source_id").transformWithStateInPandas(ManifestKeeper(), "provider string, source_id string, scanned long, operation string", "Append", "none")
+    return rows.groupBy("provider", "source_id").transformWithState(ManifestKeeper(), "provider string, source_id string, scanned long, operation string", "Append", "none")

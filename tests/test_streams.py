@@ -275,3 +275,27 @@ def test_a_purge_takes_chunks_first_and_can_be_repeated(spark, small, tmp_path,
         ingest.purge(store, scopes, views.PROJECT, "JIRA", execute=True)
         assert counts() == (sum(r.sources for r in plan if not r.forgotten), 0) and store.chunks.read().where("provider <> 'JIRA'").count() == others
     assert ingest.purge(store, scopes.limit(0), "OTHER", "JIRA", execute=True).count() == 0
+
+
+def test_a_keys_state_is_asked_for_once_and_its_rows_are_no_frames():
+    from pyspark.sql import Row
+
+    from docweir.streaming.keyed import ManifestKeeper
+
+    class Value:
+        held, calls = None, []
+
+        def get(self):
+            self.calls.append("get")
+            return self.held
+
+        def update(self, value):
+            self.calls.append("update")
+            self.held = value
+
+    keeper = ManifestKeeper()
+    keeper.known = Value()
+    scans = [Row(scanned=2, version="b", deleted=True), Row(scanned=0, version="a", deleted=False), Row(scanned=3, version="b", deleted=True), Row(scanned=1, version="b", deleted=False)]
+    assert [tuple(r) for r in keeper.handleInputRows(("P", "s"), iter(scans), None)] == [("P", "s", 0, "INDEX"), ("P", "s", 1, "INDEX"), ("P", "s", 2, "DELETE"), ("P", "s", 3, "SKIP")]
+    assert keeper.known.calls == ["get", "update"] and keeper.known.held == ("b", True)
+    assert [r.operation for r in keeper.handleInputRows(("P", "s"), iter([Row(scanned=4, version="b", deleted=False)]), None)] == ["INDEX"]
