@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweir.functions import paths, text
+from docweir.functions.batches import slices
 
 # Fixed values.
 RASTER = (".png", ".jpg", ".jpeg", ".webp")
@@ -80,19 +81,22 @@ def parsed(docs: DataFrame, parser: Callable[[bytes, str], list[tuple[str, str]]
     as UTF-8 text and the warning says why. One body's failure is its own.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(source: str, path: str, body: bytes | None) -> list[tuple]:
+        body, warning, elements = body or b"", None, None
+        if parser is not None:
+            try:
+                elements = parser(body, path)
+            except Exception as error:  # noqa: BLE001  (whatever a parser raises is that document's failure)
+                warning = f"{type(error).__name__}: {error}"[:200]
+        if elements is None:
+            elements, warning = [("", body.decode("utf-8", "ignore"))], warning or "no parser"
+        return [(source, i, locator, value, warning) for i, (locator, value) in enumerate(elements)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string())
         for batch in batches:
-            rows = []
-            for source, path, body in batch.itertuples(index=False):
-                body, warning, elements = body or b"", None, None
-                if parser is not None:
-                    try:
-                        elements = parser(body, path)
-                    except Exception as error:  # noqa: BLE001  (whatever a parser raises is that document's failure)
-                        warning = f"{type(error).__name__}: {error}"[:200]
-                if elements is None:
-                    elements, warning = [("", body.decode("utf-8", "ignore"))], warning or "no parser"
-                rows += [(source, i, locator, value, warning) for i, (locator, value) in enumerate(elements)]
-            yield pd.DataFrame(rows, columns=["source_id", "ordinal", "locator", "text", "warning"])
-
-    return docs.select("source_id", "path", "content_bytes").mapInPandas(run, "source_id string, ordinal int, locator string, text string, warning string")
+            for at, n in slices(batch.columns):
+                rows = [r for body in zip(*(c.to_pylist() for c in batch.slice(at, n).columns)) for r in read(*body)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds)], names=["source_id", "ordinal", "locator", "text", "warning"])
+
+    return docs.select(F.col("source_id").cast("string").alias("source_id"), "path", "content_bytes").mapInArrow(run, "source_id string, ordinal int, locator string, text string, warning string")
