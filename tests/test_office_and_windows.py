@@ -149,3 +149,19 @@ def test_ends_of_tokens_by_the_fast_engine_are_those_of_tokenizers():
     assert fast._fast is not None and fast._slow is None
     for text in ["", " \n\t ", "It's  a probe:\n\n don't", "naïve façade €9 日本語   x", "👩‍👩‍👧 " * 40, "a<|endoftext|> b", "x\x1cy\x85z " * 9, "| é | 日 |\r\n" * 30]:
         assert fast.ends(text).tolist() == [b for _, b in slow.encode(text, add_special_tokens=False).offsets]
+
+
+def test_windows_tokens_are_sums_where_words_are_whole():
+    asked = []
+
+    def counted(texts):
+        asked.append(sum(map(len, texts)))
+        return ENCODE(texts)
+
+    counted.additive = ENCODE.additive
+    plain = lambda texts: ENCODE(texts)  # noqa: E731  (says nothing of sums)
+    for text in ["It's 'so  naïve, isn't it?\n\n 日本 x1 y. " * 200, "a\x1cb !\x1d! c<|endoftext|> d " * 200, "| a | b |\n|-|-|\n" + "| 'll c | d é |\n" * 300 + "# h \n" + "w" * 9000]:
+        assert token_windows.windows_of("T ", text, ENCODE) == token_windows.windows_of("T ", text, plain)
+    text = "some plain words, of which there are many. " * 500
+    token_windows.windows_of("T", text, counted)
+    assert sum(asked) < 1.2 * len(text)
