@@ -5,14 +5,15 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-#: Messages of a batch, and of a task that reads.
-MOST, PER_TASK = 4096, 1024
+#: Messages of a batch, of a task that reads, and of a file. A task reads the files that its messages are in, so files don't grow with what is sent.
+MOST, PER_TASK, PER_FILE = 4096, 1024, 8192
 
 
 class Queue:
@@ -54,21 +55,22 @@ class Queue:
     def send(self, messages: DataFrame, tag: str) -> int:
         """Appends messages (message_id, deliveries, body); nothing where the tag was sent before. Returns how many.
 
-        Tasks write the files; the driver numbers them by one row for each task.
+        Tasks write the files; the driver numbers them by one row for each.
         """
         if any(t == tag for _, _, t, _ in self.files()):
             return 0
         folder = self.folder
 
         def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            queue, name, rows = Queue(folder), f"staged/{uuid.uuid4().hex}.jsonl", 0
+            queue = Queue(folder)
             queue.system.create_dir(f"{queue.root}/staged", recursive=True)
-            with queue.system.open_output_stream(f"{queue.root}/{name}") as file:
-                for batch in batches:
-                    for row in batch.to_pylist():
+            messages = (row for batch in batches for row in batch.to_pylist())
+            while part := list(islice(messages, PER_FILE)):
+                name = f"staged/{uuid.uuid4().hex}.jsonl"
+                with queue.system.open_output_stream(f"{queue.root}/{name}") as file:
+                    for row in part:
                         file.write(json.dumps(row, ensure_ascii=False).encode() + b"\n")
-                        rows += 1
-            yield pa.RecordBatch.from_pydict({"name": [name], "rows": pa.array([rows], pa.int64())})
+                yield pa.RecordBatch.from_pydict({"name": [name], "rows": pa.array([len(part)], pa.int64())})
 
         written = messages.select("message_id", "deliveries", "body").mapInArrow(write, "name string, rows long").collect()
         self.system.create_dir(f"{self.root}/messages", recursive=True)

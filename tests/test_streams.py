@@ -299,3 +299,14 @@ def test_a_keys_state_is_asked_for_once_and_its_rows_are_no_frames():
     assert [tuple(r) for r in keeper.handleInputRows(("P", "s"), iter(scans), None)] == [("P", "s", 0, "INDEX"), ("P", "s", 1, "INDEX"), ("P", "s", 2, "DELETE"), ("P", "s", 3, "SKIP")]
     assert keeper.known.calls == ["get", "update"] and keeper.known.held == ("b", True)
     assert [r.operation for r in keeper.handleInputRows(("P", "s"), iter([Row(scanned=4, version="b", deleted=False)]), None)] == ["INDEX"]
+
+
+def test_a_queues_files_are_bounded(spark, tmp_path):
+    from docweir.sources import queue as queues
+
+    source = queues.Queue(str(tmp_path / "queue"))
+    n = 2 * queues.PER_FILE + 5
+    rows = spark.range(0, n, 1, 1).selectExpr("concat('m', id) AS message_id", "1 AS deliveries", "'{}' AS body")
+    assert source.send(rows, "first") == n == source.total() and source.send(rows, "first") == 0
+    assert sorted(size for _, size, _, _ in source.files()) == [5, queues.PER_FILE, queues.PER_FILE]
+    assert sorted(m[1] for m in source.read(0, n)) == sorted(f"m{i}" for i in range(n)) and [m[0] for m in source.read(8000, 8200)] == [*range(8000, 8200)]
