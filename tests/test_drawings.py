@@ -76,3 +76,17 @@ def test_pinned_files(spark):
     files = spark.createDataFrame([("o/r", "ok", "h", 1), ("o/r", "big", "h", 4_000_001), ("o/r", "other", "x", 1), ("o/r", "theirs", "h", 1), ("o/r", "unknown", "h", 1)], "repository string, path string, digest string, size long")
     found = {r.path: r.reason for r in references.pinned(docs, pins, files).collect()}
     assert found == {"ok": None, "gone": "unavailable", "big": "too large", "other": "content differs", "../up": "invalid path", "theirs": "another project's", "unknown": "not pinned"}
+
+
+def test_diagrams_are_drawn_in_as_many_tasks_as_shuffles_have(spark):
+    docs = spark.range(200).select(F.concat(F.lit("d"), "id").alias("source_id"), F.lit("```mermaid\na --> b\n```").alias("content"))
+    drawn = drawings.drawn(docs).select("nodes", F.spark_partition_id().alias("task")).collect()
+    assert len(drawn) == 200 and len({r.task for r in drawn}) > 1
+
+
+def test_points_of_lines_are_those_of_each_line_alone():
+    lines = np.array([(0, 0, 96, 0), (5, 7, 5, 7), (10, 3, 2, 51), (1.5, 2, 40, 9.25)])
+    for scale in (1.0, 0.37):
+        xs, ys = drawings._points(lines, scale)
+        each = [np.rint(np.linspace(a[:2], a[2:], int(max(abs(a[2:] - a[:2]))) + 1) * scale) for a in lines]
+        assert np.array_equal(np.stack([xs, ys], 1), np.concatenate(each))
