@@ -28,7 +28,10 @@ ENGLISH = ("the", "a", "of", "that", "for", "with", "how", "is")
 
 def stripped(text: Column) -> Column:
     """Without white space at either end, of any script."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    # Few texts have any, which their first and last bytes tell; only those, and those with other scripts there, are searched.
+    raw = text.cast("binary")
+    ends = F.concat(F.substring(raw, 1, 1), F.substring(raw, -1, 1)).cast("string")
+    return F.when(ends.rlike(r"[^\x00-\x08\x0e-\x1f\x21-\x7f]"), F.regexp_replace(text, r"(?U)^\s+|\s+$", "")).otherwise(text)
 
 
 def clean(text: Column) -> Column:
@@ -36,6 +39,16 @@ def clean(text: Column) -> Column:
     return stripped(F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", ""))
 
 
+def says_something(text: Column) -> Column:
+    """Whether anything is left of a cleaned text, told by the first such character."""
+    return text.rlike(r"(?U)[^\s\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+
+
+def _occurrences(text: Column, mark: str) -> Column:
+    """How often an ASCII character occurs."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
+
+
 def lines(text: Column) -> Column:
     return F.split(text, NEWLINE)
 
@@ -52,15 +65,16 @@ def declared_format(suffix: Column, mime: Column) -> Column:
 
 
 def _agreeing(sample: Column, delimiter: str) -> Column:
-    """Leading lines (blank ones left out) that hold the same number of delimiters as the first, if it holds any."""
-    counts = F.transform(F.filter(sample, lambda x: F.trim(x) != ""), lambda x: F.length(x) - F.length(F.replace(x, F.lit(delimiter), F.lit(""))))
+    """Leading lines (blank ones left out) that hold the same number of delimiters as the first, if it holds any. The sample begins with a line that isn't blank."""
+    counts = F.transform(F.filter(sample, lambda x: F.trim(x) != ""), lambda x: _occurrences(x, delimiter))
     start = F.struct(F.lit(-1).alias("first"), F.lit(0).alias("run"), F.lit(True).alias("open"))
 
     def add(acc: Column, n: Column) -> Column:
         goes_on = acc["open"] & ((acc["first"] < 0) | (acc["first"] == n))
         return F.struct(F.when(acc["first"] < 0, n).otherwise(acc["first"]).alias("first"), F.when(goes_on, acc["run"] + 1).otherwise(acc["run"]).alias("run"), goes_on.alias("open"))
 
-    return F.aggregate(counts, start, add, lambda acc: F.when(acc["first"] >= 1, acc["run"]).otherwise(0))
+    run = F.aggregate(counts, start, add, lambda acc: F.when(acc["first"] >= 1, acc["run"]).otherwise(0))
+    return F.when(F.try_element_at(sample, F.lit(1)).contains(delimiter), run).otherwise(0)
 
 
 def with_format(df: DataFrame, text: str = "content", declared: str = "declared") -> DataFrame:
@@ -76,7 +90,7 @@ def with_format(df: DataFrame, text: str = "content", declared: str = "declared"
     count = lambda pattern: F.size(F.filter(sample, lambda x: x.rlike(pattern)))
     df = df.withColumns({
         "_comma": _agreeing(sample, ","), "_tab": _agreeing(sample, "\t"), "_semicolon": _agreeing(sample, ";"), "_log": count(LOG_LINE), "_code": count(CODE_LINE),
-        "_pipes": F.size(F.filter(sample, lambda x: F.length(x) - F.length(F.replace(x, F.lit("|"), F.lit(""))) >= 2)),
+        "_pipes": F.when(F.col("_body").contains("|"), F.size(F.filter(sample, lambda x: _occurrences(x, "|") >= 2))).otherwise(0),
     })
     delimited = F.coalesce(*(F.when(F.col(c) >= LEAST_ROWS, F.col(c)) for c in ("_comma", "_tab", "_semicolon")))
     n = lambda number, what: F.concat(number.cast("string"), F.lit(what))
@@ -111,20 +125,21 @@ def _label(labels: Column, prefix: str) -> Column:
 
 def structural_category(title: Column, text: Column) -> Column:
     name = F.replace(F.lower(title), F.lit("_"), F.lit(" "))
-    sample = F.substring(text, 1, SAMPLE_CHARS)
+    sample = F.when(F.octet_length(text) > SAMPLE_CHARS, F.substring(text, 1, SAMPLE_CHARS)).otherwise(text)
     rows = lines(sample)
-    piped = F.size(F.filter(rows, lambda x: F.length(x) - F.length(F.replace(x, F.lit("|"), F.lit(""))) >= 3))
+    piped = F.size(F.filter(rows, lambda x: _occurrences(x, "|") >= 3))
     prose = F.size(F.filter(rows, lambda x: F.regexp_count(x, F.lit(r"\S+")) >= 8))
-    contract = F.exists(rows, lambda x: x.rlike(CONTRACT_HEADING)) | name.contains("event and integration contract")
+    # What a search of the whole sample rules out isn't looked for line by line.
+    contract = sample.contains("##") & F.exists(rows, lambda x: x.rlike(CONTRACT_HEADING)) | name.contains("event and integration contract")
     return (
         F.when(name.contains("bot-rag-00"), "index")
         .when(name.contains("bot-rag-02"), "workflow")
         .when(name.rlike("bot-rag-0[134]"), "narrative")
         .when(name.rlike(r"\b(master index|corpus guide|navigation index)\b"), "index")
         .when(name.rlike(r"\b(glossary|terms and definitions)\b"), "glossary")
-        .when(name.rlike(r"\b(workflow|business flow|end to end)\b") | sample.rlike(FLOW_TAG), "workflow")
+        .when(name.rlike(r"\b(workflow|business flow|end to end)\b") | (sample.contains("[") & sample.rlike(FLOW_TAG)), "workflow")
         .when(contract, "entity-contract")
-        .when((piped >= 20) & (piped > prose), "registry-table")
+        .when((_occurrences(sample, "|") >= 60) & (piped >= 20) & (piped > prose), "registry-table")
         .otherwise("narrative")
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +24,15 @@ def identifiers(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(text, r"[^\p{L}\p{M}\p{N}_]+"), lambda x: x.rlike(IDENTIFIER))))
 
 
-def first_spellings(tokens: Column, most: int) -> Column:
-    """The first `most` distinct tokens regardless of case, in the order and spelling in which they come first."""
-    none = F.array().cast("array<string>")
+def _once(value: Column, function: Callable[[Column], Column]) -> Column:
+    """function of a value that is computed once, however often function looks at it."""
+    return F.element_at(F.transform(F.array(value), function), 1)
 
-    def add(seen: Column, token: Column) -> Column:
-        more = (F.size(seen["kept"]) < most) & ~F.array_contains(seen["folded"], F.lower(token))
-        return F.when(more, F.struct(F.array_append(seen["kept"], token).alias("kept"), F.array_append(seen["folded"], F.lower(token)).alias("folded"))).otherwise(seen)
 
-    return F.aggregate(tokens, F.struct(none.alias("kept"), none.alias("folded")), add, lambda seen: seen["kept"])
+def first_spellings(tokens: Column, most: int) -> Column:
+    """The first `most` distinct tokens regardless of case, in the order and spelling in which they come first."""
+    given = F.struct(tokens.alias("spelled"), F.transform(tokens, lambda t: F.lower(t)).alias("folded"))
+    return _once(given, lambda g: F.transform(F.slice(F.array_distinct(g["folded"]), 1, most), lambda k: F.element_at(g["spelled"], F.array_position(g["folded"], k).cast("int"))))
 
 
 def with_keywords(df: DataFrame, values: list[Column], name: str = "keywords", most: int = MOST_KEYWORDS) -> DataFrame:
@@ -215,11 +217,19 @@ def metadata_context(fields: dict[str, Column]) -> Column:
     return F.concat_ws("\n", *(F.when(F.coalesce(value, F.lit("")) != "", F.concat(F.lit(f"{label}: "), value)) for label, value in fields.items()))
 
 
-def fitted(required: Column, optional: list[Column], body: Column, limit: int) -> Column:
-    """An embedding text of at most limit words: optional lines go, from the last, until it fits; the body is never cut."""
-    words = lambda c: F.regexp_count(c, F.lit(r"\S+"))
-    joined = [F.concat_ws("\n", *(F.when(o != "", o) for o in (required, *optional[:n], body))) for n in range(len(optional), -1, -1)]
-    out = None
-    for text in joined[:-1]:
-        out = F.when(words(text) <= limit, text) if out is None else out.when(words(text) <= limit, text)
-    return out.otherwise(joined[-1])
+def fitted(required: Column, optional: list[Column], body: Column, limit: int, body_words: Column | None = None) -> Column:
+    """An embedding text of at most limit words: optional lines go, from the last, until it fits; the body is never cut. body_words are the body's, where they are known."""
+    last = len(optional) + 2
+
+    def chosen(s: Column) -> Column:
+        # Parts are lines of their own, so a text has as many words as its parts together.
+        text = lambda n: F.array_join(F.filter(F.concat(F.slice(s["parts"], 1, n + 1), F.slice(s["parts"], last, 1)), lambda x: x != ""), "\n")
+        out = text(0)
+        for n in range(1, last - 1):
+            out = F.when(sum((F.element_at(s["words"], k) for k in range(1, n + 2)), F.element_at(s["words"], last)) <= limit, text(n)).otherwise(out)
+        return out
+
+    count = lambda x: F.coalesce(F.regexp_count(x, F.lit(r"\S+")), F.lit(0)).cast("long")
+    own = count(body) if body_words is None else body_words
+    counted = lambda p: F.struct(p.alias("parts"), F.concat(F.transform(F.slice(p, 1, last - 1), count), F.array(own)).alias("words"))
+    return _once(F.array(required, *optional, body), lambda p: _once(counted(p), chosen))

@@ -97,7 +97,7 @@ def assembled(chunks: DataFrame, docs: DataFrame, limit: int = 512) -> DataFrame
     """
     keep = [c for c in docs.columns if c not in chunks.columns or c in SOURCE]
     rows = chunks.where("failure is null").drop("failure").join(docs.select(*keep), SOURCE)
-    rows = rows.withColumn("body", formats.clean(F.col("content"))).where("body <> ''").withColumns({"ordinal": F.col("ordinal").cast("long"), "kind": F.col("profile"), "heading_path": F.col("path")})
+    rows = rows.where(formats.says_something(F.col("content"))).withColumn("body", formats.clean(F.col("content"))).withColumns({"ordinal": F.col("ordinal").cast("long"), "kind": F.col("profile"), "heading_path": F.col("path")})
     rows = first_bodies(identified(rows))
     rows = rows.withColumn("structure_hash", F.sha2(F.to_json(F.struct("heading_path", "locator", "profile")), 256))
     rows = text.with_searchable(rows.drop("path"), "body", "heading_path")
@@ -105,5 +105,5 @@ def assembled(chunks: DataFrame, docs: DataFrame, limit: int = 512) -> DataFrame
     required = F.concat(F.lit("passage: "), F.concat_ws(" > ", "title", "heading_path"))
     optional = [F.concat(F.lit("LOCATION: "), F.coalesce("locator", F.lit("source"))), F.when(is_jira, text.framed_context(F.col("searchable"))).otherwise(text.labelled_context(F.col("searchable")))]
     rows = rows.withColumn("failure", F.when(is_jira, text.framed_failure(F.col("searchable"))))
-    rows = rows.withColumn("embedding_text", F.when(F.col("failure").isNull(), text.fitted(required, optional, F.col("body"), limit)))
+    rows = rows.withColumn("embedding_text", F.when(F.col("failure").isNull(), text.fitted(required, optional, F.col("body"), limit, F.col("searchable.chunk_token_count"))))
     return rows.select("project_id", "provider", "source_id", "version", "ordinal", "chunk_id", F.col("digest").alias("content_hash"), "structure_hash", "heading_path", "locator", "profile", "tokens", "body", "embedding_text", "searchable", "failure")

@@ -755,3 +755,20 @@ def test_links_are_resolved_beside_their_document(spark):
     for path, target, found in spark.createDataFrame(rows, "p string, t string").select("p", "t", paths.beside(F.col("p"), F.col("t"))).collect():
         whole = posixpath.normpath(posixpath.join(posixpath.dirname(path), target))
         assert found == (None if whole == ".." or whole.startswith("../") else "" if whole == "." else whole)
+
+
+def test_stripped_and_cleaned_texts_by_their_ends(spark):
+    odd = ["", " ", "a", " a ", "é", " x", "x\u0085", "\x1fa\x1f", "\x00 \x7f", "　", "a\n", "\x0b\x01\x0c", "日本", "\U0001f600 ", "a b", None]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").select(
+        formats.stripped(F.col("t")).alias("s"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("all"), formats.says_something(F.col("t")).alias("says"), (formats.clean(F.col("t")) != "").alias("left")
+    ).collect()
+    assert [(r.s, r.says) for r in rows] == [(r["all"], r.left) for r in rows]
+
+
+def test_parts_of_an_embedding_text_are_counted_once(spark):
+    body, count = F.col("body"), F.col("n")
+    fitted = text.fitted(F.col("r"), [F.col("a"), F.col("b")], body, 6, count)
+    assert str(fitted).count("body") == 1
+    rows = spark.createDataFrame([("r", "a a", "b b", "x"), ("r", "a a", "b b b", "x"), ("r", "a a a a a", "b", "x"), ("r", None, "", "x"), ("r", "", "b", None)], "r string, a string, b string, body string")
+    both = rows.withColumn("n", F.coalesce(F.regexp_count("body", F.lit(r"\S+")), F.lit(0)).cast("long")).select(fitted, text.fitted(F.col("r"), [F.col("a"), F.col("b")], body, 6)).collect()
+    assert [x for x, _ in both] == [y for _, y in both] == ["r\na a\nb b\nx", "r\na a\nx", "r\nx", "r\nx", "r\nb"]
