@@ -772,3 +772,11 @@ def test_parts_of_an_embedding_text_are_counted_once(spark):
     rows = spark.createDataFrame([("r", "a a", "b b", "x"), ("r", "a a", "b b b", "x"), ("r", "a a a a a", "b", "x"), ("r", None, "", "x"), ("r", "", "b", None)], "r string, a string, b string, body string")
     both = rows.withColumn("n", F.coalesce(F.regexp_count("body", F.lit(r"\S+")), F.lit(0)).cast("long")).select(fitted, text.fitted(F.col("r"), [F.col("a"), F.col("b")], body, 6)).collect()
     assert [x for x, _ in both] == [y for _, y in both] == ["r\na a\nb b\nx", "r\na a\nx", "r\nx", "r\nx", "r\nb"]
+
+
+def test_trees_of_stored_bodies_are_not_read(spark):
+    tree = '{"type":"doc","content":[{"type":"paragraph","content":[{"type":"text","text":"tree"}]}]}'
+    rows = spark.createDataFrame([(" own ", tree), ("  ", tree), (None, tree), (None, None), ("own", "broken")], "storage string, tree string")
+    body = richtext.live_body(F.col("storage"), F.col("tree"))
+    assert [r[0] for r in rows.select(body).collect()] == ["own", "tree", "tree", None, "own"]
+    assert "run(tree" not in rows.select(body)._jdf.queryExecution().optimizedPlan().toString()
