@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import io
 import zipfile
+import zlib
 
 import numpy as np
 import pytest
@@ -81,6 +82,28 @@ def test_containers_that_are_refused_fail_alone(spark, monkeypatch):
     assert found == {"a": ("block:1", "fine", None), "b": ("", "plain words", "Refused: not a zip container")}
 
 
+def test_office_containers_hold_whole_texts(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from docweir.functions import richtext
+    from docweir.plans import gaps
+
+    text = "first < line\nsecond & line\r\n" + "".join(f"word{i} " for i in range(5000)) + "\x01last\x00 \ufffe one"
+    rows = [(i, None if i == 6 else f"{text} {i}", None if i == 7 else "en", None if i == 9 else "web") for i in range(12)] + [(None, text, "en", "web")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    reasons = [None, "MIME_MISMATCH", "MIME_MISMATCH", None, "MACRO_CONTENT", "MIME_MISMATCH"]
+    assert dict(gaps.office_containers(spark, str(tmp_path)).collect()) == dict(enumerate(reasons * 2)) | {None: None}
+    monkeypatch.setattr(richtext, "container_reason", lambda body, suffix: F.col(body))
+    bodies = dict(gaps.office_containers(spark, str(tmp_path)).collect())
+    assert [bytes(bodies[i]).decode() for i in (5, 11)] == [f"{text} 5", f"{text} 11"]
+    for i in (2, 8):  # without their last 30 bytes, which are the container's list of parts
+        assert f"word4999  last    one {i}</w:t>".encode() in zlib.decompressobj(-15).decompress(bytes(bodies[i])[47:])
+    for i in (0, 1, 3, 4, 6, 7, 9, 10):
+        found = [t for _, t in ooxml.read(bytes(bodies[i]), "x.docx")]
+        whole = "" if i == 6 else f"{text} {i}".translate(dict.fromkeys(map(ord, "\x00\x01\ufffe"), " "))
+        assert found[0].split()[-1] == str(i) and " ".join(" ".join(found[1:-1]).split()) == " ".join(whole.split())
+
+
 @pytest.fixture(scope="module")
 def other():
     """The same vocabulary by another library."""
